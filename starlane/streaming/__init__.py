@@ -1,0 +1,5 @@
+"""Kept empty on purpose: every input of this library is a bounded set of files.
+
+New months arrive as new files and are picked up by the next full refresh
+(:func:`starlane.plans.star.run`), so there is no unbounded source to stream.
+"""
