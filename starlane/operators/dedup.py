@@ -20,7 +20,7 @@ def dedup_first(df: DataFrame, keys: Sequence[str], order: Sequence[str] = ()) -
     keys, order = list(keys), list(order)
     ranked = [c for c in order if c not in keys] + [c for c in df.columns if c not in keys and c not in order]
     if not ranked:
-        return df.select(*keys).distinct()
+        return df.distinct()
     least = F.min(F.struct(*[F.col(f"`{c}`") for c in ranked]))
     first = df.groupBy(*[F.col(f"`{k}`") for k in keys]).agg(least.alias("__first"))
     return first.select(

@@ -50,18 +50,24 @@ def length_counts(df: DataFrame, required: Sequence[str], lengths: Mapping[str,
     return _count_rules(df, _null_rules(required) + _length_rules(lengths))
 
 
-def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Keys held by more than one row, with their row count ``n``."""
-    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+def _rows_per_key(df: DataFrame, keys: Sequence[str], count: str) -> DataFrame:
+    if count in keys:
+        raise ValueError(f"{count} is a key; choose another name for the count")
+    return df.groupBy(*[F.col(f"`{k}`") for k in keys]).agg(F.count(F.lit(1)).alias(count))
 
 
-def orphan_keys(fact: DataFrame, key: str, dim: DataFrame, dim_key: str) -> DataFrame:
-    """Values of ``key`` that the dimension lacks, with their row count ``n``.
+def duplicate_keys(df: DataFrame, keys: Sequence[str], count: str = "n") -> DataFrame:
+    """Keys held by more than one row, with their row count."""
+    return _rows_per_key(df, keys, count).filter(F.col(count) > 1)
+
+
+def orphan_keys(fact: DataFrame, key: str, dim: DataFrame, dim_key: str, count: str = "n") -> DataFrame:
+    """Values of ``key`` that the dimension lacks, with their row count.
 
     Fact rows are counted per key first, so the anti join sees each key once, how
     ever many rows it has. NULL refers to nothing and is no orphan.
     """
-    used = fact.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+    used = _rows_per_key(fact.filter(F.col(key).isNotNull()), [key], count)
     known = dim.select(F.col(dim_key).alias(key))
     return used.join(known, key, "left_anti")
 
@@ -73,19 +79,19 @@ def audit(df: DataFrame, contract: TableContract, tables: Mapping[str, DataFrame
     """
     rules = _null_rules(contract.required) + _length_rules(contract.lengths)
     reports = [_count_rules(df, rules)] if rules else []
-    doubled = duplicate_keys(df, contract.key).agg(F.count(F.lit(1)).alias("bad"))
+    doubled = duplicate_keys(df, contract.key, "__n").agg(F.count(F.lit(1)).alias("bad"))
     reports.append(
         doubled.select(_line("unique_key", ",".join(contract.key), F.col("bad")).alias("line")).select("line.*")
     )
     for column, (table, target) in contract.references.items():
         if not tables or table not in tables:
             raise ValueError(f"{contract.name}.{column} refers to {table}, which was not given")
-        lost = orphan_keys(df, column, tables[table], target).agg(F.sum("n").alias("bad"))
+        lost = orphan_keys(df, column, tables[table], target, "__n").agg(F.sum("__n").alias("bad"))
         reports.append(lost.select(_line("foreign_key", column, F.col("bad")).alias("line")).select("line.*"))
     return union_rows(*reports)
 
 
-def enforce(report: DataFrame, table: str = "table") -> None:
+def enforce(report: DataFrame) -> None:
     """Run the checks and raise if any rule is violated, naming every one.
 
     Only failed lines come to the driver, at most one per rule and column.
@@ -93,4 +99,4 @@ def enforce(report: DataFrame, table: str = "table") -> None:
     failed = report.filter("violations > 0").orderBy("rule", "column").collect()
     if failed:
         listing = "; ".join(f"{r['rule']}({r['column']}): {r['violations']}" for r in failed)
-        raise DataQualityError(f"{table} failed {len(failed)} check(s): {listing}")
+        raise DataQualityError(f"{len(failed)} check(s) failed: {listing}")

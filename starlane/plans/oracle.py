@@ -265,10 +265,10 @@ ORACLE = {
     "star_fact": f"{FACT} SELECT {FACT_COLUMNS} FROM fact",
     "report_visa_mix": f"""
         {FACT} SELECT month, business, pleasure, student, average_temperature
-        FROM fact JOIN dimension USING (state_key) WHERE state_key = '06' ORDER BY month""",
+        FROM fact JOIN dimension USING (state_key) WHERE state_key = '05' ORDER BY month""",
     "report_gender_mix": f"""
         {FACT} SELECT month, "F", "M", "U", "X", average_temperature
-        FROM fact JOIN dimension USING (state_key) WHERE state_key = '06' ORDER BY month""",
+        FROM fact JOIN dimension USING (state_key) WHERE state_key = '05' ORDER BY month""",
     "full_refresh_run": f"{FACT} SELECT {FACT_COLUMNS} FROM fact",
     "full_refresh_dimension": f"WITH {DIMENSION} SELECT * FROM dimension",
 }

@@ -32,10 +32,13 @@ def write_stage(
     if partition_by:
         out = out.partitionBy(*partition_by)
     out.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    # The schema is known, so reading back needs no job to look into a footer.
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def create_table(spark: SparkSession, contract: TableContract, table: str | None = None, location: str | None = None) -> str:
+def create_table(
+    spark: SparkSession, contract: TableContract, table: str | None = None, location: str | None = None
+) -> str:
     """Create the published table if it is not there yet; return its name."""
     name = table or contract.name
     place = "" if location is None else " LOCATION '{}'".format(location.replace("'", "\\'"))
@@ -43,7 +46,9 @@ def create_table(spark: SparkSession, contract: TableContract, table: str | None
     return name
 
 
-def publish(df: DataFrame, contract: TableContract, table: str | None = None, location: str | None = None) -> DataFrame:
+def publish(
+    df: DataFrame, contract: TableContract, table: str | None = None, location: str | None = None
+) -> DataFrame:
     """Replace the whole content of a published table with ``df``.
 
     Rows are brought to the contract's layout first, and an over-long varchar

@@ -1,0 +1,69 @@
+from datetime import date
+from decimal import ROUND_HALF_UP, Decimal
+
+import pytest
+from hypothesis import HealthCheck, given, settings as hypothesis_settings, strategies as st
+from pyspark.sql import functions as F
+
+from starlane.functions import add_calendar, exact_mean, half_up_mean, rounded_mean, to_units, within_years
+
+
+def test_calendar_columns_are_integers(spark):
+    df = add_calendar(spark.createDataFrame([(date(2013, 9, 1),), (None,)], "dt date"), "dt")
+    assert [tuple(r) for r in df.select("year", "month").collect()] == [(2013, 9), (None, None)]
+    assert dict(df.dtypes)["year"] == "int" and dict(df.dtypes)["month"] == "int"
+
+
+@pytest.mark.parametrize(
+    "years, kept", [([2010], ["2010-01-01", "2010-12-31"]), ([2010, 2012], ["2010-01-01", "2010-12-31", "2012-06-15"])]
+)
+def test_within_years(spark, years, kept):
+    days = ["2009-12-31", "2010-01-01", "2010-12-31", "2011-01-01", "2012-06-15", "2013-01-01"]
+    df = spark.createDataFrame([(date.fromisoformat(d),) for d in days], "dt date")
+    assert [str(r.dt) for r in df.filter(within_years("dt", years)).orderBy("dt").collect()] == kept
+
+
+def test_within_years_needs_a_year():
+    with pytest.raises(ValueError):
+        within_years("dt", [])
+
+
+def test_rounded_mean_ignores_nulls_and_rounds_half_up(spark):
+    df = spark.createDataFrame([(1.0,), (1.5,), (None,)], "x double")
+    assert df.agg(rounded_mean("x", 1)).first()[0] == 1.3
+
+
+def test_to_units_of_negative_and_imprecise_amounts(spark):
+    df = spark.createDataFrame([(-999.85,), (0.29,), (1.15,), (None,)], "x double")
+    assert [r[0] for r in df.select(to_units("x", 2)).collect()] == [-99985, 29, 115, None]
+
+
+def test_exact_mean_of_no_values_is_null(spark):
+    df = spark.createDataFrame([(None,)], "x bigint")
+    row = df.agg(exact_mean(F.sum("x"), F.count("x"), 2), half_up_mean(F.sum("x"), F.count("x"), 2, 1)).first()
+    assert tuple(row) == (None, None)
+
+
+def test_half_up_mean_cannot_add_places(spark):
+    with pytest.raises(ValueError):
+        half_up_mean(F.lit(1), F.lit(1), 1, 2)
+
+
+@hypothesis_settings(
+    max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture]
+)
+@given(groups=st.lists(st.lists(st.integers(-10**9, 10**9), min_size=1, max_size=20), min_size=1, max_size=40))
+def test_half_up_mean_matches_decimal_arithmetic(spark, groups):
+    # Add groups whose mean is a midpoint on purpose.
+    groups = groups + [[5], [-5], [15, 14, 16], [1, 2], [-1, -2], [25, 25]]
+    df = spark.createDataFrame([(g, v) for g, vs in enumerate(groups) for v in vs], "g int, v bigint")
+    got = df.groupBy("g").agg(
+        half_up_mean(F.sum("v"), F.count("v"), 2, 1).alias("one"),
+        half_up_mean(F.sum("v"), F.count("v"), 2, 2).alias("two"),
+    )
+    for row in got.collect():
+        values = groups[row.g]
+        for places, mean in (("0.1", row.one), ("0.01", row.two)):
+            # Decimal division keeps 28 digits, more than a midpoint here needs.
+            exact = Decimal(sum(values)) / Decimal(len(values)) / 100
+            assert mean == float(exact.quantize(Decimal(places), ROUND_HALF_UP)), values

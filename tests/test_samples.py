@@ -1,0 +1,39 @@
+"""Every sample query against its SQL counterpart in another engine."""
+
+import __spark_entry__ as contract
+import pytest
+from parity import difference, oracle_connection
+from starlane.plans import samples as sample_queries
+
+
+@pytest.fixture(scope="module")
+def oracle(samples):
+    return oracle_connection(samples)
+
+
+def test_every_query_has_a_counterpart():
+    assert set(contract.queries()) == set(contract.oracle_sql())
+
+
+@pytest.mark.parametrize("name", sorted(contract.queries()))
+def test_query_equals_sql(spark, samples, oracle, name):
+    got = contract.queries()[name](spark, samples).toArrow()
+    assert difference(got, oracle.sql(contract.oracle_sql()[name]).to_arrow_table()) == ""
+    assert got.num_rows > 0
+
+
+def test_entry_runs(spark):
+    assert contract.entry(spark).count() > 0
+
+
+@pytest.mark.parametrize(
+    "name, keys",
+    [
+        ("sorted_result", ["nation_key", "month", "year"]), ("star_dimension", ["state_key"]),
+        ("star_calendar", ["state_name", "month"]), ("star_profile", ["state_key", "month", "year"]),
+        ("report_visa_mix", ["month"]), ("preview_limit", ["o_orderkey"]),
+    ],
+)
+def test_sorted_queries_return_their_order(spark, samples, name, keys):
+    got = [tuple(r[k] for k in keys) for r in sample_queries.QUERIES[name](spark, samples).collect()]
+    assert got == sorted(got)
