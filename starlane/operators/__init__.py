@@ -7,7 +7,15 @@ the (few) result rows of the checks to decide whether to raise.
 from starlane.operators.dedup import dedup_first
 from starlane.operators.impute import donor_mean, impute_periods
 from starlane.operators.lookup import conform, enrich, recombine
-from starlane.operators.profile import CountBy, Mean, category_counts, pivot_count, profile, profile_preaggregated
+from starlane.operators.profile import (
+    CountBy,
+    Mean,
+    category_counts,
+    fold_codes,
+    pivot_count,
+    profile,
+    profile_preaggregated,
+)
 from starlane.operators.quality import (
     DataQualityError,
     audit,
@@ -33,6 +41,7 @@ __all__ = [
     "duplicate_keys",
     "enforce",
     "enrich",
+    "fold_codes",
     "impute_periods",
     "is_null",
     "length_counts",

@@ -30,7 +30,11 @@ class Mean:
     def value(self) -> Column:
         return F.col(self.column) if self.units is None else to_units(self.column, self.units)
 
-    def over_rows(self) -> Column:
+    def over_rows(self, weight: str | None = None) -> Column:
+        """The mean over rows, each counted ``weight`` times if given."""
+        if weight is not None:
+            total = F.sum(self.value * F.col(weight))
+            return self.of(total, F.sum(F.when(F.col(self.column).isNotNull(), F.col(weight))))
         if self.units is not None:
             return self.of(F.sum(self.value), F.count(self.column))
         return F.avg(self.column) if self.digits is None else rounded_mean(self.column, self.digits)
@@ -58,11 +62,15 @@ class CountBy:
     labels: Mapping[object, str]
 
 
-def category_counts(counts: CountBy, fill_zero: bool = False) -> list[Column]:
+def category_counts(counts: CountBy, fill_zero: bool = False, weight: str | None = None) -> list[Column]:
     """One aggregate per category; NULL (or 0 with ``fill_zero``) where none occurs."""
     cells = []
     for value, label in counts.labels.items():
-        n = F.count_if(F.col(counts.column) == F.lit(value))
+        hit = F.col(counts.column) == F.lit(value)
+        if weight is None:
+            n = F.count_if(hit)
+        else:
+            n = F.sum(F.when(hit, F.col(weight)).otherwise(F.lit(0).cast("bigint")))
         cells.append((n if fill_zero else F.nullif(n, F.lit(0).cast("bigint"))).alias(label))
     return cells
 
@@ -76,22 +84,34 @@ def pivot_count(df: DataFrame, keys: Sequence[str], counts: CountBy, fill_zero:
     return df.groupBy(*keys).agg(*category_counts(counts, fill_zero))
 
 
+def fold_codes(codes: DataFrame, keys: Sequence[str], take: Sequence[str], weight: str) -> DataFrame:
+    """A lookup with equal entries merged into one that says how many there were.
+
+    A code listed a thousand times then meets each row once, with weight 1000,
+    instead of producing a thousand copies of the row only to count them.
+    """
+    columns = list(dict.fromkeys([*keys, *take]))
+    return codes.groupBy(*columns).agg(F.count(F.lit(1)).alias(weight))
+
+
 def profile(
     df: DataFrame,
     keys: Sequence[str],
     means: Sequence[Mean],
     counts: Sequence[CountBy],
     required: Sequence[str] = (),
+    weight: str | None = None,
 ) -> DataFrame:
     """Means and category counts per key, over the rows that have all ``required`` columns.
 
     One scan, one partial aggregation per task, one shuffle of a row per key and
     task: a key with a third of all rows is no heavier to merge than any other.
+    ``weight`` names a column that says how many rows each row stands for.
     """
     rows = not_null(df, required) if required else df
-    cells = [m.over_rows().alias(m.alias) for m in means]
+    cells = [m.over_rows(weight).alias(m.alias) for m in means]
     for c in counts:
-        cells += category_counts(c)
+        cells += category_counts(c, weight=weight)
     return rows.groupBy(*keys).agg(*cells)
 
 
@@ -107,9 +127,10 @@ def profile_preaggregated(
 ) -> DataFrame:
     """``profile(conform(df, codes, on, take), keys, …)``, aggregated before the join.
 
-    For a lookup too large to broadcast, over rows that repeat few codes often:
-    rows are first summed per code (and period), so the join moves one row per
-    code instead of every input row, and a hot code is folded inside each task. A
+    For a lookup too large to broadcast, over rows that repeat few codes often.
+    Rows are first summed per code (and period) and equal lookup entries folded, so
+    the join moves one row per code instead of every input row, a hot code shrinks
+    inside each task, and no pair of a hot row and a hot entry is ever formed. A
     code listed twice still counts twice. Where nearly every row has its own code
     this saves nothing; join first there.
     """
@@ -122,10 +143,13 @@ def profile_preaggregated(
     for c in counts:
         partial += category_counts(c, fill_zero=True)
     summed = rows.groupBy(*base).agg(*partial)
-    cells = [m.of(F.sum(f"__sum_{m.alias}"), F.sum(f"__n_{m.alias}")).alias(m.alias) for m in means]
+
+    def total(name: str) -> Column:
+        return F.sum(F.col(f"`{name}`") * F.col("__weight"))
+
+    cells = [m.of(total(f"__sum_{m.alias}"), total(f"__n_{m.alias}")).alias(m.alias) for m in means]
     for c in counts:
-        cells += [
-            F.nullif(F.sum(f"`{label}`"), F.lit(0).cast("bigint")).alias(label) for label in c.labels.values()
-        ]
+        cells += [F.nullif(total(label), F.lit(0).cast("bigint")).alias(label) for label in c.labels.values()]
     kept = [n for n in summed.columns if n not in on.values() or n in local]
-    return conform(summed, codes, on, take, keep=kept).groupBy(*keys).agg(*cells)
+    folded = fold_codes(codes, list(on), take, "__weight")
+    return conform(summed, folded, on, [*take, "__weight"], keep=kept).groupBy(*keys).agg(*cells)

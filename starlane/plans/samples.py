@@ -46,8 +46,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def order_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders under business names, with period and numeric priority."""
-    orders = table(spark, sf_dir, "orders")
+    """Orders under business names, with period and numeric priority.
+
+    Orders that lack a value the profile needs are left out. The conditions stand
+    on the stored columns, so the scan can apply them and no derived column is
+    computed twice: a period or priority is missing only where its source is.
+    """
+    orders = not_null(
+        table(spark, sf_dir, "orders"), ["o_totalprice", "o_orderdate", "o_orderstatus", "o_orderpriority"]
+    )
     return add_calendar(orders, "o_orderdate").select(
         F.col("o_custkey").alias("customer_key"),
         "month",
@@ -103,13 +110,7 @@ def completed_peaks(spark: SparkSession, sf_dir: str, only_missing: bool = False
 
 
 def priced_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return profile(
-        placed_orders(spark, sf_dir),
-        KEYS,
-        [MEAN_PRICE],
-        [STATUS, PRIORITY],
-        ("price", "month", "status", "priority", "year"),
-    )
+    return profile(placed_orders(spark, sf_dir), KEYS, [MEAN_PRICE], [STATUS, PRIORITY])
 
 
 # -- sources and sinks ----------------------------------------------------------
@@ -377,7 +378,6 @@ def profile_preaggregated_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         keys=KEYS,
         means=[MEAN_PRICE],
         counts=[STATUS, PRIORITY],
-        required=("price", "month", "status", "priority", "year"),
     )
 
 
@@ -387,8 +387,7 @@ def profile_by_joins(spark: SparkSession, sf_dir: str) -> DataFrame:
     The placed orders are staged first, so the three aggregates re-read the
     columns they need instead of repeating the lookup join.
     """
-    placed = not_null(placed_orders(spark, sf_dir), ["price", "month", "status", "priority", "year"])
-    rows = write_stage(placed, scratch_folder(spark, "placed_orders"))
+    rows = write_stage(placed_orders(spark, sf_dir), scratch_folder(spark, "placed_orders"))
     return recombine(
         KEYS, profile(rows, KEYS, [MEAN_PRICE], []), pivot_count(rows, KEYS, STATUS), pivot_count(rows, KEYS, PRIORITY)
     )

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from starlane.functions.calendar import add_calendar, within_years
 from starlane.operators.impute import impute_periods
 from starlane.operators.lookup import conform, enrich
-from starlane.operators.profile import CountBy, Mean, profile
+from starlane.operators.profile import CountBy, Mean, fold_codes, profile
 from starlane.operators.quality import audit, enforce
 from starlane.operators.rollup import build_dimension
 from starlane.operators.shape import union_rows
@@ -59,6 +59,7 @@ class Stages:
     """Folder names of the stage tables below the output folder."""
 
     dimension: str = "dimension_state"
+    readings: str = "state_readings"
     temperature: str = "fact_temperature_state"
     ports: str = "port_state"
     fact: str = "fact_arrivals_by_state_month"
@@ -88,6 +89,15 @@ def state_dimension(demographics: DataFrame) -> DataFrame:
     return conform_to(dimension, contracts.DIMENSION_STATE)
 
 
+def usable_readings(
+    readings: DataFrame, target_year: int = TARGET_YEAR, donor_years: Sequence[int] = DONOR_YEARS
+) -> DataFrame:
+    """The domestic readings of the target year and its donors, a small part of the series."""
+    return readings.filter(
+        (F.col("Country") == COUNTRY_NAME) & within_years("dt", [target_year, *donor_years])
+    ).select("dt", "AverageTemperature", "State", "Country")
+
+
 def complete_temperatures(
     readings: DataFrame,
     target_year: int = TARGET_YEAR,
@@ -96,10 +106,8 @@ def complete_temperatures(
     only_missing: bool = False,
 ) -> DataFrame:
     """Monthly temperature per state name for the target year, absent months filled."""
-    wanted = readings.filter(
-        (F.col("Country") == COUNTRY_NAME) & within_years("dt", [target_year, *donor_years])
-    ).select(F.col("State").alias("state_name"), "dt", "AverageTemperature")
-    series = add_calendar(wanted, "dt")
+    usable = usable_readings(readings, target_year, donor_years)
+    series = add_calendar(usable, "dt").withColumnRenamed("State", "state_name")
     value = Mean("AverageTemperature", "average_temperature")
     filled = impute_periods(
         series, ["state_name"], value, target_year, donor_years, months, only_missing=only_missing
@@ -140,17 +148,19 @@ def arrival_rows(arrivals: DataFrame) -> DataFrame:
 def arrivals_profile(arrivals: DataFrame, ports: DataFrame) -> DataFrame:
     """Mean age and counts by gender and visa per state and month.
 
-    Ports without a state drop out; a port code listed twice counts twice.
+    Ports without a state drop out. A port code listed twice counts twice; its
+    entries are folded into a weight, so arrivals are not copied for it.
     """
     placed = conform(
         arrivals,
-        ports,
+        fold_codes(ports, ["local_code"], ["state_key"], "entries"),
         on={"local_code": "airport_key"},
-        take=["state_key"],
+        take=["state_key", "entries"],
         keep=list(PROFILE_REQUIRED),
     )
     means = [Mean("age", "average_age_arrivals", digits=1)]
-    return profile(placed, PROFILE_KEYS, means, [GENDERS, VISAS], PROFILE_REQUIRED).orderBy(*PROFILE_KEYS)
+    profiled = profile(placed, PROFILE_KEYS, means, [GENDERS, VISAS], PROFILE_REQUIRED, weight="entries")
+    return profiled.orderBy(*PROFILE_KEYS)
 
 
 def arrivals_fact(arrivals: DataFrame, temperatures: DataFrame) -> DataFrame:
@@ -199,7 +209,12 @@ def run(
     demographics = read_csv(spark, raw(inputs.demographics), contracts.CITY_DEMOGRAPHICS, sep=";")
     dimension = write_stage(state_dimension(demographics), stage(stages.dimension), mode="overwrite")
 
-    readings = read_csv(spark, raw(inputs.temperatures), contracts.STATE_TEMPERATURE)
+    # Imputation reads the series twice; the text file should be parsed once.
+    readings = write_stage(
+        usable_readings(read_csv(spark, raw(inputs.temperatures), contracts.STATE_TEMPERATURE)),
+        stage(stages.readings),
+        mode="overwrite",
+    )
     temperatures = write_stage(
         state_temperatures(readings, dimension), stage(stages.temperature), mode="overwrite"
     )

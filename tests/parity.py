@@ -24,7 +24,10 @@ SAME = {"large_string": "string", "string_view": "string"}
 def oracle_connection(sf_dir: str) -> duckdb.DuckDBPyConnection:
     con = duckdb.connect()
     for name in TABLES:
-        con.sql(f"CREATE VIEW {name} AS SELECT * FROM '{sf_dir}/{name}.parquet'")
+        path = Path(sf_dir) / f"{name}.parquet"
+        if path.exists():
+            files = f"{path}/*.parquet" if path.is_dir() else path
+            con.sql(f"CREATE VIEW {name} AS SELECT * FROM '{files}'")
     return con
 
 

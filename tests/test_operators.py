@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from starlane.operators import (
-    CountBy, Mean, build_dimension, conform, dedup_first, donor_mean, enrich, impute_periods, is_null, not_null,
+    CountBy, Mean, build_dimension, conform, dedup_first, donor_mean, enrich, fold_codes, impute_periods, is_null, not_null,
     pivot_count, preview, profile, profile_preaggregated, recombine, row_count, union_rows,
 )
 from starlane.plans.reports import category_mix_report, register_views
@@ -184,12 +184,26 @@ def test_three_forms_of_the_profile_agree_with_counting_by_hand(spark):
         profile_preaggregated(df, ports, {"code": "port"}, ["state"], KEYS, [mean], [GENDER, VISA], REQUIRED),
         profile(placed, KEYS, [Mean("age", "mean_age", digits=1, units=1)], [GENDER, VISA], REQUIRED),
     ]
+    folded = conform(df, fold_codes(ports, ["code"], ["state"], "w"), {"code": "port"}, ["state", "w"])
+    for m in (mean, Mean("age", "mean_age", digits=1, units=1)):
+        forms.append(profile(folded, KEYS, [m], [GENDER, VISA], REQUIRED, weight="w"))
     want = expected_profile(data)
     for form in forms:
         assert form.columns == [*KEYS, "mean_age", "F", "M", "U", "X", "business", "pleasure", "student"]
         assert sorted((tuple(r) for r in form.collect()), key=str) == want
 
 
+def test_folded_codes_keep_their_number(spark, rows):
+    ports = spark.createDataFrame(PORTS, "code string, state string")
+    assert rows(fold_codes(ports, ["code"], ["state"], "w")) == [(None, "XX", 1), ("P1", "IA", 1), ("P2", "GA", 1), ("P2", "IA", 1), ("P3", "GA", 2)]
+
+
+def test_weights_do_not_count_missing_values(spark, rows):
+    df = spark.createDataFrame([("a", None, 5), ("a", 2.0, 1), ("a", 5.0, 2), ("b", None, 3)], "k string, v double, w bigint")
+    for mean in (Mean("v", "m"), Mean("v", "m", 1), Mean("v", "m", 1, 2)):
+        assert rows(profile(df, ["k"], [mean], [], weight="w")) == [("a", 4.0), ("b", None)]
+
+
 def test_preaggregated_profile_keeps_the_join_key_as_a_group(spark, rows):
     _, df = arrivals(spark)
     ports = spark.createDataFrame(PORTS, "code string, state string")

@@ -6,7 +6,9 @@ import __spark_entry__ as contract
 import pytest
 from pyspark.sql import functions as F
 
-from starlane.operators import CountBy, Mean, conform, dedup_first, duplicate_keys, orphan_keys, profile, profile_preaggregated
+from starlane.operators import (
+    CountBy, Mean, conform, dedup_first, duplicate_keys, fold_codes, orphan_keys, profile, profile_preaggregated,
+)
 from starlane.plans import samples as sample_queries, star
 from starlane.sources import write_stage
 
@@ -122,10 +124,25 @@ def test_dedup_of_a_hot_group_equals_the_minimum(spark, hot):
 def test_star_fact_reads_small_stages_and_shuffles_once(spark, samples):
     """Lookups come from written stages, so their size is known and small ones are broadcast."""
     text = plan(sample_queries.star_fact(spark, samples))
-    assert text.count("BroadcastHashJoin") == 2 and text.count("Exchange hashpartitioning") == 1
+    # One shuffle for the profile, one for the few ports with equal entries.
+    assert text.count("BroadcastHashJoin") == 2 and text.count("Exchange hashpartitioning") == 2
     assert "rangepartitioning" not in text, "sorts inside the flow have to be gone"
 
 
+def test_a_code_hot_on_both_sides_forms_no_pairs(spark, settings, rows):
+    """A third of the rows and a third of the lookup share one code."""
+    facts = spark.range(3000).select(
+        F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("code"), F.lit(1).alias("month"), (F.col("id") % 7).alias("v")
+    )
+    codes = spark.range(3000).select(F.when(F.col("id") % 3 == 1, 0).otherwise(F.col("id")).alias("c"), (F.col("id") % 2).alias("state"))
+    mean, keys = [Mean("v", "m", 1)], ["state", "month"]
+    want = rows(profile(conform(facts, codes, {"c": "code"}, ["state"]), keys, mean, []))
+    joined = conform(facts, fold_codes(codes, ["c"], ["state"], "w"), {"c": "code"}, ["state", "w"])
+    assert joined.count() < 2 * 3000 and conform(facts, codes, {"c": "code"}, ["state"]).count() > 900 * 1000
+    assert rows(profile(joined, keys, mean, [], weight="w")) == want
+    assert rows(profile_preaggregated(facts, codes, {"c": "code"}, ["state"], keys, mean, [])) == want
+
+
 def test_readings_are_pruned_to_the_wanted_years(spark, tmp_path, settings):
     settings(spark__sql__maxMetadataStringLength="10000")
     readings = spark.createDataFrame([], "dt date, AverageTemperature float, AverageTemperatureUncertainty float, State string, Country string")
