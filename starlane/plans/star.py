@@ -214,13 +214,14 @@ def run(
         usable_readings(read_csv(spark, raw(inputs.temperatures), contracts.STATE_TEMPERATURE)),
         stage(stages.readings),
         mode="overwrite",
+        compact=True,
     )
     temperatures = write_stage(
         state_temperatures(readings, dimension), stage(stages.temperature), mode="overwrite"
     )
 
     airports = read_csv(spark, raw(inputs.airports), contracts.AIRPORT_CODES)
-    ports = write_stage(port_states(airports, dimension), stage(stages.ports), mode="overwrite")
+    ports = write_stage(port_states(airports, dimension), stage(stages.ports), mode="overwrite", compact=True)
 
     landed = read_many(
         spark, raw(inputs.arrivals), contracts.ARRIVALS, inputs.arrivals_source, header="true"

@@ -14,6 +14,8 @@ def write_stage(
     path: str,
     mode: str = "errorifexists",
     partition_by: Sequence[str] = (),
+    sort_by: Sequence[str] = (),
+    compact: bool = False,
 ) -> DataFrame:
     """Write a stage table as Parquet and return it read back from storage.
 
@@ -23,11 +25,16 @@ def write_stage(
 
     With ``partition_by`` the rows are rebalanced on those columns first, so one
     folder is written by few tasks, while AQE splits a folder that holds a large
-    share of all rows over several of them.
+    share of all rows over several of them. ``compact`` rebalances a result that a
+    filter or lookup join has thinned out, so that thousands of scan tasks do not
+    each leave a tiny file. ``sort_by`` orders the rows inside each file, which
+    lets later filters on those columns skip row groups.
     """
     writer = df
-    if partition_by:
+    if partition_by or compact:
         writer = df.hint("rebalance", *partition_by)
+    if sort_by:
+        writer = writer.sortWithinPartitions(*partition_by, *sort_by)
     out = writer.write.mode(mode)
     if partition_by:
         out = out.partitionBy(*partition_by)

@@ -54,7 +54,7 @@ def main(sf_dir: str, names: list[str]) -> int:
     import __spark_entry__ as contract
     from starlane.session import build_session
 
-    spark = build_session("parity", "local[8]", spark__ui__enabled="false", spark__sql__shuffle__partitions="8")
+    spark = build_session("parity", "local[8]", spark__driver__memory="12g", spark__ui__enabled="false", spark__sql__shuffle__partitions="8")
     spark.sparkContext.setLogLevel("ERROR")
     con, oracle, failed = oracle_connection(sf_dir), contract.oracle_sql(), 0
     for name, query in contract.queries().items():

@@ -101,6 +101,18 @@ def test_partitioned_stage_keeps_all_rows_and_splits_a_hot_folder(spark, setting
     assert files[0] > 1 and files[3] == 1
 
 
+def test_compact_and_sorted_stage(spark, tmp_path):
+    df = spark.range(0, 4000, numPartitions=16).select((F.col("id") * 7919 % 4000).alias("n"), (F.col("id") % 2).alias("k"))
+    loose = write_stage(df, str(tmp_path / "loose"))
+    tight = write_stage(df, str(tmp_path / "tight"), compact=True, sort_by=["n"])
+    assert len(loose.inputFiles()) == 16 and len(tight.inputFiles()) == 1
+    assert [r.n for r in tight.collect()] == list(range(4000))
+    folders = write_stage(df, str(tmp_path / "folders"), partition_by=["k"], sort_by=["n"])
+    for k in (0, 1):
+        kept = [r.n for r in folders.filter(F.col("k") == k).collect()]
+        assert len(kept) == 2000 and kept == sorted(kept)
+
+
 def test_conform_to_orders_casts_and_drops(spark):
     df = spark.createDataFrame([(1, "x", "IA", 3)], "share int, extra string, code string, n int")
     out = conform_to(df, SMALL)
