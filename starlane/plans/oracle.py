@@ -69,7 +69,7 @@ cities AS (
     SELECT 'City ' || CAST(c_custkey // 2 AS VARCHAR) AS city, n_name AS state_name,
            lpad(CAST(c_nationkey AS VARCHAR), 2, '0') AS state_key,
            CAST(floor(abs(c_acctbal) / 100) AS BIGINT) AS median_age,
-           CAST(floor(abs(c_acctbal)) AS BIGINT) AS female, c_custkey % 1000 AS male
+           CAST(floor(abs(c_acctbal)) AS BIGINT) AS female, length(c_mktsegment) + 10 * c_nationkey AS male
     FROM customer JOIN nation ON n_nationkey = c_nationkey
 ),
 ranked AS (
@@ -110,11 +110,11 @@ temperatures AS (
 PORTS = """
 airports AS (
     SELECT 'K' || CAST(c_custkey AS VARCHAR) AS ident,
-           CASE WHEN c_custkey % 33 = 0 THEN NULL
-                WHEN c_custkey % 20 = 1 THEN CAST(c_custkey - 1 AS VARCHAR)
+           CASE WHEN c_acctbal > 9500 THEN NULL
+                WHEN c_mktsegment = 'HOUSEHOLD' THEN CAST(c_custkey - 1 AS VARCHAR)
                 ELSE CAST(c_custkey AS VARCHAR) END AS local_code,
            lpad(CAST(c_nationkey AS VARCHAR), 2, '0') AS state_key
-    FROM customer WHERE c_custkey % 10 <> 3 AND c_custkey % 25 <> 4
+    FROM customer WHERE c_mktsegment <> 'MACHINERY' AND c_acctbal >= -500
 ),
 ports AS (
     SELECT ident, local_code, state_key FROM airports JOIN dimension USING (state_key)
@@ -123,8 +123,9 @@ ports AS (
 ARRIVALS = f"""
 arrivals AS (
     SELECT {MONTH} AS month, {YEAR} + 15 AS year, CAST(o_custkey AS VARCHAR) AS port,
-           CASE WHEN o_orderkey % 97 <> 0 THEN CAST(floor(o_totalprice / 6000) AS BIGINT) END AS age,
-           CASE WHEN o_orderkey % 41 = 0 THEN NULL WHEN o_orderkey % 31 = 0 THEN 'X'
+           CASE WHEN o_totalprice >= 20000 THEN CAST(floor(o_totalprice / 6000) AS BIGINT) END AS age,
+           CASE WHEN o_orderstatus = 'P' AND substring(o_orderpriority, 1, 1) = '4' THEN NULL
+                WHEN o_orderstatus = 'O' AND substring(o_orderpriority, 1, 1) = '5' THEN 'X'
                 WHEN o_orderstatus = 'F' THEN 'F' WHEN o_orderstatus = 'O' THEN 'M' ELSE 'U' END AS gender,
            CAST(substring(o_orderpriority, 1, 1) AS INTEGER) AS visa
     FROM orders

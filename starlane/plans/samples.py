@@ -442,14 +442,15 @@ def raw_demographics(spark: SparkSession, sf_dir: str) -> DataFrame:
     named = conform(
         table(spark, sf_dir, "customer"), table(spark, sf_dir, "nation"), {"n_nationkey": "c_nationkey"}, ["n_name"]
     )
-    size = F.floor(F.abs("c_acctbal")).cast("int")
+    women = F.floor(F.abs("c_acctbal")).cast("int")
+    men = F.length("c_mktsegment") + F.col("c_nationkey") * 10
     cities = named.select(
         F.concat(F.lit("City "), F.floor(F.col("c_custkey") / 2).cast("string")).alias("City"),
         F.col("n_name").alias("State"),
         F.floor(F.abs("c_acctbal") / 100).cast("float").alias("Median Age"),
-        (F.col("c_custkey") % 1000).cast("int").alias("Male Population"),
-        size.alias("Female Population"),
-        (size + (F.col("c_custkey") % 1000).cast("int")).alias("Total Population"),
+        men.alias("Male Population"),
+        women.alias("Female Population"),
+        (women + men).alias("Total Population"),
         F.lit(0).alias("Number of Veterans"),
         F.lit(None).cast("int").alias("Foreign Born"),
         F.lit(2.5).cast("float").alias("Average Household Size"),
@@ -478,31 +479,33 @@ def raw_temperatures(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_airports(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Customers as airports: some abroad, some without a code, some sharing one."""
-    key = F.col("c_custkey")
-    code = F.when(key % 33 == 0, F.lit(None)).when(key % 20 == 1, key - 1).otherwise(key)
+    """Customers as airports: some abroad, in no state, without a code, or sharing one."""
+    key, balance, segment = F.col("c_custkey"), F.col("c_acctbal"), F.col("c_mktsegment")
+    code = F.when(balance > 9500, F.lit(None)).when(segment == "HOUSEHOLD", key - 1).otherwise(key)
+    region = F.concat(F.lit("US-"), _state_code("c_nationkey"))
     return table(spark, sf_dir, "customer").select(
         F.concat(F.lit("K"), key.cast("string")).alias("ident"),
         F.lit("small_airport").alias("type"),
         F.col("c_name").alias("name"),
         F.lit(None).cast("int").alias("elevation_ft"),
         F.lit("NA").alias("continent"),
-        F.when(key % 10 == 3, "CA").otherwise(star.COUNTRY_CODE).alias("iso_country"),
-        F.when(key % 25 == 4, "US-U-A").otherwise(F.concat(F.lit("US-"), _state_code("c_nationkey"))).alias("iso_region"),
-        F.col("c_mktsegment").alias("municipality"),
+        F.when(segment == "MACHINERY", "CA").otherwise(star.COUNTRY_CODE).alias("iso_country"),
+        F.when(balance < -500, "US-U-A").otherwise(region).alias("iso_region"),
+        segment.alias("municipality"),
         F.lit(None).cast("string").alias("gps_code"),
         F.lit(None).cast("string").alias("iata_code"),
         code.cast("string").alias("local_code"),
-        F.concat_ws(", ", F.col("c_custkey"), F.col("c_nationkey")).alias("coordinates"),
+        F.concat_ws(", ", key, F.col("c_nationkey")).alias("coordinates"),
     )
 
 
 def raw_arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders as arrivals, with unknown ages and genders and two undeclared visa codes."""
-    key, status = F.col("o_orderkey"), F.col("o_orderstatus")
+    """Orders as arrivals, some without age or gender, and with two undeclared visa codes."""
+    status, price = F.col("o_orderstatus"), F.col("o_totalprice")
+    visa = F.substring("o_orderpriority", 1, 1).cast("double")
     gender = (
-        F.when(key % 41 == 0, F.lit(None))
-        .when(key % 31 == 0, "X")
+        F.when((status == "P") & (visa == 4), F.lit(None))
+        .when((status == "O") & (visa == 5), "X")
         .when(status == "F", "F")
         .when(status == "O", "M")
         .otherwise("U")
@@ -511,8 +514,8 @@ def raw_arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.year("o_orderdate") + 15).cast("double").alias("i94yr"),
         F.month("o_orderdate").cast("double").alias("i94mon"),
         F.col("o_custkey").cast("string").alias("i94port"),
-        F.when(key % 97 != 0, F.floor(F.col("o_totalprice") / 6000).cast("double")).alias("i94bir"),
-        F.substring("o_orderpriority", 1, 1).cast("double").alias("i94visa"),
+        F.when(price >= 20000, F.floor(price / 6000).cast("double")).alias("i94bir"),
+        visa.alias("i94visa"),
         gender.alias("gender"),
     )
 

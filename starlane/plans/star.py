@@ -260,14 +260,17 @@ def main(argv: Sequence[str] | None = None) -> None:
     parser.add_argument("--input", required=True, help="folder with the raw files")
     parser.add_argument("--output", required=True, help="folder for the stage tables")
     parser.add_argument("--publish", help="folder for the published tables (default: the warehouse)")
-    parser.add_argument("--arrivals-source", default="parquet", help="format of the arrival files")
+    names = Inputs()
+    for name in ("demographics", "temperatures", "airports", "arrivals"):
+        parser.add_argument(f"--{name}", default=getattr(names, name), help="path or glob below --input")
+    parser.add_argument("--arrivals-source", default=names.arrivals_source, help="format of the arrival files")
     args = parser.parse_args(argv)
     spark = build_session("arrivals-star")
     run(
         spark,
         args.input,
         args.output,
-        inputs=Inputs(arrivals_source=args.arrivals_source),
+        inputs=Inputs(args.demographics, args.temperatures, args.airports, args.arrivals, args.arrivals_source),
         publish_dir=args.publish,
     )
 

@@ -35,7 +35,8 @@ def write_stage(
         writer = df.hint("rebalance", *partition_by)
     if sort_by:
         writer = writer.sortWithinPartitions(*partition_by, *sort_by)
-    out = writer.write.mode(mode)
+    # Replacing a stage replaces all of its folders, whatever the session's default.
+    out = writer.write.mode(mode).option("partitionOverwriteMode", "static")
     if partition_by:
         out = out.partitionBy(*partition_by)
     out.parquet(path)
@@ -60,7 +61,7 @@ def publish(
 
     Rows are brought to the contract's layout first, and an over-long varchar
     value fails the write. Running it twice leaves the same rows as running it
-    once. Check the frame (:mod:`starlane.operators.quality`) before publishing.
+    once. A table that exists already keeps its place. Check the frame (:mod:`starlane.operators.quality`) before publishing.
     """
     spark = df.sparkSession
     name = create_table(spark, contract, table, location)

@@ -101,6 +101,14 @@ def test_partitioned_stage_keeps_all_rows_and_splits_a_hot_folder(spark, setting
     assert files[0] > 1 and files[3] == 1
 
 
+def test_replacing_a_stage_replaces_every_folder(spark, settings, tmp_path):
+    settings(spark__sql__sources__partitionOverwriteMode="dynamic")
+    df, path = spark.range(10).withColumn("k", F.col("id") % 2), str(tmp_path / "stage")
+    write_stage(df, path, partition_by=["k"])
+    again = write_stage(df.filter("k = 1"), path, mode="overwrite", partition_by=["k"])
+    assert [r.k for r in again.select("k").distinct().collect()] == [1]
+
+
 def test_compact_and_sorted_stage(spark, tmp_path):
     df = spark.range(0, 4000, numPartitions=16).select((F.col("id") * 7919 % 4000).alias("n"), (F.col("id") % 2).alias("k"))
     loose = write_stage(df, str(tmp_path / "loose"))

@@ -167,5 +167,6 @@ def test_only_missing_months_can_be_filled(spark, tmp_path, rows):
 def test_command_line(spark, tmp_path, monkeypatch):
     called = {}
     monkeypatch.setattr(star, "run", lambda spark, *where, **options: called.update(where=where, **options))
-    star.main(["--input", "in", "--output", "out", "--publish", "pub", "--arrivals-source", "orc"])
-    assert called == {"where": ("in", "out"), "inputs": star.Inputs(arrivals_source="orc"), "publish_dir": "pub"}
+    star.main(["--input", "in", "--output", "out", "--publish", "pub", "--arrivals", "a/*", "--arrivals-source", "orc"])
+    inputs = star.Inputs(arrivals="a/*", arrivals_source="orc")
+    assert called == {"where": ("in", "out"), "inputs": inputs, "publish_dir": "pub"}
