@@ -495,7 +495,7 @@ def raw_airports(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(None).cast("string").alias("gps_code"),
         F.lit(None).cast("string").alias("iata_code"),
         code.cast("string").alias("local_code"),
-        F.concat_ws(", ", key, F.col("c_nationkey")).alias("coordinates"),
+        F.concat_ws(", ", key, "c_nationkey").alias("coordinates"),
     )
 
 
@@ -534,9 +534,7 @@ def star_calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def star_temperature(spark: SparkSession, sf_dir: str) -> DataFrame:
-    readings = _stage(spark, raw_temperatures(spark, sf_dir), "readings")
-    dimension = _stage(spark, star_dimension(spark, sf_dir), "dimension")
-    return star.state_temperatures(readings, dimension)
+    return _dimension_and_temperatures(spark, sf_dir)[1]
 
 
 def star_ports(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -581,22 +579,23 @@ def full_refresh_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _star_run(spark, sf_dir)["dimension_state"]
 
 
-def star_temperature_lazy(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+def _dimension_and_temperatures(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Both small tables, staged."""
     dimension = _stage(spark, star_dimension(spark, sf_dir), "dimension")
     readings = _stage(spark, raw_temperatures(spark, sf_dir), "readings")
     return dimension, _stage(spark, star.state_temperatures(readings, dimension), "temperatures")
 
 
-def star_fact_and_dimension(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+def _fact_and_dimension(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Fact and dimension from frames, staging only the small tables."""
-    dimension, temperatures = star_temperature_lazy(spark, sf_dir)
+    dimension, temperatures = _dimension_and_temperatures(spark, sf_dir)
     ports = _stage(spark, star.port_states(raw_airports(spark, sf_dir), dimension), "ports")
     profiled = star.arrivals_profile(star.arrival_rows(raw_arrivals(spark, sf_dir)), ports)
     return star.arrivals_fact(profiled, temperatures), dimension
 
 
 def star_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return star_fact_and_dimension(spark, sf_dir)[0]
+    return _fact_and_dimension(spark, sf_dir)[0]
 
 
 # The reports look at one state, as a reader of the published table would.
@@ -604,12 +603,12 @@ REPORT_STATE = "05"
 
 
 def report_visa_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    fact, dimension = star_fact_and_dimension(spark, sf_dir)
+    fact, dimension = _fact_and_dimension(spark, sf_dir)
     return reports.category_mix_report(spark, fact, dimension, "state_key", REPORT_STATE, reports.VISA_MIX)
 
 
 def report_gender_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    fact, dimension = star_fact_and_dimension(spark, sf_dir)
+    fact, dimension = _fact_and_dimension(spark, sf_dir)
     return reports.category_mix_report(spark, fact, dimension, "state_key", REPORT_STATE, reports.GENDER_MIX)
 
 
