@@ -28,8 +28,16 @@ from starlane.sources.contracts import conform_to
 from starlane.sources.readers import read_csv, read_many, read_parquet
 from starlane.sources.sinks import publish, write_stage
 
-# The country filters, the year to complete with its donors and
-# months, and the category codes with their column names.
+# Raw column names with the names the tables use, the country
+# filters, the year to complete with its donors and months, and the category codes
+# with their column names.
+URBAN_TOTALS = {
+    "Female Population": "female_urban_population",
+    "Male Population": "male_urban_population",
+    "Total Population": "total_urban_population",
+}
+ARRIVAL_PERIOD = {"i94mon": "month", "i94yr": "year"}
+ARRIVAL_DETAILS = {"i94bir": "age", "gender": "gender", "i94port": "airport_key", "i94visa": "visa_key"}
 COUNTRY_NAME = "United States"
 COUNTRY_CODE = "US"
 TARGET_YEAR = 2013
@@ -77,12 +85,10 @@ def state_dimension(demographics: DataFrame) -> DataFrame:
         entity=["City"],
         order=["State", "State Code"],
         keys={"State Code": "state_key", "State": "state_name"},
-        uses=["Median Age", "Female Population", "Male Population", "Total Population"],
+        uses=["Median Age", *URBAN_TOTALS],
         measures=[
-            F.avg("Median Age").alias("average_age"),
-            F.sum("Female Population").alias("female_urban_population"),
-            F.sum("Male Population").alias("male_urban_population"),
-            F.sum("Total Population").alias("total_urban_population"),
+            Mean("Median Age", "average_age").over_rows().alias("average_age"),
+            *[F.sum(raw).alias(name) for raw, name in URBAN_TOTALS.items()],
         ],
         primary="state_key",
     )
@@ -135,14 +141,8 @@ def port_states(airports: DataFrame, dimension: DataFrame) -> DataFrame:
 
 def arrival_rows(arrivals: DataFrame) -> DataFrame:
     """Raw arrival records under business names, the period as integers."""
-    return arrivals.select(
-        F.col("i94mon").cast("int").alias("month"),
-        F.col("i94yr").cast("int").alias("year"),
-        F.col("i94bir").alias("age"),
-        F.col("gender"),
-        F.col("i94port").alias("airport_key"),
-        F.col("i94visa").alias("visa_key"),
-    )
+    period = [F.col(raw).cast("int").alias(name) for raw, name in ARRIVAL_PERIOD.items()]
+    return arrivals.select(*period, *[F.col(raw).alias(name) for raw, name in ARRIVAL_DETAILS.items()])
 
 
 def arrivals_profile(arrivals: DataFrame, ports: DataFrame) -> DataFrame:
