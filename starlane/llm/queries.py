@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from starlane.llm.packing import op7_packing
+from starlane.llm.token_files import op1_token_files
 
 QUERIES = {
+    "op1_token_files": op1_token_files,
     "op7_packing": op7_packing,
 }
 
