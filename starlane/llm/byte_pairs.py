@@ -111,7 +111,8 @@ class TextEncoder(PieceEncoder):
         self.pairs = BytePairs(read_ranks(path))
         self.pattern = regex.compile(pattern)
         self.spaced, self.cache_size = True, cache_size
-        self.young, self.old, self.first, self.tails = {}, {}, {}, {}
+        self.young, self.old, self.first = {}, {}, {}
+        self.line_end = np.array(self._plain("\n"), dtype="<u4").tobytes()
 
     def _plain(self, text: str) -> list[int]:
         encode = self.pairs.encode

@@ -19,7 +19,8 @@ LONG_SPACE = re.compile(r"\s\s\s|\s\s\Z|[\x1c-\x1f\x85]")
 ODD_SPACE = re.compile(r"[\t\r\v\f\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 SPACE = re.compile(r"\s")
 # Letters, then ASCII marks but no apostrophe: both vocabularies part such a piece there.
-WORD_AND_MARKS = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]+)")
+WORD_AND_MARKS = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)")
+CONTROL = re.compile(r"[\x1c-\x1f\x85]")
 
 
 def has_long_space(text: str) -> bool:
@@ -34,7 +35,7 @@ class PieceEncoder:
     otherwise white space is dropped. The cache holds at most twice ``cache_size`` pieces.
     """
 
-    def __init__(self, path: str, cache_size: int = 500_000):
+    def __init__(self, path: str, cache_size: int = 600_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -45,10 +46,10 @@ class PieceEncoder:
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
         self.first: dict[str, bytes] = {}
-        self.tails: dict[str, bytes] = {}
         # A mark that always is one token of its own and parts two pieces in one call.
         self.mark = "\n" if self.spaced else next(m for m in "~^|=" if len(self._plain(f"a {m} a")) == 3)
         self.mark_id = self._plain(self.mark)[0]
+        self.line_end = np.array(self._plain("\n"), dtype="<u4").tobytes()
 
     def _plain(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
@@ -71,27 +72,44 @@ class PieceEncoder:
             found[p] = np.array(e.ids, dtype="<u4").tobytes()
         return [found[p] for p in pieces]
 
+    def _cut(self, piece: str) -> tuple[str, str] | None:
+        """A word that is more often met, and marks, with the same ids as a piece."""
+        if m := WORD_AND_MARKS.fullmatch(piece):
+            word = m[1] if self.spaced else m[1].lower()
+            return (word, m[2]) if word != piece else None
+        return None
+
     def _missing(self, pieces: set[str]) -> None:
         """Put pieces into the young half, from the old half or anew."""
-        lead = " " if self.spaced else ""
         known = {p: self.old[p] for p in pieces if p in self.old}
-        cut = {p: m for p in pieces.difference(known) if (m := WORD_AND_MARKS.fullmatch(p))}
-        words = {m[1] for m in cut.values()}.difference(pieces)
+        rest = pieces.difference(known)
+        lines = [p for p in rest if self.spaced and p[:1] == "\n" and len(p) > 1]
+        cut = {p: c for p in rest if (c := self._cut(p))}
+        words = {w for w, _ in cut.values()}.difference(pieces)
         ready = {w: self.young.get(w) or self.old[w] for w in words if w in self.young or w in self.old}
-        if tails := sorted({m[2] for m in cut.values()}.difference(self.tails)):
-            if len(self.tails) > self.cache_size // 10:
-                self.tails = {}
-                tails = sorted({m[2] for m in cut.values()})
-            self.tails.update(zip(tails, self._encode_pieces(tails, "")))
-        new = sorted(pieces.union(words).difference(known, cut, ready))
-        ready.update(zip(new, self._encode_pieces(new, lead)))
-        for p, m in cut.items():
-            ready[p] = (ready.get(m[1]) or known[m[1]]) + self.tails[m[2]]
+        self._lead_pieces({t for _, t in cut.values()}.union(p[1:] for p in lines))
+        new = sorted(rest.union(words).difference(cut, ready, lines))
+        ready.update(zip(new, self._encode_pieces(new, " " if self.spaced else "")))
+        for p, (word, tail) in cut.items():
+            ready[p] = (ready.get(word) or known[word]) + (self.first[tail] if tail else b"")
+        for p in lines:
+            ready[p] = self.line_end + self.first[p[1:]]
         if len(self.young) + len(ready) + len(known) > self.cache_size:
             self.old, self.young = self.young, {}
         self.young.update(known)
         self.young.update(ready)
 
+    def _lead_pieces(self, pieces: set[str]) -> None:
+        """Have the ids of pieces with no space before them in ``first``."""
+        new = pieces.difference(self.first)
+        if new and len(self.first) + len(new) > self.cache_size // 5:
+            self.first, new = {}, pieces
+        if new:
+            cut = {p: m for p in new if (m := WORD_AND_MARKS.fullmatch(p)) and m[2]}
+            whole = sorted(new.difference(cut).union(*[(m[1], m[2]) for m in cut.values()]).difference(self.first))
+            self.first.update(zip(whole, self._encode_pieces(whole, "")))
+            self.first.update((p, self.first[m[1]] + self.first[m[2]]) for p, m in cut.items())
+
     def encode(self, texts: list[str | None], group: int = 100) -> list[np.ndarray]:
         """The ids of each text (NULL: none) as little-endian unsigned 32-bit integers."""
         out: list[np.ndarray] = []
@@ -99,30 +117,33 @@ class PieceEncoder:
             out.extend(self._encode_group([t or "" for t in texts[i : i + group]]))
         return out
 
+    def _split(self, text: str) -> list[str] | None:
+        """Pieces of a text that are encoded apart, the first with no space before it; None if there are none."""
+        if not self.spaced:
+            return text.split(" ") if CONTROL.search(text) else text.split()
+        if " \n" in text or has_long_space(text):
+            return None
+        # A line end between two words goes with the word after it.
+        if "\n" in text and not ("\n\n" in text or "\n " in text or text[0] == "\n" or text[-1] == "\n"):
+            text = text.replace("\n", " \n")
+        return text.split(" ")
+
     def _encode_group(self, texts: list[str]) -> list[np.ndarray]:
-        whole = [self.spaced and has_long_space(t) for t in texts]
-        split = [[] if w else t.split(" ") for t, w in zip(texts, whole)]
-        heads = [p.pop(0) if p and self.spaced else None for p in split]
-        got = [[*map(self.young.get, p)] for p in split]
+        split = [self._split(t) for t in texts]
+        heads = [p.pop(0) if p and self.spaced else "" for p in split]
+        got = [[*map(self.young.get, p or ())] for p in split]
         lost = {p for pieces, ids in zip(split, got) if None in ids for p, x in zip(pieces, ids) if x is None}
-        extra: dict[str, bytes] = {}
         if lost:
             self._missing(lost)
-            extra = self.young
-        if new := sorted({h for h in heads if h is not None}.difference(self.first)):
-            if len(self.first) > self.cache_size // 10:
-                self.first = {}
-                new = sorted({h for h in heads if h is not None})
-            self.first.update(zip(new, self._encode_pieces(new, "")))
+        self._lead_pieces(set(heads))
         out = []
-        for text, is_whole, head, pieces, ids in zip(texts, whole, heads, split, got):
-            if is_whole:
+        for text, head, pieces, ids in zip(texts, heads, split, got):
+            if pieces is None:
                 out.append(np.array(self._plain(text), dtype="<u4"))
                 continue
             if None in ids:
-                ids = [extra[p] if x is None else x for p, x in zip(pieces, ids)]
-            lead = b"" if head is None else self.first[head]
-            out.append(np.frombuffer(lead + b"".join(ids), dtype="<u4"))
+                ids = [self.young[p] if x is None else x for p, x in zip(pieces, ids)]
+            out.append(np.frombuffer(self.first[head] + b"".join(ids), dtype="<u4"))
         return out
 
 
