@@ -103,7 +103,7 @@ def labelled_sample(docs: DataFrame, sample: int) -> DataFrame:
     """About ``sample`` rows to learn from for each language, by a hash of the doc_id."""
     usable = docs.where("lang is not null and doc_id is not null and text is not null").where(~held_out())
     counts = usable.groupBy("lang").count()
-    chosen = F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) * F.col("count") < F.lit(1_000_000) * sample
+    chosen = F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) * F.col("count") < F.lit(1_000_000 * sample)
     return usable.join(counts, "lang").where(chosen).select("lang", "text")
 
 

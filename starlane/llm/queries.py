@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from starlane.llm.byte_pairs import op4_byte_pairs
+from starlane.llm.languages import op5_languages
 from starlane.llm.near_dups import op9_near_dups
+from starlane.llm.neighbours import op10_neighbours
 from starlane.llm.outliers import op3_outliers
 from starlane.llm.packing import op7_packing
 from starlane.llm.token_files import op1_token_files
@@ -12,8 +14,10 @@ QUERIES = {
     "op1_token_files": op1_token_files,
     "op3_outliers": op3_outliers,
     "op4_byte_pairs": op4_byte_pairs,
+    "op5_languages": op5_languages,
     "op7_packing": op7_packing,
     "op9_near_dups": op9_near_dups,
+    "op10_neighbours": op10_neighbours,
 }
 
 ORACLE: dict[str, str] = {}
