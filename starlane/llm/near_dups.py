@@ -7,11 +7,11 @@ signature is split into chunks, so few that of two signatures within the radius
 differs in at most one slot (pigeonhole). Every allowed error of a chunk is enumerated by
 leaving out each slot in turn: 128 keys a document find every pair within the radius.
 
-Equal sets are one class with one signature. The members of a key are never paired with each
-other: they are compared with one of them, its hub, and links join classes into components.
-Only where a key still holds several components are further hubs compared, and at last the
-members of different components. A pair counts once its full sets confirm it, so the
-components are those of all links within the radius.
+Equal sets are one class with one signature. The members of a key are not paired with each
+other: each is tied to one of them, the key's hub, and ties make groups that hold every pair
+within the radius. A group is compared in blocks, two to a task, by signature and then by
+full set, and a task returns only links that join what its other links do not, so the
+components of the links are those of all pairs within the radius that the sets confirm.
 
 Defined cases: rows without words (NULL or empty text too) are linked with nothing; a row with
 NULL doc_id is linked with nothing and kept; rows that share a doc_id are one document with
@@ -22,7 +22,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from math import comb
+from math import comb, log
 
 import numpy as np
 import pyarrow as pa
@@ -33,9 +33,8 @@ from pyspark.sql import functions as F
 from starlane.llm.files import stage, table
 
 SLOTS, BITS, MISS = 128, 8, 1e-5
-HUBS = 8
-#: Members of different components are paired once they make at most so many pairs a member.
-PAIRS_A_MEMBER = 4
+#: Rows, and shingles of all rows, of a block.
+BLOCK_ROWS, BLOCK_SHINGLES = 512, 1 << 20
 
 _RANDOM = np.random.default_rng(20240229)
 MULTIPLY = _RANDOM.integers(0, 1 << 63, SLOTS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -159,37 +158,83 @@ def shingle_sets(docs: DataFrame, width: int) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, "rep long, shingles binary")
 
 
-def within_radius(pairs: DataFrame, classes: DataFrame, radius: int) -> DataFrame:
-    """Pairs (a, b) whose signatures differ in at most ``radius`` slots."""
+def compared(members: DataFrame, radius: int, percent: int) -> DataFrame:
+    """Links (a, b) that join the members of each group wherever pairs within the radius are confirmed.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            left, right = (np.frombuffer(b"".join(batch.column(c).to_pylist()), dtype=np.uint8).reshape(-1, SLOTS) for c in (2, 3))
-            near = pa.array((left != right).sum(axis=1) <= radius)
-            yield batch.select([0, 1]).filter(near)
-
-    of_a = classes.select(F.col("rep").alias("a"), F.col("signature").alias("sign_a"))
-    of_b = classes.select(F.col("rep").alias("b"), F.col("signature").alias("sign_b"))
-    joined = pairs.join(of_b, "b").join(of_a, "a").select("a", "b", "sign_a", "sign_b")
-    return joined.mapInArrow(run, "a long, b long").distinct()
-
-
-def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) whose full sets reach the threshold."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keep = []
-            for raw_a, raw_b in zip(batch.column(2), batch.column(3)):
-                a, b = (np.frombuffer(raw.as_py(), dtype=np.uint64) for raw in (raw_a, raw_b))
-                both = len(np.intersect1d(a, b, assume_unique=True))
-                keep.append(100 * both >= percent * (len(a) + len(b) - both))
-            yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
-
-    of_a = sets.select(F.col("rep").alias("a"), F.col("shingles").alias("set_a"))
-    of_b = sets.select(F.col("rep").alias("b"), F.col("shingles").alias("set_b"))
-    joined = pairs.join(of_b, "b").join(of_a, "a").select("a", "b", "set_a", "set_b")
-    return joined.mapInArrow(run, "a long, b long").distinct()
+    ``members`` has rep, n, grp, signature and shingles. A group is dealt into blocks by the
+    size of the sets, and only blocks whose sizes allow the threshold meet, two to a task,
+    whatever the size of the group. A task checks near pairs first and skips those that its
+    links already join.
+    """
+    step = -log(percent / 100)
+    own = members.select("rep", "grp", "n", F.floor(F.log("n") / F.lit(step)).cast("int").alias("cls"))
+    counts = own.groupBy("grp", "cls").agg(F.count(F.lit(1)).alias("rows"), F.sum("n").alias("total"))
+    blocks = F.greatest(F.ceil(F.col("rows") / BLOCK_ROWS), F.ceil(F.col("total") / BLOCK_SHINGLES)).cast("int")
+    # The classes of sizes are few, as they grow by a constant factor.
+    groups = counts.groupBy("grp").agg(
+        F.sum("rows").alias("rows"), F.sum("total").alias("total"),
+        F.map_from_entries(F.collect_list(F.struct("cls", blocks.alias("blocks")))).alias("blocks"),
+    )
+    small = (F.col("rows") <= BLOCK_ROWS) & (F.col("total") <= BLOCK_SHINGLES)
+    groups = groups.select("grp", small.alias("small"), F.when(~small, F.col("blocks")).alias("blocks"))
+    placed = members.join(groups, "grp").withColumn("cls", F.when(F.col("small"), 0).otherwise(F.floor(F.log("n") / F.lit(step)).cast("int")))
+
+    def count_of(cls):
+        return F.when(F.col("small"), F.when(cls == 0, 1).otherwise(0)).otherwise(F.coalesce(F.try_element_at("blocks", cls), F.lit(0)))
+
+    placed = placed.withColumn("blk", F.pmod(F.xxhash64("rep"), count_of(F.col("cls"))).cast("int"))
+
+    def numbers(n):
+        return F.filter(F.sequence(F.lit(-1), n - 1), lambda j: j >= 0)
+
+    def task(low, i, high, j):
+        return F.struct(low.alias("low"), i.alias("i"), high.alias("high"), j.alias("j"))
+
+    cls, blk = F.col("cls"), F.col("blk")
+    same = F.transform(numbers(count_of(cls)), lambda j: task(cls, F.least(blk, j), cls, F.greatest(blk, j)))
+    above = F.transform(numbers(count_of(cls + 1)), lambda j: task(cls, blk, cls + 1, j))
+    below = F.transform(numbers(count_of(cls - 1)), lambda j: task(cls - 1, j, cls, blk))
+    dealt = placed.select("grp", "rep", "cls", "blk", "signature", "shingles", F.explode(F.concat(same, above, below)).alias("task"))
+
+    def meet(key: tuple, rows: pa.Table) -> pa.Table:
+        low, i, high, j = (key[1].as_py()[k] for k in ("low", "i", "high", "j"))
+        reps = np.asarray(rows.column("rep"))
+        signs = np.frombuffer(b"".join(rows.column("signature").to_pylist()), dtype=np.uint8).reshape(-1, SLOTS)
+        sets = [np.frombuffer(x, dtype=np.uint64) for x in rows.column("shingles").to_pylist()]
+        side = (np.asarray(rows.column("cls")) == low) & (np.asarray(rows.column("blk")) == i)
+        links = joined(reps, signs, sets, side, (low, i) == (high, j), radius, percent)
+        return pa.table({"a": pa.array([a for a, _ in links], pa.int64()), "b": pa.array([b for _, b in links], pa.int64())})
+
+    return dealt.groupBy("grp", "task").applyInArrow(meet, "a long, b long")
+
+
+def joined(reps, signs, sets, side, alone: bool, radius: int, percent: int) -> list[tuple[int, int]]:
+    """Confirmed links of a block with itself (``alone``) or between the rows of either side."""
+    left = np.arange(len(reps)) if alone else np.flatnonzero(side)
+    right = left if alone else np.flatnonzero(~side)
+    sizes, near = np.array([len(s) for s in sets]), []
+    for x in left.tolist():
+        some = right[right > x] if alone else right
+        apart = (signs[some] != signs[x]).sum(axis=1)
+        fits = (apart <= radius) & (100 * np.minimum(sizes[some], sizes[x]) >= percent * np.maximum(sizes[some], sizes[x]))
+        near += [(d, x, y) for d, y in zip(apart[fits].tolist(), some[fits].tolist())]
+    parent, links = list(range(len(reps))), []
+
+    def root(x: int) -> int:
+        while parent[x] != x:
+            parent[x] = x = parent[parent[x]]
+        return x
+
+    for _, x, y in sorted(near):
+        rx, ry = root(x), root(y)
+        if rx == ry:
+            continue
+        pair = np.sort(np.concatenate([sets[x], sets[y]]), kind="stable")
+        both = int((pair[1:] == pair[:-1]).sum())
+        if 100 * both >= percent * (len(pair) - both):
+            parent[rx] = ry
+            links.append((int(reps[x]), int(reps[y])))
+    return links
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -228,40 +273,14 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     needed = members.select("rep").distinct()
     texts = docs.select("doc_id", "text").where("doc_id is not null").join(needed.withColumnRenamed("rep", "doc_id"), "doc_id", "left_semi")
     sets = stage(shingle_sets(texts, width).distinct(), "member_sets")
+    groups = components(members.select(F.col("hub").alias("a"), F.col("rep").alias("b")).where("a <> b").distinct())
+    groups = groups.withColumnRenamed("component", "grp")
+    links = compared(classes.join(groups, "rep").join(sets, "rep"), radius, percent)
     # A doc_id that occurs in several classes links them by itself.
-    links = linkable.select(F.col("doc_id").alias("b"), "digest").join(by_set.select(F.col("rep").alias("a"), "digest"), "digest").where("a <> b").select("a", "b")
-    links = links.join(classes.select(F.col("rep").alias("b")).distinct(), "b", "left_semi").select("a", "b").distinct()
-
-    def tested(pairs: DataFrame) -> DataFrame:
-        size_a = classes.select(F.col("rep").alias("a"), F.col("n").alias("n_a"))
-        size_b = classes.select(F.col("rep").alias("b"), F.col("n").alias("n_b"))
-        alike = f"100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)"
-        pairs = pairs.join(size_b, "b").join(size_a, "a").where(alike).select("a", "b").distinct()
-        return confirmed(within_radius(pairs, classes, radius), sets, percent)
-
-    # First each class with the smallest hub of its keys: one pair a class.
-    first = members.where("hub <> rep").groupBy(F.col("rep").alias("b")).agg(F.min("hub").alias("a"))
-    links = stage(links.unionByName(tested(first)), "links")
-    labels = components(links)
-    left = None
-    while True:
-        left = unresolved(members.select("key", "rep") if left is None else left, labels)
-        n_members, n_pairs = left.agg(F.count(F.lit(1)), F.sum(F.col("size") - 1)).first()
-        if not n_members:
-            break
-        if n_pairs <= 2 * PAIRS_A_MEMBER * n_members:
-            a, b = left.select("key", F.col("rep").alias("a"), F.col("label").alias("label_a")), left.select("key", F.col("rep").alias("b"), F.col("label").alias("label_b"))
-            pairs = a.join(b, "key").where("a < b and label_a <> label_b").select("a", "b").distinct()
-            links = stage(links.unionByName(tested(pairs)), "links")
-            labels = components(links)
-            break
-        hubs = left.groupBy("key", F.pmod(F.xxhash64("rep"), F.lit(HUBS)).alias("part")).agg(F.min_by(F.struct("rep", "label"), "rep").alias("hub"))
-        hubs = hubs.select("key", F.col("hub.rep").alias("a"), F.col("hub.label").alias("label_a"))
-        pairs = left.join(hubs, "key").where("a <> rep and label <> label_a").select("a", F.col("rep").alias("b")).distinct()
-        links = stage(links.unionByName(tested(pairs)), "links")
-        labels = components(links)
-        # A hub has met every member of its key and need not be met again there.
-        left = left.join(hubs.select("key", F.col("a").alias("rep")), ["key", "rep"], "left_anti").select("key", "rep")
+    firsts = by_set.select(F.col("rep").alias("a"), "digest")
+    twice = linkable.select(F.col("doc_id").alias("b"), "digest").join(firsts, "digest").where("a <> b").select("a", "b")
+    twice = twice.join(classes.select(F.col("rep").alias("b")).distinct(), "b", "left_semi").select("a", "b")
+    labels = components(links.unionByName(twice).distinct())
 
     placed = sketches.join(by_set.select("digest", "rep"), "digest", "left")
     placed = placed.join(labels, "rep", "left")
@@ -273,14 +292,6 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     )
 
 
-def unresolved(members: DataFrame, labels: DataFrame) -> DataFrame:
-    """Members of the keys that hold several components, with their component and the key's size."""
-    labelled = members.join(labels, "rep", "left").select("key", "rep", F.coalesce("component", "rep").alias("label"))
-    open_keys = labelled.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.min("label").alias("low"), F.max("label").alias("high"))
-    open_keys = open_keys.where("low <> high").select("key", "size")
-    return stage(labelled.join(open_keys, "key").select("key", "rep", "label", "size"), "unresolved")
-
-
 def keep_one(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """The documents without those that a component's first document stands for.
 
