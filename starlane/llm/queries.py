@@ -4,20 +4,27 @@ from __future__ import annotations
 
 from starlane.llm.byte_pairs import op4_byte_pairs
 from starlane.llm.languages import op5_languages
+from starlane.llm.licences import OP8_SQL, op8_licences
 from starlane.llm.near_dups import op9_near_dups
 from starlane.llm.neighbours import op10_neighbours
 from starlane.llm.outliers import op3_outliers
 from starlane.llm.packing import op7_packing
 from starlane.llm.token_files import op1_token_files
+from starlane.llm.warc import OP6_SQL, op6_warc
 
 QUERIES = {
     "op1_token_files": op1_token_files,
     "op3_outliers": op3_outliers,
     "op4_byte_pairs": op4_byte_pairs,
     "op5_languages": op5_languages,
+    "op6_warc": op6_warc,
     "op7_packing": op7_packing,
+    "op8_licences": op8_licences,
     "op9_near_dups": op9_near_dups,
     "op10_neighbours": op10_neighbours,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op6_warc": OP6_SQL,
+    "op8_licences": OP8_SQL,
+}
