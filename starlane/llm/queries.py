@@ -11,9 +11,11 @@ from starlane.llm.outliers import op3_outliers
 from starlane.llm.packing import op7_packing
 from starlane.llm.token_files import op1_token_files
 from starlane.llm.warc import OP6_SQL, op6_warc
+from starlane.llm.wrappers import op2_main_text
 
 QUERIES = {
     "op1_token_files": op1_token_files,
+    "op2_main_text": op2_main_text,
     "op3_outliers": op3_outliers,
     "op4_byte_pairs": op4_byte_pairs,
     "op5_languages": op5_languages,
