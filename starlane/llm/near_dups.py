@@ -238,21 +238,29 @@ def joined(reps, signs, sets, side, alone: bool, radius: int, percent: int) -> l
 
 
 def components(links: DataFrame) -> DataFrame:
-    """For every end of a link the smallest end that can be reached (rep, component)."""
-    ends = stage(links.select("a", "b").union(links.select(F.col("b").alias("a"), F.col("a").alias("b"))), "link_ends")
-    labels = stage(
-        ends.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("component")).withColumnRenamed("a", "rep"), "labels"
-    )
+    """For every end of a link the smallest end that can be reached (rep, component).
+
+    Each round every node moves to its smallest neighbour, and the links are drawn anew between
+    what is left, so their number falls fast.
+    """
+    edges = stage(links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a <> b").distinct(), "edges")
+    labels = None
     while True:
-        # The least label among the neighbours, then the label of that label.
-        seen = ends.join(labels, ends["b"] == labels["rep"]).groupBy("a").agg(F.min("component").alias("near"))
-        nearer = labels.join(seen, labels["rep"] == seen["a"]).select("rep", "component", F.least("component", "near").alias("next"))
-        jump = labels.select(F.col("rep").alias("next"), F.col("component").alias("beyond"))
-        after = stage(
-            nearer.join(jump, "next").select("rep", F.col("component").alias("was"), F.least("next", "beyond").alias("component")), "labels"
-        )
-        labels = after.select("rep", "component")
-        if after.where("was <> component").isEmpty():
+        ends = edges.select("a", "b").union(edges.select("b", "a"))
+        moves = stage(ends.groupBy(F.col("a").alias("node")).agg(F.min(F.least("a", "b")).alias("to")), "moves")
+        for _ in range(2):
+            beyond = moves.select(F.col("node").alias("to"), F.col("to").alias("beyond"))
+            moves = stage(moves.join(beyond, "to").select("node", F.col("beyond").alias("to")), "moves")
+        if labels is None:
+            labels = moves.select(F.col("node").alias("rep"), F.col("to").alias("component"))
+        else:
+            moved = labels.join(moves.withColumnRenamed("node", "component"), "component", "left")
+            labels = stage(moved.select("rep", F.coalesce("to", "component").alias("component")), "labels")
+        to_a = moves.select(F.col("node").alias("a"), F.col("to").alias("to_a"))
+        to_b = moves.select(F.col("node").alias("b"), F.col("to").alias("to_b"))
+        drawn = edges.join(to_a, "a").join(to_b, "b").where("to_a <> to_b")
+        edges = stage(drawn.select(F.least("to_a", "to_b").alias("a"), F.greatest("to_a", "to_b").alias("b")).distinct(), "edges")
+        if edges.isEmpty():
             return labels
 
 
