@@ -101,7 +101,7 @@ def test_tree_matching():
 
 def test_licences(spark):
     mit = "Copyright (c) 2020 Some One\n\n" + licences.MIT.upper().replace("SUBLICENSE", "Sub-Licence") + "\n© others"
-    docs = documents(spark, extra=[(40, mit, "en", "a"), (41, "Text.\nReleased under the MIT licence\nMore.", "en", "a"), (42, "Released under the MIT License", "en", "a"), (43, mit + " x", "en", "a")])
+    docs = documents(spark, extra=[(40, mit, "en", "a"), (41, "Text.\nReleased under the MIT licence\nMore.", "en", "a"), (42, "Released under the MIT License", "en", "a"), (43, mit + "\nx", "en", "a")])
     known = spark.createDataFrame(licences.KNOWN, "license_id string, kind string, text string")
     got = sorted((r["doc_id"], r["line"], r["license_id"]) for r in licences.scan(docs, known).collect())
     assert got == [(40, 0, "MIT"), (41, 2, "MIT"), (42, 0, "MIT"), (42, 1, "MIT")]
