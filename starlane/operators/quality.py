@@ -79,6 +79,9 @@ def audit(df: DataFrame, contract: TableContract, tables: Mapping[str, DataFrame
     """
     rules = _null_rules(contract.required) + _length_rules(contract.lengths)
     reports = [_count_rules(df, rules)] if rules else []
+    if contract.min_rows:
+        short = df.agg(F.greatest(F.lit(contract.min_rows) - F.count(F.lit(1)), F.lit(0)).alias("short"))
+        reports.append(short.select(_line("min_rows", "*", F.col("short")).alias("line")).select("line.*"))
     doubled = duplicate_keys(df, contract.key, "__n").agg(F.count(F.lit(1)).alias("bad"))
     reports.append(
         doubled.select(_line("unique_key", ",".join(contract.key), F.col("bad")).alias("line")).select("line.*")

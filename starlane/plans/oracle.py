@@ -149,9 +149,17 @@ FACT_COLUMNS = """state_key, month, year, average_age_arrivals, "F", "M", "U", "
 
 ORACLE = {
     "scan_parquet_project": """
-        SELECT o_orderkey AS order_key, CAST(o_custkey AS INTEGER) AS customer_key, o_totalprice AS price,
+        SELECT o_orderkey AS order_key, o_custkey AS customer_key, o_totalprice AS price,
                CAST(substring(o_orderpriority, 1, 1) AS INTEGER) AS priority
         FROM orders""",
+    "stage_sorted": "SELECT c_nationkey, c_custkey, c_acctbal FROM customer WHERE c_nationkey = 5",
+    "input_audit": """
+        SELECT 'key' AS "column", count(*) FILTER (c_custkey % 7 = 0) AS missing, CAST(0 AS BIGINT) AS unparsed FROM customer
+        UNION ALL SELECT 'balance', count(*) FILTER (c_custkey % 5 <> 0 AND c_acctbal IS NULL), count(*) FILTER (c_custkey % 5 = 0) FROM customer
+        UNION ALL SELECT 'day', CAST(0 AS BIGINT), count(*) FILTER (c_custkey % 3 = 0) FROM customer""",
+    "match_audit": """
+        SELECT count(*) AS n_rows, count(*) FILTER (user_id IS NULL OR user_id NOT IN (SELECT s_suppkey FROM supplier)) AS n_unmatched
+        FROM events""",
     "csv_contract_scan": """
         SELECT c_custkey AS customer_key, c_name AS customer_name, c_acctbal AS balance, c_mktsegment AS segment
         FROM customer""",

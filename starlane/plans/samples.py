@@ -17,13 +17,13 @@ from starlane.functions.means import exact_mean, to_units
 from starlane.operators.dedup import dedup_first
 from starlane.operators.impute import donor_mean, impute_periods
 from starlane.operators.lookup import conform, enrich, recombine
-from starlane.operators.profile import CountBy, Mean, pivot_count, profile, profile_preaggregated
+from starlane.operators.profile import CountBy, Mean, category_counts, pivot_count, profile, profile_preaggregated
 from starlane.operators.quality import audit, duplicate_keys, length_counts, null_counts, orphan_keys
 from starlane.operators.rollup import build_dimension
 from starlane.operators.shape import is_null, not_null, preview, row_count, union_rows
 from starlane.plans import reports, star
 from starlane.sources.contracts import TableContract
-from starlane.sources.readers import read_csv, read_many, read_parquet
+from starlane.sources.readers import read_csv, read_many, read_parquet, unparsed_cells
 from starlane.sources.scratch import scratch_folder
 from starlane.sources.sinks import publish, write_stage
 
@@ -119,7 +119,7 @@ def priced_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
 def scan_parquet_project(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("order_key"),
-        F.col("o_custkey").cast("int").alias("customer_key"),
+        F.col("o_custkey").alias("customer_key"),
         F.col("o_totalprice").alias("price"),
         F.substring("o_orderpriority", 1, 1).cast("int").alias("priority"),
     )
@@ -384,13 +384,43 @@ def profile_preaggregated_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 def profile_by_joins(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The profile as three aggregates joined back together.
 
-    The placed orders are staged first, so the three aggregates re-read the
-    columns they need instead of repeating the lookup join.
+    The orders are folded to one row per group and pair of categories in one pass; the
+    three aggregates start from that small table.
     """
-    rows = write_stage(placed_orders(spark, sf_dir), scratch_folder(spark, "placed_orders"))
-    return recombine(
-        KEYS, profile(rows, KEYS, [MEAN_PRICE], []), pivot_count(rows, KEYS, STATUS), pivot_count(rows, KEYS, PRIORITY)
-    )
+    parts = placed_orders(spark, sf_dir).groupBy(*KEYS, "status", "priority").agg(
+        F.sum(MEAN_PRICE.value).alias("total"), F.count("price").alias("priced"), F.count(F.lit(1)).alias("n")
+    )
+    rows = write_stage(parts, scratch_folder(spark, "order_parts"))
+    mean = rows.groupBy(*KEYS).agg(MEAN_PRICE.of(F.sum("total"), F.sum("priced")).alias("mean_price"))
+    counts = [rows.groupBy(*KEYS).agg(*category_counts(c, weight="n")) for c in (STATUS, PRIORITY)]
+    return recombine(KEYS, mean, *counts)
+
+
+def stage_sorted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stage whose files are sorted, read back through a filter on the sort columns."""
+    customers = table(spark, sf_dir, "customer").select("c_nationkey", "c_custkey", "c_acctbal")
+    staged = write_stage(customers, scratch_folder(spark, "sorted"), sort_by=["c_nationkey", "c_custkey"])
+    return staged.filter(F.col("c_nationkey") == 5)
+
+
+def input_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Missing and unparsed cells per column of a file, some of which were spoilt."""
+    folder = scratch_folder(spark, "spoilt_csv")
+    key = F.col("c_custkey")
+    table(spark, sf_dir, "customer").select(
+        F.when(key % 7 != 0, key.cast("string")).alias("key"),
+        F.when(key % 5 == 0, "many").otherwise(F.col("c_acctbal").cast("string")).alias("balance"),
+        F.when(key % 3 == 0, "2013-13-01").otherwise("2013-01-01").alias("day"),
+    ).write.csv(folder, header=True)
+    return unparsed_cells(spark, folder, "key bigint, balance double, day date")
+
+
+def match_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events that a lookup of their user among the suppliers leaves without a match."""
+    known = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("user_id")).withColumn("known", F.lit(1))
+    users = table(spark, sf_dir, "events").groupBy("user_id").agg(F.count(F.lit(1)).alias("n"))
+    met = users.join(known, "user_id", "left")
+    return met.agg(F.sum("n").alias("n_rows"), F.sum(F.when(F.col("known").isNull(), F.col("n")).otherwise(0)).alias("n_unmatched"))
 
 
 def sorted_result(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -644,6 +674,9 @@ QUERIES = {
     "profile_by_joins": profile_by_joins,
     "fact_enrich": fact_enrich,
     "sorted_result": sorted_result,
+    "stage_sorted": stage_sorted,
+    "input_audit": input_audit,
+    "match_audit": match_audit,
     "dq_null_counts": dq_null_counts,
     "dq_unique_key": dq_unique_key,
     "dq_foreign_key": dq_foreign_key,

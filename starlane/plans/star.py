@@ -19,16 +19,16 @@ from starlane.functions.calendar import add_calendar, within_years
 from starlane.operators.impute import impute_periods
 from starlane.operators.lookup import conform, enrich
 from starlane.operators.profile import CountBy, Mean, fold_codes, profile
-from starlane.operators.quality import audit, enforce
+from starlane.operators.quality import audit, duplicate_keys, enforce
 from starlane.operators.rollup import build_dimension
 from starlane.operators.shape import union_rows
 from starlane.session import build_session
 from starlane.sources import contracts
 from starlane.sources.contracts import conform_to
-from starlane.sources.readers import read_csv, read_many, read_parquet
-from starlane.sources.sinks import publish, write_stage
+from starlane.sources.readers import read_csv, read_many, read_parquet, unparsed_cells
+from starlane.sources.sinks import publish_all, write_stage
 
-# Raw column names with the names the tables use, the country
+# Raw column names with the names and types the tables use, the country
 # filters, the year to complete with its donors and months, and the category codes
 # with their column names.
 URBAN_TOTALS = {
@@ -36,8 +36,10 @@ URBAN_TOTALS = {
     "Male Population": "male_urban_population",
     "Total Population": "total_urban_population",
 }
-ARRIVAL_PERIOD = {"i94mon": "month", "i94yr": "year"}
-ARRIVAL_DETAILS = {"i94bir": "age", "gender": "gender", "i94port": "airport_key", "i94visa": "visa_key"}
+ARRIVAL_COLUMNS = {
+    "i94mon": ("month", "int"), "i94yr": ("year", "int"), "i94bir": ("age", "double"),
+    "gender": ("gender", "string"), "i94port": ("airport_key", "string"), "i94visa": ("visa_key", "double"),
+}
 COUNTRY_NAME = "United States"
 COUNTRY_CODE = "US"
 TARGET_YEAR = 2013
@@ -53,7 +55,7 @@ PROFILE_REQUIRED = ("age", "month", "gender", "visa_key", "year")
 
 @dataclass(frozen=True)
 class Inputs:
-    """Names of the raw inputs below the input folder."""
+    """Names of the raw inputs below the input folder (fixed values)."""
 
     demographics: str = "us-cities-demographics.csv"
     temperatures: str = "GlobalLandTemperaturesByState.csv"
@@ -64,7 +66,7 @@ class Inputs:
 
 @dataclass(frozen=True)
 class Stages:
-    """Folder names of the stage tables below the output folder."""
+    """Folder names of the stage tables below the output folder (fixed values)."""
 
     dimension: str = "dimension_state"
     readings: str = "state_readings"
@@ -87,7 +89,7 @@ def state_dimension(demographics: DataFrame) -> DataFrame:
         keys={"State Code": "state_key", "State": "state_name"},
         uses=["Median Age", *URBAN_TOTALS],
         measures=[
-            Mean("Median Age", "average_age").over_rows().alias("average_age"),
+            F.avg("Median Age").alias("average_age"),
             *[F.sum(raw).alias(name) for raw, name in URBAN_TOTALS.items()],
         ],
         primary="state_key",
@@ -141,8 +143,7 @@ def port_states(airports: DataFrame, dimension: DataFrame) -> DataFrame:
 
 def arrival_rows(arrivals: DataFrame) -> DataFrame:
     """Raw arrival records under business names, the period as integers."""
-    period = [F.col(raw).cast("int").alias(name) for raw, name in ARRIVAL_PERIOD.items()]
-    return arrivals.select(*period, *[F.col(raw).alias(name) for raw, name in ARRIVAL_DETAILS.items()])
+    return arrivals.select(*[F.col(raw).cast(kind).alias(name) for raw, (name, kind) in ARRIVAL_COLUMNS.items()])
 
 
 def arrivals_profile(arrivals: DataFrame, ports: DataFrame) -> DataFrame:
@@ -182,6 +183,24 @@ def check_tables(fact: DataFrame, dimension: DataFrame) -> None:
     enforce(union_rows(*reports))
 
 
+def check_inputs(spark: SparkSession, readings_path: str) -> None:
+    """Raise if a reading's date or value does not parse: its row would silently drop out."""
+    report = unparsed_cells(spark, readings_path, contracts.STATE_TEMPERATURE)
+    needed = report.where(F.col("column").isin("dt", "AverageTemperature"))
+    enforce(needed.select(F.lit("parses").alias("rule"), "column", F.col("unparsed").alias("violations")))
+
+
+def check_temperatures(temperatures: DataFrame, profiled: DataFrame) -> None:
+    """Raise if a month of the profile has several temperatures, which would double its facts."""
+    keys = list(contracts.FACT_TEMPERATURE_STATE.key)
+    doubled = duplicate_keys(temperatures, keys, "n")
+    if doubled.isEmpty():
+        return
+    met = doubled.join(profiled.select(*keys).distinct(), keys, "left_semi")
+    name = f"{contracts.FACT_TEMPERATURE_STATE.name}.{','.join(keys)}"
+    enforce(met.agg(F.count(F.lit(1)).alias("violations")).select(F.lit("unique_key").alias("rule"), F.lit(name).alias("column"), "violations"))
+
+
 def run(
     spark: SparkSession,
     input_dir: str,
@@ -190,6 +209,10 @@ def run(
     stages: Stages = Stages(),
     publish_as: tuple[str, str] | None = None,
     publish_dir: str | None = None,
+    target_year: int = TARGET_YEAR,
+    donor_years: Sequence[int] = DONOR_YEARS,
+    months: Sequence[int] = FILLED_MONTHS,
+    only_missing: bool = False,
 ) -> dict[str, DataFrame]:
     """Dimension, temperatures, ports, fact, checks, publish; each stage written once.
 
@@ -197,7 +220,9 @@ def run(
     lost executor costs the running stage's tasks only. Nothing is published
     unless all checks pass. ``publish_as`` names the (dimension, fact) tables to
     refresh, by default the contracts' own names, kept under ``publish_dir`` if
-    given. Returns the tables by name.
+    given. ``target_year``, ``donor_years``, ``months`` and ``only_missing`` choose how
+    temperatures are completed. An input that lacks a column, or whose readings do not
+    parse, raises before anything is published. Returns the tables by name.
     """
 
     def raw(name: str) -> str:
@@ -206,18 +231,23 @@ def run(
     def stage(name: str) -> str:
         return f"{output_dir.rstrip('/')}/{name}"
 
-    demographics = read_csv(spark, raw(inputs.demographics), contracts.CITY_DEMOGRAPHICS, sep=";")
+    demographics = read_csv(spark, raw(inputs.demographics), contracts.CITY_DEMOGRAPHICS, ";", contracts.CITY_ALIASES)
     dimension = write_stage(state_dimension(demographics), stage(stages.dimension), mode="overwrite")
 
+    check_inputs(spark, raw(inputs.temperatures))
     # Imputation reads the series twice; the text file should be parsed once.
     readings = write_stage(
-        usable_readings(read_csv(spark, raw(inputs.temperatures), contracts.STATE_TEMPERATURE)),
+        usable_readings(read_csv(spark, raw(inputs.temperatures), contracts.STATE_TEMPERATURE), target_year, donor_years),
         stage(stages.readings),
         mode="overwrite",
         compact=True,
     )
     temperatures = write_stage(
-        state_temperatures(readings, dimension), stage(stages.temperature), mode="overwrite"
+        state_temperatures(
+            readings, dimension, target_year=target_year, donor_years=donor_years, months=months, only_missing=only_missing
+        ),
+        stage(stages.temperature),
+        mode="overwrite",
     )
 
     airports = read_csv(spark, raw(inputs.airports), contracts.AIRPORT_CODES)
@@ -227,7 +257,11 @@ def run(
         spark, raw(inputs.arrivals), contracts.ARRIVALS, inputs.arrivals_source, header="true"
     )
     profiled = arrivals_profile(arrival_rows(landed), ports)
-    fact = write_stage(arrivals_fact(profiled, temperatures), stage(stages.fact), mode="overwrite")
+    check_temperatures(temperatures, profiled)
+    # Reports ask for one state, so its rows should lie together.
+    fact = write_stage(
+        arrivals_fact(profiled, temperatures), stage(stages.fact), mode="overwrite", sort_by=["state_key", "month"]
+    )
 
     check_tables(fact, dimension)
 
@@ -236,11 +270,15 @@ def run(
     def place(table: str) -> str | None:
         return None if publish_dir is None else f"{publish_dir.rstrip('/')}/{table}"
 
+    published = publish_all(
+        [
+            (dimension, contracts.DIMENSION_STATE, dimension_name, place("dimension_state")),
+            (fact, contracts.FACT_ARRIVALS, fact_name, place("fact_arrivals")),
+        ]
+    )
     return {
-        "dimension_state": publish(
-            dimension, contracts.DIMENSION_STATE, dimension_name, place("dimension_state")
-        ),
-        "fact_arrivals": publish(fact, contracts.FACT_ARRIVALS, fact_name, place("fact_arrivals")),
+        "dimension_state": published[0],
+        "fact_arrivals": published[1],
         "fact_temperature_state": temperatures,
         "port_state": ports,
     }
@@ -264,14 +302,22 @@ def main(argv: Sequence[str] | None = None) -> None:
     for name in ("demographics", "temperatures", "airports", "arrivals"):
         parser.add_argument(f"--{name}", default=getattr(names, name), help="path or glob below --input")
     parser.add_argument("--arrivals-source", default=names.arrivals_source, help="format of the arrival files")
+    parser.add_argument("--target-year", type=int, default=TARGET_YEAR, help="year whose months are completed")
+    parser.add_argument("--donor-years", type=int, nargs="+", default=DONOR_YEARS, help="years they are completed from")
+    parser.add_argument("--months", type=int, nargs="+", default=FILLED_MONTHS, help="months to complete")
+    parser.add_argument("--only-missing", action="store_true", help="leave months that have a reading")
+    parser.add_argument("--hive", action="store_true", help="keep tables in the Hive catalog")
     args = parser.parse_args(argv)
-    spark = build_session("arrivals-star")
     run(
-        spark,
+        build_session("arrivals-star", hive=args.hive),
         args.input,
         args.output,
         inputs=Inputs(args.demographics, args.temperatures, args.airports, args.arrivals, args.arrivals_source),
         publish_dir=args.publish,
+        target_year=args.target_year,
+        donor_years=args.donor_years,
+        months=args.months,
+        only_missing=args.only_missing,
     )
 
 

@@ -16,6 +16,8 @@ SETTINGS = {
     # it there, once its measured size allows, spares sorting the fact rows.
     "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64m",
     "spark.sql.session.timeZone": "UTC",
+    # A sum that overflows must fail the query and not wrap around.
+    "spark.sql.ansi.enabled": "true",
 }
 
 # Recording the Python line of every column expression costs a round trip to the
@@ -24,7 +26,9 @@ SETTINGS = {
 AT_START = {"spark.python.sql.dataFrameDebugging.enabled": "false"}
 
 
-def build_session(app: str = "starlane", master: str | None = None, **conf: str) -> SparkSession:
+def build_session(
+    app: str = "starlane", master: str | None = None, hive: bool = False, input_bytes: int = 0, **conf: str
+) -> SparkSession:
     """Create or reuse a session; ``conf`` keys use ``__`` in place of dots.
 
     Settings given here or to spark-submit win over :data:`SETTINGS`. Unless told
@@ -32,6 +36,8 @@ def build_session(app: str = "starlane", master: str | None = None, **conf: str)
     merges partitions that turn out small, but never splits one for its size alone.
     """
     builder = SparkSession.builder.appName(app)
+    if hive:
+        builder = builder.enableHiveSupport()
     if master:
         builder = builder.master(master)
     chosen = {k.replace("__", "."): v for k, v in conf.items()}
@@ -48,5 +54,5 @@ def build_session(app: str = "starlane", master: str | None = None, **conf: str)
             spark.conf.set(key, value)
     initial = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
     if open_to_us(initial) and open_to_us("spark.sql.shuffle.partitions"):
-        spark.conf.set(initial, str(max(200, 4 * spark.sparkContext.defaultParallelism)))
+        spark.conf.set(initial, str(max(200, 4 * spark.sparkContext.defaultParallelism, input_bytes // 200_000_000)))
     return spark

@@ -1,19 +1,23 @@
 """Inputs, stage tables and published tables."""
 
 from starlane.sources.contracts import TableContract, conform_to
-from starlane.sources.readers import read_csv, read_many, read_parquet
+from starlane.sources.readers import InputError, read_csv, read_many, read_parquet, unparsed_cells
 from starlane.sources.scratch import scratch_folder
-from starlane.sources.sinks import create_table, publish, publish_jdbc, write_stage
+from starlane.sources.sinks import LayoutError, create_table, publish, publish_all, publish_jdbc, write_stage
 
 __all__ = [
+    "InputError",
+    "LayoutError",
     "TableContract",
     "conform_to",
     "create_table",
     "publish",
+    "publish_all",
     "publish_jdbc",
     "read_csv",
     "read_many",
     "read_parquet",
     "scratch_folder",
+    "unparsed_cells",
     "write_stage",
 ]

@@ -9,14 +9,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Column names, order and types of the raw files (public data sets
-# whose header rows we do not control). A CSV is mapped by position.
+# Column names, order and types of the raw files (public data sets).
 CITY_DEMOGRAPHICS = """
     `City` string, `State` string, `Median Age` float, `Male Population` int,
     `Female Population` int, `Total Population` int, `Number of Veterans` int,
     `Foreign Born` int, `Average Household Size` float, `State Code` string,
     `Race` string, `Count` int
 """
+# Another spelling of a column in the header of the published file.
+CITY_ALIASES = {"Foreign Born": "Foreign-born"}
 STATE_TEMPERATURE = """
     dt date, AverageTemperature float, AverageTemperatureUncertainty float,
     State string, Country string
@@ -41,6 +42,7 @@ class TableContract:
     key: tuple[str, ...]
     required: tuple[str, ...] = ()
     references: Mapping[str, tuple[str, str]] = field(default_factory=dict)
+    min_rows: int = 0
 
     @property
     def schema(self) -> T.StructType:
@@ -62,12 +64,14 @@ DIMENSION_STATE = TableContract(
     """,
     key=("state_key",),
     required=("state_key",),
+    min_rows=1,
 )
 FACT_TEMPERATURE_STATE = TableContract(
     name="fact_temperature_state",
     columns="state_key varchar(2), average_temperature double, month int",
     key=("state_key", "month"),
     required=("state_key", "month"),
+    min_rows=1,
 )
 FACT_ARRIVALS = TableContract(
     name="fact_arrivals",
@@ -79,6 +83,7 @@ FACT_ARRIVALS = TableContract(
     key=("state_key", "month", "year"),
     required=("state_key", "month", "year", "average_age_arrivals", "average_temperature"),
     references={"state_key": ("dimension_state", "state_key")},
+    min_rows=1,
 )
 
 

@@ -2,19 +2,63 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import re
+from collections.abc import Iterator, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
-def read_csv(spark: SparkSession, path: str | list[str], schema: str, sep: str = ",") -> DataFrame:
-    """A delimited file with a header row, mapped to ``schema`` by position.
+class InputError(Exception):
+    """An input does not have the columns its schema declares."""
 
-    A cell that does not parse becomes NULL; the quality checks count those.
-    Unreadable input raises.
+
+def read_csv(
+    spark: SparkSession, path: str | list[str], schema: str, sep: str = ",", aliases: Mapping[str, str] | None = None
+) -> DataFrame:
+    """A delimited file with a header row under a declared ``schema``.
+
+    The header must name the declared columns in their order, or raises; ``aliases``
+    gives another accepted spelling of a declared name. Spark checks it in every file
+    that it reads. A cell that does not parse becomes NULL; :func:`unparsed_cells`
+    counts those. Unreadable input raises.
     """
-    return spark.read.schema(schema).csv(path, header=True, sep=sep, mode="PERMISSIVE")
+    return spark.read.schema(_headed(spark, path, schema, sep, aliases)).csv(
+        path, header=True, sep=sep, mode="PERMISSIVE", enforceSchema=False
+    ).toDF(*T.StructType.fromDDL(schema).names)
+
+
+def _headed(
+    spark: SparkSession, path: str | list[str], schema: str, sep: str, aliases: Mapping[str, str] | None, text: bool = False
+) -> T.StructType:
+    """The declared schema under the spellings that the header uses."""
+    declared, known = T.StructType.fromDDL(schema), dict(aliases or {})
+    header = spark.read.csv(path, header=True, sep=sep).columns
+    accepted = [{f.name.lower(), known.get(f.name, f.name).lower()} for f in declared]
+    if len(header) != len(declared) or any(h.lower() not in names for h, names in zip(header, accepted)):
+        raise InputError(f"{path}: expected the columns {declared.names} in this order, found {header}")
+    kinds = [T.StringType() if text else f.dataType for f in declared]
+    return T.StructType([T.StructField(h, k) for h, k in zip(header, kinds)])
+
+
+def unparsed_cells(
+    spark: SparkSession, path: str | list[str], schema: str, sep: str = ",", aliases: Mapping[str, str] | None = None
+) -> DataFrame:
+    """Report per column of a delimited file: cells without a value, and cells that do not parse."""
+    declared = T.StructType.fromDDL(schema)
+    raw = spark.read.schema(_headed(spark, path, schema, sep, aliases, text=True)).csv(
+        path, header=True, sep=sep, enforceSchema=False
+    ).toDF(*declared.names)
+    lines = [
+        F.struct(
+            F.lit(f.name).alias("column"),
+            F.count_if(F.col(f"`{f.name}`").isNull()).alias("missing"),
+            F.count_if(F.col(f"`{f.name}`").isNotNull() & F.trim(f"`{f.name}`").try_cast(f.dataType).isNull()).alias("unparsed"),
+        )
+        for f in declared
+    ]
+    return raw.agg(F.array(*lines).alias("lines")).select(F.inline("lines"))
 
 
 def read_parquet(spark: SparkSession, *paths: str) -> DataFrame:
@@ -36,9 +80,41 @@ def read_many(
     itself, so a hundred files are one wide stage rather than a union of a hundred
     plans. ``source`` is any format known to the session. ``lineage`` names a
     column that receives each row's file path.
+
+    A Parquet file that lacks a declared column raises, as does the header of a CSV
+    file that differs; without that check its rows would be read as NULLs.
     """
     where = [paths] if isinstance(paths, str) else list(paths)
+    if source == "csv":
+        options.setdefault("enforceSchema", "false")
     df = spark.read.format(source).schema(schema).options(**options).load(where)
+    if source == "parquet":
+        _require_columns(df)
     if lineage:
         df = df.withColumn(lineage, F.col("_metadata.file_path"))
     return df
+
+
+def _require_columns(df: DataFrame) -> None:
+    """Raise if any Parquet file below ``df`` lacks one of its columns; footers are read by tasks."""
+    files, names = df.inputFiles(), df.columns
+    if not files:
+        raise InputError("there are no input files")
+
+    def lacking(batches: Iterator) -> Iterator:
+        from pyarrow import fs, parquet
+
+        for batch in batches:
+            missing = []
+            for file in batch["file"]:
+                system, path = fs.FileSystem.from_uri(re.sub(r"^file:/+", "file:///", file))
+                folders = {part.partition("=")[0].lower() for part in path.split("/")[:-1] if "=" in part}
+                present = {n.lower() for n in parquet.read_schema(path, filesystem=system).names} | folders
+                missing.append(", ".join(n for n in names if n.lower() not in present))
+            yield batch.assign(missing=missing)
+
+    spark = df.sparkSession
+    listed = spark.createDataFrame([(f,) for f in files], "file string").repartition(min(len(files), 1000))
+    found = listed.mapInPandas(lacking, "file string, missing string").where("missing <> ''").orderBy("file").take(3)
+    if found:
+        raise InputError("; ".join(f"{r['file']} lacks {r['missing']}" for r in found))

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from starlane.sources.contracts import TableContract, conform_to
 
@@ -47,13 +49,80 @@ def write_stage(
 def create_table(
     spark: SparkSession, contract: TableContract, table: str | None = None, location: str | None = None
 ) -> str:
-    """Create the published table if it is not there yet; return its name."""
+    """Have the published table in the catalog; return its name.
+
+    Without ``location`` it lies in the warehouse folder. The catalog of a session without
+    Hive support forgets tables when the session ends, but their folders stay, so a table
+    is registered again over the folder it has. A table or folder of another layout raises.
+    """
     name = table or contract.name
-    place = "" if location is None else " LOCATION '{}'".format(location.replace("'", "\\'"))
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({contract.columns}) USING parquet{place}")
+    if spark.catalog.tableExists(name):
+        check_layout(spark.table(name), contract, name)
+        return name
+    place = location or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/{name}"
+    if _holds_files(spark, place):
+        check_layout(spark.read.parquet(place), contract, place)
+    quoted = place.replace("'", "\\'")
+    spark.sql(f"CREATE TABLE {name} ({contract.columns}) USING parquet LOCATION '{quoted}'")
     return name
 
 
+class LayoutError(Exception):
+    """A published table has other columns than its contract."""
+
+
+def check_layout(df: DataFrame, contract: TableContract, name: str) -> None:
+    """Raise unless names, order and types are the contract's (a varchar is a string in files)."""
+    declared = [(f.name, "string" if isinstance(f.dataType, T.VarcharType) else f.dataType.simpleString()) for f in contract.schema]
+    if df.dtypes != declared:
+        raise LayoutError(f"{name} has the columns {df.dtypes}, the contract of {contract.name} has {declared}")
+
+
+def _folder(spark: SparkSession, place: str):
+    path = spark._jvm.org.apache.hadoop.fs.Path(place)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()), path
+
+
+def _holds_files(spark: SparkSession, place: str) -> bool:
+    system, path = _folder(spark, place)
+    return system.exists(path) and any(s.getPath().getName().endswith(".parquet") for s in system.listStatus(path))
+
+
+def publish_all(tables: Sequence[tuple[DataFrame, TableContract, str | None, str | None]]) -> list[DataFrame]:
+    """Replace the content of several published tables, given as (rows, contract, name, location).
+
+    All of them are written to new folders first; only then is each folder put in the place
+    of the old one. A write that fails leaves every table as it was. Renaming is quick where
+    the file system renames folders; an object store copies.
+    """
+    ready = []
+    for df, contract, table, location in tables:
+        spark = df.sparkSession
+        name = create_table(spark, contract, table, location)
+        place = spark.sql(f"DESCRIBE FORMATTED {name}").where("col_name = 'Location'").first()["data_type"]
+        fresh = f"{place.rstrip('/')}__new_{uuid.uuid4().hex}"
+        staged = f"{name}__new_{uuid.uuid4().hex}"
+        # The table's declared lengths hold for what is written to it, so it is written as a table.
+        quoted = fresh.replace("'", "\\'")
+        spark.sql(f"CREATE TABLE {staged} ({contract.columns}) USING parquet LOCATION '{quoted}'")
+        try:
+            conform_to(df, contract).write.insertInto(staged, overwrite=True)
+        finally:
+            spark.sql(f"DROP TABLE {staged}")
+        ready.append((spark, name, place, fresh))
+    for spark, name, place, fresh in ready:
+        system, path = _folder(spark, place)
+        _, new = _folder(spark, fresh)
+        _, old = _folder(spark, f"{fresh}_old")
+        if system.exists(path):
+            system.rename(path, old)
+        if not system.rename(new, path):
+            raise OSError(f"{fresh} could not be moved to {place}")
+        system.delete(old, True)
+        spark.catalog.refreshTable(name)
+    return [spark.table(name) for spark, name, _, _ in ready]
+
+
 def publish(
     df: DataFrame, contract: TableContract, table: str | None = None, location: str | None = None
 ) -> DataFrame:
@@ -61,12 +130,10 @@ def publish(
 
     Rows are brought to the contract's layout first, and an over-long varchar
     value fails the write. Running it twice leaves the same rows as running it
-    once. A table that exists already keeps its place. Check the frame (:mod:`starlane.operators.quality`) before publishing.
+    once. A table that exists already keeps its place. Check the frame
+    (:mod:`starlane.operators.quality`) before publishing.
     """
-    spark = df.sparkSession
-    name = create_table(spark, contract, table, location)
-    conform_to(df, contract).write.insertInto(name, overwrite=True)
-    return spark.table(name)
+    return publish_all([(df, contract, table, location)])[0]
 
 
 def publish_jdbc(

@@ -4,7 +4,10 @@ import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
-from starlane.sources import conform_to, contracts, publish, publish_jdbc, read_csv, read_many, read_parquet, scratch_folder, write_stage
+from starlane.sources import (
+    InputError, LayoutError, TableContract, conform_to, contracts, publish, publish_all, publish_jdbc, read_csv, read_many,
+    read_parquet, scratch_folder, unparsed_cells, write_stage,
+)
 from starlane.sources.contracts import TableContract
 
 CITY_HEADER = (
@@ -19,14 +22,14 @@ def write(path, *lines):
     return str(path)
 
 
-def test_semicolon_csv_maps_by_position_and_nulls_bad_cells(spark, tmp_path):
+def test_semicolon_csv_checks_its_header_and_nulls_bad_cells(spark, tmp_path):
     path = write(
         tmp_path / "cities.csv",
         CITY_HEADER,
         "Ames;Iowa;23.5;10;11;21;1;2;2.2;IA;White;9",
         "Gary;Indiana;37.1;many;;75;1;2;2.4;IN;Asian;3",
     )
-    df = read_csv(spark, path, contracts.CITY_DEMOGRAPHICS, sep=";")
+    df = read_csv(spark, path, contracts.CITY_DEMOGRAPHICS, sep=";", aliases=contracts.CITY_ALIASES)
     assert len(df.columns) == 12 and df.columns[7] == "Foreign Born"
     got = df.select("City", "Median Age", "Male Population", "Female Population", "State Code").orderBy("City")
     assert [tuple(r) for r in got.collect()] == [("Ames", 23.5, 10, 11, "IA"), ("Gary", pytest.approx(37.1), None, None, "IN")]
@@ -179,20 +182,88 @@ def test_jdbc_publish_truncates_and_reloads(spark, monkeypatch):
     }
 
 
-class FakeSession:
-    def __init__(self, root, master):
-        values = {"spark.checkpoint.dir": root}
-        self.conf = type("Conf", (), {"get": staticmethod(lambda key, default=None: values.get(key) or default)})
-        self.sparkContext = type("Context", (), {"master": master, "applicationId": "app-1"})
+def test_scratch_folders_follow_the_session_and_go_with_it(tmp_path):
+    code = (
+        "from starlane.session import build_session\n"
+        "from starlane.sources import scratch_folder, write_stage\n"
+        f"spark = build_session('x', 'local[1]', spark__ui__enabled='false', spark__checkpoint__dir={str(tmp_path / 'c')!r})\n"
+        "one, two = scratch_folder(spark, 'x'), scratch_folder(spark, 'x')\n"
+        "print('ROWS', write_stage(spark.range(3), one).count(), one != two, one)\n"
+    )
+    out = in_process(code)
+    assert f"ROWS 3 True {tmp_path}/c/starlane-scratch/" in out
+    assert list((tmp_path / "c" / "starlane-scratch").iterdir()) == []
+
+
+def in_process(code):
+    import subprocess
+    import sys
+    from pathlib import Path
+
+    run = subprocess.run([sys.executable, "-c", code], cwd=Path(__file__).parent.parent, capture_output=True, text=True, timeout=180)
+    assert run.returncode == 0, run.stderr[-2000:]
+    return run.stdout
 
 
-def test_scratch_folder_follows_the_session():
-    shared = FakeSession("hdfs://shared/ckpt/", "yarn")
-    one, two = scratch_folder(shared, "x"), scratch_folder(shared, "x")
-    assert one.startswith("hdfs://shared/ckpt/starlane/app-1/x-") and one != two
-    assert "starlane-" in scratch_folder(FakeSession(None, "local[2]"), "x")
-    with pytest.raises(ValueError):
-        scratch_folder(FakeSession(None, "yarn"), "x")
+def test_a_later_session_publishes_onto_the_same_folder(tmp_path):
+    code = (
+        "from starlane.session import build_session\n"
+        "from starlane.sources import TableContract, publish\n"
+        f"spark = build_session('x', 'local[1]', spark__ui__enabled='false', spark__sql__warehouse__dir={str(tmp_path / 'w')!r})\n"
+        "small = TableContract('small_table', 'code varchar(2), n bigint', key=('code',))\n"
+        "print('ROWS', publish(spark.sql(\"SELECT 'IA' AS code, {} AS n\"), small).collect())\n"
+    )
+    assert "n=1)]" in in_process(code.replace("{}", "1")) and "n=2)]" in in_process(code.replace("{}", "2"))
+    assert [p.name for p in (tmp_path / "w").iterdir() if p.name != "starlane-scratch"] == ["small_table"]
+
+
+def test_publish_needs_the_layout_of_the_contract(spark, tmp_path):
+    spark.sql(f"CREATE TABLE reordered (n bigint, code string, share double) USING parquet LOCATION '{tmp_path}/r'")
+    df = spark.createDataFrame([("IA", 1, 0.5)], "code string, n bigint, share double")
+    with pytest.raises(LayoutError, match="reordered"):
+        publish(df, SMALL, "reordered")
+    df.select("share", "n", "code").write.parquet(str(tmp_path / "folder"))
+    with pytest.raises(LayoutError, match="folder"):
+        publish(df, SMALL, "over_a_folder", str(tmp_path / "folder"))
+
+
+def test_a_failed_publish_leaves_every_table_as_it_was(spark, tmp_path):
+    good = spark.createDataFrame([("IA", 1, 0.5)], "code string, n int, share double")
+    bad = spark.createDataFrame([("IOWA", 2, 0.5)], "code string, n int, share double")
+    places = [("pair_one", str(tmp_path / "one")), ("pair_two", str(tmp_path / "two"))]
+    publish_all([(good, SMALL, *p) for p in places])
+    with pytest.raises(Exception, match="EXCEED_LIMIT_LENGTH"):
+        publish_all([(good.withColumn("n", good["n"] + 5), SMALL, *places[0]), (bad, SMALL, *places[1])])
+    assert [spark.table(name).collect() for name, _ in places] == [[("IA", 1, 0.5)]] * 2
+
+
+def test_a_header_in_another_order_raises(spark, tmp_path):
+    path = write(tmp_path / "t.csv", "dt,State,AverageTemperature,AverageTemperatureUncertainty,Country", "2013-09-01,Iowa,1.0,0.1,US")
+    with pytest.raises(InputError, match="in this order"):
+        read_csv(spark, path, contracts.STATE_TEMPERATURE)
+    folder = tmp_path / "two"
+    folder.mkdir()
+    write(folder / "a.csv", "a,b", "1,2"), write(folder / "b.csv", "b,a", "1,2")
+    with pytest.raises(Exception, match="(?s)header"):
+        read_csv(spark, str(folder), "a int, b int").collect()
+
+
+def test_a_parquet_file_without_a_column_raises(spark, tmp_path):
+    both = spark.createDataFrame([(1, "x")], "a int, b string")
+    both.write.parquet(str(tmp_path / "m1"))
+    both.drop("b").write.parquet(str(tmp_path / "m2"))
+    with pytest.raises(InputError, match="m2.*lacks b"):
+        read_many(spark, str(tmp_path / "m*"), "a int, b string")
+    with pytest.raises(InputError):
+        read_many(spark, [str(tmp_path / "m2")], "a int, b string")
+    (tmp_path / "empty").mkdir()
+    with pytest.raises(InputError, match="no input files"):
+        read_many(spark, str(tmp_path / "empty"), "a int, b string")
+
+
+def test_bad_cells_are_counted(spark, tmp_path, rows):
+    path = write(tmp_path / "c.csv", "d,n", "2013-01-01,1", "2013-13-01,x", ",2", "2013-01-02,")
+    assert rows(unparsed_cells(spark, path, "d date, n int")) == [("d", 1, 1), ("n", 1, 1)]
 
 
 def test_import_runs_no_job_and_starts_no_session():

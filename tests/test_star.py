@@ -4,7 +4,7 @@ import pytest
 
 from starlane.operators import DataQualityError
 from starlane.plans import reports, star
-from starlane.sources import contracts
+from starlane.sources import InputError, contracts
 
 DEMOGRAPHICS = """City;State;Median Age;Male Population;Female Population;Total Population;Number of Veterans;Foreign-born;Average Household Size;State Code;Race;Count
 Ames;Iowa;20.0;10;11;21;1;2;2.2;IA;White;9
@@ -141,7 +141,7 @@ def test_run_from_raw_files_to_published_tables(spark, tmp_path, rows, fresh):
     "arrival, broken",
     [
         # Two temperatures for Georgia's December double the fact row.
-        ((2016.0, 12.0, "ATL", 30.0, 1.0, "F"), r"unique_key\(fact_arrivals\.state_key,month,year\): 1"),
+        ((2016.0, 12.0, "ATL", 30.0, 1.0, "F"), r"unique_key\(fact_temperature_state\.state_key,month\): 1"),
         # Illinois has an empty reading for January.
         ((2016.0, 1.0, "ORD", 30.0, 1.0, "F"), r"not_null\(fact_arrivals\.average_temperature\): 1"),
     ],
@@ -169,4 +169,31 @@ def test_command_line(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(star, "run", lambda spark, *where, **options: called.update(where=where, **options))
     star.main(["--input", "in", "--output", "out", "--publish", "pub", "--arrivals", "a/*", "--arrivals-source", "orc"])
     inputs = star.Inputs(arrivals="a/*", arrivals_source="orc")
-    assert called == {"where": ("in", "out"), "inputs": inputs, "publish_dir": "pub"}
+    wanted = {"where": ("in", "out"), "inputs": inputs, "publish_dir": "pub"}
+    usual = {"target_year": 2013, "donor_years": (2010, 2011, 2012), "months": (10, 11, 12), "only_missing": False}
+    assert called == {**wanted, **usual}
+    star.main(["--input", "in", "--output", "out", "--target-year", "2014", "--donor-years", "2013", "--months", "1", "2", "--only-missing"])
+    assert (called["target_year"], called["donor_years"], called["months"], called["only_missing"]) == (2014, [2013], [1, 2], True)
+
+
+@pytest.mark.parametrize("fault", ["no column", "no column in one file", "header", "bad date", "no arrivals"])
+def test_incomplete_input_leaves_what_is_published(spark, tmp_path, fresh, fault):
+    good, bad = tmp_path / "good", tmp_path / "bad"
+    good.mkdir(), bad.mkdir()
+    run(spark, tmp_path, land(spark, good))
+    land(spark, bad)
+    inputs = star.Inputs()
+    if fault.startswith("no column"):
+        for name in ("jan", "later") if fault == "no column" else ("jan",):
+            kept = spark.createDataFrame(JANUARY, contracts.ARRIVALS).drop("gender")
+            kept.write.mode("overwrite").parquet(str(bad / inputs.arrivals / f"{name}.parquet"))
+    if fault == "header":
+        (bad / inputs.demographics).write_text(DEMOGRAPHICS.replace("City;State;", "State;City;"))
+    if fault == "bad date":
+        (bad / inputs.temperatures).write_text(TEMPERATURES.replace("2013-01-01,-7.5", "2013-01-41,-7.5"))
+    if fault == "no arrivals":
+        for name in ("jan", "later"):
+            spark.createDataFrame([], contracts.ARRIVALS).write.mode("overwrite").parquet(str(bad / inputs.arrivals / f"{name}.parquet"))
+    with pytest.raises((InputError, DataQualityError)):
+        run(spark, tmp_path, str(bad))
+    assert spark.table("star_fact").count() == len(FACT) and spark.table("star_dim").count() == len(DIMENSION)
