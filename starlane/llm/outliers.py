@@ -132,7 +132,8 @@ def in_groups(rows: DataFrame, groups: DataFrame) -> DataFrame:
 
 def start(rows: DataFrame, accuracy: int) -> DataFrame:
     """Medians, and the spread around them, as a first location and scatter."""
-    middle = rows.groupBy(*GROUP).agg(*[F.percentile_approx(f, 0.5, accuracy).alias(f"m_{f}") for f in FEATURES])
+    # Limits and medians are staged: as small tables of known size they are broadcast, and the rows need no shuffle.
+    middle = stage(rows.groupBy(*GROUP).agg(*[F.percentile_approx(f, 0.5, accuracy).alias(f"m_{f}") for f in FEATURES]), "mcd_medians")
     off = rows.join(middle, GROUP).groupBy(*GROUP).agg(
         *[F.first(f"m_{f}").alias(f"m_{f}") for f in FEATURES],
         *[F.percentile_approx(F.abs(F.col(f) - F.col(f"m_{f}")), 0.5, accuracy).alias(f"d_{f}") for f in FEATURES],
@@ -183,12 +184,12 @@ def estimate(rows: DataFrame, settings: Settings) -> DataFrame:
     found = stage(start(rows, settings.accuracy), "mcd_start")
     for step in range(settings.steps):
         far = distance(rows, found)
-        limit = far.groupBy(*GROUP).agg(F.percentile_approx("d2", settings.share, settings.accuracy).alias("limit"))
+        limit = stage(far.groupBy(*GROUP).agg(F.percentile_approx("d2", settings.share, settings.accuracy).alias("limit")), "mcd_limits")
         near = far.join(limit, GROUP).where("d2 <= limit").withColumn("scale", F.lit(1.0))
         found = stage(location_and_scatter(near, F.col("scale")), f"mcd_step{step}")
     # Scale the scatter so that the median distance is what it is in a normal population.
     far = distance(rows, found)
-    middle = far.groupBy(*GROUP).agg((F.percentile_approx("d2", 0.5, settings.accuracy) / CHI_MEDIAN).alias("scale"))
+    middle = stage(far.groupBy(*GROUP).agg((F.percentile_approx("d2", 0.5, settings.accuracy) / CHI_MEDIAN).alias("scale")), "mcd_scales")
     near = far.join(middle, GROUP).where(F.col("d2") <= CHI_975 * F.greatest(F.col("scale"), F.lit(1.0)))
     return stage(location_and_scatter(near, F.lit(1.0)), "mcd_reweighted")
 
