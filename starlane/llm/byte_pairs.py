@@ -29,7 +29,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 
 from starlane.llm.files import table
-from starlane.llm.tokens import PieceEncoder
+from starlane.llm.tokens import PieceEncoder, Pieces
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 LEAF_BYTES = 48
@@ -111,7 +111,7 @@ class TextEncoder(PieceEncoder):
         self.pairs = BytePairs(read_ranks(path))
         self.pattern = regex.compile(pattern)
         self.spaced, self.cache_size = True, cache_size
-        self.young, self.old, self.first = {}, {}, {}
+        self.young, self.old, self.first = Pieces(), {}, {}
         self.line_end = np.array(self._plain("\n"), dtype="<u4").tobytes()
 
     def _plain(self, text: str) -> list[int]:

@@ -35,6 +35,7 @@ VOCABULARY = "word_bpe_49k.json"
 END_ID = 2
 
 PIECES = "doc_id long, start long, length long, doc_tokens long, loss_tokens long, sequence_id long, offset long, ids array<int>"
+CHECKED = PIECES.replace("ids array<int>", "ids_crc32 long")
 
 
 @dataclass
@@ -63,7 +64,8 @@ class Packer:
         self.free = np.zeros((0, 3))
 
     def add(self, doc_id, ids: np.ndarray, flags: np.ndarray) -> Iterator[list]:
-        total, counts = len(ids), np.concatenate([[0], np.cumsum(flags)])
+        total, counts = len(ids), np.zeros(len(ids) + 1, dtype=np.int64)
+        np.cumsum(flags, out=counts[1:])
 
         def piece(a: int, b: int):
             return (doc_id, a, ids[a:b], total, int(counts[b] - counts[a]), flags[a:b])
@@ -152,16 +154,20 @@ class Packer:
             out, left = [], left - size
 
 
-def pack(docs: DataFrame, vocabulary: str, limits: Limits | None = None, end_id: int = END_ID, loss_from: int = 1) -> DataFrame:
+def pack(
+    docs: DataFrame, vocabulary: str, limits: Limits | None = None, end_id: int = END_ID, loss_from: int = 1, checksums: bool = False
+) -> DataFrame:
     """One row per piece: its document and place there, its sequence and place there, its ids.
 
     ``loss_from`` is the number of tokens at a document's start that bear no loss: the first
-    token of a document is predicted from nothing.
+    token of a document is predicted from nothing. With ``checksums`` each piece's ids are
+    turned into the crc32 of their little-endian unsigned 32-bit form (ids_crc32) where they
+    are packed, rather than moved.
     """
     limits = limits or Limits()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens, packer = encoder(vocabulary), Packer(limits)
+        tokens, packer, end = encoder(vocabulary), Packer(limits), np.array([end_id], dtype="<u4")
         base, made = TaskContext.get().partitionId() << 33, 0
 
         def documents():
@@ -170,7 +176,7 @@ def pack(docs: DataFrame, vocabulary: str, limits: Limits | None = None, end_id:
                     some = batch.slice(at, 256)
                     keys = some.column(0).to_pylist()
                     for key, ids in zip(keys, tokens.encode(some.column(1).to_pylist())):
-                        yield key, np.append(ids, np.uint32(end_id)).astype("<u4")
+                        yield key, np.append(ids, end)
 
         def closed():
             for key, ids in documents():
@@ -184,21 +190,23 @@ def pack(docs: DataFrame, vocabulary: str, limits: Limits | None = None, end_id:
         for pieces in closed():
             offset = 0
             for key, start, ids, total, loss, _ in pieces:
-                rows.append((key, start, len(ids), total, loss, base + made, offset, ids))
+                rows.append((key, start, len(ids), total, loss, base + made, offset, zlib.crc32(ids) if checksums else ids))
                 offset += len(ids)
             size += offset
             made += 1
             if size >= 1_000_000:
-                yield batch_of(rows)
+                yield batch_of(rows, checksums)
                 rows, size = [], 0
         if rows:
-            yield batch_of(rows)
+            yield batch_of(rows, checksums)
 
-    return docs.select("doc_id", F.col("text")).mapInArrow(run, PIECES)
+    return docs.select("doc_id", F.col("text")).mapInArrow(run, CHECKED if checksums else PIECES)
 
 
-def batch_of(rows: list[tuple]) -> pa.RecordBatch:
+def batch_of(rows: list[tuple], checksums: bool) -> pa.RecordBatch:
     *plain, ids = zip(*rows)
+    if checksums:
+        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (*plain, ids)], [c.split()[0] for c in CHECKED.split(", ")])
     ends = np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int32)
     values = pa.array(np.concatenate(ids).astype(np.int32))
     return pa.RecordBatch.from_arrays(
@@ -207,22 +215,8 @@ def batch_of(rows: list[tuple]) -> pa.RecordBatch:
     )
 
 
-def with_checksum(pieces: DataFrame) -> DataFrame:
-    """Replace ids by the crc32 of their little-endian unsigned 32-bit form."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids = batch.column(batch.num_columns - 1)
-            raw = np.asarray(ids.flatten()).astype("<u4").tobytes()
-            ends = (4 * (np.asarray(ids.offsets) - ids.offsets[0].as_py())).tolist()
-            sums = [zlib.crc32(raw[a:b]) for a, b in zip(ends, ends[1:])]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(sums, pa.int64())], [*batch.schema.names[:-1], "ids_crc32"])
-
-    return pieces.mapInArrow(run, PIECES.replace("ids array<int>", "ids_crc32 long"))
-
-
 def packed_documents(docs: DataFrame) -> DataFrame:
-    return with_checksum(pack(docs, public_tokenizers.path(VOCABULARY)))
+    return pack(docs, public_tokenizers.path(VOCABULARY), checksums=True)
 
 
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -214,8 +214,12 @@ def widen(raw: bytes) -> np.ndarray:
     return np.frombuffer(raw[:-1], dtype=f"<u{raw[-1]}")
 
 
-def read_tokens(index: DataFrame, folder: str) -> DataFrame:
-    """Every document of the shards with its ids and the number of ids before it."""
+def read_tokens(index: DataFrame, folder: str, checksums: bool = False) -> DataFrame:
+    """Every document of the shards with its ids and the number of ids before it.
+
+    With ``checksums`` the ids are turned into their number and the crc32 of their
+    little-endian unsigned 32-bit form where they are read, rather than moved.
+    """
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     starts = index.withColumn("start", F.coalesce(F.sum("n_tokens").over(before), F.lit(0)))
 
@@ -230,42 +234,27 @@ def read_tokens(index: DataFrame, folder: str) -> DataFrame:
                         start += len(ids)
                         size += len(ids)
                         if size > VALUES_PER_BLOCK:
-                            yield rows_of(rows)
+                            yield rows_of(rows, checksums)
                             rows, size = [], 0
                 if rows:
-                    yield rows_of(rows)
+                    yield rows_of(rows, checksums)
 
     shards = max(1, index.count())
-    return starts.select("name", "start", "shard").repartition(shards, "shard").drop("shard").mapInArrow(read, "doc_id long, start long, ids array<int>")
+    found = "doc_id long, start long, " + ("n_tokens long, ids_crc32 long" if checksums else "ids array<int>")
+    return starts.select("name", "start", "shard").repartition(shards, "shard").drop("shard").mapInArrow(read, found)
 
 
-def rows_of(rows: list[tuple]) -> pa.RecordBatch:
+def rows_of(rows: list[tuple], checksums: bool) -> pa.RecordBatch:
     keys, starts, ids = zip(*rows)
+    if checksums:
+        columns = [keys, starts, map(len, ids), [zlib.crc32(np.ascontiguousarray(x, dtype="<u4")) for x in ids]]
+        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["doc_id", "start", "n_tokens", "ids_crc32"])
     ends = np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int32)
     lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(ids).astype(np.int32)))
     return pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(starts, pa.int64()), lists], ["doc_id", "start", "ids"])
 
 
-def with_checksum(tokens: DataFrame) -> DataFrame:
-    """Replace ids by their number and the crc32 of their little-endian unsigned 32-bit form."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids = batch.column(2)
-            raw = np.asarray(ids.flatten()).astype("<u4").tobytes()
-            ends = np.asarray(ids.offsets).astype(np.int64)
-            ends = (ends - ends[0]).tolist()
-            sums = [zlib.crc32(raw[4 * a : 4 * b]) for a, b in zip(ends, ends[1:])]
-            counts = [b - a for a, b in zip(ends, ends[1:])]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(counts, pa.int64()), pa.array(sums, pa.int64())],
-                ["doc_id", "start", "n_tokens", "ids_crc32"],
-            )
-
-    return tokens.mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long")
-
-
 def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch_folder(spark, "token_files")
     index = write_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY), folder)
-    return with_checksum(read_tokens(index, folder))
+    return read_tokens(index, folder, checksums=True)

@@ -28,6 +28,17 @@ def has_long_space(text: str) -> bool:
     return (pairs or bool(ODD_SPACE.search(text))) and bool(LONG_SPACE.search(text))
 
 
+class Pieces(dict):
+    """Ids of pieces. A piece that is not there gets a buffer, which is filled before it is read."""
+
+    def __init__(self):
+        self.pending: dict[str, bytearray] = {}
+
+    def __missing__(self, piece: str) -> bytearray:
+        buffer = self[piece] = self.pending[piece] = bytearray()
+        return buffer
+
+
 class PieceEncoder:
     """Encode texts without special tokens.
 
@@ -35,7 +46,7 @@ class PieceEncoder:
     otherwise white space is dropped. The cache holds at most twice ``cache_size`` pieces.
     """
 
-    def __init__(self, path: str, cache_size: int = 600_000):
+    def __init__(self, path: str, cache_size: int = 800_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -43,8 +54,7 @@ class PieceEncoder:
         self.tokenizer.encode_special_tokens = True
         self.spaced = bool(self._plain(" "))
         self.cache_size = cache_size
-        self.young: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
+        self.young, self.old = Pieces(), {}
         self.first: dict[str, bytes] = {}
         # A mark that always is one token of its own and parts two pieces in one call.
         self.mark = "\n" if self.spaced else next(m for m in "~^|=" if len(self._plain(f"a {m} a")) == 3)
@@ -79,24 +89,29 @@ class PieceEncoder:
             return (word, m[2]) if word != piece else None
         return None
 
-    def _missing(self, pieces: set[str]) -> None:
-        """Put pieces into the young half, from the old half or anew."""
-        known = {p: self.old[p] for p in pieces if p in self.old}
-        rest = pieces.difference(known)
+    def _fill(self) -> None:
+        """Fill the buffers of pending pieces, from the old half or anew."""
+        pending, self.young.pending = self.young.pending, {}
+        known = {p: self.old[p] for p in pending if p in self.old}
+        rest = pending.keys() - known.keys()
         lines = [p for p in rest if self.spaced and p[:1] == "\n" and len(p) > 1]
         cut = {p: c for p in rest if (c := self._cut(p))}
-        words = {w for w, _ in cut.values()}.difference(pieces)
-        ready = {w: self.young.get(w) or self.old[w] for w in words if w in self.young or w in self.old}
+        words = {w for w, _ in cut.values()}.difference(pending)
+        ready = {w: x for w in words if (x := self.young.get(w) or self.old.get(w))}
         self._lead_pieces({t for _, t in cut.values()}.union(p[1:] for p in lines))
         new = sorted(rest.union(words).difference(cut, ready, lines))
         ready.update(zip(new, self._encode_pieces(new, " " if self.spaced else "")))
+        ready.update(known)
         for p, (word, tail) in cut.items():
-            ready[p] = (ready.get(word) or known[word]) + (self.first[tail] if tail else b"")
+            ready[p] = ready[word] + (self.first[tail] if tail else b"")
         for p in lines:
             ready[p] = self.line_end + self.first[p[1:]]
-        if len(self.young) + len(ready) + len(known) > self.cache_size:
-            self.old, self.young = self.young, {}
-        self.young.update(known)
+        for p, buffer in pending.items():
+            buffer += ready[p]
+        if len(self.young) + len(words) > self.cache_size:
+            for p in pending:
+                del self.young[p]
+            self.old, self.young = dict(self.young), Pieces()
         self.young.update(ready)
 
     def _lead_pieces(self, pieces: set[str]) -> None:
@@ -131,20 +146,15 @@ class PieceEncoder:
     def _encode_group(self, texts: list[str]) -> list[np.ndarray]:
         split = [self._split(t) for t in texts]
         heads = [p.pop(0) if p and self.spaced else "" for p in split]
-        got = [[*map(self.young.get, p or ())] for p in split]
-        lost = {p for pieces, ids in zip(split, got) if None in ids for p, x in zip(pieces, ids) if x is None}
-        if lost:
-            self._missing(lost)
+        got = [[*map(self.young.__getitem__, p or ())] for p in split]
         self._lead_pieces(set(heads))
-        out = []
-        for text, head, pieces, ids in zip(texts, heads, split, got):
-            if pieces is None:
-                out.append(np.array(self._plain(text), dtype="<u4"))
-                continue
-            if None in ids:
-                ids = [self.young[p] if x is None else x for p, x in zip(pieces, ids)]
-            out.append(np.frombuffer(self.first[head] + b"".join(ids), dtype="<u4"))
-        return out
+        leads = [self.first[h] for h in heads]
+        if self.young.pending:
+            self._fill()
+        return [
+            np.array(self._plain(text), dtype="<u4") if pieces is None else np.frombuffer(lead + b"".join(ids), dtype="<u4")
+            for text, lead, pieces, ids in zip(texts, leads, split, got)
+        ]
 
 
 @lru_cache(maxsize=2)
