@@ -46,7 +46,9 @@ def test_token_files_hold_the_corpus_in_order(spark, tmp_path):
     folder = str(tmp_path / "tokens")
     index = token_files.write_tokens(docs, public_tokenizers.path(token_files.VOCABULARY), folder, docs_per_shard=4)
     assert index.count() > 1
-    got = token_files.with_checksum(token_files.read_tokens(index, folder)).collect()
+    got = token_files.read_tokens(index, folder, checksums=True).collect()
+    plainly = {r["start"]: r["ids"] for r in token_files.read_tokens(index, folder).collect()}
+    assert all(zlib.crc32(np.array(plainly[r["start"]], dtype="<u4").tobytes()) == r["ids_crc32"] for r in got)
     ids = [(r["doc_id"], plain(r["text"]) + [2]) for r in docs.collect()]
     ids.sort(key=lambda x: (x[0] is not None, x[0] or 0, np.array(x[1], dtype="<u2").tobytes()))
     want, start = [], 0
@@ -144,6 +146,12 @@ def test_packer_keeps_all_limits(items, segments, loss):
     assert {k: sorted(v) for k, v in seen.items()} == {k: list(range(n)) for k, (n, _) in enumerate(items)}
 
 
-def test_checksum_of_pieces(spark):
-    ids = spark.createDataFrame([(1, 0, 2, 2, 1, 0, 0, [7, 2])], packing.PIECES)
-    assert packing.with_checksum(ids).first()["ids_crc32"] == zlib.crc32(np.array([7, 2], dtype="<u4").tobytes())
+def test_checksums_of_pieces(spark):
+    docs, path = documents(spark).coalesce(1), public_tokenizers.path(packing.VOCABULARY)
+    pieces = {(p["sequence_id"], p["offset"]): p for p in packing.pack(docs, path).collect()}
+    checked = packing.pack(docs, path, checksums=True).collect()
+    assert len(checked) == len(pieces)
+    for c in checked:
+        p = pieces[c["sequence_id"], c["offset"]]
+        assert c["ids_crc32"] == zlib.crc32(np.array(p["ids"], dtype="<u4").tobytes())
+        assert all(c[n] == p[n] for n in ("doc_id", "start", "length", "doc_tokens", "loss_tokens"))
