@@ -161,8 +161,8 @@ def write_tokens(docs: DataFrame, vocabulary: str, folder: str, end_id: int = EN
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(0, dtype=np.int64)
         for batch in batches:
-            for raw in batch.column(2).to_pylist():
-                part = np.bincount(widen(raw))
+            for at in range(0, batch.num_rows, 256):
+                part = np.bincount(np.concatenate([widen(raw) for raw in batch.column(2).slice(at, 256).to_pylist()]))
                 if len(part) > len(total):
                     part[: len(total)] += total
                     total = part
