@@ -1,7 +1,9 @@
 """Licence scans by canonical digest lookup.
 
-A text is brought to a canonical form: lower case, copyright lines dropped, punctuation and
-white space turned into single spaces, and equivalent spellings made equal. The digest of the
+A text is brought to a canonical form: lower case, copyright statements dropped, punctuation and
+white space turned into single spaces, and equivalent spellings made equal. A statement is the
+word or sign with a year or a holder; a line of the licence's body that happens to begin with
+the word is kept, so the form does not depend on where the lines break. The digest of the
 whole form is looked up among the digests of known licence texts and notices by a hash join.
 Texts looked up are each document as a whole and each of its lines, as notices mostly stand on
 a line of their own. All of it is DataFrame expressions.
@@ -20,7 +22,28 @@ from pyspark.sql import functions as F
 
 from starlane.llm.files import table
 
-#: Lines that name who holds the rights.
+#: What can follow a copyright statement on its line: the body of a licence.
+BODY = (
+    r"permission is hereby|permission to use|redistribution and use|redistributions of|licensed under|licensed to|released under|"
+    r"this (?:program|library|software|file|work|project|source|code|product|material|license|is) |the above copyright|"
+    r"everyone is permitted|use of this|your use of|you may|see (?:the )?licen[cs]e|distributed under"
+)
+#: Words that follow "copyright" within the body of a licence, where a holder's name would follow in a statement.
+NOT_A_HOLDER = (
+    r"holders?|owners?|notices?|licen[cs]es?|licen[cs]ed|laws?|acts?|interests?|in|and|or|as|is|are|to|of|on|for|from|that|which|with|under|"
+    r"statements?|protection|treaty|treaties|ownership|claims?|rights?|disclaimers?|information|infringement|permissions?|grants?|terms?|"
+    r"materials?|legends?|status|control|management|resulting|applies|applicable|conditions?|lines?|page|appl\w*|but|if|may|must|shall|s"
+)
+_YEAR = r"[^a-z0-9\n]{0,3}(?:[12][0-9]{3}|yyyy|year)\b"
+_MARK = r"(?:copyright|©|\(c\))(?:[^a-z0-9\n]*?(?:copyright|©|\(c\)))*"
+_NAMED = rf"copyright[ \t:]+(?:by[ \t]+)?(?!(?:{NOT_A_HOLDER})\b)(?=\p{{L}}|\[|<)(?=(?:[^\s]+[ \t\r]*){{1,8}}\Z)"
+#: A statement at the start of a line: a mark and a year, a sign and a holder, or the word and a short name.
+STATEMENT = rf"\A[^a-z0-9]*(?:portions[ \t]+)?(?:{_MARK}{_YEAR}|(?:copyright\s*)?©|copyright\s*\(c\)|{_NAMED})(?:[^\n]{{0,300}}?(?=\b(?:{BODY}))|[^\n]{{0,300}}\Z)"
+#: A statement with a year between other words of a line and the body.
+STATEMENT_WITHIN = rf"{_MARK}{_YEAR}[^\n]{{0,300}}?(?=\b(?:{BODY}))"
+RESERVED = "all rights reserved"
+
+#: The rule of the SQL counterpart, which drops any line that begins with the word.
 COPYRIGHT_LINE = r"\A[^a-z0-9]*(copyright|©|\(c\) *[0-9]|all rights reserved)[^\n]*"
 #: Spellings that count as equal, after punctuation is gone.
 SPELLINGS = [
@@ -81,9 +104,20 @@ ANY_SPELLING = rf"\b({'|'.join(old for old, _ in SPELLINGS)})\b"
 
 
 def plain_line(line: Column) -> Column:
-    """A line in lower case with single spaces for punctuation; empty if it is a copyright line."""
-    bare = F.regexp_replace(F.lower(line), COPYRIGHT_LINE, " ")
-    return F.trim(F.regexp_replace(bare, r"[^\p{L}\p{N}]+", " "))
+    """A line in lower case with single spaces for punctuation, without copyright statements."""
+
+    def plain(low: Column) -> Column:
+        marked = low.contains("copyright") | low.contains("©") | low.contains("(c)")
+        bare = F.regexp_replace(F.regexp_replace(low, STATEMENT, " "), STATEMENT_WITHIN, " ")
+        return without_reserved(F.trim(F.regexp_replace(F.when(marked, bare).otherwise(low), r"[^\p{L}\p{N}]+", " ")))
+
+    # An array of one binds the line in lower case, so that it is made once.
+    return F.transform(F.array(F.lower(line)), plain)[0]
+
+
+def without_reserved(form: Column) -> Column:
+    bare = F.trim(F.regexp_replace(form, rf"\b{RESERVED}\b ?", ""))
+    return F.when(form.contains(RESERVED), bare).otherwise(form)
 
 
 def one_spelling(form: Column) -> Column:
@@ -93,6 +127,7 @@ def one_spelling(form: Column) -> Column:
 
 def digest(form: Column) -> Column:
     """The digest of a canonical form; NULL where that is empty."""
+    form = without_reserved(form)
     return F.when(form != "", F.sha2(one_spelling(form), 256))
 
 

@@ -1,5 +1,6 @@
 import hashlib
 import re
+import textwrap
 from html import unescape
 
 import numpy as np
@@ -108,6 +109,34 @@ def test_licences(spark):
     assert licences.scan(no_documents(spark), known, few_known=True).count() == 0
 
 
+def test_licence_forms_do_not_depend_on_line_breaks(spark):
+    published = (
+        "MIT License\n\nCopyright (c) 2021 A. Holder and others\n\n"
+        "Permission is hereby granted, free of charge, to any person obtaining a copy\nof this software and associated documentation "
+        'files (the "Software"), to deal\nin the Software without restriction, including without limitation the rights\nto use, copy, modify, '
+        "merge, publish, distribute, sublicense, and/or sell\ncopies of the Software, and to permit persons to whom the Software is\nfurnished "
+        "to do so, subject to the following conditions:\n\nThe above copyright notice and this permission notice shall be included in all\n"
+        'copies or substantial portions of the Software.\n\nTHE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR\n'
+        "IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,\nFITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO "
+        "EVENT SHALL THE\nAUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER\nLIABILITY, WHETHER IN AN ACTION OF CONTRACT, "
+        "TORT OR OTHERWISE, ARISING FROM,\nOUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE\nSOFTWARE.\n"
+    )
+    heads = ["", "Copyright 2020 Some One\n", "(c) 1999-2004, X Inc. All rights reserved.\n", "Copyright Acme Corp.\n", "Copyright © Some One\n\n"]
+    texts, want = [published, " ".join(published.split())], ["MIT", "MIT"]
+    for name, body in (("MIT", licences.MIT), ("ISC", licences.ISC)):
+        one = " ".join(body.split())
+        texts += [one, f"Copyright (c) 2020 Some One. All rights reserved. {one}"]
+        want += [name, name]
+        for width in range(12, 130, 3):
+            texts.append(heads[width % 5] + textwrap.fill(one, width, break_long_words=False))
+            want.append(name)
+    texts += ["Copyright holders may object.\n" + licences.MIT, "© the sign of 2020\nsome text"]
+    docs = documents(spark, extra=[(100 + i, t, "en", "a") for i, t in enumerate(texts)])
+    known = spark.createDataFrame(licences.KNOWN, "license_id string, kind string, text string")
+    got = {r["doc_id"]: r["license_id"] for r in licences.scan(docs, known).where("line = 0").collect()}
+    assert [got.get(100 + i) for i in range(len(texts))] == [*want, None, None]
+
+
 VECTORS = "vec_id long, embedding array<float>, label int, v int, rank string, block string"
 
 
