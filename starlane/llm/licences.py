@@ -5,8 +5,10 @@ white space turned into single spaces, and equivalent spellings made equal. A st
 word or sign with a year or a holder; a line of the licence's body that happens to begin with
 the word is kept, so the form does not depend on where the lines break. The digest of the
 whole form is looked up among the digests of known licence texts and notices by a hash join.
-Texts looked up are each document as a whole and each of its lines, as notices mostly stand on
-a line of their own. All of it is DataFrame expressions.
+Texts looked up are each document as a whole, each of its lines, as notices mostly stand on
+a line of their own, and runs of lines, as headers of several lines do; blank and comment lines
+within a run do not count. Of all runs, those are made that begin with the first words of a
+known text and have as many words as one. All of it is DataFrame expressions.
 
 Defined cases: a NULL text, and one that has no letter or digit in its canonical form, matches
 nothing; NULL doc_id and repeated rows are looked up each for itself; a text that is one line
@@ -15,12 +17,14 @@ is found as a whole and as that line; an empty table gives no rows; other column
 
 from __future__ import annotations
 
+import json
 from functools import reduce
+from importlib.resources import files
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starlane.llm.files import table
+from starlane.llm.files import stage, table
 
 #: What can follow a copyright statement on its line: the body of a licence.
 BODY = (
@@ -84,7 +88,7 @@ Unless required by applicable law or agreed to in writing, software distributed
 "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific
 language governing permissions and limitations under the License.
 """
-#: Licence texts and notices, by SPDX identifier.
+#: The licence texts and notices of the SQL counterpart, by SPDX identifier; ``registry`` holds more.
 KNOWN = [
     ("MIT", "text", MIT), ("MIT", "text", "The MIT License (MIT)\n" + MIT), ("MIT", "text", "MIT License\n" + MIT),
     ("ISC", "text", ISC), ("ISC", "text", "ISC License\n" + ISC),
@@ -111,8 +115,7 @@ def plain_line(line: Column) -> Column:
         bare = F.regexp_replace(F.regexp_replace(low, STATEMENT, " "), STATEMENT_WITHIN, " ")
         return without_reserved(F.trim(F.regexp_replace(F.when(marked, bare).otherwise(low), r"[^\p{L}\p{N}]+", " ")))
 
-    # An array of one binds the line in lower case, so that it is made once.
-    return F.transform(F.array(F.lower(line)), plain)[0]
+    return bound(F.lower(line), plain)
 
 
 def without_reserved(form: Column) -> Column:
@@ -131,38 +134,104 @@ def digest(form: Column) -> Column:
     return F.when(form != "", F.sha2(one_spelling(form), 256))
 
 
-def unit_digests(text: Column) -> Column:
+def registry() -> list[tuple[str, str, str]]:
+    """All known texts: those of the data file and ``KNOWN``."""
+    held = files("starlane.llm").joinpath("licence_registry.jsonl").read_text("utf-8").splitlines()
+    return [*KNOWN, *((r["license_id"], r["kind"], r["text"]) for r in map(json.loads, held))]
+
+
+def bound(value: Column, function) -> Column:
+    """The function of a value, which is made once: an array of one binds it."""
+    return F.transform(F.array(value), function)[0]
+
+
+def joined(forms: Column) -> Column:
+    return F.array_join(F.filter(forms, lambda x: x != ""), " ")
+
+
+def plain_lines(text: Column) -> Column:
+    return F.transform(F.split(text, "\n"), plain_line)
+
+
+def unit_digests(lines: Column) -> Column:
     """Digests of the whole text, first, and of each of its lines."""
+    return F.transform(F.concat(F.array(joined(lines)), lines), digest)
+
+
+HEAD = 3
 
-    def of_lines(lines: Column) -> Column:
-        whole = F.array_join(F.filter(lines, lambda x: x != ""), " ")
-        return F.transform(F.concat(F.array(whole), lines), digest)
 
-    # An array of one binds the lines, so that they are made once for both.
-    return F.transform(F.array(F.transform(F.split(text, "\n"), plain_line)), of_lines)[0]
+def head(form: Column) -> Column:
+    return F.substring_index(form, " ", HEAD)
+
+
+def n_words(form: Column) -> Column:
+    return F.size(F.split(form, " "))
 
 
 def known_digests(known: DataFrame) -> DataFrame:
     """Digests of known texts (license_id, kind, text), each with its first identifier."""
-    found = known.select("license_id", "kind", unit_digests(F.col("text"))[0].alias("digest")).where("digest is not null")
-    return found.groupBy("digest").agg(F.min("license_id").alias("license_id"), F.min("kind").alias("kind"))
+    form = one_spelling(without_reserved(joined(plain_lines(F.col("text")))))
+    found = known.select("license_id", "kind", form.alias("form")).where("form != ''")
+    return found.groupBy(F.sha2("form", 256).alias("digest")).agg(
+        F.min("license_id").alias("license_id"), F.min("kind").alias("kind"), F.first(head(F.col("form"))).alias("head"), F.first(n_words(F.col("form"))).alias("words")
+    )
 
 
-def scan(docs: DataFrame, known: DataFrame, few_known: bool = False) -> DataFrame:
-    """A row for each document, or line of one, that is a known text: line 0 is the whole document.
+def run_digests(lines: Column, heads: Column, words: Column) -> Column:
+    """(line, digest) of runs of two lines and more, but for the whole text, that may be known texts."""
 
-    ``few_known`` tells that the known texts are a fixed short list, which is then broadcast.
+    def of_filled(filled: Column) -> Column:
+        forms, last = filled["form"], F.size(filled)
+
+        def starts_known(i: Column) -> Column:
+            return F.array_contains(heads, head(one_spelling(F.substring_index(F.array_join(F.slice(forms, i, 2 * HEAD), " "), " ", 2 * HEAD))))
+
+        def of_starts(starts: Column) -> Column:
+            sums = F.aggregate(forms, F.array(F.lit(0)), lambda acc, x: F.concat(acc, F.array(F.element_at(acc, -1) + n_words(x))))
+
+            def runs(below: Column) -> Column:
+                def from_start(i: Column) -> Column:
+                    # Spellings of two words that are one in the known text make a run longer by a few words.
+                    def may_be_known(j: Column) -> Column:
+                        n = below[j] - below[i - 1]
+                        return ((i > 1) | (j < last)) & F.exists(F.array(*[n - k for k in range(4)]), lambda m: F.array_contains(words, m))
+
+                    ends = F.filter(F.sequence(i + 1, F.least(last, i + F.array_max(words) + 3)), may_be_known)
+                    return F.transform(ends, lambda j: F.struct(filled[i - 1]["at"].alias("line"), digest(F.array_join(F.slice(forms, i, j - i + 1), " ")).alias("digest")))
+
+                return F.flatten(F.transform(starts, from_start))
+
+            return F.when(F.size(starts) > 0, bound(sums, runs))
+
+        return F.when(last > 1, bound(F.filter(F.sequence(F.lit(1), last - 1), starts_known), of_starts))
+
+    placed = F.transform(lines, lambda x, i: F.struct((i + 1).alias("at"), x.alias("form")))
+    return F.coalesce(bound(F.filter(placed, lambda x: x["form"] != ""), of_filled), F.array().cast("array<struct<line:int,digest:string>>"))
+
+
+def scan(docs: DataFrame, known: DataFrame, few_known: bool = False, runs: bool = False) -> DataFrame:
+    """A row for each document, or line or run of lines of one, that is a known text.
+
+    Line 0 is the whole document; a run has the number of its first line. Runs are looked up
+    if ``runs`` is set. ``few_known`` tells that the known texts are a fixed short list, which
+    is then broadcast.
     """
-    units = docs.select("doc_id", F.posexplode(unit_digests(F.col("text"))).alias("line", "digest"))
     digests = known_digests(known)
-    return units.join(F.broadcast(digests) if few_known else digests, "digest").select(
-        "doc_id", F.col("line").cast("long").alias("line"), "license_id", "kind", "digest"
-    )
+    parts = docs.select("doc_id", F.coalesce(plain_lines(F.col("text")), F.array().cast("array<string>")).alias("lines"))
+    units = F.transform(unit_digests(F.col("lines")), lambda x, i: F.struct(i.alias("line"), x.alias("digest")))
+    if runs:
+        marks = digests.agg(F.collect_set("head").alias("heads"), F.collect_set("words").alias("words"))
+        parts = parts.crossJoin(F.broadcast(marks))
+        units = F.concat(units, run_digests(F.col("lines"), F.col("heads"), F.col("words")))
+    rows = parts.select("doc_id", F.explode(units).alias("unit")).select("doc_id", F.col("unit.line").cast("long").alias("line"), "unit.digest")
+    found = digests.drop("head", "words")
+    return rows.join(F.broadcast(found) if few_known else found, "digest").select("doc_id", "line", "license_id", "kind", "digest")
 
 
 def op8_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
-    known = spark.createDataFrame(KNOWN, "license_id string, kind string, text string")
-    return scan(table(spark, sf_dir, "documents"), known, few_known=True)
+    known = stage(spark.createDataFrame(registry(), "license_id string, kind string, text string").coalesce(1), "licences")
+    return scan(table(spark, sf_dir, "documents"), known, few_known=True, runs=True)
 
 
 def _quoted(text: str) -> str:

@@ -137,6 +137,34 @@ def test_licence_forms_do_not_depend_on_line_breaks(spark):
     assert [got.get(100 + i) for i in range(len(texts))] == [*want, None, None]
 
 
+def test_licence_registry(spark):
+    held = licences.registry()
+    texts = {i: t for i, k, t in held if k == "text" and i in ("BSD-2-Clause", "BSD-3-Clause", "Unlicense", "Zlib", "Apache-2.0", "GPL-2.0-only", "MPL-2.0")}
+    header = "#!/bin/sh\n# Copyright 2020 Some One\n#\n" + "\n#\n".join(
+        "\n".join("# " + x for x in textwrap.wrap(part, 60)) for part in licences.APACHE_NOTICE.strip().replace("License at ", "License at\n").split("\n")
+    )
+    lgpl = (
+        "/*\n * This library is free software; you can redistribute it and/or\n * modify it under the terms of the GNU Lesser General Public\n"
+        " * License as published by the Free Software Foundation; either\n * version 2.1 of the License, or (at your option) any later version.\n */\nint x;"
+    )
+    cases = [
+        (header + "\n\necho licensed\n", [(4, "Apache-2.0")]),
+        (lgpl, [(2, "LGPL-2.1-or-later")]),
+        ("x\nLicensed under CC BY 3.0\ny", [(2, "CC-BY-3.0")]),
+        ("x\nLicensed under the\nMIT\n\nLicence and more\nx", []),
+        ("x\nLicensed under the\nMIT\n\nLicence\nx", [(2, "MIT")]),
+        *((f"Foo {i}\n\n" + textwrap.fill(" ".join(t.split()), 90) + "\n\nbar", [(3, i)]) for i, t in texts.items() if not t.startswith("\n") and i not in ("GPL-2.0-only",)),
+        (texts["GPL-2.0-only"], [(0, "GPL-2.0-only")]),
+    ]
+    docs = documents(spark, extra=[(200 + n, c[0], "en", "a") for n, c in enumerate(cases)])
+    known = spark.createDataFrame(held, "license_id string, kind string, text string")
+    got = {(r["doc_id"], r["line"], r["license_id"]) for r in licences.scan(docs, known, few_known=True, runs=True).collect()}
+    for n, (_, want) in enumerate(cases):
+        mine = {(line, i) for d, line, i in got if d == 200 + n}
+        assert set(want) <= mine and (want or not mine), (n, cases[n][0][:60], want, mine)
+    assert licences.scan(no_documents(spark), known, runs=True).count() == 0
+
+
 VECTORS = "vec_id long, embedding array<float>, label int, v int, rank string, block string"
 
 
