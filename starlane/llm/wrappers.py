@@ -12,8 +12,9 @@ Trees are summed up before they are aligned: children with equal labels are one
 paragraphs of an article are, so that their number does not matter.
 
 A page whose own tree has no match for the host's content slot, or whose host has no other
-page, is judged by its own tree. Below an ``article`` or ``main`` element all text is content
-but for labelled parts; below other elements template nodes are dropped too.
+page, is judged by its own tree. Below the content slot labelled parts and template nodes are dropped;
+in an ``article`` or ``main`` element only whole blocks of the very text of the template, and only if
+the content differs on enough pages of the host.
 
 Defined cases: NULL, empty or text-less html gives an empty text; a NULL url is a host of its
 own; NULL page_id and repeated rows are extracted each for itself; an empty table gives no
@@ -208,13 +209,34 @@ def align(a: list, b: list) -> list[tuple[str, list, str, list]]:
     return pairs
 
 
+def total_chars(node: list, path: str, chars: dict[str, float]) -> float:
+    if node[2] or node[1] in NO_TEXT:
+        return 0.0
+    return chars.get(path, 0.0) + sum(total_chars(c, f"{path}/{c[0]}", chars) for c in node[4])
+
+
+def whole_blocks(tree: list, equal: set[str]) -> set[str]:
+    """The nodes of blocks all of whose text is in equal nodes; words within a sentence stay."""
+    out: set[str] = set()
+
+    def walk(node: list, path: str) -> tuple[bool, list[str]]:
+        below = [walk(c, f"{path}/{c[0]}") for c in node[4]]
+        paths = [path, *(p for _, ps in below for p in ps)]
+        all_equal = (not node[3] or path in equal) and all(e for e, _ in below)
+        if all_equal and node[1] in BLOCKS:
+            out.update(paths)
+            paths = []
+        return all_equal, paths if all_equal else []
+
+    walk(tree, tree[0])
+    return out
+
+
 def content_path(tree: list, chars: dict[str, float]) -> str:
     """The path below which most of the given characters lie, apart from labelled parts."""
 
     def total(node: list, path: str) -> float:
-        if node[2] or node[1] in NO_TEXT:
-            return 0.0
-        return chars.get(path, 0.0) + sum(total(c, f"{path}/{c[0]}") for c in node[4])
+        return total_chars(node, path, chars)
 
     def has_main(node: list, path: str) -> float:
         if node[2]:
@@ -309,15 +331,18 @@ def flatten(root: Node) -> None:
 def extract(html: str | None, wrapper: dict | None) -> str:
     root, summary = tree_of(html)
     tree = skeleton(summary)
-    content, dropped = None, set()
+    content, dropped, equal = None, set(), set()
     if wrapper:
-        for path, node, of_host, _ in align(tree, wrapper["tree"]):
+        for path, node, of_host, other in align(tree, wrapper["tree"]):
             if of_host == wrapper["content"]:
                 content, main = path, node[1] in MAIN
             elif of_host in wrapper["template"]:
                 dropped.add(path)
+            # In a main element a node is dropped only if it is a block of the very text of the template.
+            if of_host in wrapper["template"] and node[3] == other[3]:
+                equal.add(path)
         if content is not None and main:
-            dropped = set()
+            dropped = whole_blocks(tree, equal) if wrapper["varies"] else set()
     if content is None:
         content, dropped = content_path(tree, own_chars(summary)), set()
     text = collect(root, content, dropped)
@@ -346,7 +371,11 @@ def wrapper_of(tree: str, nodes: list[dict]) -> str:
     parsed = json.loads(tree)
     fixed = {n["path"] for n in nodes if n["n"] >= EVIDENCE and n["same"] >= SAME_SHARE * n["n"]}
     chars = {n["path"]: float(n["chars"]) for n in nodes if n["path"] not in fixed}
-    return json.dumps({"tree": parsed, "content": content_path(parsed, chars), "template": sorted(fixed)})
+    # Where only parts vary, as on copies of one page, each page is judged by its own tree.
+    content = content_path(parsed, chars) if total_chars(parsed, parsed[0], chars) else None
+    # Few distinct texts, as copies with other menus have, tell nothing about what is template in the content.
+    varies = any(n["n"] - n["same"] >= EVIDENCE and f"{n['path']}/".startswith(f"{content}/") for n in nodes)
+    return json.dumps({"tree": parsed, "content": content, "template": sorted(fixed), "varies": varies})
 
 
 def with_host(pages: DataFrame) -> DataFrame:

@@ -78,6 +78,19 @@ def test_main_text_of_a_host(spark):
     assert wrappers.main_texts(pages(spark, [])).count() == 0
 
 
+def test_template_inside_an_article(spark):
+    rows = []
+    for i in range(16):
+        box = "<div class='box-3'>Read more on our site</div>" if i != 7 else "<div class='box-3'>Own words</div>"
+        rows.append((i, "http://a.example/x", page(f"T{i}", f"{box}<p>{words(50, i)}</p>", i)))
+        # Copies of one article with other menus: its text is not template.
+        rows.append((100 + i, "http://b.example/x", page("T", f"<p>{words(50, 1)}</p>", 1).replace("menu 1", f"menu {i}")))
+    got = {r["page_id"]: r["text"] for r in wrappers.main_texts(pages(spark, rows)).collect()}
+    for i in range(16):
+        assert got[i] == f"T{i} {'Own words ' if i == 7 else ''}{words(50, i)}"
+        assert got[100 + i] == f"T {words(50, 1)}"
+
+
 def test_main_text_of_sample_pages(spark, samples):
     table = spark.read.parquet(f"{samples}/pages.parquet")
 
