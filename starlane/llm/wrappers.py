@@ -57,6 +57,9 @@ BLOCKS = set(
 )
 CONTAINERS = set("html body div section article main table tbody tr td center ul ol dl figure #root".split())
 MAIN = {"article", "main"}
+#: Elements that no word of class, id or role makes a part.
+NEVER = {"html", "body", *MAIN}
+BY_WORD = 2
 #: A new element of these kinds ends an open one of the kinds beside it.
 ENDS_P = BLOCKS - {"br", "option", "legend", "caption", "tbody", "td", "th", "tr", "tfoot", "thead", "title", "body", "html"}
 ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
@@ -64,23 +67,25 @@ SCOPE = {"ul", "ol", "dl", "table", "select", "div", "section", "article", "main
 
 TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>|<[!?][^>]*(?:>|\Z)""", re.S)
 LOOSE_TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|\Z)", re.S)
-ATTRIBUTE = re.compile(r"""\b(class|id|role|hidden|aria-hidden|style)\b\s*(?:=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
+ATTRIBUTE = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
 NUMBER = re.compile(r"\d+")
 
 SAME_SHARE, MOST, EVIDENCE = 0.9, 0.8, 4
 
 
 class Node:
-    __slots__ = ("tag", "label", "part", "children")
+    __slots__ = ("tag", "label", "part", "heads", "children")
 
     def __init__(self, tag: str, attributes: str = ""):
         self.tag, self.children = tag, []
-        found = {k.lower(): v.strip("\"'") for k, v in ATTRIBUTE.findall(attributes)} if attributes else {}
+        found = {k.lower(): v.strip("\"'") for k, v in reversed(ATTRIBUTE.findall(attributes))} if attributes else {}
         names = " ".join(found.get(k, "") for k in ("class", "id", "role")).lower()
         self.label = f"{tag}.{NUMBER.sub('#', '.'.join(names.split()))}" if names.strip() else tag
-        words = set(re.split(r"[^a-z]+", names)) if names else set()
+        words = set(re.split(r"[^a-z]+", names)) if names and tag not in NEVER else set()
         unseen = "hidden" in found or found.get("aria-hidden") == "true" or "display:none" in found.get("style", "").replace(" ", "")
-        self.part = tag in PARTS or bool(words & WORDS) or ("header" in words) or unseen
+        # True for what an element or attribute says, BY_WORD for what a word says; the host's counts can lift the latter.
+        self.part = True if tag in PARTS or unseen else BY_WORD if words & WORDS or "header" in words else False
+        self.heads = self.part == BY_WORD and not words & WORDS
 
 
 def parse(html: str) -> Node:
@@ -117,7 +122,7 @@ def parse(html: str) -> Node:
                 if stack[i].tag in SCOPE:
                     break
         node = Node(name, tag[3] or "")
-        if node.tag == "header" and any(n.tag in MAIN for n in stack):
+        if (node.tag == "header" or node.heads) and any(n.tag in MAIN for n in stack):
             node.part = False  # the head of an article, not of the page
         stack[-1].children.append(node)
         if name in RAW:
@@ -215,6 +220,28 @@ def total_chars(node: list, path: str, chars: dict[str, float]) -> float:
     return chars.get(path, 0.0) + sum(total_chars(c, f"{path}/{c[0]}", chars) for c in node[4])
 
 
+def lifted(tree: list, chars: dict[str, float]) -> list[str]:
+    """Labels of nodes that a word makes a part, but that hold most of the varying text of the host."""
+    sums: list[tuple[str, float]] = []
+
+    def add(node: list, path: str) -> float:
+        if node[2] is True or node[1] in NO_TEXT:
+            return 0.0
+        held = chars.get(path, 0.0) + sum(add(c, f"{path}/{c[0]}") for c in node[4])
+        sums.append((node[0], held))
+        return held
+
+    most = MOST * add(tree, tree[0])
+    return sorted({label for label, held in sums if held >= most > 0})
+
+
+def lift(tree: list, labels: set[str]) -> None:
+    if tree[2] == BY_WORD and tree[0] in labels:
+        tree[2] = False
+    for child in tree[4]:
+        lift(child, labels)
+
+
 def whole_blocks(tree: list, equal: set[str]) -> set[str]:
     """The nodes of blocks all of whose text is in equal nodes; words within a sentence stay."""
     out: set[str] = set()
@@ -303,8 +330,14 @@ def deep(function):
 MAX_DEPTH = 2_000
 
 
-def tree_of(html: str | None) -> tuple[Node, Summary]:
+def tree_of(html: str | None, labels: set[str] = frozenset()) -> tuple[Node, Summary]:
     root = parse(html or "")
+    todo = [root] if labels else []
+    while todo:
+        node = todo.pop()
+        if node.part is not True and node.label in labels:
+            node.part = False
+        todo.extend(c for c in node.children if not isinstance(c, str))
     flatten(root)
     return root, summarize([root])
 
@@ -329,7 +362,7 @@ def flatten(root: Node) -> None:
 
 @deep
 def extract(html: str | None, wrapper: dict | None) -> str:
-    root, summary = tree_of(html)
+    root, summary = tree_of(html, set(wrapper["lifted"]) if wrapper else set())
     tree = skeleton(summary)
     content, dropped, equal = None, set(), set()
     if wrapper:
@@ -371,11 +404,13 @@ def wrapper_of(tree: str, nodes: list[dict]) -> str:
     parsed = json.loads(tree)
     fixed = {n["path"] for n in nodes if n["n"] >= EVIDENCE and n["same"] >= SAME_SHARE * n["n"]}
     chars = {n["path"]: float(n["chars"]) for n in nodes if n["path"] not in fixed}
+    labels = lifted(parsed, chars)
+    lift(parsed, set(labels))
     # Where only parts vary, as on copies of one page, each page is judged by its own tree.
     content = content_path(parsed, chars) if total_chars(parsed, parsed[0], chars) else None
     # Few distinct texts, as copies with other menus have, tell nothing about what is template in the content.
     varies = any(n["n"] - n["same"] >= EVIDENCE and f"{n['path']}/".startswith(f"{content}/") for n in nodes)
-    return json.dumps({"tree": parsed, "content": content, "template": sorted(fixed), "varies": varies})
+    return json.dumps({"tree": parsed, "content": content, "template": sorted(fixed), "varies": varies, "lifted": labels})
 
 
 def with_host(pages: DataFrame) -> DataFrame:

@@ -91,6 +91,21 @@ def test_template_inside_an_article(spark):
         assert got[100 + i] == f"T {words(50, 1)}"
 
 
+def test_words_of_a_class_do_not_drop_the_content(spark):
+    def text_of(html):
+        return wrappers.extract(html, None)
+
+    body = f"<h1>Head</h1><p>{words(40, 1)}</p>"
+    want = f"Head {words(40, 1)}"
+    for start in ("<body class='page has-sidebar'>{}", "<body class='single no-comments'>{}", "<main class='content-with-sidebar'>{}</main>"):
+        assert text_of(start.format(body)) == want
+    assert text_of(f"<article><div class='entry-header'><h1>Head</h1></div><p>{words(40, 1)}</p></article>") == want
+    assert text_of('<p title="hidden gems">one</p><div data-hidden="false">two</div><p hidden>three</p>') == "one two"
+    rows = [(i, "http://a.example/x", f"<body><div class='menu'>all pages</div><div class='search-results'><p>{words(60, i)}</p></div><footer>f {i}</footer></body>") for i in range(9)]
+    got = {r["page_id"]: r["text"] for r in wrappers.main_texts(pages(spark, rows)).collect()}
+    assert got == {i: words(60, i) for i in range(9)}
+
+
 def test_main_text_of_sample_pages(spark, samples):
     table = spark.read.parquet(f"{samples}/pages.parquet")
 
