@@ -1,0 +1,113 @@
+"""Decontamination against a search for every window in every text."""
+
+import random
+import re
+
+import pytest
+
+from messy_tables import documents, no_documents
+from starlane.llm.leaks import Automaton, built, find_leaks, merged, remove_leaks, words_of
+
+WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+LOWER = {c: c + 32 for c in range(65, 91)}
+ITEMS = "item_id long, text string, words string, doc_id long"
+
+
+def split(text):
+    return WORD.findall((text or "").translate(LOWER))
+
+
+def reference(text, items, window):
+    words, hit, named = split(text), set(), set()
+    for item_id, item in items:
+        parts = split(item)
+        size = min(window, len(parts))
+        windows = {tuple(parts[i : i + size]) for i in range(len(parts) - size + 1)} if size else set()
+        for i in range(len(words) - size + 1):
+            if size and tuple(words[i : i + size]) in windows:
+                hit.update(range(i, i + size))
+                if item_id is not None:
+                    named.add(str(item_id))
+    return len(words), len(hit), sorted(named)
+
+
+def items_table(spark, items):
+    return spark.createDataFrame([(*i, "x", 1) for i in items], ITEMS)
+
+
+def planted(seed, n_items=30, n_docs=120, vocabulary=12):
+    """Texts over few words, so that matches begin, end and overlap everywhere."""
+    r = random.Random(seed)
+
+    def some(n):
+        return " ".join(r.choice("abcdefghijkl"[:vocabulary]) for _ in range(n))
+
+    items = [(i, some(r.randrange(0, 9))) for i in range(n_items)]
+    docs = []
+    for d in range(n_docs):
+        parts = [some(r.randrange(0, 12))]
+        for _ in range(r.randrange(3)):
+            parts += [r.choice(items)[1], some(r.randrange(0, 4))]
+        docs.append((d, ", ".join(parts)))
+    return items, docs
+
+
+@pytest.mark.parametrize("seed, window, shard_words", [(1, 4, 50_000), (2, 4, 20), (3, 3, 7), (4, 6, 50_000), (5, 1, 50_000)])
+def test_hits_and_items_equal_a_search(spark, seed, window, shard_words):
+    items, docs = planted(seed)
+    found = find_leaks(spark.createDataFrame(docs, "doc_id long, text string"), items_table(spark, items), window, shard_words)
+    got = sorted((r.doc_id, r.n_words, r.n_hit, r["items"]) for r in found.collect())
+    assert got == [(d, *reference(text, items, window)) for d, text in docs]
+
+
+def test_cases(spark):
+    long_item = " ".join(f"w{i}" for i in range(5000))
+    items = [
+        (1, "One, two three FOUR five six seven eight nine ten eleven"), (2, "one two three four five six seven eight nine ten ELEVEN"),
+        (None, "no name at all"), (3, None), (4, " ...!? "), (5, "Élan naïve"), (6, long_item), (7, "a"), (7, "zz yy"), (7, "zz yy"),
+    ]
+    extra = [
+        (20, "x one two three four five six seven eight nine ten y", "en", "a"), (21, "élan NAÏVE Élan naïve", "en", "a"),
+        (22, " ".join(f"w{i}" for i in range(1995, 2030)), "en", "a"), (23, "no NAME at-all", "en", "a"), (24, "zz yy", "en", "a"),
+    ]
+    docs = documents(spark, extra)
+    got = sorted((r.doc_id or -1, r.n_words, r.n_hit, r["items"]) for r in find_leaks(docs, items_table(spark, items)).collect())
+    assert got == sorted((r.doc_id or -1, *reference(r.text, items, 10)) for r in docs.collect())
+    by_id = {g[0]: g for g in got}
+    assert by_id[20][2:] == (10, ["1", "2"]) and by_id[21][2:] == (2, ["5"]) and by_id[22][2:] == (35, ["6"])
+    assert by_id[23][2:] == (4, [])
+    assert find_leaks(docs, items_table(spark, [])).where("n_hit > 0").count() == 0
+    assert find_leaks(no_documents(spark), items_table(spark, items)).count() == 0
+
+
+def test_spans_are_removed_within_limits(spark):
+    item = "the quick brown fox jumps over the lazy dog near a river bank today"
+    docs = [(1, f"Before, {item.upper()}! After it a good many words of other kinds stand here, so most of it stays as it was."),
+            (2, item), (3, "clean\n text"), (4, None)]
+    leaks = find_leaks(spark.createDataFrame(docs, "doc_id long, text string"), items_table(spark, [(9, item)]), keep_text=True)
+    spans = {r.doc_id: r.spans for r in leaks.collect()}
+    assert [(s.start, s.stop) for s in spans[1]] == [(1, 15)] and docs[0][1][spans[1][0]["from"] : spans[1][0]["to"]] == item.upper()
+    kept = {r.doc_id: r.text for r in remove_leaks(leaks).collect()}
+    assert kept == {1: docs[0][1].replace(item.upper(), ""), 3: "clean\n text", 4: None}
+    assert {r.doc_id for r in remove_leaks(leaks, most_coverage=1.0).collect()} == {1, 2, 3, 4}
+    assert remove_leaks(leaks, least_words=15).where("doc_id = 1").first().text == docs[0][1]
+
+
+def test_words_are_those_of_the_pattern():
+    r = random.Random(1)
+    text = "".join(chr(r.choice([r.randrange(128), r.randrange(0x80, 0x250), r.randrange(0x1F300, 0x1F600)])) for _ in range(20_000))
+    assert [w.decode() for w in words_of(text.encode())] == split(text)
+    assert merged([(5, 9), (1, 3), (3, 4), (2, 3)]) == [(1, 4), (5, 9)]
+
+
+def test_states_hold_every_sequence_once():
+    automaton = Automaton()
+    sequences = [[1, 2, 3, 1, 2], [2, 3], [1, 2, 4]]
+    for words in sequences:
+        last = 0
+        for word in words:
+            last = automaton.add(last, word)
+    distinct = {tuple(s[i:j]) for s in sequences for i in range(len(s)) for j in range(i + 1, len(s) + 1)}
+    spans = sum(automaton.length[s] - automaton.length[automaton.link[s]] for s in range(1, len(automaton.link)))
+    assert spans == len(distinct)
+    assert built([("a", True, [b"x", b"y"])], 10)["least"].to_pylist() == [2]

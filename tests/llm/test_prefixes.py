@@ -1,0 +1,119 @@
+"""The trie of conversations against plain dictionaries."""
+
+import hashlib
+import random
+import zlib
+from collections import defaultdict
+
+import pytest
+
+from starlane.llm.prefixes import Trie, conversation_paths, medians_first, op11_prefixes, prefix_nodes, rebuilt_paths, walked
+
+CONVERSATIONS = "conv_id long, turn long, role string, text string, path string, code int, members long"
+
+
+def reference(rows, block=100, heads=6):
+    """Nodes from (conv_id, turn, role, text), with no ties among turns."""
+    own = defaultdict(list)
+    for conv_id, turn, role, text in rows:
+        if conv_id is not None:
+            own[conv_id].append(((turn is not None, turn or 0), (role or "", text or "")))
+    own = {c: [t for _, t in sorted(turns)] for c, turns in own.items()}
+    rebuilt = {}
+    for c, turns in own.items():
+        h = zlib.crc32(str(c).encode()) % heads
+        base = c - (c % block if c >= 0 else -(-c % block))
+        rebuilt[c] = own.get(base, [])[:h] + turns[h:]
+    members, ends = defaultdict(list), defaultdict(list)
+    for c, turns in rebuilt.items():
+        for d in range(len(turns) + 1):
+            members[tuple(turns[:d])].append(c)
+        ends[tuple(turns)].append(c)
+    children = defaultdict(list)
+    for node in members:
+        if node:
+            children[node[:-1]].append(node)
+    leaves, saved = defaultdict(int), defaultdict(int)
+    for node in sorted(members, key=len, reverse=True):
+        leaves[node] += not children[node]
+        saved[node] += (len(members[node]) - 1) * (len(node[-1][1]) if node else 0)
+        if node:
+            leaves[node[:-1]] += leaves[node]
+            saved[node[:-1]] += saved[node]
+    return sorted(
+        (
+            min(m), len(node), min(members[node[:-1]]) if node else -1, len(m), len(children[node]), leaves[node], saved[node],
+            hashlib.sha256(",".join(map(str, sorted(ends[node]))).encode()).hexdigest(),
+        )
+        for node, m in members.items()
+    )
+
+
+def got(df):
+    return sorted(tuple(-1 if v is None else v for v in r) for r in df.collect())
+
+
+def frame(spark, rows):
+    return spark.createDataFrame([(*r, "x", 1, 2) for r in rows], CONVERSATIONS)
+
+
+def nodes(spark, rows, shard_turns=200_000):
+    return prefix_nodes(rebuilt_paths(conversation_paths(frame(spark, rows))), shard_turns)
+
+
+def conversations(seed, n, most=8, words=4, copies=0):
+    r = random.Random(seed)
+    rows = []
+    for c in range(n):
+        source = random.Random(7) if c < copies else r
+        rows += [(c, t, source.choice(["user", "assistant"]), "é" * source.randrange(words)) for t in range(source.randrange(1, most))]
+    r.shuffle(rows)
+    return rows
+
+
+@pytest.mark.parametrize("shard_turns", [5, 40, 200_000])
+def test_nodes_equal_a_plain_trie_however_many_shards(spark, shard_turns):
+    rows = conversations(1, 260, copies=90)
+    assert got(nodes(spark, rows, shard_turns)) == reference(rows)
+
+
+def test_long_conversations_and_copies_across_shards(spark):
+    turns = [("user", f"turn {i}") for i in range(120)]
+    rows = [(c, t, *turns[t]) for c in range(1, 40) for t in range(120 if c % 3 else 50 + c)]
+    assert got(nodes(spark, rows, 100)) == reference(rows)
+
+
+def test_cases(spark):
+    rows = [
+        (None, 0, "user", "lost"), (5, None, "user", "first of its conversation"), (5, 0, None, None), (5, 1, "", "x" * 50_000),
+        (-5, 0, "user", "own"), (-5, 1, "user", "more"), (100, 0, "user", "head"), (101, 0, "a", "b"), (102, 0, "a", "b"),
+        (103, 7, "a:b", "c"), (103, 8, "a", ":bc"), (2**40 + 1, 0, "user", "alone"), (203, 0, "user", "shorter than its head"),
+    ]
+    assert got(nodes(spark, rows)) == reference(rows)
+    assert nodes(spark, []).count() == 0
+    # Repeated rows are turns of their own, whatever their order.
+    tied = [(200, 0, "u", "b"), (200, 0, "u", "a"), (200, 0, "u", "a")]
+    assert got(nodes(spark, tied)) == got(nodes(spark, tied[::-1])) and nodes(spark, tied).count() == 4
+
+
+def test_query_equals_a_plain_trie(spark, samples):
+    rows = [tuple(r) for r in spark.read.parquet(f"{samples}/conversations.parquet").select("conv_id", "turn", "role", "text").collect()]
+    result = op11_prefixes(spark, samples)
+    assert got(result) == reference(rows)
+    assert result.columns == ["conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256"]
+
+
+def test_median_insertion_balances():
+    assert sorted(medians_first(1000)) == list(range(1000)) and next(medians_first(1000)) == 500
+    rows = [(i.to_bytes(16, "big") + b"\0\0\0\1", 1, i, 0, 0, 0, None) for i in range(1023)]
+    trie = Trie(rows)
+
+    def height(at):
+        return 0 if at < 0 else 1 + max(height(trie.low[at]), height(trie.high[at]))
+
+    assert height(trie.down[0]) == 10
+
+
+def test_shards_of_one_path_are_all_boundary():
+    done, paths = walked([(b"\1" * 20, 3, 1, 0, 0, 0, "x")], whole=False, keyed=False)
+    assert done == [] and paths == [(b"\1" * 20, 3, 1, 0, 0, 0, "x")]
