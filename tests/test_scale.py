@@ -2,7 +2,6 @@
 
 import re
 
-import __spark_entry__ as contract
 import pytest
 from pyspark.sql import functions as F
 
@@ -25,10 +24,10 @@ def final_plan(df):
     return executed.executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(sample_queries.QUERIES))
 def test_no_query_needs_python_a_cross_join_or_a_forced_broadcast(spark, samples, settings, name):
     settings(spark__sql__autoBroadcastJoinThreshold="-1")
-    text = plan(contract.queries()[name](spark, samples))
+    text = plan(sample_queries.QUERIES[name](spark, samples))
     for operator in ("EvalPython", "InPandas", "InArrow", "CartesianProduct", "Broadcast"):
         assert operator not in text
 
