@@ -19,7 +19,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 import public_tokenizers
@@ -47,30 +47,26 @@ class Limits:
     loss: int = 4096
 
 
-@dataclass
-class Sequence:
-    pieces: list = field(default_factory=list)
-    tokens: int = 0
-    loss: int = 0
-
-
 class Packer:
-    """Packs (doc_id, ids, loss flags) given one after the other; ``add`` and ``finish`` give closed sequences."""
+    """Packs (doc_id, ids, loss flags) given one after the other; ``add`` and ``finish`` give closed sequences.
+
+    The free tokens, segments and loss-bearing tokens of the open sequences are the first
+    rows of one array; a closed one is replaced by the last.
+    """
 
     def __init__(self, limits: Limits, pool: int = 48):
         self.limits, self.pool = limits, pool
         self.capacity = np.array([limits.tokens, limits.segments, limits.loss], dtype=float)
-        self.open: list[Sequence] = []
-        self.free = np.zeros((0, 3))
+        self.open: list[list] = []
+        self.free = np.zeros((pool, 3))
 
     def add(self, doc_id, ids: np.ndarray, flags: np.ndarray) -> Iterator[list]:
-        total, counts = len(ids), np.zeros(len(ids) + 1, dtype=np.int64)
+        total, loss = len(ids), int(np.count_nonzero(flags))
+        if total <= self.limits.tokens and loss <= self.limits.loss:
+            return self._place([(doc_id, 0, ids, total, loss, flags)])
+        counts = np.zeros(total + 1, dtype=np.int64)
         np.cumsum(flags, out=counts[1:])
-
-        def piece(a: int, b: int):
-            return (doc_id, a, ids[a:b], total, int(counts[b] - counts[a]), flags[a:b])
-
-        yield from self._place([piece(a, b) for a, b in self._cuts(counts)])
+        return self._place([(doc_id, a, ids[a:b], total, int(counts[b] - counts[a]), flags[a:b]) for a, b in self._cuts(counts)])
 
     def _cuts(self, counts: np.ndarray) -> Iterator[tuple[int, int]]:
         """Spans that fit an empty sequence, longest first from the front."""
@@ -85,25 +81,32 @@ class Packer:
         todo = todo[::-1]
         while todo:
             p = todo.pop()
-            need = np.array([len(p[2]), 1, p[4]], dtype=float)
-            fits = np.flatnonzero((self.free >= need).all(axis=1)) if self.open else np.zeros(0, int)
-            if len(fits):
-                score = (self.free[fits] / self.capacity) @ (need / self.capacity)
-                yield from self._put(int(fits[np.argmax(score)]), p)
-            elif len(self.open) < self.pool:
-                self.open.append(Sequence())
-                self.free = np.vstack([self.free, self.capacity])
-                yield from self._put(len(self.open) - 1, p)
-            else:
-                k = int(np.argmin(self.free[:, 0]))
-                head, tail = self._split(p, self.free[k])
-                if tail is not None:
-                    todo.append(tail)
-                chosen = self.open[k]
-                if head is not None:
-                    yield from self._put(k, head)
-                if tail is not None and any(x is chosen for x in self.open):
-                    yield self._close(k)  # segments or loss are used up
+            k = self._best(len(p[2]), p[4])
+            if k is None and len(self.open) < self.pool:
+                k = len(self.open)
+                self.open.append([])
+                self.free[k] = self.capacity
+            if k is not None:
+                yield from self._put(k, p)
+                continue
+            k = int(self.free[:, 0].argmin())
+            head, tail = self._split(p, self.free[k])
+            if tail is not None:
+                todo.append(tail)
+            chosen = self.open[k]
+            if head is not None:
+                yield from self._put(k, head)
+            if tail is not None and k < len(self.open) and self.open[k] is chosen:
+                yield self._close(k)  # segments or loss are used up
+
+    def _best(self, tokens: int, loss: int) -> int | None:
+        """The open sequence that a piece fits with the largest dot product, the first of equal ones."""
+        free = self.free[: len(self.open)]
+        fits = ((free[:, 0] >= tokens) & (free[:, 1] >= 1) & (free[:, 2] >= loss)).nonzero()[0]
+        if len(fits) < 2:
+            return int(fits[0]) if len(fits) else None
+        score = free[fits] @ (np.array([tokens, 1, loss]) / self.capacity / self.capacity)
+        return int(fits[score.argmax()])
 
     def _split(self, p, free: np.ndarray):
         """The longest front of a piece that fits, and what is left."""
@@ -120,24 +123,28 @@ class Packer:
         return (*p[:2], p[2][:n], p[3], loss, p[5][:n]), (p[0], p[1] + n, p[2][n:], p[3], p[4] - loss, p[5][n:])
 
     def _put(self, k: int, p) -> Iterator[list]:
-        self.open[k].pieces.append(p)
-        self.free[k] -= (len(p[2]), 1, p[4])
-        if self.free[k, 0] <= 0 or self.free[k, 1] <= 0:
+        self.open[k].append(p)
+        free = self.free[k]
+        free -= (len(p[2]), 1, p[4])
+        if free[0] <= 0 or free[1] <= 0:
             yield self._close(k)
 
     def _close(self, k: int) -> list:
-        self.free = np.delete(self.free, k, axis=0)
-        return self.open.pop(k).pieces
+        pieces, last = self.open[k], len(self.open) - 1
+        self.free[k] = self.free[last]
+        self.open[k] = self.open[last]
+        self.open.pop()
+        return pieces
 
     def finish(self) -> Iterator[list]:
         """Merge the open sequences into as few as the limits allow."""
-        rest = sorted(self.open, key=lambda s: sum(len(p[2]) for p in s.pieces), reverse=True)
-        pieces = [p for s in rest for p in s.pieces]
-        self.open, self.free, self.pool = [], np.zeros((0, 3)), 1
+        rest = sorted(self.open, key=lambda pieces: sum(len(p[2]) for p in pieces), reverse=True)
+        pieces = [p for s in rest for p in s]
+        self.open, self.free, self.pool = [], np.zeros((1, 3)), 1
         yield from self._place(pieces)
-        for s in self.open:
-            yield from self._powers_of_two(s.pieces)
-        self.open, self.free = [], np.zeros((0, 3))
+        for left in self.open:
+            yield from self._powers_of_two(left)
+        self.open = []
 
     def _powers_of_two(self, pieces: list) -> Iterator[list]:
         left = sum(len(p[2]) for p in pieces)
@@ -168,6 +175,8 @@ def pack(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens, packer, end = encoder(vocabulary), Packer(limits), np.array([end_id], dtype="<u4")
+        bearing = np.ones(limits.tokens, dtype=np.int8)
+        bearing[:loss_from] = 0
         base, made = TaskContext.get().partitionId() << 33, 0
 
         def documents():
@@ -176,13 +185,14 @@ def pack(
                     some = batch.slice(at, 256)
                     keys = some.column(0).to_pylist()
                     for key, ids in zip(keys, tokens.encode(some.column(1).to_pylist())):
-                        yield key, np.append(ids, end)
+                        yield key, np.concatenate((ids, end))
 
         def closed():
+            nonlocal bearing
             for key, ids in documents():
-                flags = np.ones(len(ids), dtype=np.int8)
-                flags[:loss_from] = 0
-                yield from packer.add(key, ids, flags)
+                if len(ids) > len(bearing):
+                    bearing = np.concatenate((bearing, np.ones(len(ids), dtype=np.int8)))
+                yield from packer.add(key, ids, bearing[: len(ids)])
             yield from packer.finish()
 
         rows: list[tuple] = []
