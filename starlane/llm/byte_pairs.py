@@ -32,7 +32,8 @@ from starlane.llm.files import table
 from starlane.llm.tokens import PieceEncoder, Pieces
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
-LEAF_BYTES = 48
+# Two in three matches of running text are longer, and so pass a join.
+LEAF_BYTES = 3
 LEAF_IDS = 512
 MEMO = 300_000
 
@@ -110,7 +111,7 @@ class TextEncoder(PieceEncoder):
     def __init__(self, path: str, pattern: str, cache_size: int = 400_000):
         self.pairs = BytePairs(read_ranks(path))
         self.pattern = regex.compile(pattern)
-        self.spaced, self.cache_size = True, cache_size
+        self.spaced, self.cache_size, self.added = True, cache_size, []
         self.young, self.old, self.first = Pieces(), {}, {}
         self.line_end = np.array(self._plain("\n"), dtype="<u4").tobytes()
 

@@ -3,7 +3,8 @@
 Text is cut at single spaces, where neither kind of vocabulary ever merges across, and
 the ids of a cut piece are looked up in a bounded cache of the Python worker. Pieces that
 are not cached are encoded many at a time. The ids equal those of encoding the whole
-text; texts whose white space allows no such cut are encoded whole.
+text; texts whose white space allows no such cut, and texts that hold the string of a
+token added to the vocabulary (``<|endoftext|>``), are encoded whole.
 """
 
 from __future__ import annotations
@@ -40,7 +41,7 @@ class Pieces(dict):
 
 
 class PieceEncoder:
-    """Encode texts without special tokens.
+    """Encode texts as the tokenizers library does, adding no special tokens to them.
 
     ``spaced`` tells that a space belongs to the word after it (byte-level vocabularies);
     otherwise white space is dropped. The cache holds at most twice ``cache_size`` pieces.
@@ -51,7 +52,7 @@ class PieceEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.spaced = bool(self._plain(" "))
         self.cache_size = cache_size
         self.young, self.old = Pieces(), {}
@@ -67,10 +68,11 @@ class PieceEncoder:
     def _encode_pieces(self, pieces: list[str], lead: str) -> list[bytes]:
         joinable = [p for p in pieces if p and self.mark not in p and not SPACE.search(p)]
         found: dict[str, bytes] = {}
-        for i in range(0, len(joinable), 2000):
-            some = joinable[i : i + 2000]
-            part = self.mark if self.spaced else f" {self.mark} "
-            ids = np.array(self._plain(part.join(lead + p for p in some) + part), dtype="<u4")
+        part = self.mark if self.spaced else f" {self.mark} "
+        groups = [joinable[i : i + 200] for i in range(0, len(joinable), 200)]
+        texts = [part.join([lead + p for p in some]) + part for some in groups]
+        for some, encoded in zip(groups, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False) if texts else ()):
+            ids = np.array(encoded.ids, dtype="<u4")
             ends = np.flatnonzero(ids == self.mark_id)
             if len(ends) != len(some):
                 raise ValueError("a mark was merged with its neighbours")
@@ -134,6 +136,8 @@ class PieceEncoder:
 
     def _split(self, text: str) -> list[str] | None:
         """Pieces of a text that are encoded apart, the first with no space before it; None if there are none."""
+        if any(token in text for token in self.added):
+            return None
         if not self.spaced:
             return text.split(" ") if CONTROL.search(text) else text.split()
         if " \n" in text or has_long_space(text):

@@ -16,14 +16,16 @@ TEXTS = st.text(st.sampled_from(list("abcéüß  \n\n\t.,'!#12 \xa0　漢🙂̈s
 
 
 def library(name):
+    """The library as it comes: the strings of added tokens in a text are those tokens."""
     tokenizer = Tokenizer.from_file(public_tokenizers.path(name))
-    tokenizer.encode_special_tokens = True
     return lambda text: tokenizer.encode(text or "", add_special_tokens=False).ids
 
 
 @pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
 def test_pieces_give_the_ids_of_whole_texts(name):
     plain, pieces = library(name), PieceEncoder(public_tokenizers.path(name), cache_size=50)
+    added = ["hi <|endoftext|> there", "a<|startoftext|>b  <|endoftext|>", "<|ENDOFTEXT|> <|endoftext", "\n<|endoftext|>\n"]
+    assert [x.tolist() for x in pieces.encode(added)] == [plain(t) for t in added]
 
     @settings(max_examples=300, deadline=None)
     @given(st.lists(TEXTS, max_size=4))
@@ -85,6 +87,16 @@ def test_tree_of_joins_is_the_encoding(parts, leaf):
     assert pairs.decode(ids) == piece
 
 
+def test_most_matches_of_a_text_pass_a_join():
+    import regex
+
+    text = "Most words of running text are longer than a leaf, so that the tree of joins has something to do."
+    sizes = [len(m.encode()) for m in regex.findall(public_tokenizers.PATTERN, text)]
+    assert sum(n > byte_pairs.LEAF_BYTES for n in sizes) > len(sizes) / 2
+    pairs = byte_pairs.BytePairs(RANKS)
+    assert [i for m in regex.findall(public_tokenizers.PATTERN, text) for i in pairs.encode(m.encode())] == PUBLIC.encode_ordinary(text)
+
+
 def test_byte_pairs_of_documents(spark):
     import hashlib
 
@@ -146,6 +158,17 @@ def test_packer_keeps_all_limits(items, segments, loss):
     assert {k: sorted(v) for k, v in seen.items()} == {k: list(range(n)) for k, (n, _) in enumerate(items)}
 
 
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 32), st.integers(0, 4), st.integers(0, 20)), max_size=6), st.integers(1, 32), st.integers(0, 20))
+def test_a_piece_goes_where_the_dot_product_is_largest(free, tokens, loss):
+    packer = packing.Packer(packing.Limits(tokens=32, segments=4, loss=20), pool=6)
+    packer.open = [[] for _ in free]
+    packer.free[: len(free)] = np.array(free, dtype=float).reshape(-1, 3)
+    fits = {k: t * tokens / 32**2 + s / 4**2 + x * loss / 20**2 for k, (t, s, x) in enumerate(free) if t >= tokens and s >= 1 and x >= loss}
+    best = packer._best(tokens, loss)
+    assert (best is None) == (not fits) and (best is None or fits[best] >= max(fits.values()) - 1e-9)
+
+
 def test_checksums_of_pieces(spark):
     docs, path = documents(spark).coalesce(1), public_tokenizers.path(packing.VOCABULARY)
     pieces = {(p["sequence_id"], p["offset"]): p for p in packing.pack(docs, path).collect()}
