@@ -17,16 +17,20 @@ import numpy as np
 
 # Runs of three or more, or two at the end, are matched as a whole by byte-level vocabularies.
 LONG_SPACE = re.compile(r"\s\s\s|\s\s\Z|[\x1c-\x1f\x85]")
-ODD_SPACE = re.compile(r"[\t\r\v\f\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
+CONTROL = "\x1c\x1d\x1e\x1f\x85"
+ODD_SPACE = "\t\r\v\f" + CONTROL + "\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
 SPACE = re.compile(r"\s")
 # Letters, then ASCII marks but no apostrophe: both vocabularies part such a piece there.
 WORD_AND_MARKS = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)")
-CONTROL = re.compile(r"[\x1c-\x1f\x85]")
+
+def holds(text: str, characters: str) -> bool:
+    """Whether any of the characters is in a text; a search for each is quicker than one for the class."""
+    return any(c in text for c in characters)
 
 
 def has_long_space(text: str) -> bool:
     pairs = "  " in text or "\n\n" in text or " \n" in text or "\n " in text
-    return (pairs or bool(ODD_SPACE.search(text))) and bool(LONG_SPACE.search(text))
+    return (pairs or holds(text, ODD_SPACE)) and bool(LONG_SPACE.search(text))
 
 
 class Pieces(dict):
@@ -139,7 +143,7 @@ class PieceEncoder:
         if any(token in text for token in self.added):
             return None
         if not self.spaced:
-            return text.split(" ") if CONTROL.search(text) else text.split()
+            return text.split(" ") if holds(text, CONTROL) else text.split()
         if " \n" in text or has_long_space(text):
             return None
         # A line end between two words goes with the word after it.
