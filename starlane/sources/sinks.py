@@ -5,10 +5,11 @@ from __future__ import annotations
 import uuid
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import types as T
 
 from starlane.sources.contracts import TableContract, conform_to
+from starlane.sources.versions import current_folder, names_below, new_version, remove, root_of, switch, tidy, undo
 
 
 def write_stage(
@@ -32,20 +33,47 @@ def write_stage(
     each leave a tiny file. ``sort_by`` orders the rows inside each file, which
     lets later filters on those columns skip row groups.
     """
-    writer = df
-    if partition_by or compact:
-        writer = df.hint("rebalance", *partition_by)
-    if sort_by:
-        writer = writer.sortWithinPartitions(*partition_by, *sort_by)
-    # Replacing a stage replaces all of its folders, whatever the session's default.
-    out = writer.write.mode(mode).option("partitionOverwriteMode", "static")
-    if partition_by:
-        out = out.partitionBy(*partition_by)
-    out.parquet(path)
+    _write(_arranged(df, partition_by, sort_by, compact), path, mode, partition_by)
     # The schema is known, so reading back needs no job to look into a footer.
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def write_observed(
+    df: DataFrame,
+    path: str,
+    counts: Mapping[str, Column],
+    hidden: Sequence[str] = (),
+    mode: str = "errorifexists",
+    partition_by: Sequence[str] = (),
+    sort_by: Sequence[str] = (),
+    compact: bool = False,
+) -> tuple[DataFrame, dict[str, int]]:
+    """:func:`write_stage`, and aggregates over the rows that were written, taken as they were.
+
+    ``hidden`` columns are there for the aggregates and are not written. The rows are observed
+    where they are written, in the last stage, whose tasks count once however often they run.
+    """
+    seen = Observation()
+    arranged = _arranged(df, partition_by, sort_by, compact)
+    if counts:
+        arranged = arranged.observe(seen, *[c.alias(name) for name, c in counts.items()])
+    written = arranged.drop(*hidden)
+    _write(written, path, mode, partition_by)
+    return df.sparkSession.read.schema(written.schema).parquet(path), seen.get if counts else {}
+
+
+def _arranged(df: DataFrame, partition_by: Sequence[str], sort_by: Sequence[str], compact: bool) -> DataFrame:
+    if partition_by or compact:
+        df = df.hint("rebalance", *partition_by)
+    return df.sortWithinPartitions(*partition_by, *sort_by) if sort_by else df
+
+
+def _write(df: DataFrame, path: str, mode: str, partition_by: Sequence[str]) -> None:
+    # Replacing a stage replaces all of its folders, whatever the session's default.
+    out = df.write.mode(mode).option("partitionOverwriteMode", "static")
+    (out.partitionBy(*partition_by) if partition_by else out).parquet(path)
+
+
 def create_table(
     spark: SparkSession, contract: TableContract, table: str | None = None, location: str | None = None
 ) -> str:
@@ -59,14 +87,21 @@ def create_table(
     if spark.catalog.tableExists(name):
         check_layout(spark.table(name), contract, name)
         return name
-    place = location or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/{name}"
-    if _holds_files(spark, place):
+    place = current_folder(spark, location or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/{name}")
+    if any(n.endswith(".parquet") for n in names_below(spark, place)):
         check_layout(spark.read.parquet(place), contract, place)
-    quoted = place.replace("'", "\\'")
-    spark.sql(f"CREATE TABLE {name} ({contract.columns}) USING parquet LOCATION '{quoted}'")
+    _create(spark, name, contract, place)
     return name
 
 
+def _create(spark: SparkSession, name: str, contract: TableContract, place: str) -> None:
+    spark.sql(f"CREATE TABLE {name} ({contract.columns}) USING parquet LOCATION {_quoted(place)}")
+
+
+def _quoted(place: str) -> str:
+    return "'" + place.replace("'", "\\'") + "'"
+
+
 class LayoutError(Exception):
     """A published table has other columns than its contract."""
 
@@ -78,49 +113,63 @@ def check_layout(df: DataFrame, contract: TableContract, name: str) -> None:
         raise LayoutError(f"{name} has the columns {df.dtypes}, the contract of {contract.name} has {declared}")
 
 
-def _folder(spark: SparkSession, place: str):
-    path = spark._jvm.org.apache.hadoop.fs.Path(place)
-    return path.getFileSystem(spark._jsc.hadoopConfiguration()), path
-
-
-def _holds_files(spark: SparkSession, place: str) -> bool:
-    system, path = _folder(spark, place)
-    return system.exists(path) and any(s.getPath().getName().endswith(".parquet") for s in system.listStatus(path))
+def read_published(spark: SparkSession, place: str) -> DataFrame:
+    """The rows of a published folder, by its current version; needs no catalog."""
+    return spark.read.parquet(current_folder(spark, place))
 
 
 def publish_all(tables: Sequence[tuple[DataFrame, TableContract, str | None, str | None]]) -> list[DataFrame]:
     """Replace the content of several published tables, given as (rows, contract, name, location).
 
-    All of them are written to new folders first; only then is each folder put in the place
-    of the old one. A write that fails leaves every table as it was. Renaming is quick where
-    the file system renames folders; an object store copies.
+    Each of them is written as a new version beside the present one. Then one rename makes all
+    new versions the current ones (:mod:`starlane.sources.versions`), and the catalog follows.
+    Whatever fails on the way, a write, a rename or the catalog, leaves every table as it
+    was. The version before stays until the next publish, for those who read it.
     """
-    ready = []
-    for df, contract, table, location in tables:
-        spark = df.sparkSession
-        name = create_table(spark, contract, table, location)
-        place = spark.sql(f"DESCRIBE FORMATTED {name}").where("col_name = 'Location'").first()["data_type"]
-        fresh = f"{place.rstrip('/')}__new_{uuid.uuid4().hex}"
-        staged = f"{name}__new_{uuid.uuid4().hex}"
-        # The table's declared lengths hold for what is written to it, so it is written as a table.
-        quoted = fresh.replace("'", "\\'")
-        spark.sql(f"CREATE TABLE {staged} ({contract.columns}) USING parquet LOCATION '{quoted}'")
-        try:
-            conform_to(df, contract).write.insertInto(staged, overwrite=True)
-        finally:
-            spark.sql(f"DROP TABLE {staged}")
-        ready.append((spark, name, place, fresh))
-    for spark, name, place, fresh in ready:
-        system, path = _folder(spark, place)
-        _, new = _folder(spark, fresh)
-        _, old = _folder(spark, f"{fresh}_old")
-        if system.exists(path):
-            system.rename(path, old)
-        if not system.rename(new, path):
-            raise OSError(f"{fresh} could not be moved to {place}")
-        system.delete(old, True)
-        spark.catalog.refreshTable(name)
-    return [spark.table(name) for spark, name, _, _ in ready]
+    spark, ready = tables[0][0].sparkSession, []
+    fresh, before, commit = {}, {}, None
+    try:
+        for df, contract, table, location in tables:
+            name = create_table(spark, contract, table, location)
+            before[name] = _location(spark, name)
+            place = root_of(before[name])
+            fresh[place] = new_version(place)
+            _write_version(df, contract, name, fresh[place])
+            ready.append((name, place))
+        commit = switch(spark, fresh)
+        for name, place in ready:
+            _locate(spark, name, fresh[place])
+    except BaseException:
+        if commit:
+            undo(spark, commit)
+        for name, place in before.items():
+            if _location(spark, name) != place:
+                _locate(spark, name, place)
+        for version in fresh.values():
+            remove(spark, version)
+        raise
+    for _, place in ready:
+        tidy(spark, place)
+    return [spark.table(name) for name, _ in ready]
+
+
+def _location(spark: SparkSession, name: str) -> str:
+    return spark.sql(f"DESCRIBE FORMATTED {name}").where("col_name = 'Location'").first()["data_type"].rstrip("/")
+
+
+def _locate(spark: SparkSession, name: str, place: str) -> None:
+    spark.sql(f"ALTER TABLE {name} SET LOCATION {_quoted(place)}")
+    spark.catalog.refreshTable(name)
+
+
+def _write_version(df: DataFrame, contract: TableContract, name: str, place: str) -> None:
+    """Write rows as a table, so that its declared lengths hold for them."""
+    spark, staged = df.sparkSession, f"{name}__new_{uuid.uuid4().hex}"
+    _create(spark, staged, contract, place)
+    try:
+        conform_to(df, contract).write.insertInto(staged, overwrite=True)
+    finally:
+        spark.sql(f"DROP TABLE {staged}")
 
 
 def publish(

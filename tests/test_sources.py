@@ -5,8 +5,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from starlane.sources import (
-    InputError, LayoutError, TableContract, conform_to, contracts, publish, publish_all, publish_jdbc, read_csv, read_many,
-    read_parquet, scratch_folder, unparsed_cells, write_stage,
+    InputError, LayoutError, TableContract, conform_to, contracts, input_files, land_csv, publish, publish_all, publish_jdbc,
+    read_csv, read_many, read_parquet, read_published, scratch_folder, sinks, unparsed_cells, versions, write_observed, write_stage,
 )
 from starlane.sources.contracts import TableContract
 
@@ -280,3 +280,185 @@ def test_import_runs_no_job_and_starts_no_session():
         [sys.executable, "-c", code], cwd=Path(__file__).parent.parent, capture_output=True, text=True, timeout=120
     )
     assert json.loads(out.stdout) is True
+
+
+@pytest.mark.parametrize("source", ["parquet", "orc", "json"])
+def test_files_of_every_format_need_every_column(spark, tmp_path, source):
+    whole = spark.createDataFrame([(1, "x"), (2, "y")], "a int, b string").coalesce(1)
+    for name, df in (("m1", whole), ("m2", whole.drop("b")), ("m3", whole.drop("b"))):
+        df.write.format(source).save(str(tmp_path / name))
+    df = read_many(spark, str(tmp_path / "m1"), "a int, b string", source)
+    assert sorted(tuple(r) for r in df.collect()) == [(1, "x"), (2, "y")]
+    with pytest.raises(InputError, match="/m2/.* lacks b, and so do 1 more files"):
+        read_many(spark, str(tmp_path / "m*"), "a int, b string", source)
+    with pytest.raises(InputError, match="/m3/.* lacks b$"):
+        read_many(spark, [str(tmp_path / "m3")], "a int, b string", source)
+    (tmp_path / "empty").mkdir()
+    with pytest.raises(InputError, match="no input files"):
+        read_many(spark, str(tmp_path / "empty"), "a int, b string", source)
+
+
+def test_columns_of_folders_and_null_keys_count_as_there(spark, tmp_path):
+    df = spark.createDataFrame([(1, "x", 5), (2, None, 6)], "a int, b string, month int")
+    for source in ("parquet", "orc", "json"):
+        place = str(tmp_path / source)
+        df.write.format(source).partitionBy("month").option("ignoreNullFields", "false").save(place)
+        got = read_many(spark, f"{place}/month=*", "a int, b string, month int", source, basePath=place)
+        assert sorted(tuple(r) for r in got.collect()) == [(1, "x", 5), (2, None, 6)]
+    (tmp_path / "lists.json").write_text('[{"a": 1, "b": "x"}, {"a": 2, "b": "y"}]\n')
+    assert read_many(spark, str(tmp_path / "lists.json"), "a int, b string", "json").count() == 2
+    (tmp_path / "wide.json").write_text('{"a": 1,\n "b": "x"}\n')
+    assert read_many(spark, str(tmp_path / "wide.json"), "a int, b string", "json", multiLine="true").count() == 1
+    with pytest.raises(InputError, match="wide.json lacks c"):
+        read_many(spark, str(tmp_path / "wide.json"), "a int, c string", "json", multiLine="true")
+
+
+def test_a_store_that_only_spark_opens_is_judged_by_its_values(spark, tmp_path):
+    both = spark.createDataFrame([(1, "x")], "a int, b string")
+    both.write.parquet(str(tmp_path / "m1")), both.drop("b").write.parquet(str(tmp_path / "m2"))
+    hadoop = spark._jsc.hadoopConfiguration()
+    hadoop.set("fs.viewfs.mounttable.here.link./in", f"file://{tmp_path}")
+    assert read_many(spark, "viewfs://here/in/m1", "a int, b string").count() == 1
+    with pytest.raises(InputError, match="m2.* lacks b"):
+        read_many(spark, "viewfs://here/in/m*", "a int, b string")
+
+
+def test_no_list_of_files_goes_through_the_driver(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(type(spark.range(1)), "inputFiles", lambda self: pytest.fail("file list on the driver"))
+    spark.createDataFrame([(1,)], "a int").write.parquet(str(tmp_path / "m1"))
+    assert read_many(spark, str(tmp_path / "m1"), "a int").count() == 1
+    listed = input_files(spark, [str(tmp_path / "m1")])
+    assert listed.columns == ["path", "length", "modificationTime"] and listed.first().length > 0
+
+
+CITIES = "d date, n int, `a name` string"
+
+
+def landed(spark, tmp_path, name="landed", **options):
+    folder = tmp_path / "in"
+    folder.mkdir(exist_ok=True)
+    write(folder / "a.csv", "d;n;a name", "2013-01-01;1;x", "2013-13-01;y;z", ";2;", "2013-01-02;;w")
+    write(folder / "b.csv", "d;n;a name", "2013-01-03;3", "2013-01-04;4;u;v")
+    return land_csv(spark, str(folder), CITIES, str(tmp_path / name), sep=";", **options)
+
+
+def test_a_file_lands_once_with_its_faulty_rows_apart(spark, tmp_path, rows):
+    got = landed(spark, tmp_path)
+    plain = read_csv(spark, str(tmp_path / "in"), CITIES, sep=";")
+    assert got.rows.dtypes == plain.dtypes and rows(got.rows) == rows(plain)
+    faulty = sorted((r.file.rsplit("/", 1)[-1], r.line, r.faults) for r in got.rejected.collect())
+    assert faulty == [("a.csv", "2013-13-01;y;z", ["d", "n"]), ("b.csv", "2013-01-03;3", []), ("b.csv", "2013-01-04;4;u;v", [])]
+    assert got.counts["rows"] == 6 and got.counts["faulty"] == 3 and got.unparsed(["d", "n"]) == {"d": 1, "n": 1}
+    assert rows(got.report()) == [("a name", 2, 0), ("d", 1, 1), ("n", 1, 1)]
+
+
+def test_faulty_rows_are_kept_whatever_is_thinned_out_and_a_limit_decides(spark, tmp_path, rows):
+    got = landed(spark, tmp_path, keep=F.col("n") >= 3, most_faulty=3)
+    assert sorted(r.n for r in got.rows.collect()) == [3, 4] and got.rejected.count() == 3 and got.counts["rows"] == 6
+    with pytest.raises(InputError, match="3 faulty rows where 2 are allowed, such as '2013-01-03;3' in .*b.csv|'2013-13-01;y;z'"):
+        landed(spark, tmp_path, "limited", most_faulty=2)
+    # The stage shows what stopped the run.
+    assert spark.read.parquet(str(tmp_path / "limited")).where("__faulty = 1").count() == 3
+
+
+def test_a_landed_file_is_parsed_once(spark, tmp_path):
+    jobs = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("landing", "landing")
+    landed(spark, tmp_path).report().collect()
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    # The header is read by a job of one task; only one other stage scans text.
+    stages = [jobs.getStageInfo(s) for j in jobs.getJobIdsForGroup("landing") for s in jobs.getJobInfo(j).stageIds]
+    assert len([s for s in stages if s and s.name.startswith("parquet")]) <= 2
+
+
+def test_written_rows_are_observed(spark, tmp_path):
+    df = spark.range(10).withColumn("odd", F.col("id") % 2)
+    counts = {"n": F.count(F.lit(1)), "odd": F.sum("odd"), "high": F.count_if(F.col("id") > 7)}
+    back, seen = write_observed(df, str(tmp_path / "seen"), counts, hidden=["odd"], compact=True)
+    assert seen == {"n": 10, "odd": 5, "high": 2} and back.columns == ["id"] and back.count() == 10
+    back, seen = write_observed(df.where("id < 0"), str(tmp_path / "none"), counts, hidden=["odd"])
+    assert seen == {"n": 0, "odd": None, "high": 0} and back.count() == 0
+
+
+@pytest.fixture
+def pair(spark, tmp_path):
+    """Two tables, published once, and a way to publish other rows to both."""
+    places = [(f"switch_{n}", str(tmp_path / n)) for n in ("one", "two")]
+
+    def rows_of(n):
+        return spark.createDataFrame([("IA", n, 0.5)], "code string, n int, share double")
+
+    def put(first, second):
+        return publish_all([(rows_of(first), SMALL, *places[0]), (rows_of(second), SMALL, *places[1])])
+
+    def shown():
+        by_name = [spark.table(name).first().n for name, _ in places]
+        assert by_name == [read_published(spark, place).first().n for _, place in places]
+        return by_name
+
+    put(1, 1)
+    yield put, shown
+    for name, _ in places:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def test_both_tables_switch_and_the_version_before_stays_for_its_readers(spark, tmp_path, pair):
+    put, shown = pair
+    before = spark.table("switch_one")
+    put(2, 3)
+    assert shown() == [2, 3] and before.first().n == 1
+    put(4, 5)
+    assert shown() == [4, 5]
+    assert len([p for p in (tmp_path / "one").iterdir() if p.name.startswith("_v-")]) == 2
+
+
+@pytest.mark.parametrize("step", range(1, 8))
+def test_a_failure_anywhere_leaves_both_tables(spark, tmp_path, pair, monkeypatch, step):
+    """The n-th rename fails, or the n-th change of a table's location."""
+    put, shown = pair
+    calls = {"n": 0}
+
+    def failing(real):
+        def call(*args):
+            calls["n"] += 1
+            if calls["n"] == step:
+                raise OSError("no more")
+            return real(*args)
+
+        return call
+
+    monkeypatch.setattr(versions, "move", failing(versions.move))
+    monkeypatch.setattr(sinks, "_locate", failing(sinks._locate))
+    if step <= 5:  # two entries, the commit record, two locations
+        with pytest.raises(OSError, match="no more"):
+            put(8, 9)
+        assert shown() == [1, 1]
+        monkeypatch.undo()
+        put(6, 7)
+        assert shown() == [6, 7]
+        assert len([p for p in (tmp_path / "two").iterdir() if p.name.startswith("_v-")]) == 2
+    else:
+        put(8, 9)
+        assert shown() == [8, 9]
+
+
+def test_a_rename_that_only_says_no_raises(spark, monkeypatch):
+    class Refusing:
+        def rename(self, source, target):
+            return False
+
+    monkeypatch.setattr(versions, "hadoop_path", lambda spark, place: (Refusing(), place))
+    with pytest.raises(OSError, match="a could not be moved to b"):
+        versions.move(spark, "a", "b")
+
+
+def test_a_publish_that_died_changes_nothing(spark, tmp_path, pair):
+    """Versions and entries were written, and the process ended before the commit record."""
+    _, shown = pair
+    place = str(tmp_path / "one")
+    dead = versions.new_version(place)
+    spark.createDataFrame([("IA", 99, 0.5)], "code string, n long, share double").write.parquet(dead)
+    versions.write_text(spark, f"{place}/_log/{2:012d}.json", json.dumps({"version": dead.rsplit("/", 1)[-1], "commit": f"{place}/_commits/never"}))
+    assert shown() == [1, 1]
+    publish(spark.createDataFrame([("IA", 3, 0.5)], "code string, n int, share double"), SMALL, "switch_one", place)
+    assert shown() == [3, 1] and not (tmp_path / "one" / dead.rsplit("/", 1)[-1]).exists()
