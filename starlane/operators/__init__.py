@@ -1,20 +1,24 @@
 """Table operators. Each takes DataFrames and returns a DataFrame, without running a job.
 
-The exception is :func:`starlane.operators.quality.enforce`, which has to look at
-the (few) result rows of the checks to decide whether to raise.
+The exceptions are those that write a stage (``match``, ``write_checked``), ``key_filter``,
+which builds a table of bits, and ``enforce``, which has to look at the (few) result rows of
+the checks to decide whether to raise.
 """
 
 from starlane.operators.dedup import dedup_first
 from starlane.operators.impute import donor_mean, impute_periods
 from starlane.operators.lookup import conform, enrich, recombine
+from starlane.operators.match import Matched, key_filter, match, unmatched_counts
 from starlane.operators.profile import (
     CountBy,
     Mean,
     category_counts,
     fold_codes,
     pivot_count,
+    presum,
     profile,
     profile_preaggregated,
+    profile_sums,
 )
 from starlane.operators.quality import (
     DataQualityError,
@@ -24,6 +28,8 @@ from starlane.operators.quality import (
     length_counts,
     null_counts,
     orphan_keys,
+    report_of,
+    write_checked,
 )
 from starlane.operators.rollup import build_dimension
 from starlane.operators.shape import is_null, not_null, preview, row_count, union_rows
@@ -31,6 +37,7 @@ from starlane.operators.shape import is_null, not_null, preview, row_count, unio
 __all__ = [
     "CountBy",
     "DataQualityError",
+    "Matched",
     "Mean",
     "audit",
     "build_dimension",
@@ -44,15 +51,22 @@ __all__ = [
     "fold_codes",
     "impute_periods",
     "is_null",
+    "key_filter",
     "length_counts",
+    "match",
     "not_null",
     "null_counts",
     "orphan_keys",
     "pivot_count",
+    "presum",
     "preview",
     "profile",
     "profile_preaggregated",
+    "profile_sums",
     "recombine",
+    "report_of",
     "row_count",
     "union_rows",
+    "unmatched_counts",
+    "write_checked",
 ]

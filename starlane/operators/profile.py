@@ -134,22 +134,41 @@ def profile_preaggregated(
     code listed twice still counts twice. Where nearly every row has its own code
     this saves nothing; join first there.
     """
-    rows = not_null(df, required) if required else df
     local = [k for k in keys if k not in take]
     base = list(dict.fromkeys([*on.values(), *local]))
-    partial = []
+    summed = presum(df, base, means, counts, required)
+    kept = [n for n in summed.columns if n not in on.values() or n in local]
+    folded = fold_codes(codes, list(on), take, "__weight")
+    return profile_sums(conform(summed, folded, on, [*take, "__weight"], keep=kept), keys, means, counts, "__weight")
+
+
+def presum(
+    df: DataFrame, by: Sequence[str], means: Sequence[Mean], counts: Sequence[CountBy], required: Sequence[str] = ()
+) -> DataFrame:
+    """What a profile is made of, one row per ``by``: sums and counts, which add up.
+
+    Such rows can be kept, added to rows of other files, and joined with lookups before
+    :func:`profile_sums` makes the profile. ``n_rows`` is the number of rows.
+    """
+    rows = not_null(df, required) if required else df
+    cells = [F.count(F.lit(1)).alias("n_rows")]
     for m in means:
-        partial += [F.sum(m.value).alias(f"__sum_{m.alias}"), F.count(m.column).alias(f"__n_{m.alias}")]
+        cells += [F.sum(m.value).alias(f"__sum_{m.alias}"), F.count(m.column).alias(f"__n_{m.alias}")]
     for c in counts:
-        partial += category_counts(c, fill_zero=True)
-    summed = rows.groupBy(*base).agg(*partial)
+        cells += category_counts(c, fill_zero=True)
+    return rows.groupBy(*by).agg(*cells)
+
+
+def profile_sums(
+    summed: DataFrame, keys: Sequence[str], means: Sequence[Mean], counts: Sequence[CountBy], weight: str | None = None
+) -> DataFrame:
+    """The profile per ``keys`` from rows of :func:`presum`, each counted ``weight`` times if given."""
 
     def total(name: str) -> Column:
-        return F.sum(F.col(f"`{name}`") * F.col("__weight"))
+        part = F.col(f"`{name}`")
+        return F.sum(part if weight is None else part * F.col(weight))
 
     cells = [m.of(total(f"__sum_{m.alias}"), total(f"__n_{m.alias}")).alias(m.alias) for m in means]
     for c in counts:
         cells += [F.nullif(total(label), F.lit(0).cast("bigint")).alias(label) for label in c.labels.values()]
-    kept = [n for n in summed.columns if n not in on.values() or n in local]
-    folded = fold_codes(codes, list(on), take, "__weight")
-    return conform(summed, folded, on, [*take, "__weight"], keep=kept).groupBy(*keys).agg(*cells)
+    return summed.groupBy(*keys).agg(*cells)

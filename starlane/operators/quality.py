@@ -7,11 +7,12 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from starlane.operators.shape import union_rows
 from starlane.sources.contracts import TableContract
+from starlane.sources.sinks import write_observed
 
 
 class DataQualityError(Exception):
@@ -94,12 +95,52 @@ def audit(df: DataFrame, contract: TableContract, tables: Mapping[str, DataFrame
     return union_rows(*reports)
 
 
-def enforce(report: DataFrame) -> None:
+Violation = tuple[str, str, int]
+
+
+def write_checked(
+    df: DataFrame, path: str, contract: TableContract, tables: Mapping[str, DataFrame] | None = None, **how: object
+) -> tuple[DataFrame, list[Violation]]:
+    """Write a stage and check its contract on the way; the stage, and a line per rule as in :func:`audit`.
+
+    All rules are counted over the rows as they are written, so the stage is not read again.
+    A key's rows are numbered, and each key with a second row is one violation; the tables
+    referred to are joined by their distinct keys. Rows that are grouped by their key already
+    are not shuffled for it.
+    """
+    marked, hidden, rules = df, [], [*_null_rules(contract.required), *_length_rules(contract.lengths)]
+    for i, (column, (table, target)) in enumerate(contract.references.items()):
+        if not tables or table not in tables:
+            raise ValueError(f"{contract.name}.{column} refers to {table}, which was not given")
+        mark, key = f"__known_{i}", f"__key_{i}"
+        known = tables[table].select(F.col(f"`{target}`").alias(key)).distinct().withColumn(mark, F.lit(True))
+        marked = marked.join(known, marked[column] == known[key], "left").drop(key)
+        hidden.append(mark)
+        rules.append(("foreign_key", column, F.col(f"`{column}`").isNotNull() & F.col(mark).isNull()))
+    keys = [F.col(f"`{k}`") for k in contract.key]
+    marked = marked.withColumn("__number", F.row_number().over(Window.partitionBy(*keys).orderBy(*keys)))
+    rules.append(("unique_key", ",".join(contract.key), F.col("__number") == 2))
+    counts = {str(i): F.count_if(broken) for i, (_, _, broken) in enumerate(rules)}
+    written, seen = write_observed(marked, path, {"n": F.count(F.lit(1)), **counts}, [*hidden, "__number"], **how)
+    lines = [(rule, column, seen[str(i)]) for i, (rule, column, _) in enumerate(rules)]
+    if contract.min_rows:
+        lines.append(("min_rows", "*", max(0, contract.min_rows - seen["n"])))
+    return written, lines
+
+
+def report_of(spark: SparkSession, lines: Sequence[Violation]) -> DataFrame:
+    """Lines of a check as a report."""
+    return spark.createDataFrame(list(lines), "rule string, column string, violations long")
+
+
+def enforce(report: DataFrame | Sequence[Violation]) -> None:
     """Run the checks and raise if any rule is violated, naming every one.
 
     Only failed lines come to the driver, at most one per rule and column.
     """
-    failed = report.filter("violations > 0").orderBy("rule", "column").collect()
+    if isinstance(report, DataFrame):
+        report = [tuple(r) for r in report.filter("violations > 0").collect()]
+    failed = sorted(line for line in report if line[2] > 0)
     if failed:
-        listing = "; ".join(f"{r['rule']}({r['column']}): {r['violations']}" for r in failed)
+        listing = "; ".join(f"{rule}({column}): {violations}" for rule, column, violations in failed)
         raise DataQualityError(f"{len(failed)} check(s) failed: {listing}")

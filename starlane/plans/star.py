@@ -9,24 +9,27 @@ each stage once, checks the result and publishes it::
 from __future__ import annotations
 
 import argparse
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from starlane.functions.calendar import add_calendar, within_years
 from starlane.operators.impute import impute_periods
 from starlane.operators.lookup import conform, enrich
-from starlane.operators.profile import CountBy, Mean, fold_codes, profile
-from starlane.operators.quality import audit, duplicate_keys, enforce
+from starlane.operators.match import match
+from starlane.operators.profile import CountBy, Mean, fold_codes, presum, profile_sums
+from starlane.operators.quality import Violation, audit, duplicate_keys, enforce, write_checked
 from starlane.operators.rollup import build_dimension
 from starlane.operators.shape import union_rows
-from starlane.session import build_session
+from starlane.plans.graph import Finished, Step, describe_inputs, fingerprint, run_steps
+from starlane.session import build_session, size_shuffles
 from starlane.sources import contracts
 from starlane.sources.contracts import conform_to
-from starlane.sources.readers import read_csv, read_many, read_parquet, unparsed_cells
-from starlane.sources.sinks import publish_all, write_stage
+from starlane.sources.readers import Landed, land_csv, read_csv, read_many, read_parquet
+from starlane.sources.sinks import publish_all, read_published, write_stage
 
 # Raw column names with the names and types the tables use, the country
 # filters, the year to complete with its donors and months, and the category codes
@@ -69,10 +72,15 @@ class Stages:
     """Folder names of the stage tables below the output folder (fixed values)."""
 
     dimension: str = "dimension_state"
+    cities: str = "city_rows"
     readings: str = "state_readings"
     temperature: str = "fact_temperature_state"
+    airports: str = "airport_rows"
     ports: str = "port_state"
+    by_port: str = "arrivals_by_port"
+    placed: str = "arrivals_placed"
     fact: str = "fact_arrivals_by_state_month"
+    report: str = "run_report"
 
 
 def state_dimension(demographics: DataFrame) -> DataFrame:
@@ -97,13 +105,15 @@ def state_dimension(demographics: DataFrame) -> DataFrame:
     return conform_to(dimension, contracts.DIMENSION_STATE)
 
 
+def is_usable(target_year: int = TARGET_YEAR, donor_years: Sequence[int] = DONOR_YEARS) -> Column:
+    """Whether a reading is domestic and of the target year or its donors, a small part of the series."""
+    return (F.col("Country") == COUNTRY_NAME) & within_years("dt", [target_year, *donor_years])
+
+
 def usable_readings(
     readings: DataFrame, target_year: int = TARGET_YEAR, donor_years: Sequence[int] = DONOR_YEARS
 ) -> DataFrame:
-    """The domestic readings of the target year and its donors, a small part of the series."""
-    return readings.filter(
-        (F.col("Country") == COUNTRY_NAME) & within_years("dt", [target_year, *donor_years])
-    ).select("dt", "AverageTemperature", "State", "Country")
+    return readings.filter(is_usable(target_year, donor_years)).select("dt", "AverageTemperature", "State", "Country")
 
 
 def complete_temperatures(
@@ -146,22 +156,34 @@ def arrival_rows(arrivals: DataFrame) -> DataFrame:
     return arrivals.select(*[F.col(raw).cast(kind).alias(name) for raw, (name, kind) in ARRIVAL_COLUMNS.items()])
 
 
-def arrivals_profile(arrivals: DataFrame, ports: DataFrame) -> DataFrame:
-    """Mean age and counts by gender and visa per state and month.
+AGES = [Mean("age", "average_age_arrivals", digits=1)]
+
 
-    Ports without a state drop out. A port code listed twice counts twice; its
-    entries are folded into a weight, so arrivals are not copied for it.
+def arrivals_by_port(arrivals: DataFrame) -> DataFrame:
+    """Sums and counts per port code and month, which is all that the profile needs.
+
+    One pass over the arrivals with one shuffle of a row per port, month and task. Sums of
+    single files add up, so they can be kept (:mod:`starlane.plans.monthly`).
     """
-    placed = conform(
-        arrivals,
-        fold_codes(ports, ["local_code"], ["state_key"], "entries"),
-        on={"local_code": "airport_key"},
-        take=["state_key", "entries"],
-        keep=list(PROFILE_REQUIRED),
-    )
-    means = [Mean("age", "average_age_arrivals", digits=1)]
-    profiled = profile(placed, PROFILE_KEYS, means, [GENDERS, VISAS], PROFILE_REQUIRED, weight="entries")
-    return profiled.orderBy(*PROFILE_KEYS)
+    return presum(arrivals, ["airport_key", "month", "year"], AGES, [GENDERS, VISAS], PROFILE_REQUIRED)
+
+
+def port_weights(ports: DataFrame) -> DataFrame:
+    """Ports by code; a code listed twice counts twice, so its entries are folded into a weight."""
+    return fold_codes(ports, ["local_code"], ["state_key"], "entries")
+
+
+def profile_of_ports(placed: DataFrame) -> DataFrame:
+    """Mean age and counts by gender and visa per state and month, from sums placed in states."""
+    return profile_sums(placed, PROFILE_KEYS, AGES, [GENDERS, VISAS], "entries").orderBy(*PROFILE_KEYS)
+
+
+def arrivals_profile(arrivals: DataFrame, ports: DataFrame) -> DataFrame:
+    """Mean age and counts by gender and visa per state and month; ports without a state drop out."""
+    summed = arrivals_by_port(arrivals)
+    kept = [c for c in summed.columns if c != "airport_key"]
+    placed = conform(summed, port_weights(ports), {"local_code": "airport_key"}, ["state_key", "entries"], keep=kept)
+    return profile_of_ports(placed)
 
 
 def arrivals_fact(arrivals: DataFrame, temperatures: DataFrame) -> DataFrame:
@@ -183,11 +205,9 @@ def check_tables(fact: DataFrame, dimension: DataFrame) -> None:
     enforce(union_rows(*reports))
 
 
-def check_inputs(spark: SparkSession, readings_path: str) -> None:
-    """Raise if a reading's date or value does not parse: its row would silently drop out."""
-    report = unparsed_cells(spark, readings_path, contracts.STATE_TEMPERATURE)
-    needed = report.where(F.col("column").isin("dt", "AverageTemperature"))
-    enforce(needed.select(F.lit("parses").alias("rule"), "column", F.col("unparsed").alias("violations")))
+def reading_faults(readings: Landed) -> list[Violation]:
+    """A reading whose date or value does not parse would silently drop out."""
+    return [("parses", c, n) for c, n in readings.unparsed(["dt", "AverageTemperature"]).items()]
 
 
 def check_temperatures(temperatures: DataFrame, profiled: DataFrame) -> None:
@@ -213,57 +233,115 @@ def run(
     donor_years: Sequence[int] = DONOR_YEARS,
     months: Sequence[int] = FILLED_MONTHS,
     only_missing: bool = False,
+    most_faulty: Mapping[str, int] | None = None,
+    resume: bool = False,
 ) -> dict[str, DataFrame]:
     """Dimension, temperatures, ports, fact, checks, publish; each stage written once.
 
-    Every stage replaces its previous content and is read back from storage, so a
-    lost executor costs the running stage's tasks only. Nothing is published
-    unless all checks pass. ``publish_as`` names the (dimension, fact) tables to
+    Steps that need nothing of each other run at once. Every stage replaces its previous
+    content and is read back from storage, so a lost executor costs the running stage's
+    tasks only. With ``resume`` a stage that an earlier run finished from the same files and
+    choices is left as it is.
+
+    Each text file is parsed once, its faulty rows beside the others in its stage;
+    ``most_faulty`` gives the number allowed by input (``demographics``, ``temperatures``,
+    ``airports``), and a reading whose date or value does not parse always raises. Nothing
+    is published unless all checks pass. ``publish_as`` names the (dimension, fact) tables to
     refresh, by default the contracts' own names, kept under ``publish_dir`` if
-    given. ``target_year``, ``donor_years``, ``months`` and ``only_missing`` choose how
-    temperatures are completed. An input that lacks a column, or whose readings do not
-    parse, raises before anything is published. Returns the tables by name.
-    """
+    given; both switch together. ``target_year``, ``donor_years``, ``months`` and
+    ``only_missing`` choose how temperatures are completed.
 
-    def raw(name: str) -> str:
-        return f"{input_dir.rstrip('/')}/{name}"
+    Returns the tables by name, with ``unmatched_ports``, the arrivals per port code that has
+    no state, and ``run_report``, what was counted on the way.
+    """
 
     def stage(name: str) -> str:
         return f"{output_dir.rstrip('/')}/{name}"
 
-    demographics = read_csv(spark, raw(inputs.demographics), contracts.CITY_DEMOGRAPHICS, ";", contracts.CITY_ALIASES)
-    dimension = write_stage(state_dimension(demographics), stage(stages.dimension), mode="overwrite")
-
-    check_inputs(spark, raw(inputs.temperatures))
-    # Imputation reads the series twice; the text file should be parsed once.
-    readings = write_stage(
-        usable_readings(read_csv(spark, raw(inputs.temperatures), contracts.STATE_TEMPERATURE), target_year, donor_years),
-        stage(stages.readings),
-        mode="overwrite",
-        compact=True,
-    )
-    temperatures = write_stage(
-        state_temperatures(
-            readings, dimension, target_year=target_year, donor_years=donor_years, months=months, only_missing=only_missing
-        ),
-        stage(stages.temperature),
-        mode="overwrite",
-    )
-
-    airports = read_csv(spark, raw(inputs.airports), contracts.AIRPORT_CODES)
-    ports = write_stage(port_states(airports, dimension), stage(stages.ports), mode="overwrite", compact=True)
-
-    landed = read_many(
-        spark, raw(inputs.arrivals), contracts.ARRIVALS, inputs.arrivals_source, header="true"
+    raw = {n: f"{input_dir.rstrip('/')}/{getattr(inputs, n)}" for n in ("demographics", "temperatures", "airports", "arrivals")}
+    found = describe_inputs(spark, raw)
+    size_shuffles(spark, sum(i.size for i in found.values()))
+    finished, allowed, choices = Finished(spark, resume), dict(most_faulty or {}), (target_year, tuple(donor_years))
+    imputed = dict(target_year=target_year, donor_years=donor_years, months=months, only_missing=only_missing)
+    made = {
+        "cities": fingerprint(RECIPE, found["demographics"]),
+        "readings": fingerprint(RECIPE, found["temperatures"], choices),
+        "airports": fingerprint(RECIPE, found["airports"]),
+        "by_port": fingerprint(RECIPE, found["arrivals"], inputs.arrivals_source),
+    }
+    made["dimension"] = fingerprint(made["cities"], "dimension")
+    made["temperature"] = fingerprint(made["dimension"], made["readings"], tuple(months), only_missing)
+    made["ports"] = fingerprint(made["dimension"], made["airports"])
+
+    def land(name: str, source: str, schema: str, sep: str = ",", aliases: Mapping[str, str] | None = None, keep: Column | None = None) -> Landed:
+        folder, of = stage(getattr(stages, name)), T.StructType.fromDDL(schema).names
+
+        def build() -> tuple[DataFrame, dict]:
+            landed = land_csv(spark, raw[source], schema, folder, sep, aliases, keep, allowed.get(source), mode="overwrite")
+            return landed.staged, landed.counts
+
+        return Landed(*finished.stage(folder, made[name], build), tuple(of))
+
+    def plain(name: str, df: DataFrame, **how: object) -> DataFrame:
+        folder = stage(getattr(stages, name))
+        return finished.stage(folder, made[name], lambda: (write_stage(df, folder, mode="overwrite", **how), {}))[0]
+
+    def dimension_step(cities: Landed) -> tuple[DataFrame, list[Violation]]:
+        folder = stage(stages.dimension)
+
+        def build() -> tuple[DataFrame, dict]:
+            written, lines = write_checked(state_dimension(cities.rows), folder, contracts.DIMENSION_STATE, mode="overwrite")
+            return written, {"lines": lines}
+
+        written, seen = finished.stage(folder, made["dimension"], build)
+        return written, [tuple(line) for line in seen["lines"]]
+
+    def readings_step() -> Landed:
+        landed = land("readings", "temperatures", contracts.STATE_TEMPERATURE, keep=is_usable(*choices))
+        enforce(reading_faults(landed))
+        return landed
+
+    def by_port_step() -> DataFrame:
+        landed = read_many(spark, raw["arrivals"], contracts.ARRIVALS, inputs.arrivals_source, header="true")
+        return plain("by_port", arrivals_by_port(arrival_rows(landed)))
+
+    done = run_steps(
+        spark,
+        {
+            "by_port": Step((), by_port_step),
+            "cities": Step((), lambda: land("cities", "demographics", contracts.CITY_DEMOGRAPHICS, ";", contracts.CITY_ALIASES)),
+            "readings": Step((), readings_step),
+            "airports": Step((), lambda: land("airports", "airports", contracts.AIRPORT_CODES, keep=F.col("iso_country") == COUNTRY_CODE)),
+            "dimension": Step(("cities",), dimension_step),
+            "temperature": Step(
+                ("readings", "dimension"),
+                lambda readings, dimension: plain("temperature", state_temperatures(readings.rows, dimension[0], **imputed)),
+            ),
+            "ports": Step(
+                ("airports", "dimension"), lambda airports, dimension: plain("ports", port_states(airports.rows, dimension[0]), compact=True)
+            ),
+            # The sums are few, so the lookup that keeps what it loses is written as a whole.
+            "placed": Step(
+                ("by_port", "ports"),
+                lambda by_port, ports: match(
+                    by_port, port_weights(ports), {"local_code": "airport_key"}, ["state_key", "entries"], stage(stages.placed), "overwrite"
+                ),
+            ),
+        },
     )
-    profiled = arrivals_profile(arrival_rows(landed), ports)
+    (dimension, dimension_lines), temperatures, placed = done["dimension"], done["temperature"], done["placed"]
+    profiled = profile_of_ports(placed.rows)
     check_temperatures(temperatures, profiled)
     # Reports ask for one state, so its rows should lie together.
-    fact = write_stage(
-        arrivals_fact(profiled, temperatures), stage(stages.fact), mode="overwrite", sort_by=["state_key", "month"]
-    )
-
-    check_tables(fact, dimension)
+    fact, fact_lines = write_checked(
+        arrivals_fact(profiled, temperatures), stage(stages.fact), contracts.FACT_ARRIVALS, {contracts.DIMENSION_STATE.name: dimension},
+        mode="overwrite", sort_by=["state_key", "month"],
+    )
+    named = [(contracts.DIMENSION_STATE, dimension_lines), (contracts.FACT_ARRIVALS, fact_lines)]
+    lines = [(rule, f"{contract.name}.{column}", n) for contract, of in named for rule, column, n in of]
+    unmatched = placed.unmatched.groupBy("airport_key").agg(F.sum("n_rows").alias("n_rows"))
+    report = write_stage(_run_report(spark, found, done, unmatched, lines), stage(stages.report), mode="overwrite")
+    enforce(lines)
 
     dimension_name, fact_name = publish_as or (contracts.DIMENSION_STATE.name, contracts.FACT_ARRIVALS.name)
 
@@ -280,10 +358,35 @@ def run(
         "dimension_state": published[0],
         "fact_arrivals": published[1],
         "fact_temperature_state": temperatures,
-        "port_state": ports,
+        "port_state": done["ports"],
+        "unmatched_ports": unmatched,
+        "run_report": report,
     }
 
 
+# Part of every fingerprint: change it when a recipe changes what a stage holds.
+RECIPE = "3"
+
+
+def _run_report(spark: SparkSession, found: dict, done: dict, unmatched: DataFrame, lines: Sequence[Violation]) -> DataFrame:
+    """What a run read, rejected and lost: measure, subject, value."""
+    rows = [(m, name, v) for name, i in found.items() for m, v in (("input_files", i.files), ("input_bytes", i.size))]
+    for name in ("cities", "readings", "airports"):
+        counts = done[name].counts
+        rows += [("rows", name, counts["rows"]), ("faulty_rows", name, counts["faulty"])]
+        rows += [("unparsed_cells", f"{name}.{c}", counts[f"unparsed {c}"]) for c in done[name].columns]
+    rows += [(rule, column, n) for rule, column, n in lines]
+    lost = unmatched.agg(F.coalesce(F.sum("n_rows"), F.lit(0)).alias("value")).select(
+        F.lit("unmatched_rows").alias("measure"), F.lit("arrivals.airport_key").alias("subject"), "value"
+    )
+    return spark.createDataFrame(rows, "measure string, subject string, value long").unionByName(lost)
+
+
+def open_published(publish_dir: str, spark: SparkSession) -> dict[str, DataFrame]:
+    """The tables that a run published below ``publish_dir``, both of the same run."""
+    return {name: read_published(spark, f"{publish_dir.rstrip('/')}/{name}") for name in ("dimension_state", "fact_arrivals")}
+
+
 def open_stages(spark: SparkSession, output_dir: str, stages: Stages = Stages()) -> dict[str, DataFrame]:
     """The tables of an earlier run, from its stage folders."""
     base = output_dir.rstrip("/")
@@ -306,6 +409,9 @@ def main(argv: Sequence[str] | None = None) -> None:
     parser.add_argument("--donor-years", type=int, nargs="+", default=DONOR_YEARS, help="years they are completed from")
     parser.add_argument("--months", type=int, nargs="+", default=FILLED_MONTHS, help="months to complete")
     parser.add_argument("--only-missing", action="store_true", help="leave months that have a reading")
+    parser.add_argument("--resume", action="store_true", help="leave stages that were finished from the same files")
+    for name in ("demographics", "temperatures", "airports"):
+        parser.add_argument(f"--most-faulty-{name}", type=int, help="faulty rows allowed in this input")
     parser.add_argument("--hive", action="store_true", help="keep tables in the Hive catalog")
     args = parser.parse_args(argv)
     run(
@@ -318,6 +424,8 @@ def main(argv: Sequence[str] | None = None) -> None:
         donor_years=args.donor_years,
         months=args.months,
         only_missing=args.only_missing,
+        most_faulty={n: v for n in ("demographics", "temperatures", "airports") if (v := getattr(args, f"most_faulty_{n}")) is not None},
+        resume=args.resume,
     )
 
 

@@ -23,7 +23,11 @@ SETTINGS = {
 # Recording the Python line of every column expression costs a round trip to the
 # JVM each, a quarter of the time it takes to build a query. It can only be chosen
 # when the session starts.
-AT_START = {"spark.python.sql.dataFrameDebugging.enabled": "false"}
+# So can the scheduler, which shares the cluster among steps that run at once.
+AT_START = {"spark.python.sql.dataFrameDebugging.enabled": "false", "spark.scheduler.mode": "FAIR"}
+
+INITIAL = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+MOST_PARTITIONS = 10_000
 
 
 def build_session(
@@ -52,7 +56,19 @@ def build_session(
     for key, value in SETTINGS.items():
         if open_to_us(key):
             spark.conf.set(key, value)
-    initial = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
-    if open_to_us(initial) and open_to_us("spark.sql.shuffle.partitions"):
-        spark.conf.set(initial, str(max(200, 4 * spark.sparkContext.defaultParallelism, input_bytes // 200_000_000)))
+    if "spark.sql.shuffle.partitions" not in chosen and INITIAL not in chosen:
+        size_shuffles(spark, input_bytes)
     return spark
+
+
+def size_shuffles(spark: SparkSession, input_bytes: int) -> None:
+    """Have shuffles start with enough partitions for an input, unless the session was told how many.
+
+    That is four partitions per core, or one per 200 MB of input, up to ``MOST_PARTITIONS``:
+    what the plans here shuffle has been summed before, and each task keeps a
+    buffer and an entry for every partition.
+    """
+    given = spark.sparkContext.getConf()
+    if not given.contains(INITIAL) and not given.contains("spark.sql.shuffle.partitions"):
+        wanted = min(MOST_PARTITIONS, input_bytes // 200_000_000)
+        spark.conf.set(INITIAL, str(max(200, 4 * spark.sparkContext.defaultParallelism, wanted)))

@@ -200,15 +200,25 @@ def _value_evidence(df: DataFrame) -> DataFrame:
 class Landed:
     """A delimited file as a stage: its rows, those with a fault, and what was counted on the way."""
 
-    rows: DataFrame
-    rejected: DataFrame
+    staged: DataFrame
     counts: dict[str, int]
     columns: tuple[str, ...]
 
+    @property
+    def rows(self) -> DataFrame:
+        """The rows that were to be kept, the faulty ones with NULL in cells that do not parse."""
+        return self.staged.where("__kept").select(*[f"`{n}`" for n in self.columns])
+
+    @property
+    def rejected(self) -> DataFrame:
+        """The faulty rows as file, line, and names of the columns at fault."""
+        of = {"__file": "file", "__line": "line", "__faults": "faults"}
+        return self.staged.where("__faulty = 1").select(*[F.col(c).alias(n) for c, n in of.items()])
+
     def report(self) -> DataFrame:
         """Per column: cells without a value, and cells that do not parse."""
         lines = [(c, self.counts[f"missing {c}"], self.counts[f"unparsed {c}"]) for c in self.columns]
-        return self.rows.sparkSession.createDataFrame(lines, "column string, missing long, unparsed long")
+        return self.staged.sparkSession.createDataFrame(lines, "column string, missing long, unparsed long")
 
     def unparsed(self, columns: Sequence[str]) -> dict[str, int]:
         return {c: self.counts[f"unparsed {c}"] for c in columns}
@@ -254,26 +264,21 @@ def land_csv(
         counts[f"missing {n}"] = F.count_if(F.col(f"`{n}`").isNull() & ~unparsed)
         counts[f"unparsed {n}"] = F.count_if(unparsed)
     rows = rows.drop("__cells").withColumn("__faulty", F.col("__line").isNotNull().cast("int"))
-    if keep is not None:
-        rows = rows.withColumn("__kept", F.coalesce(keep, F.lit(False)))
-    staged, seen = _landed(rows, folder, counts, keep is not None, mode)
-    usable = staged.where("__kept") if keep is not None else staged
-    rejected = staged.where("__faulty = 1").select(
-        F.col("__file").alias("file"), F.col("__line").alias("line"), F.col("__faults").alias("faults")
-    )
-    if most_faulty is not None and seen["faulty"] > most_faulty:
-        first = rejected.orderBy("file", "line").first()
-        raise InputError(f"{seen['faulty']} faulty rows where {most_faulty} are allowed, such as {first['line']!r} in {first['file']}")
-    return Landed(usable.select(*[f"`{n}`" for n in names]), rejected, seen, tuple(names))
+    rows = rows.withColumn("__kept", F.lit(True) if keep is None else F.coalesce(keep, F.lit(False)))
+    landed = Landed(*_landed(rows, folder, counts, mode), tuple(names))
+    if most_faulty is not None and landed.counts["faulty"] > most_faulty:
+        first = landed.rejected.orderBy("file", "line").first()
+        raise InputError(
+            f"{landed.counts['faulty']} faulty rows where {most_faulty} are allowed, such as {first['line']!r} in {first['file']}"
+        )
+    return landed
 
 
-def _landed(rows: DataFrame, folder: str, counts: Mapping[str, Column], thinned: bool, mode: str) -> tuple[DataFrame, dict[str, int]]:
+def _landed(rows: DataFrame, folder: str, counts: Mapping[str, Column], mode: str) -> tuple[DataFrame, dict[str, int]]:
     """Write the rows, the faulty ones in a folder of their own, and count before thinning."""
     from starlane.sources.sinks import write_stage
 
     seen = Observation()
-    observed = rows.observe(seen, *[c.alias(name) for name, c in counts.items()])
-    if thinned:
-        observed = observed.where("__kept OR __faulty = 1")
+    observed = rows.observe(seen, *[c.alias(name) for name, c in counts.items()]).where("__kept OR __faulty = 1")
     staged = write_stage(observed, folder, mode=mode, partition_by=["__faulty"])
     return staged, seen.get

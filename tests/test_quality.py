@@ -1,6 +1,8 @@
 import pytest
 
-from starlane.operators import DataQualityError, audit, duplicate_keys, enforce, length_counts, null_counts, orphan_keys
+from starlane.operators import (
+    DataQualityError, audit, duplicate_keys, enforce, length_counts, null_counts, orphan_keys, report_of, write_checked,
+)
 from starlane.sources.contracts import TableContract
 
 CONTRACT = TableContract(
@@ -63,3 +65,28 @@ def test_unknown_columns_and_missing_references_raise(spark, dim):
         null_counts(frame(spark), ["no_such"])
     with pytest.raises(ValueError, match="dim"):
         audit(frame(spark), CONTRACT)
+
+
+@pytest.mark.parametrize("least", [0, 9])
+def test_a_checked_write_counts_what_an_audit_counts(spark, rows, dim, tmp_path, least):
+    contract = TableContract(**{**CONTRACT.__dict__, "min_rows": least})
+    df = frame(spark, (None, 1, "x"), ("abc", 1, "no"), ("abc", 1, "no"), ("abc", 1, "y"), (None, 1, None), ("a", None, "nowhere"))
+    written, lines = write_checked(df, str(tmp_path / "t"), contract, {"dim": dim.union(dim)})
+    assert rows(report_of(spark, lines)) == rows(audit(df, contract, {"dim": dim}))
+    assert rows(written) == rows(df) and written.columns == df.columns
+    with pytest.raises(DataQualityError, match="unique_key"):
+        enforce(lines)
+    _, clean = write_checked(frame(spark, ("a", 1, "x")), str(tmp_path / "c"), CONTRACT, {"dim": dim})
+    enforce(clean)
+    with pytest.raises(ValueError, match="dim"):
+        write_checked(df, str(tmp_path / "u"), CONTRACT)
+
+
+def test_a_checked_write_reads_nothing_again(spark, dim, tmp_path):
+    spark.sparkContext.setJobGroup("checked", "checked")
+    df = spark.range(100).selectExpr("string(id) AS k", "int(id) AS n", "CAST(NULL AS string) AS d")
+    write_checked(df, str(tmp_path / "t"), CONTRACT, {"dim": dim})
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    tracker = spark.sparkContext.statusTracker()
+    names = [tracker.getStageInfo(s).name for j in tracker.getJobIdsForGroup("checked") for s in tracker.getJobInfo(j).stageIds]
+    assert names and not [n for n in names if n.startswith(("collect", "count"))]

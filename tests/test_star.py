@@ -171,6 +171,7 @@ def test_command_line(spark, tmp_path, monkeypatch):
     inputs = star.Inputs(arrivals="a/*", arrivals_source="orc")
     wanted = {"where": ("in", "out"), "inputs": inputs, "publish_dir": "pub"}
     usual = {"target_year": 2013, "donor_years": (2010, 2011, 2012), "months": (10, 11, 12), "only_missing": False}
+    usual |= {"most_faulty": {}, "resume": False}
     assert called == {**wanted, **usual}
     star.main(["--input", "in", "--output", "out", "--target-year", "2014", "--donor-years", "2013", "--months", "1", "2", "--only-missing"])
     assert (called["target_year"], called["donor_years"], called["months"], called["only_missing"]) == (2014, [2013], [1, 2], True)
@@ -197,3 +198,90 @@ def test_incomplete_input_leaves_what_is_published(spark, tmp_path, fresh, fault
     with pytest.raises((InputError, DataQualityError)):
         run(spark, tmp_path, str(bad))
     assert spark.table("star_fact").count() == len(FACT) and spark.table("star_dim").count() == len(DIMENSION)
+
+
+def test_what_a_run_counts_on_the_way(spark, tmp_path, rows, fresh):
+    raw = tmp_path / "raw"
+    raw.mkdir()
+    tables = run(spark, tmp_path, land(spark, raw))
+    report = {(r.measure, r.subject): r.value for r in tables["run_report"].collect()}
+    assert report["rows", "cities"] == 9 and report["faulty_rows", "cities"] == 1
+    assert report["unparsed_cells", "cities.Male Population"] == 1 and report["unparsed_cells", "readings.dt"] == 0
+    assert report["input_files", "arrivals"] >= 2 and report["unmatched_rows", "arrivals.airport_key"] == 4
+    assert report["foreign_key", "fact_arrivals.state_key"] == 0 and report["unique_key", "fact_arrivals.state_key,month,year"] == 0
+    assert rows(tables["unmatched_ports"]) == [(None, 1), ("UMX", 1), ("YYZ", 1), ("ZZZ", 1)]
+    quarantined = spark.read.parquet(str(tmp_path / "stages" / "city_rows")).where("__faulty = 1").first()
+    assert quarantined["__line"].startswith("Gary;Indiana;37.0;many;") and quarantined["__faults"] == ["Male Population"]
+    published = star.open_published(str(tmp_path / "published"), spark)
+    assert published["fact_arrivals"].count() == len(FACT) and published["dimension_state"].count() == len(DIMENSION)
+
+
+def test_faulty_rows_beyond_the_limit_stop_the_run(spark, tmp_path, fresh):
+    raw = tmp_path / "raw"
+    raw.mkdir()
+    land(spark, raw)
+    with pytest.raises(InputError, match="1 faulty rows where 0 are allowed, such as 'Gary;Indiana"):
+        run(spark, tmp_path, str(raw), most_faulty={"demographics": 0})
+    assert run(spark, tmp_path, str(raw), most_faulty={"demographics": 1})["fact_arrivals"].count() == len(FACT)
+
+
+def test_a_rerun_leaves_the_stages_that_were_finished(spark, tmp_path, rows, fresh, monkeypatch):
+    raw = tmp_path / "raw"
+    raw.mkdir()
+    land(spark, raw)
+    monkeypatch.setattr(star, "port_states", lambda *given: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        run(spark, tmp_path, str(raw), resume=True)
+    monkeypatch.undo()
+
+    def written():
+        return {p.name: (p / "_fingerprint").stat().st_mtime_ns for p in (tmp_path / "stages").iterdir() if (p / "_fingerprint").exists()}
+
+    before = written()
+    assert {"city_rows", "dimension_state", "arrivals_by_port"} <= set(before) and "port_state" not in before
+    assert rows(run(spark, tmp_path, str(raw), resume=True)["dimension_state"]) == DIMENSION
+    after = written()
+    assert {n: after[n] for n in before} == before and "port_state" in after
+    # Another file makes the stages that hang on it anew, and no other.
+    (raw / star.Inputs().temperatures).write_text(TEMPERATURES.replace("18.257", "28.257"))
+    got = run(spark, tmp_path, str(raw), resume=True)
+    assert ("IA", 28.26, 9) in rows(got["fact_temperature_state"])
+    again = written()
+    assert {n for n in after if again[n] != after[n]} == {"state_readings", "fact_temperature_state"}
+    # Without resume everything is made anew.
+    run(spark, tmp_path, str(raw))
+    assert all(t != again[n] for n, t in written().items())
+
+
+def test_steps_run_at_once_and_a_failure_lets_none_begin(spark):
+    import threading
+
+    from starlane.plans.graph import Step, run_steps
+
+    both = threading.Barrier(2, timeout=30)
+    met = run_steps(spark, {"a": Step((), both.wait), "b": Step((), both.wait), "c": Step(("a", "b"), lambda a, b: a + b)})
+    assert met["c"] == 1
+    begun = []
+    steps = {"bad": Step((), lambda: 1 / 0), "after": Step(("bad",), lambda bad: begun.append("after"))}
+    with pytest.raises(ZeroDivisionError):
+        run_steps(spark, steps)
+    assert begun == []
+    with pytest.raises(ValueError, match="wait for each other"):
+        run_steps(spark, {"a": Step(("b",), print), "b": Step(("a",), print)})
+
+
+def test_shuffles_start_with_partitions_for_the_input(spark, monkeypatch):
+    from starlane import session
+
+    class Conf:
+        def contains(self, key):
+            return False
+
+    monkeypatch.setattr(type(spark.sparkContext), "getConf", lambda self: Conf())
+    before = spark.conf.get(session.INITIAL, None)
+    try:
+        for size, wanted in ((0, 200), (10**12, 5000), (10**15, session.MOST_PARTITIONS)):
+            session.size_shuffles(spark, size)
+            assert spark.conf.get(session.INITIAL) == str(wanted)
+    finally:
+        spark.conf.unset(session.INITIAL) if before is None else spark.conf.set(session.INITIAL, before)
