@@ -160,6 +160,28 @@ ORACLE = {
     "match_audit": """
         SELECT count(*) AS n_rows, count(*) FILTER (user_id IS NULL OR user_id NOT IN (SELECT s_suppkey FROM supplier)) AS n_unmatched
         FROM events""",
+    "quarantined_rows": """
+        SELECT concat_ws(',', CASE WHEN c_custkey % 7 = 0 THEN '' ELSE CAST(c_custkey AS VARCHAR) END,
+                         CASE WHEN c_custkey % 5 = 0 THEN 'many' ELSE CAST(c_acctbal AS VARCHAR) END,
+                         CASE WHEN c_custkey % 3 = 0 THEN '2013-13-01' ELSE '2013-01-01' END) AS line,
+               concat_ws(',', CASE WHEN c_custkey % 5 = 0 THEN 'balance' END, CASE WHEN c_custkey % 3 = 0 THEN 'day' END) AS faults
+        FROM customer WHERE c_custkey % 5 = 0 OR c_custkey % 3 = 0""",
+    "landed_rows": """
+        SELECT CASE WHEN c_custkey % 7 <> 0 THEN c_custkey END AS key, CASE WHEN c_custkey % 5 <> 0 THEN c_acctbal END AS balance,
+               CASE WHEN c_custkey % 3 <> 0 THEN DATE '2013-01-01' END AS day
+        FROM customer""",
+    "matched_counts": """
+        SELECT s_nationkey AS nation_key, event_type, count(*) AS n_events
+        FROM events JOIN supplier ON s_suppkey = user_id GROUP BY s_nationkey, event_type""",
+    "unmatched_keys": """
+        SELECT user_id AS s_suppkey, count(*) AS n FROM events
+        WHERE user_id IS NULL OR user_id NOT IN (SELECT s_suppkey FROM supplier) GROUP BY user_id""",
+    "key_filter_join": """
+        SELECT event_id, user_id, event_type, s_nationkey FROM events JOIN supplier ON s_suppkey = user_id""",
+    "bucketed_join": """
+        SELECT o_custkey, count(*) AS n_orders, max(o_totalprice) AS top_price, min(c_nationkey) AS nation_key
+        FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY o_custkey""",
+    "added_months": f"WITH {PLACED} {PROFILE}",
     "csv_contract_scan": """
         SELECT c_custkey AS customer_key, c_name AS customer_name, c_acctbal AS balance, c_mktsegment AS segment
         FROM customer""",
@@ -262,6 +284,16 @@ ORACLE = {
             SELECT user_id, event_type FROM seeded GROUP BY user_id, event_type HAVING count(*) > 1)
         UNION ALL SELECT 'foreign_key', 'user_id', count(*) FROM seeded
             WHERE user_id NOT IN (SELECT s_suppkey FROM supplier)""",
+    "dq_checked_write": f"""
+        WITH {SEEDED}
+        SELECT 'not_null' AS rule, 'user_id' AS "column", count(*) - count(user_id) AS violations FROM seeded
+        UNION ALL SELECT 'not_null', 'event_type', count(*) - count(event_type) FROM seeded
+        UNION ALL SELECT 'not_null', 'value', count(*) - count(value) FROM seeded
+        UNION ALL SELECT 'max_length', 'event_type', count(*) FROM seeded WHERE length(event_type) > 5
+        UNION ALL SELECT 'unique_key', 'user_id,event_type', count(*) FROM (
+            SELECT user_id, event_type FROM seeded GROUP BY user_id, event_type HAVING count(*) > 1)
+        UNION ALL SELECT 'foreign_key', 'user_id', count(*) FROM seeded
+            WHERE user_id NOT IN (SELECT s_suppkey FROM supplier)""",
     "star_dimension": f"WITH {DIMENSION} SELECT * FROM dimension",
     "star_calendar": f"""
         WITH {READINGS}

@@ -17,15 +17,21 @@ from starlane.functions.means import exact_mean, to_units
 from starlane.operators.dedup import dedup_first
 from starlane.operators.impute import donor_mean, impute_periods
 from starlane.operators.lookup import conform, enrich, recombine
-from starlane.operators.profile import CountBy, Mean, category_counts, pivot_count, profile, profile_preaggregated
-from starlane.operators.quality import audit, duplicate_keys, length_counts, null_counts, orphan_keys
+from starlane.operators.match import Matched, key_filter, match, unmatched_counts
+from starlane.operators.profile import (
+    CountBy, Mean, category_counts, pivot_count, presum, profile, profile_preaggregated, profile_sums,
+)
+from starlane.operators.quality import audit, duplicate_keys, length_counts, null_counts, orphan_keys, report_of, write_checked
 from starlane.operators.rollup import build_dimension
 from starlane.operators.shape import is_null, not_null, preview, row_count, union_rows
 from starlane.plans import reports, star
+from starlane.plans.graph import describe_inputs, fingerprint
+from starlane.plans.monthly import MonthlySums
 from starlane.sources.contracts import TableContract
-from starlane.sources.readers import read_csv, read_many, read_parquet, unparsed_cells
-from starlane.sources.scratch import scratch_folder
-from starlane.sources.sinks import publish, write_stage
+from starlane.sources.readers import Landed, land_csv, read_csv, read_many, read_parquet
+from starlane.sources.scratch import scratch_folder, scratch_root
+from starlane.sources.sinks import publish, read_published, write_bucketed, write_stage
+from starlane.sources.versions import exists, read_text, write_text
 
 KEYS = ("nation_key", "month", "year")
 STATUS = CountBy("status", {"F": "filled", "O": "open", "P": "pending"})
@@ -198,7 +204,7 @@ def stage_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def publish_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Publish an aggregate twice into a table with a declared layout; read the table."""
+    """Publish an aggregate twice into a table with a declared layout; read what is published."""
     contract = TableContract(
         name="segment_share",
         columns="segment varchar(10), nation_key int, n_customers bigint, share_key varchar(13)",
@@ -213,7 +219,9 @@ def publish_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch_folder(spark, "segment_share")
     name = "segment_share_" + folder.rsplit("-", 1)[-1]
     publish(counted, contract, name, folder)
-    return publish(counted, contract, name, folder)
+    publish(counted, contract, name, folder)
+    spark.sql(f"DROP TABLE {name}")
+    return read_published(spark, folder)
 
 
 def preview_limit(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -309,9 +317,32 @@ def conform_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def fact_enrich(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The profile with the completed peak series, on nation and month without year."""
-    peaks = completed_peaks(spark, sf_dir).drop("year")
-    return enrich(priced_profile(spark, sf_dir), peaks, ["nation_key", "month"])
+    """The profile with the completed peak series, on nation and month without year.
+
+    The peaks are a column of the profile's own aggregation; the orders are joined once.
+    """
+    placed = placed_orders(spark, sf_dir)
+    cells = [MEAN_PRICE.over_rows().alias(MEAN_PRICE.alias), *category_counts(STATUS), *category_counts(PRIORITY)]
+    whole = _stage(spark, placed.groupBy(*KEYS).agg(*cells, F.max("price").alias("peak_price")), "profile_and_peaks")
+    peaks = impute_periods(whole.select(*KEYS, "peak_price"), ["nation_key"], PEAK, TARGET_YEAR, DONOR_YEARS, FILLED_MONTHS)
+    return enrich(whole.drop("peak_price"), peaks.drop("year"), ["nation_key", "month"])
+
+
+def key_filter_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events of users that are suppliers; the others go before the join, by a filter of bits."""
+    events, on = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type"), {"s_suppkey": "user_id"}
+    suppliers = table(spark, sf_dir, "supplier")
+    return conform(events.where(key_filter(suppliers, on)), suppliers, on, ["s_nationkey"])
+
+
+def bucketed_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders and customers in buckets of one key, joined where they lie."""
+    orders = write_bucketed(table(spark, sf_dir, "orders"), scratch_folder(spark, "orders"), ["o_custkey"], 16)
+    customers = write_bucketed(table(spark, sf_dir, "customer"), scratch_folder(spark, "customers"), ["c_custkey"], 16)
+    joined = orders.join(customers, F.col("o_custkey") == F.col("c_custkey"))
+    return joined.groupBy("o_custkey").agg(
+        F.count(F.lit(1)).alias("n_orders"), F.max("o_totalprice").alias("top_price"), F.min("c_nationkey").alias("nation_key")
+    )
 
 
 # -- aggregates -----------------------------------------------------------------
@@ -403,8 +434,8 @@ def stage_sorted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return staged.filter(F.col("c_nationkey") == 5)
 
 
-def input_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Missing and unparsed cells per column of a file, some of which were spoilt."""
+def _spoilt_file(spark: SparkSession, sf_dir: str) -> Landed:
+    """Customers as a file, some cells of which were spoilt, landed as a stage."""
     folder = scratch_folder(spark, "spoilt_csv")
     key = F.col("c_custkey")
     table(spark, sf_dir, "customer").select(
@@ -412,15 +443,59 @@ def input_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(key % 5 == 0, "many").otherwise(F.col("c_acctbal").cast("string")).alias("balance"),
         F.when(key % 3 == 0, "2013-13-01").otherwise("2013-01-01").alias("day"),
     ).write.csv(folder, header=True)
-    return unparsed_cells(spark, folder, "key bigint, balance double, day date")
+    return land_csv(spark, folder, "key bigint, balance double, day date", scratch_folder(spark, "landed"))
+
+
+def input_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Missing and unparsed cells per column of a file, counted as it was landed."""
+    return _spoilt_file(spark, sf_dir).report()
+
+
+def quarantined_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lines of a file in which a cell does not parse, with the columns at fault."""
+    rejected = _spoilt_file(spark, sf_dir).rejected
+    return rejected.select("line", F.array_join("faults", ",").alias("faults"))
+
+
+def landed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All rows of that file, NULL in the cells that do not parse."""
+    return _spoilt_file(spark, sf_dir).rows
+
+
+def _events_by_user(spark: SparkSession, sf_dir: str) -> Matched:
+    """Events summed per user and type, looked up among the suppliers."""
+    summed = table(spark, sf_dir, "events").groupBy("user_id", "event_type").agg(F.count(F.lit(1)).alias("n"))
+    suppliers = table(spark, sf_dir, "supplier")
+    return match(summed, suppliers, {"s_suppkey": "user_id"}, ["s_nationkey"], scratch_folder(spark, "events_by_user"))
 
 
 def match_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events that a lookup of their user among the suppliers leaves without a match."""
-    known = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("user_id")).withColumn("known", F.lit(1))
-    users = table(spark, sf_dir, "events").groupBy("user_id").agg(F.count(F.lit(1)).alias("n"))
-    met = users.join(known, "user_id", "left")
-    return met.agg(F.sum("n").alias("n_rows"), F.sum(F.when(F.col("known").isNull(), F.col("n")).otherwise(0)).alias("n_unmatched"))
+    met = _events_by_user(spark, sf_dir)
+    both = met.rows.select("n", F.lit(0).alias("lost")).unionByName(met.unmatched.select("n", F.col("n").alias("lost")))
+    return both.agg(F.sum("n").alias("n_rows"), F.sum("lost").alias("n_unmatched"))
+
+
+def matched_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events per nation of the supplier they met and type, from the other part of that lookup."""
+    met = _events_by_user(spark, sf_dir).rows
+    return met.groupBy(F.col("s_nationkey").alias("nation_key"), "event_type").agg(F.sum("n").alias("n_events"))
+
+
+def unmatched_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events per user that is no supplier."""
+    return unmatched_counts(table(spark, sf_dir, "events"), table(spark, sf_dir, "supplier"), {"s_suppkey": "user_id"})
+
+
+def added_months(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The profile from kept sums: all orders but those of the last years, then these, given twice."""
+    rows = order_rows(spark, sf_dir)
+    sums = MonthlySums(spark, scratch_folder(spark, "monthly_sums"), ["customer_key", "month", "year"])
+    early = F.col("year") < TARGET_YEAR
+    for label, part in (("first", early), ("last", ~early), ("last", ~early)):
+        sums.add(label, presum(rows.where(part), sums.by, [MEAN_PRICE], [STATUS, PRIORITY]))
+    placed = conform(sums.total(), customer_nations(spark, sf_dir), {"c_custkey": "customer_key"}, ["nation_key"])
+    return profile_sums(placed, KEYS, [MEAN_PRICE], [STATUS, PRIORITY])
 
 
 def sorted_result(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -448,16 +523,24 @@ def dq_not_null_length(spark: SparkSession, sf_dir: str) -> DataFrame:
     return length_counts(events, required=["event_type"], lengths={"event_type": 5})
 
 
+EVENT_LOG = TableContract(
+    name="event_log",
+    columns="user_id bigint, event_type varchar(5), value double",
+    key=("user_id", "event_type"),
+    required=("user_id", "event_type", "value"),
+    references={"user_id": ("supplier", "s_suppkey")},
+)
+
+
 def dq_contract_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every promise of a contract at once, over a table that breaks each of them."""
-    contract = TableContract(
-        name="event_log",
-        columns="user_id bigint, event_type varchar(5), value double",
-        key=("user_id", "event_type"),
-        required=("user_id", "event_type", "value"),
-        references={"user_id": ("supplier", "s_suppkey")},
-    )
-    return audit(seeded_events(spark, sf_dir), contract, {"supplier": table(spark, sf_dir, "supplier")})
+    return audit(seeded_events(spark, sf_dir), EVENT_LOG, {"supplier": table(spark, sf_dir, "supplier")})
+
+
+def dq_checked_write(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same, counted while the table is written."""
+    known = {"supplier": table(spark, sf_dir, "supplier")}
+    return report_of(spark, write_checked(seeded_events(spark, sf_dir), scratch_folder(spark, "event_log"), EVENT_LOG, known)[1])
 
 
 # -- the recipes on raw inputs shaped from the sample tables ---------------------
@@ -577,8 +660,8 @@ def star_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return star.arrivals_profile(star.arrival_rows(raw_arrivals(spark, sf_dir)), ports)
 
 
-def _star_run(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """Land the four raw inputs as files and run the whole job on them."""
+def _star_run(spark: SparkSession, sf_dir: str) -> str:
+    """Land the four raw inputs as files and run the whole job on them; where it published."""
     landing = scratch_folder(spark, "landing")
     inputs = star.Inputs()
     raw_demographics(spark, sf_dir).write.csv(f"{landing}/{inputs.demographics}", header=True, sep=";")
@@ -589,24 +672,33 @@ def _star_run(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     )
     write_stage(arrivals, f"{landing}/{inputs.arrivals}", partition_by=["landing_year", "landing_month"])
     output = scratch_folder(spark, "star")
-    suffix = output.rsplit("-", 1)[-1]
-    return star.run(
-        spark,
-        landing,
-        output,
-        publish_as=(f"dimension_state_{suffix}", f"fact_arrivals_{suffix}"),
-        publish_dir=f"{output}/published",
-    )
+    names = [f"{n}_{output.rsplit('-', 1)[-1]}" for n in ("dimension_state", "fact_arrivals")]
+    star.run(spark, landing, output, publish_as=tuple(names), publish_dir=f"{output}/published")
+    for name in names:
+        spark.sql(f"DROP TABLE {name}")
+    return f"{output}/published"
 
 
 def full_refresh_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole job from raw files to the published fact table."""
-    return _star_run(spark, sf_dir)["fact_arrivals"]
+    return star.open_published(spark, _star_run(spark, sf_dir))["fact_arrivals"]
 
 
 def full_refresh_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole job from raw files to the published dimension table."""
-    return _star_run(spark, sf_dir)["dimension_state"]
+    return star.open_published(spark, _star_run(spark, sf_dir))["dimension_state"]
+
+
+def published_star(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The published tables of this application's run over these inputs, which is made if there is none yet."""
+    pointer = f"{scratch_root(spark)}/published-{fingerprint(sf_dir, describe_inputs(spark, _star_inputs(sf_dir)))}"
+    if not exists(spark, pointer):
+        write_text(spark, pointer, _star_run(spark, sf_dir))
+    return star.open_published(spark, read_text(spark, pointer))
+
+
+def _star_inputs(sf_dir: str) -> dict[str, str]:
+    return {name: f"{sf_dir}/{name}.parquet" for name in ("customer", "nation", "orders")}
 
 
 def _dimension_and_temperatures(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
@@ -616,16 +708,12 @@ def _dimension_and_temperatures(spark: SparkSession, sf_dir: str) -> tuple[DataF
     return dimension, _stage(spark, star.state_temperatures(readings, dimension), "temperatures")
 
 
-def _fact_and_dimension(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """Fact and dimension from frames, staging only the small tables."""
+def star_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fact from frames, staging only the small tables."""
     dimension, temperatures = _dimension_and_temperatures(spark, sf_dir)
     ports = _stage(spark, star.port_states(raw_airports(spark, sf_dir), dimension), "ports")
     profiled = star.arrivals_profile(star.arrival_rows(raw_arrivals(spark, sf_dir)), ports)
-    return star.arrivals_fact(profiled, temperatures), dimension
-
-
-def star_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _fact_and_dimension(spark, sf_dir)[0]
+    return star.arrivals_fact(profiled, temperatures)
 
 
 # The reports look at one state, as a reader of the published table would.
@@ -633,13 +721,16 @@ REPORT_STATE = "05"
 
 
 def report_visa_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    fact, dimension = _fact_and_dimension(spark, sf_dir)
-    return reports.category_mix_report(spark, fact, dimension, "state_key", REPORT_STATE, reports.VISA_MIX)
+    return _report(spark, sf_dir, reports.VISA_MIX)
 
 
 def report_gender_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    fact, dimension = _fact_and_dimension(spark, sf_dir)
-    return reports.category_mix_report(spark, fact, dimension, "state_key", REPORT_STATE, reports.GENDER_MIX)
+    return _report(spark, sf_dir, reports.GENDER_MIX)
+
+
+def _report(spark: SparkSession, sf_dir: str, columns: tuple[str, ...]) -> DataFrame:
+    tables = published_star(spark, sf_dir)
+    return reports.category_mix_report(spark, tables["fact_arrivals"], tables["dimension_state"], "state_key", REPORT_STATE, columns)
 
 
 QUERIES = {
@@ -676,7 +767,15 @@ QUERIES = {
     "sorted_result": sorted_result,
     "stage_sorted": stage_sorted,
     "input_audit": input_audit,
+    "quarantined_rows": quarantined_rows,
+    "landed_rows": landed_rows,
     "match_audit": match_audit,
+    "matched_counts": matched_counts,
+    "unmatched_keys": unmatched_keys,
+    "key_filter_join": key_filter_join,
+    "bucketed_join": bucketed_join,
+    "added_months": added_months,
+    "dq_checked_write": dq_checked_write,
     "dq_null_counts": dq_null_counts,
     "dq_unique_key": dq_unique_key,
     "dq_foreign_key": dq_foreign_key,

@@ -25,6 +25,7 @@ from starlane.operators.quality import Violation, audit, duplicate_keys, enforce
 from starlane.operators.rollup import build_dimension
 from starlane.operators.shape import union_rows
 from starlane.plans.graph import Finished, Step, describe_inputs, fingerprint, run_steps
+from starlane.plans.monthly import MonthlySums
 from starlane.session import build_session, size_shuffles
 from starlane.sources import contracts
 from starlane.sources.contracts import conform_to
@@ -156,6 +157,7 @@ def arrival_rows(arrivals: DataFrame) -> DataFrame:
     return arrivals.select(*[F.col(raw).cast(kind).alias(name) for raw, (name, kind) in ARRIVAL_COLUMNS.items()])
 
 
+PORT_KEYS = ("airport_key", "month", "year")
 AGES = [Mean("age", "average_age_arrivals", digits=1)]
 
 
@@ -165,7 +167,7 @@ def arrivals_by_port(arrivals: DataFrame) -> DataFrame:
     One pass over the arrivals with one shuffle of a row per port, month and task. Sums of
     single files add up, so they can be kept (:mod:`starlane.plans.monthly`).
     """
-    return presum(arrivals, ["airport_key", "month", "year"], AGES, [GENDERS, VISAS], PROFILE_REQUIRED)
+    return presum(arrivals, PORT_KEYS, AGES, [GENDERS, VISAS], PROFILE_REQUIRED)
 
 
 def port_weights(ports: DataFrame) -> DataFrame:
@@ -235,6 +237,7 @@ def run(
     only_missing: bool = False,
     most_faulty: Mapping[str, int] | None = None,
     resume: bool = False,
+    monthly_sums: str | None = None,
 ) -> dict[str, DataFrame]:
     """Dimension, temperatures, ports, fact, checks, publish; each stage written once.
 
@@ -251,6 +254,9 @@ def run(
     given; both switch together. ``target_year``, ``donor_years``, ``months`` and
     ``only_missing`` choose how temperatures are completed.
 
+    With ``monthly_sums``, a folder, the arrivals read are one delivery of several: their sums
+    are kept there, and the fact is made from the sums of all deliveries so far.
+
     Returns the tables by name, with ``unmatched_ports``, the arrivals per port code that has
     no state, and ``run_report``, what was counted on the way.
     """
@@ -303,7 +309,12 @@ def run(
 
     def by_port_step() -> DataFrame:
         landed = read_many(spark, raw["arrivals"], contracts.ARRIVALS, inputs.arrivals_source, header="true")
-        return plain("by_port", arrivals_by_port(arrival_rows(landed)))
+        summed = arrivals_by_port(arrival_rows(landed))
+        if monthly_sums is None:
+            return plain("by_port", summed)
+        sums = MonthlySums(spark, monthly_sums, PORT_KEYS)
+        sums.add(inputs.arrivals, summed)
+        return sums.total()
 
     done = run_steps(
         spark,
@@ -382,7 +393,7 @@ def _run_report(spark: SparkSession, found: dict, done: dict, unmatched: DataFra
     return spark.createDataFrame(rows, "measure string, subject string, value long").unionByName(lost)
 
 
-def open_published(publish_dir: str, spark: SparkSession) -> dict[str, DataFrame]:
+def open_published(spark: SparkSession, publish_dir: str) -> dict[str, DataFrame]:
     """The tables that a run published below ``publish_dir``, both of the same run."""
     return {name: read_published(spark, f"{publish_dir.rstrip('/')}/{name}") for name in ("dimension_state", "fact_arrivals")}
 
@@ -409,6 +420,7 @@ def main(argv: Sequence[str] | None = None) -> None:
     parser.add_argument("--donor-years", type=int, nargs="+", default=DONOR_YEARS, help="years they are completed from")
     parser.add_argument("--months", type=int, nargs="+", default=FILLED_MONTHS, help="months to complete")
     parser.add_argument("--only-missing", action="store_true", help="leave months that have a reading")
+    parser.add_argument("--monthly-sums", help="folder with the sums of earlier deliveries of arrivals")
     parser.add_argument("--resume", action="store_true", help="leave stages that were finished from the same files")
     for name in ("demographics", "temperatures", "airports"):
         parser.add_argument(f"--most-faulty-{name}", type=int, help="faulty rows allowed in this input")
@@ -426,6 +438,7 @@ def main(argv: Sequence[str] | None = None) -> None:
         only_missing=args.only_missing,
         most_faulty={n: v for n in ("demographics", "temperatures", "airports") if (v := getattr(args, f"most_faulty_{n}")) is not None},
         resume=args.resume,
+        monthly_sums=args.monthly_sums,
     )
 
 

@@ -4,7 +4,8 @@ from starlane.sources.contracts import TableContract, conform_to
 from starlane.sources.readers import InputError, Landed, input_files, land_csv, read_csv, read_many, read_parquet, unparsed_cells
 from starlane.sources.scratch import scratch_folder
 from starlane.sources.sinks import (
-    LayoutError, create_table, publish, publish_all, publish_jdbc, read_published, write_observed, write_stage,
+    LayoutError, create_table, publish, publish_all, publish_jdbc, read_published, write_bucketed, write_observed,
+    write_stage,
 )
 
 __all__ = [
@@ -25,6 +26,7 @@ __all__ = [
     "read_published",
     "scratch_folder",
     "unparsed_cells",
+    "write_bucketed",
     "write_observed",
     "write_stage",
 ]

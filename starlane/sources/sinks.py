@@ -74,6 +74,23 @@ def _write(df: DataFrame, path: str, mode: str, partition_by: Sequence[str]) ->
     (out.partitionBy(*partition_by) if partition_by else out).parquet(path)
 
 
+def write_bucketed(df: DataFrame, path: str, keys: Sequence[str], buckets: int) -> DataFrame:
+    """Write a stage dealt into buckets by ``keys``, one sorted file each, and return it so known.
+
+    Joins and aggregates of such stages on these keys, with equal numbers of buckets, need no
+    exchange. The layout is known through the catalog only while the stage is opened. A
+    key that holds a large share of all rows makes one large file, so bucket by keys that are
+    spread.
+    """
+    spark, name = df.sparkSession, f"bucketed_{uuid.uuid4().hex}"
+    dealt = df.repartition(buckets, *[f"`{k}`" for k in keys])
+    dealt.write.bucketBy(buckets, *keys).sortBy(*keys).option("path", path).saveAsTable(name)
+    known = spark.table(name)
+    known.schema  # resolved, so the name may go; the files stay
+    spark.sql(f"DROP TABLE {name}")
+    return known
+
+
 def create_table(
     spark: SparkSession, contract: TableContract, table: str | None = None, location: str | None = None
 ) -> str:

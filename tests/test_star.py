@@ -171,7 +171,7 @@ def test_command_line(spark, tmp_path, monkeypatch):
     inputs = star.Inputs(arrivals="a/*", arrivals_source="orc")
     wanted = {"where": ("in", "out"), "inputs": inputs, "publish_dir": "pub"}
     usual = {"target_year": 2013, "donor_years": (2010, 2011, 2012), "months": (10, 11, 12), "only_missing": False}
-    usual |= {"most_faulty": {}, "resume": False}
+    usual |= {"most_faulty": {}, "resume": False, "monthly_sums": None}
     assert called == {**wanted, **usual}
     star.main(["--input", "in", "--output", "out", "--target-year", "2014", "--donor-years", "2013", "--months", "1", "2", "--only-missing"])
     assert (called["target_year"], called["donor_years"], called["months"], called["only_missing"]) == (2014, [2013], [1, 2], True)
@@ -212,7 +212,7 @@ def test_what_a_run_counts_on_the_way(spark, tmp_path, rows, fresh):
     assert rows(tables["unmatched_ports"]) == [(None, 1), ("UMX", 1), ("YYZ", 1), ("ZZZ", 1)]
     quarantined = spark.read.parquet(str(tmp_path / "stages" / "city_rows")).where("__faulty = 1").first()
     assert quarantined["__line"].startswith("Gary;Indiana;37.0;many;") and quarantined["__faults"] == ["Male Population"]
-    published = star.open_published(str(tmp_path / "published"), spark)
+    published = star.open_published(spark, str(tmp_path / "published"))
     assert published["fact_arrivals"].count() == len(FACT) and published["dimension_state"].count() == len(DIMENSION)
 
 
