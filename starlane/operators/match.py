@@ -31,10 +31,10 @@ def match(
 ) -> Matched:
     """:func:`starlane.operators.lookup.conform` that keeps the rows without a match, too.
 
-    Both parts come from one left join, which is written as a stage and read back, the
-    parts in folders of their own. A NULL key matches nothing. Meant for rows that were
-    summed per key first (:func:`starlane.operators.profile.presum`): then the stage is
-    small, and what is unmatched has its counts by key.
+    Both parts come from one left join, which is written as a stage and read back. A NULL
+    key matches nothing. Meant for rows that were summed per key first
+    (:func:`starlane.operators.profile.presum`): then the stage is small, and what is
+    unmatched has its counts by key.
     """
     clash = set(rows.columns) & set(take)
     if clash:
@@ -43,7 +43,7 @@ def match(
     left = rows.withColumns({n: F.col(f"`{c}`") for n, c in zip(names, on.values())})
     right = codes.select(*[F.col(f"`{c}`") for c in take], *[F.col(f"`{c}`").alias(n) for n, c in zip(names, on)], F.lit(1).alias("__met"))
     joined = left.join(right, names, "left").drop(*names).withColumn("__met", F.coalesce("__met", F.lit(0)))
-    staged = write_stage(joined, folder, mode=mode, partition_by=["__met"])
+    staged = write_stage(joined, folder, mode=mode)
     return Matched(staged.where("__met = 1").drop("__met"), staged.where("__met = 0").select(*[f"`{c}`" for c in rows.columns]))
 
 

@@ -25,7 +25,7 @@ from starlane.operators.quality import audit, duplicate_keys, length_counts, nul
 from starlane.operators.rollup import build_dimension
 from starlane.operators.shape import is_null, not_null, preview, row_count, union_rows
 from starlane.plans import reports, star
-from starlane.plans.graph import describe_inputs, fingerprint
+from starlane.plans.graph import Step, describe_inputs, fingerprint, run_steps
 from starlane.plans.monthly import MonthlySums
 from starlane.sources.contracts import TableContract
 from starlane.sources.readers import Landed, land_csv, read_csv, read_many, read_parquet
@@ -664,13 +664,23 @@ def _star_run(spark: SparkSession, sf_dir: str) -> str:
     """Land the four raw inputs as files and run the whole job on them; where it published."""
     landing = scratch_folder(spark, "landing")
     inputs = star.Inputs()
-    raw_demographics(spark, sf_dir).write.csv(f"{landing}/{inputs.demographics}", header=True, sep=";")
-    raw_temperatures(spark, sf_dir).write.csv(f"{landing}/{inputs.temperatures}", header=True)
-    raw_airports(spark, sf_dir).write.csv(f"{landing}/{inputs.airports}", header=True)
-    arrivals = raw_arrivals(spark, sf_dir).withColumns(
-        {"landing_year": F.col("i94yr").cast("int"), "landing_month": F.col("i94mon").cast("int")}
+
+    def arrivals() -> None:
+        months = {"landing_year": F.col("i94yr").cast("int"), "landing_month": F.col("i94mon").cast("int")}
+        write_stage(raw_arrivals(spark, sf_dir).withColumns(months), f"{landing}/{inputs.arrivals}", partition_by=[*months])
+
+    def text(rows: DataFrame, name: str, sep: str = ",") -> None:
+        rows.write.csv(f"{landing}/{name}", header=True, sep=sep)
+
+    run_steps(
+        spark,
+        {
+            "arrivals": Step((), arrivals),
+            "demographics": Step((), lambda: text(raw_demographics(spark, sf_dir), inputs.demographics, ";")),
+            "temperatures": Step((), lambda: text(raw_temperatures(spark, sf_dir), inputs.temperatures)),
+            "airports": Step((), lambda: text(raw_airports(spark, sf_dir), inputs.airports)),
+        },
     )
-    write_stage(arrivals, f"{landing}/{inputs.arrivals}", partition_by=["landing_year", "landing_month"])
     output = scratch_folder(spark, "star")
     names = [f"{n}_{output.rsplit('-', 1)[-1]}" for n in ("dimension_state", "fact_arrivals")]
     star.run(spark, landing, output, publish_as=tuple(names), publish_dir=f"{output}/published")

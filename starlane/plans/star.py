@@ -20,7 +20,7 @@ from starlane.functions.calendar import add_calendar, within_years
 from starlane.operators.impute import impute_periods
 from starlane.operators.lookup import conform, enrich
 from starlane.operators.match import match
-from starlane.operators.profile import CountBy, Mean, fold_codes, presum, profile_sums
+from starlane.operators.profile import CountBy, Mean, fold_codes, presum, profile, profile_sums
 from starlane.operators.quality import Violation, audit, duplicate_keys, enforce, write_checked
 from starlane.operators.rollup import build_dimension
 from starlane.operators.shape import union_rows
@@ -181,11 +181,15 @@ def profile_of_ports(placed: DataFrame) -> DataFrame:
 
 
 def arrivals_profile(arrivals: DataFrame, ports: DataFrame) -> DataFrame:
-    """Mean age and counts by gender and visa per state and month; ports without a state drop out."""
-    summed = arrivals_by_port(arrivals)
-    kept = [c for c in summed.columns if c != "airport_key"]
-    placed = conform(summed, port_weights(ports), {"local_code": "airport_key"}, ["state_key", "entries"], keep=kept)
-    return profile_of_ports(placed)
+    """The same from the arrivals in one aggregation, without what the lookup loses.
+
+    Ports without a state drop out. The entries of a code are folded into a weight, so
+    arrivals are not copied for it.
+    """
+    placed = conform(
+        arrivals, port_weights(ports), {"local_code": "airport_key"}, ["state_key", "entries"], keep=list(PROFILE_REQUIRED)
+    )
+    return profile(placed, PROFILE_KEYS, AGES, [GENDERS, VISAS], PROFILE_REQUIRED, weight="entries").orderBy(*PROFILE_KEYS)
 
 
 def arrivals_fact(arrivals: DataFrame, temperatures: DataFrame) -> DataFrame:
@@ -209,7 +213,8 @@ def check_tables(fact: DataFrame, dimension: DataFrame) -> None:
 
 def reading_faults(readings: Landed) -> list[Violation]:
     """A reading whose date or value does not parse would silently drop out."""
-    return [("parses", c, n) for c, n in readings.unparsed(["dt", "AverageTemperature"]).items()]
+    unparsed = readings.unparsed()
+    return [("parses", c, unparsed[c]) for c in ("dt", "AverageTemperature")]
 
 
 def check_temperatures(temperatures: DataFrame, profiled: DataFrame) -> None:
@@ -351,20 +356,29 @@ def run(
     named = [(contracts.DIMENSION_STATE, dimension_lines), (contracts.FACT_ARRIVALS, fact_lines)]
     lines = [(rule, f"{contract.name}.{column}", n) for contract, of in named for rule, column, n in of]
     unmatched = placed.unmatched.groupBy("airport_key").agg(F.sum("n_rows").alias("n_rows"))
-    report = write_stage(_run_report(spark, found, done, unmatched, lines), stage(stages.report), mode="overwrite")
-    enforce(lines)
-
     dimension_name, fact_name = publish_as or (contracts.DIMENSION_STATE.name, contracts.FACT_ARRIVALS.name)
 
     def place(table: str) -> str | None:
         return None if publish_dir is None else f"{publish_dir.rstrip('/')}/{table}"
 
-    published = publish_all(
-        [
-            (dimension, contracts.DIMENSION_STATE, dimension_name, place("dimension_state")),
-            (fact, contracts.FACT_ARRIVALS, fact_name, place("fact_arrivals")),
-        ]
+    def publish_step() -> list[DataFrame]:
+        enforce(lines)
+        return publish_all(
+            [
+                (dimension, contracts.DIMENSION_STATE, dimension_name, place("dimension_state")),
+                (fact, contracts.FACT_ARRIVALS, fact_name, place("fact_arrivals")),
+            ]
+        )
+
+    # The report is there whether or not the checks pass.
+    ended = run_steps(
+        spark,
+        {
+            "report": Step((), lambda: write_stage(_run_report(spark, found, done, unmatched, lines), stage(stages.report), mode="overwrite")),
+            "published": Step((), publish_step),
+        },
     )
+    published, report = ended["published"], ended["report"]
     return {
         "dimension_state": published[0],
         "fact_arrivals": published[1],
@@ -385,7 +399,7 @@ def _run_report(spark: SparkSession, found: dict, done: dict, unmatched: DataFra
     for name in ("cities", "readings", "airports"):
         counts = done[name].counts
         rows += [("rows", name, counts["rows"]), ("faulty_rows", name, counts["faulty"])]
-        rows += [("unparsed_cells", f"{name}.{c}", counts[f"unparsed {c}"]) for c in done[name].columns]
+        rows += [("unparsed_cells", f"{name}.{c}", n) for c, n in done[name].unparsed().items()]
     rows += [(rule, column, n) for rule, column, n in lines]
     lost = unmatched.agg(F.coalesce(F.sum("n_rows"), F.lit(0)).alias("value")).select(
         F.lit("unmatched_rows").alias("measure"), F.lit("arrivals.airport_key").alias("subject"), "value"
@@ -395,7 +409,8 @@ def _run_report(spark: SparkSession, found: dict, done: dict, unmatched: DataFra
 
 def open_published(spark: SparkSession, publish_dir: str) -> dict[str, DataFrame]:
     """The tables that a run published below ``publish_dir``, both of the same run."""
-    return {name: read_published(spark, f"{publish_dir.rstrip('/')}/{name}") for name in ("dimension_state", "fact_arrivals")}
+    tables = {"dimension_state": contracts.DIMENSION_STATE, "fact_arrivals": contracts.FACT_ARRIVALS}
+    return {name: read_published(spark, f"{publish_dir.rstrip('/')}/{name}", contract) for name, contract in tables.items()}
 
 
 def open_stages(spark: SparkSession, output_dir: str, stages: Stages = Stages()) -> dict[str, DataFrame]:

@@ -215,13 +215,20 @@ class Landed:
         of = {"__file": "file", "__line": "line", "__faults": "faults"}
         return self.staged.where("__faulty = 1").select(*[F.col(c).alias(n) for c, n in of.items()])
 
-    def report(self) -> DataFrame:
-        """Per column: cells without a value, and cells that do not parse."""
-        lines = [(c, self.counts[f"missing {c}"], self.counts[f"unparsed {c}"]) for c in self.columns]
-        return self.staged.sparkSession.createDataFrame(lines, "column string, missing long, unparsed long")
+    def unparsed(self) -> dict[str, int]:
+        """Cells that do not parse, by column: a look at the faulty rows, if there are any."""
+        found = dict.fromkeys(self.columns, 0)
+        if self.counts["faulty"]:
+            cells = self.rejected.select(F.explode("faults").alias("column")).groupBy("column").count()
+            found |= {r["column"]: r["count"] for r in cells.collect()}
+        return found
 
-    def unparsed(self, columns: Sequence[str]) -> dict[str, int]:
-        return {c: self.counts[f"unparsed {c}"] for c in columns}
+    def report(self) -> DataFrame:
+        """Per column: cells without a value, and cells that do not parse; all rows must have been kept."""
+        unparsed = self.unparsed()
+        nulls = self.rows.agg(*[F.count_if(F.col(f"`{c}`").isNull()).alias(c) for c in self.columns])
+        lines = [F.struct(F.lit(c).alias("column"), (F.col(f"`{c}`") - n).alias("missing"), F.lit(n).cast("long").alias("unparsed")) for c, n in unparsed.items()]
+        return nulls.select(F.inline(F.array(*lines)))
 
 
 def land_csv(
@@ -240,8 +247,8 @@ def land_csv(
     A row is faulty if a cell does not parse or the number of cells differs. It stays among
     the rows with NULL in such cells, as :func:`read_csv` gives it, and also lies in the
     stage's part for faulty rows with its file, its line as it was, and the columns at fault.
-    ``keep`` thins out the rows; faulty ones are kept whatever it says, and counts are taken
-    before it. More than ``most_faulty`` faulty rows raise, once the stage shows them.
+    ``keep`` thins out the rows; faulty ones are kept whatever it says, and all rows are
+    counted before it. More than ``most_faulty`` faulty rows raise, once the stage shows them.
     """
     declared = T.StructType.fromDDL(schema)
     names = declared.names
@@ -259,10 +266,6 @@ def land_csv(
     at_fault = [F.col(f"`{n}`").isNull() & F.col("__cells").getField(n).isNotNull() for n in names]
     rows = rows.withColumn("__faults", F.array_compact(F.array(*[F.when(bad, F.lit(n)) for n, bad in zip(names, at_fault)])))
     counts = {"rows": F.count(F.lit(1)), "faulty": F.count("__line")}
-    for n in names:
-        unparsed = F.coalesce(F.array_contains("__faults", n), F.lit(False))
-        counts[f"missing {n}"] = F.count_if(F.col(f"`{n}`").isNull() & ~unparsed)
-        counts[f"unparsed {n}"] = F.count_if(unparsed)
     rows = rows.drop("__cells").withColumn("__faulty", F.col("__line").isNotNull().cast("int"))
     rows = rows.withColumn("__kept", F.lit(True) if keep is None else F.coalesce(keep, F.lit(False)))
     landed = Landed(*_landed(rows, folder, counts, mode), tuple(names))

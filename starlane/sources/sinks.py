@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import types as T
 
@@ -130,9 +132,16 @@ def check_layout(df: DataFrame, contract: TableContract, name: str) -> None:
         raise LayoutError(f"{name} has the columns {df.dtypes}, the contract of {contract.name} has {declared}")
 
 
-def read_published(spark: SparkSession, place: str) -> DataFrame:
-    """The rows of a published folder, by its current version; needs no catalog."""
-    return spark.read.parquet(current_folder(spark, place))
+def read_published(spark: SparkSession, place: str, contract: TableContract | None = None) -> DataFrame:
+    """The rows of a published folder, by its current version; needs no catalog.
+
+    With the contract it was published by, no job looks into a footer for the columns.
+    """
+    reader = spark.read
+    if contract:
+        kinds = [T.StringType() if isinstance(f.dataType, T.VarcharType) else f.dataType for f in contract.schema]
+        reader = reader.schema(T.StructType([T.StructField(f.name, k) for f, k in zip(contract.schema, kinds)]))
+    return reader.parquet(current_folder(spark, place))
 
 
 def publish_all(tables: Sequence[tuple[DataFrame, TableContract, str | None, str | None]]) -> list[DataFrame]:
@@ -151,8 +160,12 @@ def publish_all(tables: Sequence[tuple[DataFrame, TableContract, str | None, str
             before[name] = _location(spark, name)
             place = root_of(before[name])
             fresh[place] = new_version(place)
-            _write_version(df, contract, name, fresh[place])
             ready.append((name, place))
+        with ThreadPoolExecutor(len(tables)) as pool:
+            write = inheritable_thread_target(_write_version)
+            versions = [pool.submit(write, df, contract, name, fresh[place]) for (df, contract, _, _), (name, place) in zip(tables, ready)]
+        for version in versions:
+            version.result()
         commit = switch(spark, fresh)
         for name, place in ready:
             _locate(spark, name, fresh[place])

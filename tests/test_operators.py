@@ -5,9 +5,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from starlane.operators import (
-    CountBy, Mean, build_dimension, conform, dedup_first, donor_mean, enrich, fold_codes, impute_periods, is_null, not_null,
-    pivot_count, preview, profile, profile_preaggregated, recombine, row_count, union_rows,
+    CountBy, Mean, build_dimension, conform, dedup_first, donor_mean, enrich, fold_codes, impute_periods, is_null, key_filter, match,
+    not_null, pivot_count, presum, preview, profile, profile_preaggregated, profile_sums, recombine, row_count, union_rows,
+    unmatched_counts,
 )
+from starlane.plans.monthly import MonthlySums
 from starlane.plans.reports import category_mix_report, register_views
 
 GENDER = CountBy("gender", {"F": "F", "M": "M", "U": "U", "X": "X"})
@@ -274,3 +276,46 @@ def test_report_is_one_entity_in_month_order(spark):
 def test_registered_views_answer_plain_sql(spark):
     register_views(spark, v_fact=spark.createDataFrame([("CA", 1)], "k string, n int"))
     assert spark.sql("SELECT n FROM v_fact WHERE k = 'CA'").first().n == 1
+
+
+def test_a_match_accounts_for_every_row(spark, tmp_path, rows):
+    sums = spark.createDataFrame([("a", 1, 5), ("a", 2, 7), ("b", 1, 1), (None, 1, 2), ("c", 3, 4)], "code string, month int, n long")
+    codes = spark.createDataFrame([("a", "X", 2), ("c", "Y", 1), ("c", "Z", 1), (None, "N", 1)], "key string, place string, weight int")
+    met = match(sums, codes, {"key": "code"}, ["place", "weight"], str(tmp_path / "met"))
+    assert rows(met.rows) == [("a", 1, 5, "X", 2), ("a", 2, 7, "X", 2), ("c", 3, 4, "Y", 1), ("c", 3, 4, "Z", 1)]
+    assert rows(met.unmatched) == [(None, 1, 2), ("b", 1, 1)] and met.unmatched.columns == sums.columns
+    assert rows(unmatched_counts(sums, codes, {"key": "code"})) == [(None, 1), ("b", 1)]
+    with pytest.raises(ValueError, match="both sides"):
+        match(sums, codes.withColumnRenamed("place", "n"), {"key": "code"}, ["n"], str(tmp_path / "clash"))
+    nothing = match(sums.limit(0), codes, {"key": "code"}, ["place"], str(tmp_path / "nothing"))
+    assert nothing.rows.count() == nothing.unmatched.count() == 0
+
+
+@pytest.mark.parametrize("most_bits", [32, 1 << 16, 1 << 20])
+def test_a_key_filter_loses_no_match(spark, most_bits):
+    codes = spark.range(0, 3000, 3).selectExpr("int(id) AS key", "id AS other").union(spark.sql("SELECT CAST(NULL AS INT), 1L"))
+    rows = spark.range(0, 30_000).selectExpr("id AS n").union(spark.sql("SELECT CAST(NULL AS BIGINT)"))
+    kept = rows.where(key_filter(codes, {"key": "n"}, most_bits))
+    found = {r.n for r in kept.collect()}
+    assert {r for r in range(0, 3000, 3)} <= found and None not in found
+    # A thousand keys among 2^16 bits let 1.5 % of the others through.
+    assert len(found) < (30_000 * 0.08 if most_bits > 32_768 else 30_001)
+    pairs = spark.range(100).selectExpr("id AS a", "string(id % 7) AS b")
+    both = spark.sql("SELECT 3L AS x, '3' AS y UNION ALL SELECT 8L, '1'")
+    assert {(3, "3"), (8, "1")} <= {tuple(r) for r in pairs.where(key_filter(both, {"x": "a", "y": "b"})).collect()}
+    assert rows.where(key_filter(codes.limit(0), {"key": "n"})).count() == 0
+
+
+def test_a_key_filter_of_many_keys_lets_all_through(spark):
+    codes = spark.range(0, 200_000).selectExpr("id AS key")
+    assert spark.range(100_000, 400_000).where(key_filter(codes, {"key": "id"}, 1 << 15)).count() == 300_000
+
+
+def test_kept_sums_add_up_and_a_delivery_counts_once(spark, tmp_path, rows):
+    df = spark.range(600).selectExpr("id % 7 AS k", "double(id) AS x", "if(id % 3 = 0, 'a', 'b') AS c")
+    how = [Mean("x", "mean", digits=1)], [CountBy("c", {"a": "a", "b": "b"})]
+    sums = MonthlySums(spark, str(tmp_path / "sums"), ["k"])
+    parts = df.where("x < 200"), df.where("x >= 200")
+    for label, part in (("one", parts[1]), ("two", parts[1]), ("one", parts[0])):
+        sums.add(label, presum(part, ["k"], *how))
+    assert len(sums.batches()) == 2 and rows(profile_sums(sums.total(), ["k"], *how)) == rows(profile(df, ["k"], *how))

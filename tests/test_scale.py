@@ -52,6 +52,34 @@ def test_profile_is_one_scan_and_one_shuffle_beyond_the_join(spark, samples, set
     assert text.count("Exchange hashpartitioning") == 3
 
 
+def test_buckets_are_joined_and_grouped_where_they_lie(spark, samples, settings):
+    settings(spark__sql__autoBroadcastJoinThreshold="-1")
+    text = plan(sample_queries.bucketed_join(spark, samples))
+    assert "SortMergeJoin" in text and "Exchange" not in text
+    assert not [t.name for t in spark.catalog.listTables() if t.name.startswith("bucketed_")]
+
+
+def test_a_report_reads_one_state_of_the_published_tables(spark, samples, settings):
+    settings(spark__sql__maxMetadataStringLength="10000")
+    text = plan(sample_queries.report_visa_mix(spark, samples))
+    assert text.count("EqualTo(state_key,05)") == 2 and text.count("FileScan parquet") == 2
+    assert "Aggregate" not in text and "orders.parquet" not in text
+    fact = re.search(r"ReadSchema: (struct<\S*business\S*)", text).group(1)
+    assert "average_age_arrivals" not in fact
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("again", "again")
+    sample_queries.report_gender_mix(spark, samples)
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert len(tracker.getJobIdsForGroup("again")) <= 3
+
+
+def test_a_key_filter_stands_below_the_shuffle(spark, samples, settings):
+    settings(spark__sql__autoBroadcastJoinThreshold="-1")
+    text = plan(sample_queries.key_filter_join(spark, samples))
+    below = text[text.index("getbit") :]
+    assert "Exchange" not in below[: below.index("FileScan")]
+
+
 @pytest.fixture(scope="module")
 def hot(spark, samples, tmp_path_factory):
     """Orders of which every third belongs to one customer."""
