@@ -115,17 +115,20 @@ def held_out():
 
 
 class Model:
-    """Machines by the two classes they part; a positive value speaks for the first."""
+    """Machines by the two classes they part; a positive value speaks for the first.
 
-    def __init__(self, weights: dict[tuple[str, str], np.ndarray], langs: list[str]):
+    A class is a language, or a family as :func:`family` gives it.
+    """
+
+    def __init__(self, weights: dict[tuple, np.ndarray], langs: list[str]):
         self.langs = sorted(langs)
-        self.pairs = sorted(weights)
+        self.pairs = list(weights)
         self.matrix = np.array([weights[p] for p in self.pairs], dtype=np.float32).reshape(len(self.pairs), BUCKETS + 1)
-        self.members: dict[str, list[str]] = {}
+        self.members: dict[tuple, list[str]] = {}
         for lang in self.langs:
             self.members.setdefault(family(lang), []).append(lang)
 
-    def _winner(self, classes: list[str], values: dict[tuple[str, str], float]) -> tuple[str, float]:
+    def _winner(self, classes: list, values: dict[tuple, float]) -> tuple:
         """The class that wins most of its machines, and its surest doubt."""
         if len(classes) == 1:
             return classes[0], 1.0
@@ -149,14 +152,15 @@ class Model:
         families = sorted(self.members)
         for (i, _), row in zip(known, values.tolist()):
             of = dict(zip(self.pairs, row))
-            best, sure = self._winner([f"family:{f}" for f in families], of)
-            lang, surer = self._winner(self.members[best.removeprefix("family:")], of)
+            best, sure = self._winner(families, of)
+            lang, surer = self._winner(self.members[best], of)
             langs[i], scores[i] = lang, sure * surer
         return langs, scores
 
 
-def family(lang: str) -> str:
-    return FAMILY_OF.get(lang, lang)
+def family(lang: str) -> tuple[bool, str]:
+    """The family of a language, whether or not it is a listed one; others are each their own."""
+    return (True, FAMILY_OF[lang]) if lang in FAMILY_OF else (False, lang)
 
 
 def fit(docs: DataFrame, sample: int = SAMPLE) -> Model:
@@ -171,14 +175,14 @@ def fit(docs: DataFrame, sample: int = SAMPLE) -> Model:
 
     rows = labelled_sample(docs.select("doc_id", "lang", "text"), sample).mapInArrow(vectors, "lang string, x binary")
     langs = sorted(r[0] for r in docs.where("lang is not null and doc_id is not null").where(~held_out()).select("lang").distinct().collect())
-    members: dict[str, list[str]] = {}
+    members: dict[tuple, list[str]] = {}
     for lang in langs:
         members.setdefault(family(lang), []).append(lang)
-    tasks = [(lang, f"{a}|{b}", 1 if lang == a else -1) for of in members.values() for a in of for b in of if a < b for lang in (a, b)]
-    tasks += [
-        (lang, f"family:{a}|family:{b}", 1 if lang in members[a] else -1)
-        for a in members for b in members if a < b for lang in members[a] + members[b]
-    ]
+    # The two classes of each machine, and the languages on either side.
+    sides = {(a, b): ([a], [b]) for of in members.values() for a in of for b in of if a < b}
+    sides |= {(a, b): (members[a], members[b]) for a in members for b in members if a < b}
+    pairs = list(sides)
+    tasks = [(lang, i, side) for i, p in enumerate(pairs) for side, of in zip((1, -1), sides[p]) for lang in of]
     if not tasks:
         return Model({}, langs)
 
@@ -186,12 +190,11 @@ def fit(docs: DataFrame, sample: int = SAMPLE) -> Model:
         x = np.frombuffer(b"".join(rows["x"]), dtype=np.float32).reshape(-1, BUCKETS)
         return pd.DataFrame({"pair": [key[0]], "w": [train(x, rows["side"].to_numpy(np.float32)).astype("<f4").tobytes()]})
 
-    sides = docs.sparkSession.createDataFrame(tasks, "lang string, pair string, side int")
-    trained = rows.join(F.broadcast(sides), "lang").groupBy("pair").applyInPandas(machine, "pair string, w binary")
-    weights = {tuple(r["pair"].split("|")): np.frombuffer(r["w"], dtype="<f4") for r in trained.collect()}
+    by_lang = docs.sparkSession.createDataFrame(tasks, "lang string, pair int, side int")
+    trained = rows.join(F.broadcast(by_lang), "lang").groupBy("pair").applyInPandas(machine, "pair int, w binary")
     # A pair without a sample on either side has no machine and cannot be told apart.
-    missing = {tuple(p.split("|")) for _, p, _ in tasks}.difference(weights)
-    return Model({**{p: np.zeros(BUCKETS + 1, dtype=np.float32) for p in missing}, **weights}, langs)
+    weights = {p: np.zeros(BUCKETS + 1, dtype=np.float32) for p in pairs}
+    return Model({**weights, **{pairs[r["pair"]]: np.frombuffer(r["w"], dtype="<f4") for r in trained.collect()}}, langs)
 
 
 def identify(docs: DataFrame, model: Model) -> DataFrame:

@@ -143,7 +143,8 @@ def nearest(vectors: DataFrame, every: int, k: int = 5) -> DataFrame:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     size, n = sizes
     rows = stage(rows.where(F.size("v") == size), "vectors")
-    chosen = rows.where(F.pmod(F.xxhash64("vec_id"), F.lit(1_000_000)) < F.lit(1_000_000 * SAMPLE // n))
+    # The share is one in 2^40 at least, so that a table of any size gives a sample.
+    chosen = rows.where(F.pmod(F.xxhash64("vec_id"), F.lit(1 << 40)) < F.lit(((1 << 40) * SAMPLE) // n + 1))
     sample = np.array([r[0] for r in chosen.select("v").orderBy("v").limit(2 * SAMPLE).collect()], dtype=np.float64).reshape(-1, size)
     sample = np.random.default_rng(3).permutation(sample)
     codes = Codes(sample)

@@ -197,7 +197,7 @@ def read_segments(index: DataFrame, folder: str) -> DataFrame:
 
 
 def reassembled(segments: DataFrame) -> DataFrame:
-    """One row for each original record, its block put together from all its segments."""
+    """One row for each original record, with the blocks of all its segments in order."""
     whole = segments.where("segment = 1 and total is not null")
     parts = segments.where("segment > 1 or total is null")
     # A group holds the segments of one record.
@@ -206,11 +206,11 @@ def reassembled(segments: DataFrame) -> DataFrame:
         *[F.max_by(c, -F.col("segment")).alias(c) for c in ("record_type", "page_id", "url", "digest", "refers_to", "payload_bytes")],
     )
     numbers = F.transform("parts", lambda p: p["segment"])
-    block = F.aggregate("parts", F.lit(b""), lambda a, p: F.concat(a, p["block"]))
-    complete = (numbers == F.sequence(F.lit(1), F.size("parts"))) & (F.octet_length("block") == F.col("total"))
-    joined = joined.withColumn("block", block).withColumn("complete", F.coalesce(complete, F.lit(False)))
-    columns = ["record_type", "page_id", "url", "digest", "refers_to", "payload_bytes", "block", "complete"]
-    return whole.withColumn("complete", F.lit(True)).select(columns).unionByName(joined.select(columns))
+    length = F.aggregate("parts", F.lit(0).cast("long"), lambda a, p: a + F.octet_length(p["block"]))
+    complete = (numbers == F.sequence(F.lit(1), F.size("parts"))) & (length == F.col("total"))
+    joined = joined.withColumn("blocks", F.transform("parts", lambda p: p["block"])).withColumn("complete", F.coalesce(complete, F.lit(False)))
+    columns = ["record_type", "page_id", "url", "digest", "refers_to", "payload_bytes", "blocks", "complete"]
+    return whole.withColumn("blocks", F.array("block")).withColumn("complete", F.lit(True)).select(columns).unionByName(joined.select(columns))
 
 
 def payloads(records: DataFrame) -> DataFrame:
@@ -219,12 +219,13 @@ def payloads(records: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
-            for kind, page_id, url, digest, refers_to, size, block, complete in zip(*[c.to_pylist() for c in batch.columns]):
+            rows = (row for at in range(0, batch.num_rows, 64) for row in zip(*[c.to_pylist() for c in batch.slice(at, 64).columns]))
+            for kind, page_id, url, digest, refers_to, size, blocks, complete in rows:
                 if not complete:
                     raise ValueError(f"segments of page {page_id} are missing or their lengths differ from the total")
                 body = None
                 if kind == "response":
-                    head, _, framed = block.partition(b"\r\n\r\n")
+                    head, _, framed = b"".join(blocks).partition(b"\r\n\r\n")
                     body = unchunked(framed) if b"transfer-encoding: chunked" in head.lower() else framed
                     if hashlib.sha1(body).hexdigest() != digest:
                         raise ValueError(f"the payload of page {page_id} differs from its digest")

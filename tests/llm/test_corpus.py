@@ -184,3 +184,12 @@ def test_pipeline_keeps_what_its_stages_keep(spark):
     assert not left & {2, 3, 4, 10, 2001, 2002} and 2000 in left
     packed = corpus_pipeline.STAGES[-1][1](spark, rows, "").collect()
     assert {p["doc_id"] for p in packed} == left
+
+
+def test_any_language_value_can_be_learned(spark):
+    names = {"a|b": "en", "slavic": "de", "family:slavic": "fr", "ru": "xx"}
+    rows = [(4 * i + j, sentence(stem, 30, 4 * i + j), lang) for i in range(60) for j, (lang, stem) in enumerate(names.items())]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    truth = {r[0]: r[2] for r in rows}
+    got = [r for r in languages.identify(docs, languages.fit(docs)).collect() if r["held_out"]]
+    assert len(got) > 40 and np.mean([r["lang_pred"] == truth[r["doc_id"]] for r in got]) > 0.95

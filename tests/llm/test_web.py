@@ -237,3 +237,14 @@ def test_every_code_within_the_radius_is_found():
 
 def test_scratch_folders_are_new(spark):
     assert scratch_folder(spark, "x") != scratch_folder(spark, "x")
+
+
+def test_a_long_page_is_put_together_in_time(spark, tmp_path):
+    """Thousands of segments; each is copied once."""
+    import time
+
+    long = spark.range(1).selectExpr("id AS page_id", "'u' AS url", "repeat('0123456789abcdef', 2500000) AS html")
+    start = time.time()
+    got = warc.round_trip(long, str(tmp_path / "long")).select("payload_bytes", "payload_digest").first()
+    assert got["payload_bytes"] == 40_000_000 and got["payload_digest"] == hashlib.sha1(b"0123456789abcdef" * 2_500_000).hexdigest()
+    assert time.time() - start < 60
