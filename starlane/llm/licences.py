@@ -8,7 +8,7 @@ whole form is looked up among the digests of known licence texts and notices by
 Texts looked up are each document as a whole, each of its lines, as notices mostly stand on
 a line of their own, and runs of lines, as headers of several lines do; blank and comment lines
 within a run do not count. Of all runs, those are made that begin with the first words of a
-known text and have as many words as one. All of it is DataFrame expressions.
+known text and have as many words as one in canonical form. All of it is DataFrame expressions.
 
 Defined cases: a NULL text, and one that has no letter or digit in its canonical form, matches
 nothing; NULL doc_id and repeated rows are looked up each for itself; a text that is one line
@@ -42,9 +42,11 @@ _YEAR = r"[^a-z0-9\n]{0,3}(?:[12][0-9]{3}|yyyy|year)\b"
 _MARK = r"(?:copyright|©|\(c\))(?:[^a-z0-9\n]*?(?:copyright|©|\(c\)))*"
 _NAMED = rf"copyright[ \t:]+(?:by[ \t]+)?(?!(?:{NOT_A_HOLDER})\b)(?=\p{{L}}|\[|<)(?=(?:[^\s]+[ \t\r]*){{1,8}}\Z)"
 #: A statement at the start of a line: a mark and a year, a sign and a holder, or the word and a short name.
-STATEMENT = rf"\A[^a-z0-9]*(?:portions[ \t]+)?(?:{_MARK}{_YEAR}|(?:copyright\s*)?©|copyright\s*\(c\)|{_NAMED})(?:[^\n]{{0,300}}?(?=\b(?:{BODY}))|[^\n]{{0,300}}\Z)"
-#: A statement with a year between other words of a line and the body.
-STATEMENT_WITHIN = rf"{_MARK}{_YEAR}[^\n]{{0,300}}?(?=\b(?:{BODY}))"
+STATEMENT = rf"\A[^a-z0-9]*(?:portions[ \t]+)?(?:{_MARK}{_YEAR}|(?:copyright\s*)?©|copyright\s*\(c\)|{_NAMED})(?:[^\n]*?(?=\b(?:{BODY}))|[^\n]*\Z)"
+#: A statement with a year between other words of a line and the body. It is looked for in what comes before the last
+#: words of a body on its line, so every search ends at some, and a line of any length is read once.
+STATEMENT_WITHIN = rf"{_MARK}{_YEAR}[^\n]*?(?=\b(?:{BODY})|\Z)"
+BEFORE_BODY = rf"\A([^\n]*)\b(?:{BODY})"
 RESERVED = "all rights reserved"
 
 #: The rule of the SQL counterpart, which drops any line that begins with the word.
@@ -112,12 +114,19 @@ def plain_line(line: Column) -> Column:
 
     def plain(low: Column) -> Column:
         marked = low.contains("copyright") | low.contains("©") | low.contains("(c)")
-        bare = F.regexp_replace(F.regexp_replace(low, STATEMENT, " "), STATEMENT_WITHIN, " ")
+        bare = bound(F.regexp_replace(low, STATEMENT, " "), without_inner_statements)
         return without_reserved(F.trim(F.regexp_replace(F.when(marked, bare).otherwise(low), r"[^\p{L}\p{N}]+", " ")))
 
     return bound(F.lower(line), plain)
 
 
+def without_inner_statements(line: Column) -> Column:
+    def cut(lead: Column) -> Column:
+        return F.concat(F.regexp_replace(lead, STATEMENT_WITHIN, " "), F.substring(line, F.length(lead) + 1, F.length(line)))
+
+    return bound(F.regexp_extract(line, BEFORE_BODY, 1), cut)
+
+
 def without_reserved(form: Column) -> Column:
     bare = F.trim(F.regexp_replace(form, rf"\b{RESERVED}\b ?", ""))
     return F.when(form.contains(RESERVED), bare).otherwise(form)
@@ -178,6 +187,22 @@ def known_digests(known: DataFrame) -> DataFrame:
     )
 
 
+def words_of_line(form: Column, before: Column) -> Column:
+    """(words, merged): the words of a line's canonical form, and how many are gone where it follows the line before.
+
+    Two words that are one in the common spelling, or the words of a reservation, may stand on two lines.
+    """
+
+    def counted(pair: Column) -> Column:
+        own, above = pair["own"], pair["above"]
+        tail, front = F.substring_index(above, " ", -2), F.substring_index(own, " ", 2)
+        seam = one_spelling(without_reserved(F.concat(tail, F.lit(" "), front)))
+        merged = n_words(tail) + n_words(front) - F.when(seam == "", 0).otherwise(n_words(seam))
+        return F.struct(n_words(own).alias("words"), F.coalesce(merged, F.lit(0)).alias("merged"))
+
+    return bound(F.struct(one_spelling(form).alias("own"), one_spelling(before).alias("above")), counted)
+
+
 def run_digests(lines: Column, heads: Column, words: Column) -> Column:
     """(line, digest) of runs of two lines and more, but for the whole text, that may be known texts."""
 
@@ -188,21 +213,26 @@ def run_digests(lines: Column, heads: Column, words: Column) -> Column:
             return F.array_contains(heads, head(one_spelling(F.substring_index(F.array_join(F.slice(forms, i, 2 * HEAD), " "), " ", 2 * HEAD))))
 
         def of_starts(starts: Column) -> Column:
-            sums = F.aggregate(forms, F.array(F.lit(0)), lambda acc, x: F.concat(acc, F.array(F.element_at(acc, -1) + n_words(x))))
+            steps = F.transform(forms, lambda x, t: words_of_line(x, F.when(t > 0, F.get(forms, t - 1))))
+
+            def of_steps(steps: Column) -> Column:
+                sums = F.aggregate(steps, F.array(F.lit(0)), lambda acc, x: F.concat(acc, F.array(F.element_at(acc, -1) + x["words"] - x["merged"])))
+
+                def runs(below: Column) -> Column:
+                    def from_start(i: Column) -> Column:
+                        def may_be_known(j: Column) -> Column:
+                            n = below[j] - below[i - 1] + steps[i - 1]["merged"]
+                            return ((i > 1) | (j < last)) & F.array_contains(words, n)
 
-            def runs(below: Column) -> Column:
-                def from_start(i: Column) -> Column:
-                    # Spellings of two words that are one in the known text make a run longer by a few words.
-                    def may_be_known(j: Column) -> Column:
-                        n = below[j] - below[i - 1]
-                        return ((i > 1) | (j < last)) & F.exists(F.array(*[n - k for k in range(4)]), lambda m: F.array_contains(words, m))
+                        # Of two lines one adds a word at least.
+                        ends = F.filter(F.sequence(i + 1, F.least(last, i + 2 * F.array_max(words))), may_be_known)
+                        return F.transform(ends, lambda j: F.struct(filled[i - 1]["at"].alias("line"), digest(F.array_join(F.slice(forms, i, j - i + 1), " ")).alias("digest")))
 
-                    ends = F.filter(F.sequence(i + 1, F.least(last, i + F.array_max(words) + 3)), may_be_known)
-                    return F.transform(ends, lambda j: F.struct(filled[i - 1]["at"].alias("line"), digest(F.array_join(F.slice(forms, i, j - i + 1), " ")).alias("digest")))
+                    return F.flatten(F.transform(starts, from_start))
 
-                return F.flatten(F.transform(starts, from_start))
+                return bound(sums, runs)
 
-            return F.when(F.size(starts) > 0, bound(sums, runs))
+            return F.when(F.size(starts) > 0, bound(steps, of_steps))
 
         return F.when(last > 1, bound(F.filter(F.sequence(F.lit(1), last - 1), starts_known), of_starts))
 

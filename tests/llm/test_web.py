@@ -248,3 +248,22 @@ def test_a_long_page_is_put_together_in_time(spark, tmp_path):
     got = warc.round_trip(long, str(tmp_path / "long")).select("payload_bytes", "payload_digest").first()
     assert got["payload_bytes"] == 40_000_000 and got["payload_digest"] == hashlib.sha1(b"0123456789abcdef" * 2_500_000).hexdigest()
     assert time.time() - start < 60
+
+
+def test_licences_behind_long_statements_and_spellings_of_several_words(spark):
+    body = " ".join(licences.MIT.split())
+    holders = ", ".join(f"Holder Number {i}" for i in range(60))
+    spelled = body.replace("sublicense", "sub licence")
+    many = "Word one non commercial non commercial non commercial non commercial sub license and per cent, whilst all else stands."
+    known = [("MIT", "text", body), ("Many", "text", many.replace("non commercial", "noncommercial").replace("per cent", "percent").replace("sub license", "sublicense"))]
+    texts = [
+        f"Copyright (c) 2020 {holders}. {body}",
+        f"see below, Copyright 2019 {holders} {body}",
+        "intro\n" + f"Copyright (c) 2020 {holders}\n" + spelled.replace(". ", ".\n").replace("sub licence", "sub\nlicence") + "\nend",
+        "intro\n" + many.replace("non commercial", "non\ncommercial").replace(" else", "\nelse") + "\nend",
+        "copyright 2020 " * 30_000 + "x",
+    ]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    table = spark.createDataFrame(known, "license_id string, kind string, text string")
+    found = {(r.doc_id, r.license_id) for r in licences.scan(docs, table, runs=True).collect()}
+    assert found == {(0, "MIT"), (2, "MIT"), (3, "Many")}
