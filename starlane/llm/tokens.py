@@ -73,16 +73,18 @@ class PieceEncoder:
         joinable = [p for p in pieces if p and self.mark not in p and not SPACE.search(p)]
         found: dict[str, bytes] = {}
         part = self.mark if self.spaced else f" {self.mark} "
-        groups = [joinable[i : i + 200] for i in range(0, len(joinable), 200)]
-        texts = [part.join([lead + p for p in some]) + part for some in groups]
-        for some, encoded in zip(groups, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False) if texts else ()):
-            ids = np.array(encoded.ids, dtype="<u4")
-            ends = np.flatnonzero(ids == self.mark_id)
-            if len(ends) != len(some):
-                raise ValueError("a mark was merged with its neighbours")
-            starts = np.concatenate([[0], ends[:-1] + 1]).tolist()
-            raw = ids.tobytes()
-            found.update((p, raw[4 * a : 4 * b]) for p, a, b in zip(some, starts, ends.tolist()))
+        # The library's results hold far more than ids, so few pieces at a time.
+        for i in range(0, len(joinable), 2000):
+            groups = [joinable[k : k + 200] for k in range(i, min(i + 2000, len(joinable)), 200)]
+            texts = [part.join([lead + p for p in some]) + part for some in groups]
+            for some, encoded in zip(groups, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
+                ids = np.array(encoded.ids, dtype="<u4")
+                ends = np.flatnonzero(ids == self.mark_id)
+                if len(ends) != len(some):
+                    raise ValueError("a mark was merged with its neighbours")
+                starts = np.concatenate([[0], ends[:-1] + 1]).tolist()
+                raw = ids.tobytes()
+                found.update((p, raw[4 * a : 4 * b]) for p, a, b in zip(some, starts, ends.tolist()))
         rest = [p for p in pieces if p not in found]
         for p, e in zip(rest, self.tokenizer.encode_batch_fast([lead + p for p in rest], add_special_tokens=False)):
             found[p] = np.array(e.ids, dtype="<u4").tobytes()
@@ -166,6 +168,6 @@ class PieceEncoder:
 
 
 @lru_cache(maxsize=2)
-def encoder(path: str) -> PieceEncoder:
+def encoder(path: str, cache_size: int = 800_000) -> PieceEncoder:
     """One encoder per worker and vocabulary, kept between tasks."""
-    return PieceEncoder(path)
+    return PieceEncoder(path, cache_size)
