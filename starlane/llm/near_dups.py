@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starlane.llm.files import stage, table
+from starlane.llm.files import lean, stage, table
 
 SLOTS, BITS, MISS = 128, 8, 1e-5
 #: Rows, and shingles of all rows, of a block.
@@ -128,7 +128,7 @@ def sketch(docs: DataFrame, width: int) -> DataFrame:
                     pa.array([s.tobytes() for s in signs], pa.binary()),
                 ], ["doc_id", "n_shingles", "digest", "signature"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_shingles long, digest binary, signature binary")
+    return docs.select("doc_id", "text").mapInArrow(lean(run), "doc_id long, n_shingles long, digest binary, signature binary")
 
 
 def key_rows(classes: DataFrame, radius: int) -> DataFrame:
@@ -144,7 +144,7 @@ def key_rows(classes: DataFrame, radius: int) -> DataFrame:
                 who = np.repeat(np.asarray(some.column(0)), SLOTS)
                 yield pa.RecordBatch.from_arrays([pa.array(keys.reshape(-1)), pa.array(who)], ["key", "rep"])
 
-    return classes.select("rep", "signature").mapInArrow(run, "key long, rep long")
+    return classes.select("rep", "signature").mapInArrow(lean(run), "key long, rep long")
 
 
 def shingle_sets(docs: DataFrame, width: int) -> DataFrame:
@@ -155,7 +155,7 @@ def shingle_sets(docs: DataFrame, width: int) -> DataFrame:
                 raw = [shingles(t, width).tobytes() for t in some.column(1).to_pylist()]
                 yield pa.RecordBatch.from_arrays([some.column(0), pa.array(raw, pa.binary())], ["rep", "shingles"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "rep long, shingles binary")
+    return docs.select("doc_id", "text").mapInArrow(lean(run), "rep long, shingles binary")
 
 
 def compared(members: DataFrame, radius: int, percent: int) -> DataFrame:

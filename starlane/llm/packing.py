@@ -28,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starlane.llm.files import table
+from starlane.llm.files import lean, table
 from starlane.llm.tokens import encoder
 
 VOCABULARY = "word_bpe_49k.json"
@@ -212,7 +212,7 @@ def pack(
         if rows:
             yield batch_of(rows, checksums)
 
-    return docs.select("doc_id", F.col("text")).mapInArrow(run, CHECKED if checksums else PIECES)
+    return docs.select("doc_id", F.col("text")).mapInArrow(lean(run), CHECKED if checksums else PIECES)
 
 
 def batch_of(rows: list[tuple], checksums: bool) -> pa.RecordBatch:
