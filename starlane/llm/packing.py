@@ -164,19 +164,20 @@ class Packer:
 
 
 def pack(
-    docs: DataFrame, vocabulary: str, limits: Limits | None = None, end_id: int = END_ID, loss_from: int = 1, checksums: bool = False
-) -> DataFrame:
+    docs: DataFrame, vocabulary: str, limits: Limits | None = None, end_id: int = END_ID, loss_from: int = 1, checksums: bool = False,
+    cached_pieces: int = CACHED_PIECES,
+) -> DataFrame:
     """One row per piece: its document and place there, its sequence and place there, its ids.
 
     ``loss_from`` is the number of tokens at a document's start that bear no loss: the first
     token of a document is predicted from nothing. With ``checksums`` each piece's ids are
     turned into the crc32 of their little-endian unsigned 32-bit form (ids_crc32) where they
-    are packed, rather than moved.
+    are packed, rather than moved. ``cached_pieces`` bounds what a worker holds; fewer cost time only.
     """
     limits = limits or Limits()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens, packer, end = encoder(vocabulary, CACHED_PIECES), Packer(limits), np.array([end_id], dtype="<u4")
+        tokens, packer, end = encoder(vocabulary, cached_pieces), Packer(limits), np.array([end_id], dtype="<u4")
         bearing = np.ones(limits.tokens, dtype=np.int8)
         bearing[:loss_from] = 0
         base, made = TaskContext.get().partitionId() << 33, 0
@@ -227,8 +228,8 @@ def batch_of(rows: list[tuple], checksums: bool) -> pa.RecordBatch:
     )
 
 
-def packed_documents(docs: DataFrame) -> DataFrame:
-    return pack(docs, public_tokenizers.path(VOCABULARY), checksums=True)
+def packed_documents(docs: DataFrame, cached_pieces: int = CACHED_PIECES) -> DataFrame:
+    return pack(docs, public_tokenizers.path(VOCABULARY), checksums=True, cached_pieces=cached_pieces)
 
 
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
