@@ -6,6 +6,7 @@ the checks to decide whether to raise.
 """
 
 from starlane.operators.dedup import dedup_first
+from starlane.operators.exact import profile_exact
 from starlane.operators.impute import donor_mean, impute_periods
 from starlane.operators.lookup import conform, enrich, recombine
 from starlane.operators.match import Matched, key_filter, match, unmatched_counts
@@ -61,6 +62,7 @@ __all__ = [
     "presum",
     "preview",
     "profile",
+    "profile_exact",
     "profile_preaggregated",
     "profile_sums",
     "recombine",

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from starlane.operators.exact import profile_exact
 from starlane.operators.profile import Mean
 from starlane.operators.shape import union_rows
 
@@ -20,14 +21,16 @@ def donor_mean(
     months: Sequence[int],
     year: str = "year",
     month: str = "month",
+    exact: bool = False,
 ) -> DataFrame:
-    """One row per entity and month: the mean over the donor years, dated ``target_year``."""
+    """One row per entity and month: the mean over the donor years, dated ``target_year``.
+
+    With ``exact`` the sums are error-free, see :mod:`starlane.operators.exact`.
+    """
     donors = df.filter(F.col(year).isin(list(donor_years)) & F.col(month).isin(list(months)))
-    return (
-        donors.groupBy(*entity, month)
-        .agg(value.over_rows().alias(value.alias))
-        .select(*entity, value.alias, month, F.lit(target_year).alias(year))
-    )
+    keys = [*entity, month]
+    means = profile_exact(donors, keys, [value]) if exact else donors.groupBy(*keys).agg(value.over_rows().alias(value.alias))
+    return means.select(*entity, value.alias, month, F.lit(target_year).alias(year))
 
 
 def impute_periods(
@@ -40,11 +43,13 @@ def impute_periods(
     year: str = "year",
     month: str = "month",
     only_missing: bool = False,
+    exact: bool = False,
 ) -> DataFrame:
     """The target year's rows as observed, plus a donor mean for each listed month.
 
     Observed rows pass through unchanged, a NULL reading included. A donor mean is
     added even if the month has been observed; ``only_missing`` leaves those out.
+    ``exact`` is that of :func:`donor_mean`.
     Filter ``df`` with :func:`starlane.functions.calendar.within_years` on its raw
     date first, so that the scan skips all other years.
     """
@@ -52,7 +57,7 @@ def impute_periods(
     observed = df.filter(F.col(year) == F.lit(target_year)).select(
         *entity, F.col(value.column).alias(value.alias), month, year
     )
-    filled = donor_mean(df, entity, value, target_year, donor_years, months, year, month)
+    filled = donor_mean(df, entity, value, target_year, donor_years, months, year, month, exact)
     if only_missing:
         filled = filled.join(observed.select(*entity, month).distinct(), [*entity, month], "left_anti")
     return union_rows(observed, filled.select(observed.columns))

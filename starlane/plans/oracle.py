@@ -251,6 +251,11 @@ ORACLE = {
         WITH {PLACED} SELECT nation_key, month, year, {PRIORITY} FROM placed GROUP BY nation_key, month, year""",
     "group_mean_rounded": f"""
         WITH {PLACED} SELECT nation_key, month, year, {MEAN_PRICE} FROM placed GROUP BY nation_key, month, year""",
+    "exact_group_mean": """
+        SELECT l_returnflag, round(avg(l_extendedprice), 4) AS mean_price, round(avg(l_discount), 6) AS mean_discount,
+               nullif(count(*) FILTER (WHERE l_linestatus = 'F'), 0) AS filled,
+               nullif(count(*) FILTER (WHERE l_linestatus = 'O'), 0) AS open
+        FROM lineitem GROUP BY l_returnflag""",
     "profile_one_pass": f"WITH {PLACED} {PROFILE}",
     "profile_preaggregated": f"WITH {PLACED} {PROFILE}",
     "profile_by_joins": f"WITH {PLACED} {PROFILE}",

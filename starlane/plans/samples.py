@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from starlane.functions.calendar import add_calendar, within_years
 from starlane.functions.means import exact_mean, to_units
 from starlane.operators.dedup import dedup_first
+from starlane.operators.exact import profile_exact
 from starlane.operators.impute import donor_mean, impute_periods
 from starlane.operators.lookup import conform, enrich, recombine
 from starlane.operators.match import Matched, key_filter, match, unmatched_counts
@@ -400,6 +401,13 @@ def group_mean_rounded(spark: SparkSession, sf_dir: str) -> DataFrame:
     return profile(placed_orders(spark, sf_dir), KEYS, [MEAN_PRICE], [])
 
 
+def exact_group_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Means of doubles, rounded here only as the SQL counterpart sums them in any order."""
+    lines = table(spark, sf_dir, "lineitem")
+    means = [Mean("l_extendedprice", "mean_price", 4), Mean("l_discount", "mean_discount", 6)]
+    return profile_exact(lines, ["l_returnflag"], means, [CountBy("l_linestatus", {"F": "filled", "O": "open"})])
+
+
 def profile_preaggregated_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return profile_preaggregated(
         order_rows(spark, sf_dir),
@@ -770,6 +778,7 @@ QUERIES = {
     "pivot_string": pivot_string,
     "pivot_numeric": pivot_numeric,
     "group_mean_rounded": group_mean_rounded,
+    "exact_group_mean": exact_group_mean,
     "profile_one_pass": priced_profile,
     "profile_preaggregated": profile_preaggregated_rows,
     "profile_by_joins": profile_by_joins,
