@@ -30,7 +30,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return packed_documents(docs)
+    # Executors still hold what the earlier stages left, so the workers cache fewer pieces here.
+    return packed_documents(docs, cached_pieces=100_000)
 
 
 STAGES = [
