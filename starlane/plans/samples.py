@@ -93,14 +93,12 @@ def placed_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 def monthly_peaks(spark: SparkSession, sf_dir: str, years: tuple[int, ...]) -> DataFrame:
     """The highest order price per nation and month of the given years.
 
-    Written once as a stage table, like any monthly series that arrives as a file:
-    imputation reads a series twice, and the orders should be joined only once.
+    No stage lies between: imputation reads its series once.
     """
     orders = table(spark, sf_dir, "orders").filter(within_years("o_orderdate", years, "timestamp_ntz"))
     rows = add_calendar(orders, "o_orderdate").select("o_custkey", "month", "year", "o_totalprice")
     placed = conform(rows, customer_nations(spark, sf_dir), {"c_custkey": "o_custkey"}, ["nation_key"])
-    peaks = placed.groupBy(*KEYS).agg(F.max("o_totalprice").alias("peak_price"))
-    return write_stage(peaks, scratch_folder(spark, "monthly_peaks"))
+    return placed.groupBy(*KEYS).agg(F.max("o_totalprice").alias("peak_price"))
 
 
 def completed_peaks(spark: SparkSession, sf_dir: str, only_missing: bool = False) -> DataFrame:

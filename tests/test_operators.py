@@ -256,6 +256,33 @@ def test_only_missing_leaves_observed_months_alone(spark, rows):
     assert len(rows(impute(spark, only_missing=True))) == len(rows(impute(spark))) - 1
 
 
+def test_every_repeat_of_an_observed_reading_stays(spark, rows):
+    df = spark.createDataFrame([("A", 2013, 1, 5.0)] * 9000 + [("A", 2013, 1, None)] * 4097 + [("A", 2013, 2, 1.0), ("A", 2012, 10, 3.0)], "state string, year int, month int, reading double").repartition(5)
+    out = impute_periods(df, ["state"], Mean("reading", "t"), 2013, [2012], [1, 10])
+    assert rows(out.groupBy("state", "t", "month", "year").count()) == [("A", None, 1, 2013, 4097), ("A", 1.0, 2, 2013, 1), ("A", 3.0, 10, 2013, 1), ("A", 5.0, 1, 2013, 9000)]
+
+
+@pytest.mark.parametrize("only_missing", [False, True])
+def test_one_pass_imputation_equals_two_passes(spark, rows, only_missing):
+    import random
+
+    pick = random.Random(3)
+    made = [(pick.choice("ABC"), pick.choice([None, 2010, 2011, 2012, 2013]), pick.choice([None, 1, 2, 3]), pick.choice([None, 1.5, 2.5, float("nan")])) for _ in range(400)]
+    df = spark.createDataFrame([(s if s != "C" else None, *r) for s, *r in made], "state string, year int, month int, reading double")
+    for donors in ([2010, 2011], [2012, 2013]):
+        value = Mean("reading", "t")
+        got = impute_periods(df, ["state"], value, 2013, donors, [1, 2], only_missing=only_missing)
+        observed = df.where("year = 2013").selectExpr("state", "reading as t", "month", "year")
+        filled = donor_mean(df, ["state"], value, 2013, donors, [1, 2])
+        if only_missing:
+            known = {(r.state, r.month) for r in observed.collect()}
+            want = [tuple(r) for r in filled.collect() if (r.state, r.month) not in known]
+        else:
+            want = [tuple(r) for r in filled.collect()]
+        want += [tuple(r) for r in observed.collect()]
+        assert sorted(map(str, rows(got))) == sorted(map(str, want)) and got.columns == observed.columns
+
+
 def test_donor_mean_alone(spark, rows):
     df = spark.createDataFrame(SERIES, "state string, year int, month int, reading float")
     out = donor_mean(df, ["state"], Mean("reading", "temperature", 1), 2013, [2010, 2011, 2012], [10])

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from starlane.operators import (
-    CountBy, Mean, conform, dedup_first, duplicate_keys, fold_codes, orphan_keys, profile, profile_preaggregated,
+    CountBy, Mean, conform, dedup_first, duplicate_keys, fold_codes, impute_periods, orphan_keys, profile, profile_preaggregated,
 )
 from starlane.plans import samples as sample_queries, star
 from starlane.sources import write_stage
@@ -52,6 +52,16 @@ def test_profile_is_one_scan_and_one_shuffle_beyond_the_join(spark, samples, set
     assert text.count("Exchange hashpartitioning") == 3
 
 
+def test_imputation_scans_its_series_once(spark, settings, tmp_path):
+    settings(spark__sql__adaptive__enabled="false")
+    spark.range(100).selectExpr("id % 7 as e", "2010 + int(id % 4) as year", "int(id % 12) as month", "double(id) as v").write.parquet(str(tmp_path / "s"))
+    series = spark.read.parquet(str(tmp_path / "s"))
+    for only_missing in (False, True):
+        text = plan(impute_periods(series, ["e"], Mean("v", "v"), 2013, [2010, 2011], [1, 2], only_missing=only_missing))
+        assert len(re.findall(r"FileScan parquet", text)) == 1 and "Join" not in text and "SortAggregate" not in text
+        assert len(re.findall(r"Exchange hash", text)) == 1 + only_missing
+
+
 def test_buckets_are_joined_and_grouped_where_they_lie(spark, samples, settings):
     settings(spark__sql__autoBroadcastJoinThreshold="-1")
     text = plan(sample_queries.bucketed_join(spark, samples))
@@ -175,5 +185,5 @@ def test_readings_are_pruned_to_the_wanted_years(spark, tmp_path, settings):
     readings = spark.createDataFrame([], "dt date, AverageTemperature float, AverageTemperatureUncertainty float, State string, Country string")
     stage = write_stage(readings, str(tmp_path / "readings"))
     text = plan(star.complete_temperatures(stage))
-    assert text.count("GreaterThanOrEqual(dt,2010-01-01)") == 2 and text.count("LessThan(dt,2014-01-01)") == 2
+    assert text.count("GreaterThanOrEqual(dt,2010-01-01)") == 1 and text.count("LessThan(dt,2014-01-01)") == 1
     assert "AverageTemperatureUncertainty" not in text
