@@ -1,15 +1,17 @@
 """Main text of web pages by wrapper induction.
 
-The pages of a host share a template. One page of each host stands for it, and the tree of
-every other page is aligned with that page's tree by simple tree matching: two nodes match if
-their labels do, and their children are matched in order so that most nodes pair up. Nodes
-whose text is the same on nearly all pages are template, nodes whose text varies are slots.
+The pages of a host share templates. One page of each layout of a host stands for it (a layout
+is the set of its containers), and their trees together, joined where labels agree, are the
+tree of the host. The tree of every page is aligned with it by simple tree matching: two nodes
+match if their labels do, and their children are matched in order so that most nodes pair up.
+Nodes whose text is the same on nearly all pages are template, nodes whose text varies are slots.
 The counts behind this are sums over all pages of the host. The slot that holds the main
 content is where most varying text lies, apart from parts whose label says what they are
 (menus, headers, footers, sidebars, notices, adverts, forms, comments).
 
-Trees are summed up before they are aligned: children with equal labels are one node, as the
-paragraphs of an article are, so that their number does not matter.
+Children with equal labels are one node, as the paragraphs of an article are, so that their
+number does not matter. Such a node also keeps a digest of each of its blocks: a block that
+nearly all pages repeat there is template, though blocks beside it vary.
 
 A page whose own tree has no match for the host's content slot, or whose host has no other
 page, is judged by its own tree. Below the content slot labelled parts and template nodes are dropped;
@@ -18,7 +20,8 @@ the content differs on enough pages of the host.
 
 Defined cases: NULL, empty or text-less html gives an empty text; a NULL url is a host of its
 own; NULL page_id and repeated rows are extracted each for itself; an empty table gives no
-rows; other columns are ignored.
+rows; other columns are ignored. Quotes part attributes only behind an equals sign, and once a
+tag has no end outside of its quotes, it and those behind it end at the next bracket.
 """
 
 from __future__ import annotations
@@ -29,6 +32,7 @@ from collections import defaultdict
 from collections.abc import Iterator
 from hashlib import blake2b
 from html import unescape
+from itertools import groupby
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -65,8 +69,9 @@ ENDS_P = BLOCKS - {"br", "option", "legend", "caption", "tbody", "td", "th", "tr
 ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 SCOPE = {"ul", "ol", "dl", "table", "select", "div", "section", "article", "main", "body"}
 
-TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>|<[!?][^>]*(?:>|\Z)""", re.S)
-LOOSE_TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|\Z)", re.S)
+#: The rest of a tag up to its end; nothing is tried twice, so it takes one walk whatever the page holds.
+TAG = re.compile(r"""(/?)([a-zA-Z][^\s/>]*+)((?:[^>=]++|=\s*+(?:"[^"]*+"|'[^']*+'|(?!["'])))*+)>""", re.S)
+LOOSE_TAG = re.compile(r"(/?)([a-zA-Z][^\s/>]*+)([^>]*+)(?:>|\Z)", re.S)
 ATTRIBUTE = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
 NUMBER = re.compile(r"\d+")
 
@@ -74,10 +79,10 @@ SAME_SHARE, MOST, EVIDENCE = 0.9, 0.8, 4
 
 
 class Node:
-    __slots__ = ("tag", "label", "part", "heads", "children")
+    __slots__ = ("tag", "label", "part", "heads", "children", "mark")
 
     def __init__(self, tag: str, attributes: str = ""):
-        self.tag, self.children = tag, []
+        self.tag, self.children, self.mark = tag, [], ""
         found = {k.lower(): v.strip("\"'") for k, v in reversed(ATTRIBUTE.findall(attributes))} if attributes else {}
         names = " ".join(found.get(k, "") for k in ("class", "id", "role")).lower()
         self.label = f"{tag}.{NUMBER.sub('#', '.'.join(names.split()))}" if names.strip() else tag
@@ -88,43 +93,72 @@ class Node:
         self.heads = self.part == BY_WORD and not words & WORDS
 
 
+class Open:
+    """The open elements, and where those of each kind are, so that an end tag finds its element at once."""
+
+    def __init__(self, root: Node):
+        self.stack, self.places = [root], defaultdict(list)
+
+    def push(self, node: Node) -> None:
+        self.places[node.tag].append(len(self.stack))
+        self.stack.append(node)
+
+    def cut(self, depth: int) -> None:
+        while len(self.stack) > depth:
+            self.places[self.stack.pop().tag].pop()
+
+    def last(self, tags: set[str]) -> int:
+        return max((self.places[t][-1] for t in tags if self.places.get(t)), default=0)
+
+
 def parse(html: str) -> Node:
     """The tree of a page. Any input gives a tree: open elements end where they must."""
     root = Node("#root")
-    stack, at = [root], 0
+    found, at, loose = Open(root), 0, False
+    text: list[str] = []
+
+    def flush() -> None:
+        if text:
+            found.stack[-1].children.append(unescape("".join(text)))
+            text.clear()
+
     while at < len(html):
-        tag = TAG.search(html, at)
         start = html.find("<", at)
-        # A tag whose quotes do not close ends at the first bracket.
-        if start >= 0 and (tag is None or tag.start() > start) and (loose := LOOSE_TAG.match(html, start)):
-            tag = loose
-        if tag is None:
-            stack[-1].children.append(unescape(html[at:]))
+        if start < 0:
+            text.append(html[at:])
             break
-        if tag.start() > at:
-            stack[-1].children.append(unescape(html[at : tag.start()]))
-        at = tag.end()
-        name = (tag[2] or "").lower() if tag.re is LOOSE_TAG or tag[2] else ""
-        if not name:
+        text.append(html[at:start])
+        if html.startswith("<!--", start):
+            end = html.find("-->", start + 4)
+            at = end + 3 if end >= 0 else len(html)
+            flush()
             continue
+        if html.startswith(("<!", "<?"), start):
+            end = html.find(">", start)
+            at = end + 1 if end >= 0 else len(html)
+            flush()
+            continue
+        tag = None if loose else TAG.match(html, start + 1)
+        if tag is None and (tag := LOOSE_TAG.match(html, start + 1)):
+            loose = True
+        if tag is None:
+            text.append("<")
+            at = start + 1
+            continue
+        flush()
+        at = tag.end()
+        name = tag[2].lower()
         if tag[1]:
-            depth = next((i for i in range(len(stack) - 1, 0, -1) if stack[i].tag == name), 0)
-            if depth:
-                del stack[depth:]
+            if depth := found.last({name}):
+                found.cut(depth)
             continue
-        closes = {"p"} if name in ENDS_P else set()
-        closes |= ENDS.get(name, set())
-        if closes:
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i].tag in closes:
-                    del stack[i:]
-                    break
-                if stack[i].tag in SCOPE:
-                    break
+        closes = ({"p"} if name in ENDS_P else set()) | ENDS.get(name, set())
+        if closes and (depth := found.last(closes)) and depth >= found.last(SCOPE):
+            found.cut(depth)
         node = Node(name, tag[3] or "")
-        if (node.tag == "header" or node.heads) and any(n.tag in MAIN for n in stack):
+        if (node.tag == "header" or node.heads) and found.last(MAIN):
             node.part = False  # the head of an article, not of the page
-        stack[-1].children.append(node)
+        found.stack[-1].children.append(node)
         if name in RAW:
             end = re.compile(rf"</{name}\b", re.I).search(html, at)
             stop = end.start() if end else len(html)
@@ -133,18 +167,29 @@ def parse(html: str) -> Node:
             close = html.find(">", stop)
             at = close + 1 if end and close >= 0 else len(html)
         elif name not in VOID and not (tag[3] or "").rstrip().endswith("/"):
-            stack.append(node)
+            found.push(node)
+    flush()
     return root
 
 
+def mark_blocks(root: Node) -> None:
+    """A digest of all text below each node, empty where there is none."""
+    order = [root]
+    for node in order:
+        order.extend(c for c in node.children if not isinstance(c, str) and c.tag not in NO_TEXT)
+    for node in reversed(order):
+        parts = [" ".join(c.split()) if isinstance(c, str) else f"{c.label}\x00{c.mark}" if c.mark else "" for c in node.children]
+        node.mark = blake2b("\x01".join(p for p in parts if p).encode("utf-8", "surrogatepass"), digest_size=8).hexdigest() if any(parts) else ""
+
+
 class Summary:
     """Nodes with one path of labels, their own text, and their children by label in order."""
 
-    __slots__ = ("label", "tag", "part", "texts", "chars", "links", "children")
+    __slots__ = ("label", "tag", "part", "texts", "chars", "links", "children", "blocks")
 
     def __init__(self, label: str, tag: str, part: bool):
         self.label, self.tag, self.part = label, tag, part
-        self.texts, self.chars, self.links, self.children = [], 0, 0, {}
+        self.texts, self.chars, self.links, self.children, self.blocks = [], 0, 0, {}, []
 
 
 def summarize(nodes: list[Node]) -> Summary:
@@ -164,14 +209,31 @@ def summarize(nodes: list[Node]) -> Summary:
                     below.setdefault(child.label, []).append(child)
         for label, kids in below.items():
             at.children[label] = Summary(label, kids[0].tag, kids[0].part)
+            if kids[0].tag in BLOCKS:
+                at.children[label].blocks = sorted({k.mark for k in kids if k.mark})
             todo.append((at.children[label], kids, linked or kids[0].tag == "a"))
     return out
 
 
 def skeleton(summary: Summary) -> list:
-    """label, tag, part, digest of the text, children: what a page is aligned with."""
-    mark = blake2b("\n".join(summary.texts).encode(), digest_size=8).hexdigest() if summary.texts else ""
-    return [summary.label, summary.tag, summary.part, mark, [skeleton(c) for c in summary.children.values()]]
+    """label, tag, part, digest of the text, children, digests of blocks: what a page is aligned with."""
+    mark = blake2b("\n".join(summary.texts).encode("utf-8", "surrogatepass"), digest_size=8).hexdigest() if summary.texts else ""
+    return [summary.label, summary.tag, summary.part, mark, [skeleton(c) for c in summary.children.values()], summary.blocks]
+
+
+def absorb(tree: list, other: list) -> None:
+    """Add to a tree what another one of the same root has besides, behind the sibling it follows there."""
+    at = {c[0]: i for i, c in enumerate(tree[4])}
+    behind: dict[int, list] = defaultdict(list)
+    place = -1
+    for child in other[4]:
+        if child[0] in at:
+            place = at[child[0]]
+            absorb(tree[4][place], child)
+        else:
+            behind[place].append(child)
+    tree[4] = behind[-1] + [c for i, kept in enumerate(tree[4]) for c in (kept, *behind[i])]
+    tree[5] = sorted({*tree[5], *other[5]})
 
 
 def match(a: list, b: list, memo: dict) -> int:
@@ -180,18 +242,42 @@ def match(a: list, b: list, memo: dict) -> int:
         return 0
     key = (id(a), id(b))
     if key not in memo:
-        memo[key] = 1 + grid(a, b, memo)[-1][-1]
+        memo[key] = 1 + sum(match(x, y, memo) for x, y in best_pairs(a, b, memo))
     return memo[key]
 
 
-def grid(a: list, b: list, memo: dict) -> list[list[int]]:
-    rows = [[0] * (len(b[4]) + 1)]
-    for x in a[4]:
-        row = [0]
-        for j, y in enumerate(b[4]):
-            row.append(max(row[j], rows[-1][j + 1], rows[-1][j] + match(x, y, memo)))
-        rows.append(row)
-    return rows
+def best_pairs(a: list, b: list, memo: dict) -> list[tuple[list, list]]:
+    """The children that pair up in the best alignment of two nodes.
+
+    Labels differ among siblings, so each child has one partner at most, and the best
+    alignment is the heaviest run of partners in increasing order. Prefix maxima in a binary
+    indexed tree find it in k log k steps; where no partners cross, all of them pair up.
+    """
+    at = {c[0]: j for j, c in enumerate(b[4])}
+    found = [(at[c[0]], c) for c in a[4] if c[0] in at]
+    if all(x[0] < y[0] for x, y in zip(found, found[1:])):
+        return [(c, b[4][j]) for j, c in found]
+    top = [(0, -1)] * (len(b[4]) + 1)  # weight of the best run that ends before a place, and its last member
+    before = []
+    for n, (j, child) in enumerate(found):
+        best, i = (0, -1), j
+        while i > 0:
+            best, i = max(best, top[i], key=lambda t: t[0]), i & (i - 1)
+        before.append(best[1])
+        weight, i = best[0] + match(child, b[4][j], memo), j + 1
+        while i < len(top):
+            if weight > top[i][0]:
+                top[i] = (weight, n)
+            i += i & -i
+    best, i = (0, -1), len(b[4])
+    while i > 0:
+        best, i = max(best, top[i], key=lambda t: t[0]), i & (i - 1)
+    run, n = [], best[1]
+    while n >= 0:
+        j, child = found[n]
+        run.append((child, b[4][j]))
+        n = before[n]
+    return run[::-1]
 
 
 def align(a: list, b: list) -> list[tuple[str, list, str, list]]:
@@ -201,16 +287,7 @@ def align(a: list, b: list) -> list[tuple[str, list, str, list]]:
     while todo:
         path_a, x, path_b, y = todo.pop()
         pairs.append((path_a, x, path_b, y))
-        best = grid(x, y, memo)
-        i, j = len(x[4]), len(y[4])
-        while i and j:
-            if best[i][j] == best[i - 1][j]:
-                i -= 1
-            elif best[i][j] == best[i][j - 1]:
-                j -= 1
-            else:
-                i, j = i - 1, j - 1
-                todo.append((f"{path_a}/{x[4][i][0]}", x[4][i], f"{path_b}/{y[4][j][0]}", y[4][j]))
+        todo.extend((f"{path_a}/{p[0]}", p, f"{path_b}/{q[0]}", q) for p, q in best_pairs(x, y, memo))
     return pairs
 
 
@@ -291,12 +368,13 @@ def own_chars(summary: Summary, path: str | None = None) -> dict[str, float]:
     return out
 
 
-def collect(root: Node, content: str, dropped: set[str]) -> str:
+def collect(root: Node, content: str, dropped: set[str], constant: dict[str, set[str]] | None = None) -> str:
     """The text below every node of the content path, blocks parted by one space."""
     out: list[str] = []
+    constant = constant or {}
 
     def walk(node: Node, path: str, inside: bool) -> None:
-        if node.tag in NO_TEXT or (node.part and path != content):
+        if node.tag in NO_TEXT or (node.part and path != content) or (path in constant and node.mark in constant[path]):
             return
         inside = inside or path == content
         block = node.tag in BLOCKS
@@ -339,6 +417,7 @@ def tree_of(html: str | None, labels: set[str] = frozenset()) -> tuple[Node, Sum
             node.part = False
         todo.extend(c for c in node.children if not isinstance(c, str))
     flatten(root)
+    mark_blocks(root)
     return root, summarize([root])
 
 
@@ -364,7 +443,7 @@ def flatten(root: Node) -> None:
 def extract(html: str | None, wrapper: dict | None) -> str:
     root, summary = tree_of(html, set(wrapper["lifted"]) if wrapper else set())
     tree = skeleton(summary)
-    content, dropped, equal = None, set(), set()
+    content, dropped, equal, constant = None, set(), set(), {}
     if wrapper:
         for path, node, of_host, other in align(tree, wrapper["tree"]):
             if of_host == wrapper["content"]:
@@ -374,11 +453,16 @@ def extract(html: str | None, wrapper: dict | None) -> str:
             # In a main element a node is dropped only if it is a block of the very text of the template.
             if of_host in wrapper["template"] and node[3] == other[3]:
                 equal.add(path)
+            if of_host in wrapper["constant"]:
+                constant[path] = wrapper["constant"][of_host]
         if content is not None and main:
             dropped = whole_blocks(tree, equal) if wrapper["varies"] else set()
+            constant = {}
+        elif not wrapper["varies"]:
+            constant = {}
     if content is None:
-        content, dropped = content_path(tree, own_chars(summary)), set()
-    text = collect(root, content, dropped)
+        content, dropped, constant = content_path(tree, own_chars(summary)), set(), {}
+    text = collect(root, content, dropped, constant)
     # Where all text of the page is links, links are its content.
     if not text and content_path(tree, {}) == content:
         return text
@@ -386,23 +470,57 @@ def extract(html: str | None, wrapper: dict | None) -> str:
 
 
 @deep
-def counts_of(html: str, tree: list) -> list[tuple[str, int, int]]:
-    """For every node of the host's tree that the page matches: path, same text or not, characters."""
+def counts_of(html: str, tree: list) -> list[tuple[str, str, int, int, int]]:
+    """For every node of the host's tree that the page matches: path, '', 1, same text or not, characters;
+    for every block that the page repeats there: path, digest, 0, 1, 0."""
     _, summary = tree_of(html)
     chars = own_chars(summary)
-    return [(of_host, int(node[3] == other[3]), int(chars[path])) for path, node, of_host, other in align(skeleton(summary), tree)]
+    out = []
+    for path, node, of_host, other in align(skeleton(summary), tree):
+        out.append((of_host, "", 1, int(node[3] == other[3]), int(chars[path])))
+        if node[5] and other[5]:
+            out.extend((of_host, mark, 0, 1, 0) for mark in set(node[5]).intersection(other[5]))
+    return out
+
+
+@deep
+def layout_of(html: str) -> bytes:
+    """A digest of the containers of a page: their paths, without what a text is made of."""
+    tree = skeleton(tree_of(html)[1])
+    paths, todo = [], [(tree[0], tree)]
+    while todo:
+        path, node = todo.pop()
+        paths.append(path)
+        todo.extend((f"{path}/{c[0]}", c) for c in node[4] if c[1] in CONTAINERS or c[1] in PARTS)
+    return blake2b("\n".join(sorted(paths)).encode("utf-8", "surrogatepass"), digest_size=16).digest()
+
+
+@deep
+def page_tree(html: str) -> list:
+    return skeleton(tree_of(html)[1])
 
 
 @deep
-def reference_tree(html: str) -> str:
-    return json.dumps(skeleton(tree_of(html)[1]))
+def tree_of_host(trees: Iterator[list]) -> list:
+    """The trees of one page of each layout as one."""
+    whole = next(trees)
+    for tree in trees:
+        absorb(whole, tree)
+    return whole
 
 
 @deep
 def wrapper_of(tree: str, nodes: list[dict]) -> str:
-    """The host's wrapper: its tree, the path of its content slot, the paths of its template."""
+    """The host's wrapper: its tree, the path of its content slot, the paths and blocks of its template."""
     parsed = json.loads(tree)
+    blocks = [n for n in nodes if n["mark"]]
+    nodes = [n for n in nodes if not n["mark"]]
     fixed = {n["path"] for n in nodes if n["n"] >= EVIDENCE and n["same"] >= SAME_SHARE * n["n"]}
+    seen = {n["path"]: n["n"] for n in nodes}
+    constant: dict[str, list[str]] = defaultdict(list)
+    for b in sorted(blocks, key=lambda b: (b["path"], b["mark"])):
+        if seen[b["path"]] >= EVIDENCE and b["same"] >= SAME_SHARE * seen[b["path"]]:
+            constant[b["path"]].append(b["mark"])
     chars = {n["path"]: float(n["chars"]) for n in nodes if n["path"] not in fixed}
     labels = lifted(parsed, chars)
     lift(parsed, set(labels))
@@ -410,7 +528,17 @@ def wrapper_of(tree: str, nodes: list[dict]) -> str:
     content = content_path(parsed, chars) if total_chars(parsed, parsed[0], chars) else None
     # Few distinct texts, as copies with other menus have, tell nothing about what is template in the content.
     varies = any(n["n"] - n["same"] >= EVIDENCE and f"{n['path']}/".startswith(f"{content}/") for n in nodes)
-    return json.dumps({"tree": parsed, "content": content, "template": sorted(fixed), "varies": varies, "lifted": labels})
+    bare(parsed)
+    return json.dumps({"tree": parsed, "content": content, "template": sorted(fixed), "constant": constant, "varies": varies, "lifted": labels})
+
+
+def bare(tree: list) -> None:
+    """Without the digests of blocks, which the wrapper holds where they are template."""
+    todo = [tree]
+    while todo:
+        node = todo.pop()
+        node[5] = []
+        todo.extend(node[4])
 
 
 def with_host(pages: DataFrame) -> DataFrame:
@@ -421,30 +549,52 @@ def with_host(pages: DataFrame) -> DataFrame:
 def induce(pages: DataFrame) -> DataFrame:
     """The wrapper of each host that has several pages, as (host, wrapper)."""
     named = pages.where("page_id is not null and html <> ''")
-    first = stage(named.groupBy("host").agg(F.min("page_id").alias("page_id")), "host_pages")
 
-    def trees(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def layouts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            made = [reference_tree(h) for h in batch.column(1).to_pylist()]
-            marks = [blake2b(h.encode(), digest_size=16).digest() for h in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(made, pa.string()), pa.array(marks, pa.binary())], ["host", "tree", "mark"])
+            made = pa.array([layout_of(h) for h in batch.column(2).to_pylist()], pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), made], ["host", "page_id", "layout"])
 
-    chosen = named.join(first, ["host", "page_id"]).groupBy("host").agg(F.min("html").alias("html"))
-    refs = stage(chosen.mapInArrow(trees, "host string, tree string, mark binary"), "host_trees")
+    kinds = named.select("host", "page_id", "html").mapInArrow(layouts, "host string, page_id long, layout binary")
+    first = kinds.groupBy("host", "layout").agg(F.count(F.lit(1)).alias("n"), F.min("page_id").alias("page_id"))
+    first = stage(first.groupBy("host", "page_id").agg(F.max("n").alias("n")), "host_pages")
+
+    def trees(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # Rows come host by host, the commonest layout first; one tree is held at a time.
+        def rows() -> Iterator[tuple[str, str]]:
+            for batch in batches:
+                yield from zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())
+
+        for host, group in groupby(rows(), key=lambda r: r[0]):
+            marks: list[str] = []
+
+            def of_pages(group=group, marks=marks) -> Iterator[list]:
+                for _, html in group:
+                    marks.append(mark_of(html))
+                    yield page_tree(html)
+
+            tree = tree_of_host(of_pages())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([host]), pa.array([json.dumps(tree)], pa.string()), pa.array([marks], pa.list_(pa.string()))], ["host", "tree", "marks"]
+            )
+
+    chosen = named.join(first, ["host", "page_id"]).groupBy("host", "page_id").agg(F.max("n").alias("n"), F.min("html").alias("html"))
+    by_host = chosen.repartition("host").sortWithinPartitions("host", F.desc("n"), "page_id").select("host", "html")
+    refs = stage(by_host.mapInArrow(trees, "host string, tree string, marks array<string>"), "host_trees")
 
     def counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[str, list] = {}
-        sums: dict[tuple[str, str], list[int]] = defaultdict(lambda: [0, 0, 0])
+        known: dict[str, tuple[list, set[str]]] = {}
+        sums: dict[tuple[str, str, str], list[int]] = defaultdict(lambda: [0, 0, 0])
         for batch in batches:
-            for host, html, tree, mark in zip(*[c.to_pylist() for c in batch.columns]):
-                if blake2b(html.encode(), digest_size=16).digest() == mark:
-                    continue  # a copy of the reference tells nothing about what varies
+            for host, html, tree, marks in zip(*[c.to_pylist() for c in batch.columns]):
                 if host not in known:
                     known = known if len(known) < 1000 else {}
-                    known[host] = json.loads(tree)
-                for path, same, chars in counts_of(html, known[host]):
-                    s = sums[host, path]
-                    s[0] += 1
+                    known[host] = (json.loads(tree), set(marks))
+                if mark_of(html) in known[host][1]:
+                    continue  # a copy of a page that the tree was made from tells nothing about what varies
+                for path, block, n, same, chars in counts_of(html, known[host][0]):
+                    s = sums[host, path, block]
+                    s[0] += n
                     s[1] += same
                     s[2] += chars
             if len(sums) > 100_000:
@@ -454,7 +604,7 @@ def induce(pages: DataFrame) -> DataFrame:
             yield flushed(sums)
 
     rows = pages.where("html <> ''").select("host", "html").join(refs, "host")
-    nodes = rows.mapInArrow(counts, "host string, path string, n long, same long, chars long").groupBy("host", "path").agg(
+    nodes = rows.mapInArrow(counts, "host string, path string, mark string, n long, same long, chars long").groupBy("host", "path", "mark").agg(
         F.sum("n").alias("n"), F.sum("same").alias("same"), F.sum("chars").alias("chars")
     )
 
@@ -463,14 +613,18 @@ def induce(pages: DataFrame) -> DataFrame:
             made = [wrapper_of(t, n) for t, n in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist())]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(made, pa.string())], ["host", "wrapper"])
 
-    # A host has as many nodes as its one reference tree.
-    per_host = nodes.groupBy("host").agg(F.collect_list(F.struct("path", "n", "same", "chars")).alias("nodes"))
+    # A host has as many nodes and blocks as its one tree.
+    per_host = nodes.groupBy("host").agg(F.collect_list(F.struct("path", "mark", "n", "same", "chars")).alias("nodes"))
     return stage(refs.join(per_host, "host").select("host", "tree", "nodes").mapInArrow(wrappers, "host string, wrapper string"), "wrappers")
 
 
-def flushed(sums: dict[tuple[str, str], list[int]]) -> pa.RecordBatch:
-    rows = [(host, path, *s) for (host, path), s in sums.items()]
-    return pa.RecordBatch.from_arrays([pa.array(list(c)) for c in zip(*rows)], ["host", "path", "n", "same", "chars"])
+def mark_of(html: str) -> str:
+    return blake2b(html.encode("utf-8", "surrogatepass"), digest_size=16).hexdigest()
+
+
+def flushed(sums: dict[tuple[str, str, str], list[int]]) -> pa.RecordBatch:
+    rows = [(*key, *s) for key, s in sums.items()]
+    return pa.RecordBatch.from_arrays([pa.array(list(c)) for c in zip(*rows)], ["host", "path", "mark", "n", "same", "chars"])
 
 
 def main_texts(pages: DataFrame) -> DataFrame:
@@ -487,6 +641,7 @@ def main_texts(pages: DataFrame) -> DataFrame:
                     known = known if len(known) < 1000 else {}
                     known[wrapper] = json.loads(wrapper)
                     known[wrapper]["template"] = set(known[wrapper]["template"])
+                    known[wrapper]["constant"] = {p: set(m) for p, m in known[wrapper]["constant"].items()}
                 texts.append(extract(html, known[wrapper] if wrapper is not None else None))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())],

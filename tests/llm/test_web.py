@@ -1,6 +1,8 @@
 import hashlib
+import random
 import re
 import textwrap
+import time
 from html import unescape
 
 import numpy as np
@@ -119,7 +121,7 @@ def test_main_text_of_sample_pages(spark, samples):
 
 def test_tree_matching():
     def tree(label, *children):
-        return [label, label, False, "", list(children)]
+        return [label, label, False, "", list(children), []]
 
     a = tree("body", tree("nav"), tree("div", tree("p")), tree("footer"))
     b = tree("body", tree("div", tree("p"), tree("ul")), tree("aside"), tree("footer"))
@@ -128,6 +130,78 @@ def test_tree_matching():
     ]
 
 
+def test_a_list_page_first(spark):
+    def article(i):
+        return f"<body><div class='teaser'>Teaser {words(1, i)}</div><div class='post'><h2>T{i}</h2><p>{words(80, i)}</p></div></body>"
+
+    teasers = "".join(f"<div class='teaser'>Teaser {words(1, i)}</div>" for i in range(1, 10))
+    rows = [(0, "http://a.example/", f"<body>{teasers}</body>")] + [(i, f"http://a.example/{i}", article(i)) for i in range(1, 10)]
+    got = {r["page_id"]: r["text"] for r in wrappers.main_texts(pages(spark, rows)).collect()}
+    assert all(got[i] == f"T{i} {words(80, i)}" for i in range(1, 10)) and got[0].count("Teaser") == 9
+
+
+def test_constant_blocks_among_equal_siblings(spark):
+    rows = []
+    for i in range(12):
+        rows.append((i, "http://a.example/x", f"<body><div><p>home about</p></div><div><p>{words(60, i)}</p></div><div><p>imprint</p></div></body>"))
+        body = f"<p>share this story</p><p>{words(30, i)}</p><p>{words(30, i + 50)}</p>"
+        rows.append((100 + i, "http://b.example/x", f"<body><div class='x'>{body}</div></body>"))
+        # An article keeps a line that all pages have: it is text, not a block of the template.
+        rows.append((200 + i, "http://c.example/x", f"<body><article>{body}</article></body>"))
+        # Copies of one page tell nothing about what varies.
+        rows.append((300 + i, "http://d.example/x", f"<body><div><p>{words(60, 1)}</p></div><div><p>end</p></div></body>"))
+    got = {r["page_id"]: r["text"] for r in wrappers.main_texts(pages(spark, rows).repartition(3)).collect()}
+    for i in range(12):
+        assert got[i] == words(60, i)
+        assert got[100 + i] == f"{words(30, i)} {words(30, i + 50)}"
+        assert got[200 + i] == f"share this story {words(30, i)} {words(30, i + 50)}"
+        assert got[300 + i] == f"{words(60, 1)} end"
+
+
+def test_time_for_malformed_pages():
+    n = 1_000_000
+    bad = ['<a "' * (n // 4), '<a x="' * (n // 6), '<a x=">" ' * (n // 9), "<a b='c' " * (n // 9), "<" * n, "<!" * (n // 2), "<!--" * (n // 4),
+           "<span>" * 80_000 + "</b>" * 100_000, "<li><ul>" + "<span>" * 60_000 + "<li></li>" * 60_000, "<header>" * 60_000]
+    for html in bad:
+        start = time.process_time()
+        wrappers.parse(html)
+        assert time.process_time() - start < 5, html[:12]
+    rich = "<body>" + "".join(f"<div class='{words(1, i)}x{'y' * (i % 40)}z{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}{chr(97 + i // 676)}'>t{i}</div>" for i in range(8000))
+    mixed = wrappers.page_tree(rich)
+    mixed[4][0][4].reverse()
+    start = time.process_time()
+    assert len(wrappers.align(wrappers.page_tree(rich), mixed)) == 3 and time.process_time() - start < 5
+
+
+def test_tags_end_where_they_should():
+    def text_of(html):
+        return wrappers.extract(html, None)
+
+    assert text_of("""<p title="it's 5" tall">one</p><p title='a > b'>two</p><p x = ">" y>three</p>a < b <3 <p title="open>four</p>""") == "one two three a < b <3 four"
+    assert text_of("<p>one<br/>two<!-- > x -->three</p></b></div><ul><li>a<li>b<p>c<div>d</div>") == "one twothree a b c d"
+
+
+@pytest.mark.parametrize("seed", range(40))
+def test_best_pairs_equal_the_plain_recurrence(seed):
+    pick = random.Random(seed)
+
+    def tree(depth):
+        labels = pick.sample("abcdefg", pick.randrange(0, 7) if depth else 0)
+        return [pick.choice("xy") if depth == 3 else "", "div", False, "", [[c, *tree(depth - 1)[1:]] for c in labels], []]
+
+    def plain(a, b):
+        if a[0] != b[0]:
+            return 0
+        rows = [[0] * (len(b[4]) + 1) for _ in range(len(a[4]) + 1)]
+        for i, x in enumerate(a[4], 1):
+            for j, y in enumerate(b[4], 1):
+                rows[i][j] = max(rows[i - 1][j], rows[i][j - 1], rows[i - 1][j - 1] + plain(x, y))
+        return 1 + rows[-1][-1]
+
+    a, b = tree(3), tree(3)
+    assert wrappers.match(a, b, {}) == plain(a, b) == len(wrappers.align(a, b))
+
+
 def test_licences(spark):
     mit = "Copyright (c) 2020 Some One\n\n" + licences.MIT.upper().replace("SUBLICENSE", "Sub-Licence") + "\n© others"
     docs = documents(spark, extra=[(40, mit, "en", "a"), (41, "Text.\nReleased under the MIT licence\nMore.", "en", "a"), (42, "Released under the MIT License", "en", "a"), (43, mit + "\nx", "en", "a")])
