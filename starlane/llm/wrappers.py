@@ -30,6 +30,7 @@ import json
 import re
 from collections import defaultdict
 from collections.abc import Iterator
+from functools import lru_cache
 from hashlib import blake2b
 from html import unescape
 from itertools import groupby
@@ -67,6 +68,7 @@ BY_WORD = 2
 #: A new element of these kinds ends an open one of the kinds beside it.
 ENDS_P = BLOCKS - {"br", "option", "legend", "caption", "tbody", "td", "th", "tr", "tfoot", "thead", "title", "body", "html"}
 ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
+CLOSES = {name: ({"p"} if name in ENDS_P else set()) | ENDS.get(name, set()) for name in ENDS_P | set(ENDS)}
 SCOPE = {"ul", "ol", "dl", "table", "select", "div", "section", "article", "main", "body"}
 
 #: The rest of a tag up to its end; nothing is tried twice, so it takes one walk whatever the page holds.
@@ -79,18 +81,24 @@ SAME_SHARE, MOST, EVIDENCE = 0.9, 0.8, 4
 
 
 class Node:
-    __slots__ = ("tag", "label", "part", "heads", "children", "mark")
+    __slots__ = ("tag", "label", "part", "heads", "children", "texts", "mark")
 
     def __init__(self, tag: str, attributes: str = ""):
-        self.tag, self.children, self.mark = tag, [], ""
-        found = {k.lower(): v.strip("\"'") for k, v in reversed(ATTRIBUTE.findall(attributes))} if attributes else {}
-        names = " ".join(found.get(k, "") for k in ("class", "id", "role")).lower()
-        self.label = f"{tag}.{NUMBER.sub('#', '.'.join(names.split()))}" if names.strip() else tag
-        words = set(re.split(r"[^a-z]+", names)) if names and tag not in NEVER else set()
-        unseen = "hidden" in found or found.get("aria-hidden") == "true" or "display:none" in found.get("style", "").replace(" ", "")
-        # True for what an element or attribute says, BY_WORD for what a word says; the host's counts can lift the latter.
-        self.part = True if tag in PARTS or unseen else BY_WORD if words & WORDS or "header" in words else False
-        self.heads = self.part == BY_WORD and not words & WORDS
+        self.tag, self.children, self.texts, self.mark = tag, [], [], ""
+        self.label, self.part, self.heads = (names_of if len(attributes) < 200 else names_of.__wrapped__)(tag, attributes)
+
+
+@lru_cache(10_000)
+def names_of(tag: str, attributes: str) -> tuple[str, bool | int, bool]:
+    """The label of an element, whether it is a labelled part, and whether it is called a header."""
+    found = {k.lower(): v.strip("\"'") for k, v in reversed(ATTRIBUTE.findall(attributes))} if attributes else {}
+    names = " ".join(found.get(k, "") for k in ("class", "id", "role")).lower()
+    label = f"{tag}.{NUMBER.sub('#', '.'.join(names.split()))}" if names.strip() else tag
+    words = set(re.split(r"[^a-z]+", names)) if names and tag not in NEVER else set()
+    unseen = "hidden" in found or found.get("aria-hidden") == "true" or "display:none" in found.get("style", "").replace(" ", "")
+    # True for what an element or attribute says, BY_WORD for what a word says; the host's counts can lift the latter.
+    part = True if tag in PARTS or unseen else BY_WORD if words & WORDS or "header" in words else False
+    return label, part, part == BY_WORD and not words & WORDS
 
 
 class Open:
@@ -108,19 +116,24 @@ class Open:
             self.places[self.stack.pop().tag].pop()
 
     def last(self, tags: set[str]) -> int:
-        return max((self.places[t][-1] for t in tags if self.places.get(t)), default=0)
+        best, places = 0, self.places
+        for tag in tags:
+            if tag in places and (at := places[tag]) and at[-1] > best:
+                best = at[-1]
+        return best
 
 
-def parse(html: str) -> Node:
-    """The tree of a page. Any input gives a tree: open elements end where they must."""
+def parse(html: str, texts: bool = True) -> Node:
+    """The tree of a page. Any input gives a tree: open elements end where they must. Without ``texts`` only its elements."""
     root = Node("#root")
     found, at, loose = Open(root), 0, False
     text: list[str] = []
 
     def flush() -> None:
-        if text:
-            found.stack[-1].children.append(unescape("".join(text)))
-            text.clear()
+        joined = text[0] if len(text) == 1 else "".join(text)
+        text.clear()
+        if joined and texts:
+            found.stack[-1].children.append(unescape(joined) if "&" in joined else joined)
 
     while at < len(html):
         start = html.find("<", at)
@@ -149,11 +162,10 @@ def parse(html: str) -> Node:
         at = tag.end()
         name = tag[2].lower()
         if tag[1]:
-            if depth := found.last({name}):
-                found.cut(depth)
+            if name in found.places and (places := found.places[name]):
+                found.cut(places[-1])
             continue
-        closes = ({"p"} if name in ENDS_P else set()) | ENDS.get(name, set())
-        if closes and (depth := found.last(closes)) and depth >= found.last(SCOPE):
+        if name in CLOSES and (depth := found.last(CLOSES[name])) and depth >= found.last(SCOPE):
             found.cut(depth)
         node = Node(name, tag[3] or "")
         if (node.tag == "header" or node.heads) and found.last(MAIN):
@@ -162,24 +174,33 @@ def parse(html: str) -> Node:
         if name in RAW:
             end = re.compile(rf"</{name}\b", re.I).search(html, at)
             stop = end.start() if end else len(html)
-            if name in ("title", "textarea"):
+            if texts and name in ("title", "textarea"):
                 node.children.append(unescape(html[at:stop]))
             close = html.find(">", stop)
             at = close + 1 if end and close >= 0 else len(html)
         elif name not in VOID and not (tag[3] or "").rstrip().endswith("/"):
             found.push(node)
-    flush()
+    if text:
+        flush()
     return root
 
 
 def mark_blocks(root: Node) -> None:
-    """A digest of all text below each node, empty where there is none."""
+    """The texts of each node, and a digest of all text below it, empty where there is none."""
     order = [root]
     for node in order:
         order.extend(c for c in node.children if not isinstance(c, str) and c.tag not in NO_TEXT)
     for node in reversed(order):
-        parts = [" ".join(c.split()) if isinstance(c, str) else f"{c.label}\x00{c.mark}" if c.mark else "" for c in node.children]
-        node.mark = blake2b("\x01".join(p for p in parts if p).encode("utf-8", "surrogatepass"), digest_size=8).hexdigest() if any(parts) else ""
+        parts = []
+        for child in node.children:
+            if isinstance(child, str):
+                if text := " ".join(child.split()):
+                    node.texts.append(text)
+                    parts.append(text)
+            elif child.mark:
+                parts.append(f"{child.label}\x00{child.mark}")
+        if parts:
+            node.mark = blake2b("\x01".join(parts).encode("utf-8", "surrogatepass"), digest_size=8).hexdigest()
 
 
 class Summary:
@@ -199,13 +220,13 @@ def summarize(nodes: list[Node]) -> Summary:
         at, members, linked = todo.pop()
         below: dict[str, list[Node]] = {}
         for member in members:
+            if member.texts:
+                at.texts += member.texts
+                chars = sum(map(len, member.texts))
+                at.chars += chars
+                at.links += chars * linked
             for child in member.children:
-                if isinstance(child, str):
-                    if text := " ".join(child.split()):
-                        at.texts.append(text)
-                        at.chars += len(text)
-                        at.links += len(text) * linked
-                elif child.tag not in NO_TEXT and child.tag not in VOID:
+                if not isinstance(child, str) and child.tag not in NO_TEXT and child.tag not in VOID:
                     below.setdefault(child.label, []).append(child)
         for label, kids in below.items():
             at.children[label] = Summary(label, kids[0].tag, kids[0].part)
@@ -483,15 +504,18 @@ def counts_of(html: str, tree: list) -> list[tuple[str, str, int, int, int]]:
     return out
 
 
-@deep
 def layout_of(html: str) -> bytes:
     """A digest of the containers of a page: their paths, without what a text is made of."""
-    tree = skeleton(tree_of(html)[1])
-    paths, todo = [], [(tree[0], tree)]
+    paths, todo = [], [("#root", [parse(html, texts=False)], 0)]
     while todo:
-        path, node = todo.pop()
+        path, nodes, depth = todo.pop()
         paths.append(path)
-        todo.extend((f"{path}/{c[0]}", c) for c in node[4] if c[1] in CONTAINERS or c[1] in PARTS)
+        below: dict[str, list[Node]] = {}
+        for node in nodes if depth < MAX_DEPTH else ():
+            for child in node.children:
+                if (child.tag in CONTAINERS or child.tag in PARTS) and child.tag not in NO_TEXT:
+                    below.setdefault(child.label, []).append(child)
+        todo.extend((f"{path}/{label}", kids, depth + 1) for label, kids in below.items())
     return blake2b("\n".join(sorted(paths)).encode("utf-8", "surrogatepass"), digest_size=16).digest()
 
 
