@@ -7,7 +7,7 @@ the checks to decide whether to raise.
 
 from starlane.operators.dedup import dedup_first
 from starlane.operators.exact import profile_exact
-from starlane.operators.impute import donor_mean, impute_periods
+from starlane.operators.impute import donor_mean, fold_periods, impute_periods, unfold_periods
 from starlane.operators.lookup import conform, enrich, recombine
 from starlane.operators.match import Matched, key_filter, match, unmatched_counts
 from starlane.operators.profile import (
@@ -50,6 +50,7 @@ __all__ = [
     "enforce",
     "enrich",
     "fold_codes",
+    "fold_periods",
     "impute_periods",
     "is_null",
     "key_filter",
@@ -71,4 +72,5 @@ __all__ = [
     "union_rows",
     "unmatched_counts",
     "write_checked",
+    "unfold_periods",
 ]
