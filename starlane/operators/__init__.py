@@ -69,8 +69,8 @@ __all__ = [
     "recombine",
     "report_of",
     "row_count",
+    "unfold_periods",
     "union_rows",
     "unmatched_counts",
     "write_checked",
-    "unfold_periods",
 ]
