@@ -245,8 +245,8 @@ def land_csv(
     """Parse a delimited file once: its rows and its faulty rows to one stage table.
 
     A row is faulty if a cell does not parse or the number of cells differs. It stays among
-    the rows with NULL in such cells, as :func:`read_csv` gives it, and also lies in the
-    stage's part for faulty rows with its file, its line as it was, and the columns at fault.
+    the rows with NULL in such cells, as :func:`read_csv` gives it, and is marked there as
+    faulty, with its file, its line as it was, and the columns at fault.
     ``keep`` thins out the rows; faulty ones are kept whatever it says, and all rows are
     counted before it. More than ``most_faulty`` faulty rows raise, once the stage shows them.
     """
@@ -278,10 +278,14 @@ def land_csv(
 
 
 def _landed(rows: DataFrame, folder: str, counts: Mapping[str, Column], mode: str) -> tuple[DataFrame, dict[str, int]]:
-    """Write the rows, the faulty ones in a folder of their own, and count before thinning."""
+    """Write the rows where they were parsed, and count before thinning.
+
+    No shuffle and no sort lies between, so a task streams its share of the text and holds none of
+    it. ``__faulty`` is a plain column: the files' statistics let a look at the faulty rows skip
+    the row groups without any.
+    """
     from starlane.sources.sinks import write_stage
 
     seen = Observation()
     observed = rows.observe(seen, *[c.alias(name) for name, c in counts.items()]).where("__kept OR __faulty = 1")
-    staged = write_stage(observed, folder, mode=mode, partition_by=["__faulty"])
-    return staged, seen.get
+    return write_stage(observed, folder, mode=mode), seen.get

@@ -368,6 +368,17 @@ def test_a_landed_file_is_not_parsed_again(spark, tmp_path):
     assert got.rows.count() == 6 and got.rejected.count() == 3 and got.unparsed()["d"] == 1 and got.report().count() == 3
 
 
+def test_a_landed_file_stays_where_its_parts_were_parsed(spark, tmp_path, settings):
+    (tmp_path / "in").mkdir()
+    write(tmp_path / "in" / "a.csv", "d;n;a name", *[f"2013-01-01;{'x' if n % 500 == 7 else n};same" for n in range(2000)])
+    settings(spark__sql__files__maxPartitionBytes="8k", spark__sql__files__openCostInBytes="0")
+    got = land_csv(spark, str(tmp_path / "in"), CITIES, str(tmp_path / "landed"), sep=";")
+    shares = [r["count"] for r in got.staged.groupBy(F.col("_metadata.file_path")).count().collect()]
+    assert sum(shares) == got.rows.count() == 2000 and max(shares) < 1000, "no task may hold a whole input"
+    assert got.counts == {"rows": 2000, "faulty": 4} and got.unparsed() == {"d": 0, "n": 4, "a name": 0}
+    assert {r.line for r in got.rejected.collect()} == {"2013-01-01;x;same"}
+
+
 def test_written_rows_are_observed(spark, tmp_path):
     df = spark.range(10).withColumn("odd", F.col("id") % 2)
     counts = {"n": F.count(F.lit(1)), "odd": F.sum("odd"), "high": F.count_if(F.col("id") > 7)}
