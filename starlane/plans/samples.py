@@ -28,6 +28,7 @@ from starlane.operators.shape import is_null, not_null, preview, row_count, unio
 from starlane.plans import reports, star
 from starlane.plans.graph import Step, describe_inputs, fingerprint, run_steps
 from starlane.plans.monthly import MonthlySums
+from starlane.session import keeps_shares, size_shares
 from starlane.sources.contracts import TableContract
 from starlane.sources.readers import Landed, land_csv, read_csv, read_many, read_parquet
 from starlane.sources.scratch import scratch_folder, scratch_root
@@ -666,8 +667,10 @@ def star_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return star.arrivals_profile(star.arrival_rows(raw_arrivals(spark, sf_dir)), ports)
 
 
+@keeps_shares
 def _star_run(spark: SparkSession, sf_dir: str) -> str:
     """Land the four raw inputs as files and run the whole job on them; where it published."""
+    size_shares(spark, sum(i.size for i in describe_inputs(spark, _star_inputs(sf_dir)).values()))
     landing = scratch_folder(spark, "landing")
     inputs = star.Inputs()
 

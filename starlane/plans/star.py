@@ -26,7 +26,7 @@ from starlane.operators.rollup import build_dimension
 from starlane.operators.shape import union_rows
 from starlane.plans.graph import Finished, Step, describe_inputs, fingerprint, run_steps
 from starlane.plans.monthly import MonthlySums
-from starlane.session import build_session, size_shuffles
+from starlane.session import build_session, keeps_shares, size_shares, size_shuffles
 from starlane.sources import contracts
 from starlane.sources.contracts import conform_to
 from starlane.sources.readers import Landed, land_csv, read_csv, read_many, read_parquet
@@ -228,6 +228,7 @@ def check_temperatures(temperatures: DataFrame, profiled: DataFrame) -> None:
     enforce(met.agg(F.count(F.lit(1)).alias("violations")).select(F.lit("unique_key").alias("rule"), F.lit(name).alias("column"), "violations"))
 
 
+@keeps_shares
 def run(
     spark: SparkSession,
     input_dir: str,
@@ -271,7 +272,9 @@ def run(
 
     raw = {n: f"{input_dir.rstrip('/')}/{getattr(inputs, n)}" for n in ("demographics", "temperatures", "airports", "arrivals")}
     found = describe_inputs(spark, raw)
-    size_shuffles(spark, sum(i.size for i in found.values()))
+    input_bytes = sum(i.size for i in found.values())
+    size_shuffles(spark, input_bytes)
+    size_shares(spark, input_bytes)
     finished, allowed, choices = Finished(spark, resume), dict(most_faulty or {}), (target_year, tuple(donor_years))
     imputed = dict(target_year=target_year, donor_years=donor_years, months=months, only_missing=only_missing)
     made = {

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+from typing import Any
+
 from pyspark.sql import SparkSession
 
 # AQE is what turns an over-partitioned shuffle into right-sized tasks, splits a
@@ -29,6 +33,10 @@ AT_START = {"spark.python.sql.dataFrameDebugging.enabled": "false", "spark.sched
 INITIAL = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 MOST_PARTITIONS = 10_000
 
+# What one task reads of the files of a scan, and of a shuffle whose partitions AQE merges.
+SHARES = ("spark.sql.files.maxPartitionBytes", "spark.sql.adaptive.advisoryPartitionSizeInBytes")
+LEAST_SHARE, MOST_SHARE = 16 << 20, (128 << 20, 64 << 20)
+
 
 def build_session(
     app: str = "starlane", master: str | None = None, hive: bool = False, input_bytes: int = 0, **conf: str
@@ -72,3 +80,32 @@ def size_shuffles(spark: SparkSession, input_bytes: int) -> None:
     if not given.contains(INITIAL) and not given.contains("spark.sql.shuffle.partitions"):
         wanted = min(MOST_PARTITIONS, input_bytes // 200_000_000)
         spark.conf.set(INITIAL, str(max(200, 4 * spark.sparkContext.defaultParallelism, wanted)))
+
+
+def size_shares(spark: SparkSession, input_bytes: int = 0) -> None:
+    """Have tasks take small shares of files and shuffles, unless the session was told how large.
+
+    A row that is 10 bytes in a Parquet file can be 200 in the hash table of an aggregation, so
+    Spark's 128 MB of a file and 64 MB of a shuffle can become gigabytes in one task. With 16 MB
+    a larger input makes more tasks and not larger ones. Beyond 160 GB it makes ``MOST_PARTITIONS``
+    tasks, until shares are Spark's own.
+    """
+    wanted = max(LEAST_SHARE, input_bytes // MOST_PARTITIONS)
+    for key, most in zip(SHARES, MOST_SHARE):
+        if spark.conf.get(key, None) is None:
+            spark.conf.set(key, str(min(wanted, most)))
+
+
+def keeps_shares(job: Callable[..., Any]) -> Callable[..., Any]:
+    """A job, given its session first, after which the session's shares are what they were."""
+
+    @wraps(job)
+    def run(spark: SparkSession, *args: Any, **choices: Any) -> Any:
+        before = {key: spark.conf.get(key, None) for key in SHARES}
+        try:
+            return job(spark, *args, **choices)
+        finally:
+            for key, value in before.items():
+                spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+    return run

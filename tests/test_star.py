@@ -285,3 +285,45 @@ def test_shuffles_start_with_partitions_for_the_input(spark, monkeypatch):
             assert spark.conf.get(session.INITIAL) == str(wanted)
     finally:
         spark.conf.unset(session.INITIAL) if before is None else spark.conf.set(session.INITIAL, before)
+
+
+def test_a_larger_input_makes_more_tasks_and_not_larger_ones(spark, tmp_path, rows, fresh, monkeypatch):
+    from starlane import session
+
+    raw = tmp_path / "raw"
+    raw.mkdir()
+    land(spark, raw)
+    files = 24
+    for n in range(files - 2):
+        month = [(2016.0, 3.0, f"P{n}-{i}", 30.0, 1.0, "F") for i in range(50)]
+        spark.createDataFrame(month, contracts.ARRIVALS).coalesce(1).write.parquet(str(raw / "arrivals" / f"more{n}.parquet"))
+    seen, plain = {}, star.arrivals_by_port
+
+    def watched(arrivals):
+        seen["tasks"] = arrivals.rdd.getNumPartitions()
+        seen["shares"] = [int(spark.conf.get(key)) for key in session.SHARES]
+        return plain(arrivals)
+
+    monkeypatch.setattr(star, "arrivals_by_port", watched)
+    before = [spark.conf.get(key, None) for key in ("spark.sql.files.maxPartitionBytes", "spark.sql.adaptive.advisoryPartitionSizeInBytes")]
+    monkeypatch.setattr(session, "LEAST_SHARE", 1 << 20, raising=False)
+    tables = run(spark, tmp_path, str(raw))
+    assert rows(tables["fact_arrivals"]) == FACT
+    assert seen["tasks"] >= files and seen["shares"] == [1 << 20] * 2
+    assert [spark.conf.get(key, None) for key in session.SHARES] == before
+
+
+def test_shares_follow_the_input_within_bounds_and_yield_to_the_session(spark, settings):
+    from starlane import session
+
+    files, shuffled = session.SHARES
+
+    @session.keeps_shares
+    def shares(spark, size):
+        session.size_shares(spark, size)
+        return [int(spark.conf.get(key)) for key in session.SHARES]
+
+    assert shares(spark, 0) == shares(spark, 10**11) == [16 << 20] * 2
+    assert shares(spark, 5 * 10**11) == [50_000_000] * 2 and shares(spark, 10**15) == [128 << 20, 64 << 20]
+    settings(**{files.replace(".", "__"): str(1 << 10), shuffled.replace(".", "__"): str(1 << 30)})
+    assert shares(spark, 0) == [1 << 10, 1 << 30]
