@@ -29,7 +29,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 
 from starlane.llm.files import table
-from starlane.llm.tokens import PieceEncoder, Pieces
+from starlane.llm.tokens import PieceEncoder, Words, portions
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 # Two in three matches of running text are longer, and so pass a join.
@@ -112,7 +112,7 @@ class TextEncoder(PieceEncoder):
         self.pairs = BytePairs(read_ranks(path))
         self.pattern = regex.compile(pattern)
         self.spaced, self.cache_size, self.added = True, cache_size, []
-        self.young, self.old, self.first = Pieces(), {}, {}
+        self.words, self.first = Words(cache_size), {}
         self.line_end = np.array(self._plain("\n"), dtype="<u4").tobytes()
 
     def _plain(self, text: str) -> list[int]:
@@ -134,8 +134,7 @@ def encode_texts(docs: DataFrame, vocabulary: str, pattern: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens = text_encoder(vocabulary, pattern)
         for batch in batches:
-            for at in range(0, batch.num_rows, 512):
-                some = batch.slice(at, 512)
+            for some in portions(batch):
                 ids = tokens.encode(some.column(1).to_pylist())
                 ends = np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int32)
                 lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(ids).astype(np.int32)))

@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from starlane.llm.files import new_file, open_folder, table
-from starlane.llm.tokens import encoder
+from starlane.llm.tokens import encoder, portions
 from starlane.sources.scratch import scratch_folder
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -148,8 +148,7 @@ def write_tokens(docs: DataFrame, vocabulary: str, folder: str, end_id: int = EN
     def tokenize(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens, end = encoder(vocabulary), np.uint32(end_id).tobytes()
         for batch in batches:
-            for at in range(0, batch.num_rows, 512):
-                some = batch.slice(at, 512)
+            for some in portions(batch):
                 keys = some.column(0).to_pylist()
                 ids = [x.tobytes() + end for x in tokens.encode(some.column(1).to_pylist())]
                 shard = np.searchsorted(bounds, [k if k is not None else -(2**63) for k in keys], side="left")

@@ -1,8 +1,10 @@
 """Token ids of whole texts from a tokenizers file, fast enough for a large corpus.
 
-Text is cut at single spaces, where neither kind of vocabulary ever merges across, and
-the ids of a cut piece are looked up in a bounded cache of the Python worker. Pieces that
-are not cached are encoded many at a time. The ids equal those of encoding the whole
+Text is cut at single spaces, where neither kind of vocabulary ever merges across, and pieces
+into a word and the marks after it. Arrow cuts many texts at once and tells the different words
+apart; only these are looked up in a bounded table that the Python worker keeps. Words that are
+not there are encoded many at a time, and the ids of the texts are gathered by position, so no
+step of Python is taken for a piece of a text. The ids equal those of encoding the whole
 text; texts whose white space allows no such cut, and texts that hold the string of a
 token added to the vocabulary (``<|endoftext|>``), are encoded whole.
 """
@@ -11,9 +13,12 @@ from __future__ import annotations
 
 import os
 import re
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 # Runs of three or more, or two at the end, are matched as a whole by byte-level vocabularies.
 LONG_SPACE = re.compile(r"\s\s\s|\s\s\Z|[\x1c-\x1f\x85]")
@@ -22,6 +27,11 @@ ODD_SPACE = "\t\r\v\f" + CONTROL + "\xa0\u1680" + "".join(map(chr, range(0x2000,
 SPACE = re.compile(r"\s")
 # Letters, then ASCII marks but no apostrophe: both vocabularies part such a piece there.
 WORD_AND_MARKS = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)")
+LETTERS = "".join(c for c in map(chr, range(0x100)) if WORD_AND_MARKS.fullmatch(c))
+MARKS = "".join(c for c in map(chr, range(0x80)) if WORD_AND_MARKS.fullmatch("a" + c) and c not in LETTERS)
+#: Bytes of the texts that are cut together. More hold fewer different pieces for their length, but take more memory.
+PORTION_BYTES = 8 << 20
+
 
 def holds(text: str, characters: str) -> bool:
     """Whether any of the characters is in a text; a search for each is quicker than one for the class."""
@@ -33,22 +43,83 @@ def has_long_space(text: str) -> bool:
     return (pairs or holds(text, ODD_SPACE)) and bool(LONG_SPACE.search(text))
 
 
-class Pieces(dict):
-    """Ids of pieces. A piece that is not there gets a buffer, which is filled before it is read."""
+def portions(batch: pa.RecordBatch, column: int = 1) -> Iterator[pa.RecordBatch]:
+    """A batch in slices of whole rows, each with about ``PORTION_BYTES`` of text."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    at = 0
+    while at < batch.num_rows:
+        end = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + PORTION_BYTES, side="right")))
+        yield batch.slice(at, end - at)
+        at = end
+
+
+def strings(array: pa.Array) -> list[str]:
+    """An array of strings without spaces; one string of all is quicker to turn into Python's than each alone."""
+    if not len(array):
+        return []
+    return pc.binary_join(pa.ListArray.from_arrays(pa.array([0, len(array)], pa.int32()), array), " ")[0].as_py().split(" ")
+
+
+def gather(ids: np.ndarray, starts: np.ndarray, sizes: np.ndarray, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of coded spans one after the other, and the number of each."""
+    found = sizes[codes]
+    ends = np.cumsum(found)
+    at = np.repeat(starts[codes] - (ends - found), found)
+    at += np.arange(len(at))
+    return ids[at], found
 
-    def __init__(self):
-        self.pending: dict[str, bytearray] = {}
 
-    def __missing__(self, piece: str) -> bytearray:
-        buffer = self[piece] = self.pending[piece] = bytearray()
-        return buffer
+def joined(ids: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Ids as one array, and the number of each."""
+    return np.frombuffer(b"".join(ids), dtype="<u4"), np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+
+
+class Words:
+    """Ids of words in arrays: at most twice ``limit`` words, or 128 bytes of text for each of ``limit``, and those of one portion.
+
+    Where there are more, the words of up to 64 bytes used last are kept, ``limit`` of them at most.
+    """
+
+    def __init__(self, limit: int):
+        self.limit, self.clock = limit, 0
+        self.words = pa.array([], pa.string())
+        self.ids, self.sizes, self.used = np.zeros(0, dtype="<u4"), np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
+
+    @property
+    def starts(self) -> np.ndarray:
+        return np.cumsum(self.sizes) - self.sizes
+
+    def _trim(self) -> None:
+        if len(self.words) <= 2 * self.limit and self.words.nbytes <= 128 * self.limit:
+            return
+        last = np.argsort(-self.used, kind="stable")
+        short = pc.binary_length(self.words).to_numpy()[last] <= 64
+        keep = np.sort(last[short][: self.limit])
+        self.ids, sizes = gather(self.ids, self.starts, self.sizes, keep)
+        self.words, self.sizes, self.used = self.words.take(pa.array(keep)), sizes, self.used[keep]
+
+    def find(self, words: pa.Array, encode: Callable[[list[str]], list[bytes]]) -> np.ndarray:
+        """The places of different words; those that are not there are encoded and added."""
+        self._trim()
+        self.clock += 1
+        places = pc.fill_null(pc.index_in(words, value_set=self.words), -1).to_numpy().copy()
+        missing = np.flatnonzero(places < 0)
+        if len(missing):
+            new = words.take(pa.array(missing))
+            ids, sizes = joined(encode(strings(new)))
+            places[missing] = np.arange(len(self.words), len(self.words) + len(new))
+            self.words = pa.concat_arrays([self.words, new])
+            self.ids, self.sizes = np.concatenate((self.ids, ids)), np.concatenate((self.sizes, sizes))
+            self.used = np.concatenate((self.used, np.zeros(len(new), dtype=np.int64)))
+        self.used[places] = self.clock
+        return places
 
 
 class PieceEncoder:
     """Encode texts as the tokenizers library does, adding no special tokens to them.
 
     ``spaced`` tells that a space belongs to the word after it (byte-level vocabularies);
-    otherwise white space is dropped. The cache holds at most twice ``cache_size`` pieces.
+    otherwise white space is dropped. ``cache_size`` is the limit of :class:`Words`.
     """
 
     def __init__(self, path: str, cache_size: int = 800_000):
@@ -59,7 +130,7 @@ class PieceEncoder:
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.spaced = bool(self._plain(" "))
         self.cache_size = cache_size
-        self.young, self.old = Pieces(), {}
+        self.words = Words(cache_size)
         self.first: dict[str, bytes] = {}
         # A mark that always is one token of its own and parts two pieces in one call.
         self.mark = "\n" if self.spaced else next(m for m in "~^|=" if len(self._plain(f"a {m} a")) == 3)
@@ -90,37 +161,36 @@ class PieceEncoder:
             found[p] = np.array(e.ids, dtype="<u4").tobytes()
         return [found[p] for p in pieces]
 
-    def _cut(self, piece: str) -> tuple[str, str] | None:
-        """A word that is more often met, and marks, with the same ids as a piece."""
-        if m := WORD_AND_MARKS.fullmatch(piece):
-            word = m[1] if self.spaced else m[1].lower()
-            return (word, m[2]) if word != piece else None
-        return None
-
-    def _fill(self) -> None:
-        """Fill the buffers of pending pieces, from the old half or anew."""
-        pending, self.young.pending = self.young.pending, {}
-        known = {p: self.old[p] for p in pending if p in self.old}
-        rest = pending.keys() - known.keys()
-        lines = [p for p in rest if self.spaced and p[:1] == "\n" and len(p) > 1]
-        cut = {p: c for p in rest if (c := self._cut(p))}
-        words = {w for w, _ in cut.values()}.difference(pending)
-        ready = {w: x for w in words if (x := self.young.get(w) or self.old.get(w))}
-        self._lead_pieces({t for _, t in cut.values()}.union(p[1:] for p in lines))
-        new = sorted(rest.union(words).difference(cut, ready, lines))
+    def _encode_words(self, words: list[str]) -> list[bytes]:
+        """The ids of words, a word after a line end with it."""
+        lines = [w for w in words if self.spaced and w[:1] == "\n" and len(w) > 1]
+        self._lead_pieces({w[1:] for w in lines})
+        ready = {w: self.line_end + self.first[w[1:]] for w in lines}
+        new = [w for w in words if w not in ready]
         ready.update(zip(new, self._encode_pieces(new, " " if self.spaced else "")))
-        ready.update(known)
-        for p, (word, tail) in cut.items():
-            ready[p] = ready[word] + (self.first[tail] if tail else b"")
-        for p in lines:
-            ready[p] = self.line_end + self.first[p[1:]]
-        for p, buffer in pending.items():
-            buffer += ready[p]
-        if len(self.young) + len(words) > self.cache_size:
-            for p in pending:
-                del self.young[p]
-            self.old, self.young = dict(self.young), Pieces()
-        self.young.update(ready)
+        return [ready[w] for w in words]
+
+    def _encode_different(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of different pieces one after the other, and the number of each.
+
+        A piece of letters and marks is cut between them: the word alone is more often met.
+        """
+        word, tail = pc.utf8_rtrim(pieces, MARKS), pc.utf8_ltrim(pieces, LETTERS)
+        n = pc.binary_length(word)
+        cut = pc.and_(pc.equal(pc.add(n, pc.binary_length(tail)), pc.binary_length(pieces)), pc.greater(n, 0))
+        words = pc.if_else(cut, word if self.spaced else pc.utf8_lower(word), pieces).dictionary_encode()
+        tails = pc.if_else(cut, tail, "").dictionary_encode()
+        places = self.words.find(words.dictionary, self._encode_words)
+        marks = strings(tails.dictionary)
+        self._lead_pieces(set(marks))
+        ids, sizes = joined([self.first[m] for m in marks])
+        known, starts = len(self.words.sizes), self.words.starts
+        codes = np.stack((places[words.indices.to_numpy()], tails.indices.to_numpy() + known), axis=1).ravel()
+        found, n = gather(
+            np.concatenate((self.words.ids, ids)), np.concatenate((starts, len(self.words.ids) + np.cumsum(sizes) - sizes)),
+            np.concatenate((self.words.sizes, sizes)), codes,
+        )
+        return found, n.reshape(-1, 2).sum(axis=1)
 
     def _lead_pieces(self, pieces: set[str]) -> None:
         """Have the ids of pieces with no space before them in ``first``."""
@@ -133,38 +203,47 @@ class PieceEncoder:
             self.first.update(zip(whole, self._encode_pieces(whole, "")))
             self.first.update((p, self.first[m[1]] + self.first[m[2]]) for p, m in cut.items())
 
-    def encode(self, texts: list[str | None], group: int = 100) -> list[np.ndarray]:
+    def encode(self, texts: list[str | None]) -> list[np.ndarray]:
         """The ids of each text (NULL: none) as little-endian unsigned 32-bit integers."""
-        out: list[np.ndarray] = []
-        for i in range(0, len(texts), group):
-            out.extend(self._encode_group([t or "" for t in texts[i : i + group]]))
-        return out
+        texts = [t or "" for t in texts]
+        spaces = [self._spaces(t) for t in texts]
+        apart = self._encode_apart([t for t in spaces if t is not None])
+        return [np.array(self._plain(t), dtype="<u4") if s is None else next(apart) for t, s in zip(texts, spaces)]
 
-    def _split(self, text: str) -> list[str] | None:
-        """Pieces of a text that are encoded apart, the first with no space before it; None if there are none."""
+    def _spaces(self, text: str) -> str | None:
+        """A text whose pieces between single spaces are encoded apart, the first with no space before it; None if it is encoded whole."""
         if any(token in text for token in self.added):
             return None
         if not self.spaced:
-            return text.split(" ") if holds(text, CONTROL) else text.split()
+            if holds(text, CONTROL):
+                return text
+            return " ".join(text.split()) if holds(text, ODD_SPACE) else text.replace("\n", " ")
         if " \n" in text or has_long_space(text):
             return None
         # A line end between two words goes with the word after it.
         if "\n" in text and not ("\n\n" in text or "\n " in text or text[0] == "\n" or text[-1] == "\n"):
             text = text.replace("\n", " \n")
-        return text.split(" ")
-
-    def _encode_group(self, texts: list[str]) -> list[np.ndarray]:
-        split = [self._split(t) for t in texts]
-        heads = [p.pop(0) if p and self.spaced else "" for p in split]
-        got = [[*map(self.young.__getitem__, p or ())] for p in split]
-        self._lead_pieces(set(heads))
-        leads = [self.first[h] for h in heads]
-        if self.young.pending:
-            self._fill()
-        return [
-            np.array(self._plain(text), dtype="<u4") if pieces is None else np.frombuffer(lead + b"".join(ids), dtype="<u4")
-            for text, lead, pieces, ids in zip(texts, leads, split, got)
-        ]
+        return text
+
+    def _encode_apart(self, texts: list[str]) -> Iterator[np.ndarray]:
+        """The ids of texts, piece by piece."""
+        if not texts:
+            return
+        split = pc.split_pattern(pa.array(texts, pa.string()), " ")
+        bounds, coded = split.offsets.to_numpy(), split.values.dictionary_encode()
+        codes = coded.indices.to_numpy()
+        ids, sizes = self._encode_different(coded.dictionary)
+        if self.spaced:
+            heads = [t.partition(" ")[0] for t in texts]
+            self._lead_pieces(set(heads))
+            head_ids, head_sizes = joined([self.first[h] for h in heads])
+            codes = codes.copy()
+            codes[bounds[:-1]] = np.arange(len(sizes), len(sizes) + len(heads))
+            ids, sizes = np.concatenate((ids, head_ids)), np.concatenate((sizes, head_sizes))
+        found, n = gather(ids, np.cumsum(sizes) - sizes, sizes, codes)
+        ends = np.concatenate(([0], np.cumsum(n)))[bounds].tolist()
+        for a, b in zip(ends, ends[1:]):
+            yield found[a:b]
 
 
 @lru_cache(maxsize=2)

@@ -2,6 +2,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 from hypothesis import given, settings
@@ -9,7 +10,7 @@ from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from starlane.llm import byte_pairs, packing, token_files
-from starlane.llm.tokens import PieceEncoder
+from starlane.llm.tokens import PieceEncoder, Words, portions
 from messy_tables import documents, no_documents
 
 TEXTS = st.text(st.sampled_from(list("abcéüß  \n\n\t.,'!#12 \xa0　漢🙂̈sltrevmd|<>")), max_size=60)
@@ -35,6 +36,42 @@ def test_pieces_give_the_ids_of_whole_texts(name):
     check()
 
 
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_only_different_words_are_looked_up(name, monkeypatch):
+    plain, pieces, looked_up = library(name), PieceEncoder(public_tokenizers.path(name)), []
+    find = Words.find
+    monkeypatch.setattr(Words, "find", lambda self, words, encode: looked_up.extend(words.to_pylist()) or find(self, words, encode))
+    texts = ["it was so, so (and) so!", "\nÉté. it was, so: it 12, 12 ,,, été\nwas it"] * 500
+    assert [x.tolist() for x in pieces.encode(texts)] == [plain(t) for t in texts]
+    assert len(looked_up) == len(set(looked_up)) < 20 and not {"so,", "so!", "was,", "so:"} & set(looked_up)
+
+
+def test_words_kept_are_those_used_last():
+    words, made = Words(limit=4), []
+
+    def find(*some):
+        places = words.find(pa.array(some, pa.string()), lambda new: made.extend(new) or [np.full(len(w), ord(w[:1] or "-"), "<u4").tobytes() for w in new])
+        for w, at in zip(some, places.tolist()):
+            start, n = words.starts[at], words.sizes[at]
+            assert words.words[at].as_py() == w and words.ids[start : start + n].tolist() == [ord(w[:1] or "-")] * len(w)
+
+    find("a", "bb", "", "dd")
+    find("e", "f", "ggg", "h", "i", "bb")
+    find("a")  # full: e to i and bb were used last, four of them stay
+    assert len(words.words) == 5 and made.count("a") == 2 and made.count("bb") == 1
+    find("x" * 2000, "bb")  # long words do not stay either
+    find("a")
+    assert words.words.nbytes < 128 * 4 and made.count("a") == 2
+
+
+def test_portions_hold_every_row_once():
+    texts = ["a" * 5_000_000, None, "b" * 9_000_000, "", "c" * 3_000_000, "d" * 6_000_000, None]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(7)), pa.array(texts)], ["doc_id", "text"])
+    got = [some.column(0).to_pylist() for some in portions(batch.slice(0, 7))]
+    assert got == [[0, 1], [2], [3, 4], [5, 6]]
+    assert [some.column(0).to_pylist() for some in portions(batch.slice(3, 2))] == [[3, 4]] and not list(portions(batch.slice(0, 0)))
+
+
 @given(st.lists(st.integers(0, 2**32 - 1) | st.integers(0, 300), max_size=50))
 def test_values_round_trip(values):
     control, data = token_files.encode_values(np.array(values, dtype="<u4"))
