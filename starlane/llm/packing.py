@@ -29,11 +29,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starlane.llm.files import lean, table
-from starlane.llm.tokens import encoder
+from starlane.llm.tokens import encoder, portions
 
 VOCABULARY = "word_bpe_49k.json"
 END_ID = 2
-#: A task holds open sequences and rows besides; some 200 bytes a piece, twice at most.
+#: A task holds open sequences and rows besides; some 60 bytes a word, twice at most.
 CACHED_PIECES = 400_000
 
 PIECES = "doc_id long, start long, length long, doc_tokens long, loss_tokens long, sequence_id long, offset long, ids array<int>"
@@ -184,8 +184,7 @@ def pack(
 
         def documents():
             for batch in batches:
-                for at in range(0, batch.num_rows, 256):
-                    some = batch.slice(at, 256)
+                for some in portions(batch):
                     keys = some.column(0).to_pylist()
                     for key, ids in zip(keys, tokens.encode(some.column(1).to_pylist())):
                         yield key, np.concatenate((ids, end))
