@@ -8,10 +8,13 @@ differs in at most one slot (pigeonhole). Every allowed error of a chunk is enum
 leaving out each slot in turn: 128 keys a document find every pair within the radius.
 
 Equal sets are one class with one signature. The members of a key are not paired with each
-other: each is tied to one of them, the key's hub, and ties make groups that hold every pair
-within the radius. A group is compared in blocks, two to a task, by signature and then by
-full set, and a task returns only links that join what its other links do not, so the
-components of the links are those of all pairs within the radius that the sets confirm.
+other: each is tied to one of them, the key's hub. Ties within the radius join most of what
+belongs together, so only members of a key that they leave apart meet by signature. Both make
+groups that hold every pair within the radius; ties beyond it join nothing, or sets that are
+little alike would chain the groups of a large table into one. A group is compared in blocks,
+two to a task, by signature and then by full set, and a task returns only links that join what
+its other links do not, so the components of the links are those of all pairs within the radius
+that the sets confirm.
 
 Defined cases: rows without words (NULL or empty text too) are linked with nothing; a row with
 NULL doc_id is linked with nothing and kept; rows that share a doc_id are one document with
@@ -27,14 +30,19 @@ from math import comb, log
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from starlane.llm.files import lean, stage, table
+from starlane.operators.match import key_filter
 
 SLOTS, BITS, MISS = 128, 8, 1e-5
 #: Rows, and shingles of all rows, of a block.
 BLOCK_ROWS, BLOCK_SHINGLES = 512, 1 << 20
+#: Rows of a block of a key's members, which meet by signature alone.
+KEY_BLOCK = 2048
+#: Bits of a filter by doc_id: for each of its ids, and at most.
+ID_BITS, MOST_BITS = 32, 1 << 25
 
 _RANDOM = np.random.default_rng(20240229)
 MULTIPLY = _RANDOM.integers(0, 1 << 63, SLOTS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -139,7 +147,7 @@ def key_rows(classes: DataFrame, radius: int) -> DataFrame:
         for batch in batches:
             for at in range(0, batch.num_rows, 1024):
                 some = batch.slice(at, 1024)
-                signs = np.frombuffer(b"".join(some.column(1).to_pylist()), dtype=np.uint8).reshape(-1, SLOTS)
+                signs = signs_of(some.column(1))
                 keys = keys_of(signs, chunks).view(np.int64)
                 who = np.repeat(np.asarray(some.column(0)), SLOTS)
                 yield pa.RecordBatch.from_arrays([pa.array(keys.reshape(-1)), pa.array(who)], ["key", "rep"])
@@ -158,10 +166,107 @@ def shingle_sets(docs: DataFrame, width: int) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(lean(run), "rep long, shingles binary")
 
 
-def compared(members: DataFrame, radius: int, percent: int) -> DataFrame:
+def shared_keys(keys: DataFrame) -> DataFrame:
+    """The members of keys that have several, with the key's hub and size; the keys are shuffled once."""
+    of_key = Window.partitionBy("key")
+    return keys.withColumns({"hub": F.min("rep").over(of_key), "size": F.count(F.lit(1)).over(of_key)}).where("size > 1")
+
+
+def near(signs: np.ndarray, sizes: np.ndarray, x: np.ndarray, y: np.ndarray, radius: int, percent: int) -> np.ndarray:
+    """Whether rows x and y are within the radius, and their sizes allow the threshold."""
+    fits = 100 * np.minimum(sizes[x], sizes[y]) >= percent * np.maximum(sizes[x], sizes[y])
+    fits[fits] = (signs[x[fits]] != signs[y[fits]]).sum(axis=1) <= radius
+    return fits
+
+
+def signs_of(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), dtype=np.uint8).reshape(-1, SLOTS)
+
+
+def near_ties(shared: DataFrame, signed: DataFrame, radius: int, percent: int) -> DataFrame:
+    """Ties (a, b) of a member and a hub of its that are near."""
+    hubs, reps = (signed.select(F.col("rep").alias(e), F.col("n").alias(f"n_{e}"), F.col("signature").alias(f"sign_{e}")) for e in "ab")
+    met = shared.where("hub <> rep").select(F.col("hub").alias("a"), F.col("rep").alias("b")).distinct().join(hubs, "a").join(reps, "b")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n = batch.num_rows
+            signs = np.concatenate([signs_of(batch.column(4)), signs_of(batch.column(5))])
+            sizes = np.concatenate([np.asarray(batch.column(2)), np.asarray(batch.column(3))])
+            yield batch.select([0, 1]).filter(pa.array(near(signs, sizes, np.arange(n), np.arange(n, 2 * n), radius, percent)))
+
+    return met.select("a", "b", "n_a", "n_b", "sign_a", "sign_b").mapInArrow(lean(run), "a long, b long")
+
+
+def key_links(shared: DataFrame, labels: DataFrame, signed: DataFrame, radius: int, percent: int) -> DataFrame:
+    """Links (a, b) that join the members of a key wherever two are near and ``labels`` (rep, component) has them apart.
+
+    The members of a large key are dealt into blocks, two to a task. In a key of two members the
+    tie has said it all.
+    """
+    of_key = Window.partitionBy("key")
+    own = shared.where("size > 2").join(labels, "rep", "left").select("key", "rep", "size", F.coalesce("component", "rep").alias("label"))
+    own = own.withColumns({"low": F.min("label").over(of_key), "high": F.max("label").over(of_key)}).where("low <> high")
+    blocks = F.ceil(F.col("size") / KEY_BLOCK).cast("int")
+    own = own.withColumn("blocks", blocks).withColumn("blk", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
+    own = own.join(signed, "rep").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    i, j = F.least("blk", "other").alias("i"), F.greatest("blk", "other").alias("j")
+    dealt = own.select("key", i, j, "blk", "rep", "label", "n", "signature").repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+
+    def links(rows: pa.Table) -> pa.RecordBatch:
+        key, i, j, blk, reps, labels, sizes = (np.asarray(rows.column(c)) for c in ("key", "i", "j", "blk", "rep", "label", "n"))
+        signs, labels, found = signs_of(rows.column("signature")), labels.copy(), []
+        at, step = np.arange(len(key) - 1), 1
+        while len(at):
+            to = at + step
+            same = (key[at] == key[to]) & (i[at] == i[to]) & (j[at] == j[to])
+            at, to = at[same], to[same]
+            apart = (labels[at] != labels[to]) & ((i[at] == j[at]) | (blk[at] != blk[to]))
+            x, y = at[apart], to[apart]
+            close = near(signs, sizes, x, y, radius, percent)
+            for x, y in zip(x[close].tolist(), y[close].tolist()):
+                if labels[x] != labels[y]:
+                    found.append((reps[x], reps[y]))
+                    labels[labels == labels[y]] = labels[x]
+            step += 1
+            at = at[at + step < len(key)]
+        return pa.RecordBatch.from_arrays([pa.array([x[e] for x in found], pa.int64()) for e in (0, 1)], ["a", "b"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rest: list[pa.RecordBatch] = []
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            rows = pa.Table.from_batches([*rest, batch]).combine_chunks()
+            tasks = np.stack([np.asarray(rows.column(c)) for c in ("key", "i", "j")])
+            ends = np.flatnonzero((tasks[:, 1:] != tasks[:, :-1]).any(axis=0))
+            cut = int(ends[-1]) + 1 if len(ends) else 0  # the last task may go on in the next batch
+            if cut:
+                yield links(rows.slice(0, cut))
+            rest = rows.slice(cut).to_batches()
+        if rest:
+            yield links(pa.Table.from_batches(rest).combine_chunks())
+
+    return dealt.mapInArrow(lean(run), "a long, b long")
+
+
+def groups_of(shared: DataFrame, signed: DataFrame, radius: int, percent: int) -> DataFrame:
+    """Classes (rep, grp) that near pairs join; ``signed`` has rep, n and signature of the members of ``shared``."""
+    tied = stage(near_ties(shared, signed, radius, percent), "near_ties")
+    links = key_links(shared, components(tied), signed, radius, percent)
+    return components(tied.unionByName(links)).withColumnRenamed("component", "grp")
+
+
+def among(ids: DataFrame) -> Column:
+    """A condition on doc_id that each of these ids meets and few others, so that few texts are shuffled. ``ids`` is read twice."""
+    (name,) = ids.columns
+    return key_filter(ids, {name: "doc_id"}, min(MOST_BITS, max(1, ID_BITS * ids.count())))
+
+
+def compared(members: DataFrame, sets: DataFrame, radius: int, percent: int) -> DataFrame:
     """Links (a, b) that join the members of each group wherever pairs within the radius are confirmed.
 
-    ``members`` has rep, n, grp, signature and shingles. A group is dealt into blocks by the
+    ``members`` has rep, n, grp and signature, ``sets`` rep and shingles. A group is dealt into blocks by the
     size of the sets, and only blocks whose sizes allow the threshold meet, two to a task,
     whatever the size of the group. A task checks near pairs first and skips those that its
     links already join.
@@ -194,12 +299,14 @@ def compared(members: DataFrame, radius: int, percent: int) -> DataFrame:
     same = F.transform(numbers(count_of(cls)), lambda j: task(cls, F.least(blk, j), cls, F.greatest(blk, j)))
     above = F.transform(numbers(count_of(cls + 1)), lambda j: task(cls, blk, cls + 1, j))
     below = F.transform(numbers(count_of(cls - 1)), lambda j: task(cls - 1, j, cls, blk))
-    dealt = placed.select("grp", "rep", "cls", "blk", "signature", "shingles", F.explode(F.concat(same, above, below)).alias("task"))
+    # The sets are the bulk of the rows, so they meet the others once all is dealt.
+    placed = placed.select("grp", "rep", "cls", "blk", "signature", F.concat(same, above, below).alias("tasks")).join(sets, "rep")
+    dealt = placed.select("grp", "rep", "cls", "blk", "signature", "shingles", F.explode("tasks").alias("task"))
 
     def meet(key: tuple, rows: pa.Table) -> pa.Table:
         low, i, high, j = (key[1].as_py()[k] for k in ("low", "i", "high", "j"))
         reps = np.asarray(rows.column("rep"))
-        signs = np.frombuffer(b"".join(rows.column("signature").to_pylist()), dtype=np.uint8).reshape(-1, SLOTS)
+        signs = signs_of(rows.column("signature"))
         sets = [np.frombuffer(x, dtype=np.uint64) for x in rows.column("shingles").to_pylist()]
         side = (np.asarray(rows.column("cls")) == low) & (np.asarray(rows.column("blk")) == i)
         links = joined(reps, signs, sets, side, (low, i) == (high, j), radius, percent)
@@ -275,15 +382,12 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     by_set = stage(by_set, "equal_sets")
     classes = by_set.select("rep", "n", "signature")
 
-    keys = key_rows(classes, radius)
-    shared = keys.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.min("rep").alias("hub")).where("size > 1")
-    members = stage(keys.join(shared.drop("size"), "key").distinct(), "key_members")
-    needed = members.select("rep").distinct()
-    texts = docs.select("doc_id", "text").where("doc_id is not null").join(needed.withColumnRenamed("rep", "doc_id"), "doc_id", "left_semi")
-    sets = stage(shingle_sets(texts, width).distinct(), "member_sets")
-    groups = components(members.select(F.col("hub").alias("a"), F.col("rep").alias("b")).where("a <> b").distinct())
-    groups = groups.withColumnRenamed("component", "grp")
-    links = compared(classes.join(groups, "rep").join(sets, "rep"), radius, percent)
+    shared = stage(shared_keys(key_rows(classes, radius)), "shared_keys")
+    signed = stage(classes.join(shared.select("rep").distinct(), "rep", "left_semi"), "signed")
+    groups = groups_of(shared, signed, radius, percent)
+    texts = docs.select("doc_id", "text").where(among(groups.select("rep")))
+    sets = shingle_sets(texts, width).repartition("rep").distinct()
+    links = compared(signed.join(groups, "rep"), sets, radius, percent)
     # A doc_id that occurs in several classes links them by itself.
     firsts = by_set.select(F.col("rep").alias("a"), "digest")
     twice = linkable.select(F.col("doc_id").alias("b"), "digest").join(firsts, "digest").where("a <> b").select("a", "b")
@@ -305,10 +409,14 @@ def keep_one(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
 
     Dropped are the doc_ids that are not kept, and all but one row of a doc_id that repeats.
     """
-    gone = near_duplicates(docs, width, percent).where("not kept").select("doc_id").distinct()
-    one = docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
-    named, unnamed = one.where("doc_id is not null"), one.where("doc_id is null")
-    return named.dropDuplicates(["doc_id"]).unionByName(unnamed)
+    gone = near_duplicates(docs, width, percent).where("not kept").select("doc_id", F.lit(True).alias("gone"))
+    twice = docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1 and doc_id is not null")
+    found = gone.unionByName(twice.select("doc_id", F.lit(False).alias("gone")))
+    found = stage(found.groupBy("doc_id").agg(F.max("gone").alias("gone")), "gone_or_twice")
+    # Only the texts of these ids, and of the few that pass the filter with them, are shuffled.
+    there = among(found.select("doc_id"))
+    left = docs.where(there).join(found.where("gone").select("doc_id"), "doc_id", "left_anti").select(*docs.columns)
+    return docs.where(~there).unionByName(left.dropDuplicates(["doc_id"]))
 
 
 def op9_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -193,3 +193,47 @@ def test_any_language_value_can_be_learned(spark):
     truth = {r[0]: r[2] for r in rows}
     got = [r for r in languages.identify(docs, languages.fit(docs)).collect() if r["held_out"]]
     assert len(got) > 40 and np.mean([r["lang_pred"] == truth[r["doc_id"]] for r in got]) > 0.95
+
+
+def test_texts_little_alike_are_not_chained_into_one_group(spark, monkeypatch):
+    monkeypatch.setattr(near_dups, "BLOCK_ROWS", 16)
+    monkeypatch.setattr(near_dups, "KEY_BLOCK", 2, raising=False)
+    seen, compared = [], near_dups.compared
+    monkeypatch.setattr(near_dups, "compared", lambda members, *rest: seen.append(members) or compared(members, *rest))
+    parts = [words(60, i) for i in range(62)]
+    # Each shares half of its shingles with the next one, so they share keys from end to end.
+    rows = [(i, " ".join(parts[i : i + 3])) for i in range(60)]
+    rows += [(100 + i, edited(rows[i][1], 2, i)) for i in range(0, 60, 6)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r["doc_id"]: r["component_id"] for r in near_dups.near_duplicates(docs).collect()}
+    assert found == brute_components(docs.collect(), 5, 80) and found[154] == 54 and found[55] == 55
+    groups = [r["count"] for r in seen[0].groupBy("grp").count().collect()]
+    assert sum(groups) >= 20 and max(groups) < 10
+
+
+@pytest.mark.parametrize("block", [1, 2, 2048])
+def test_members_far_from_their_hub_meet(spark, monkeypatch, block):
+    monkeypatch.setattr(near_dups, "KEY_BLOCK", block)
+    random = np.random.default_rng(5)
+    signs = random.integers(0, 256, (6, near_dups.SLOTS)).astype(np.uint8)
+    signs[3, 30:], signs[5, 30:] = signs[2, 30:], signs[4, 30:]
+    signed = spark.createDataFrame([(i, 100 if i < 5 else 200, bytearray(s.tobytes())) for i, s in enumerate(signs)], "rep long, n long, signature binary")
+    shared = spark.createDataFrame([(key, i, 0, 6) for key in (7, 8) for i in range(6)] + [(9, 0, 0, 2), (9, 1, 0, 2)], "key long, rep long, hub long, size long")
+    apart = spark.createDataFrame([], "rep long, component long")
+    got = near_dups.key_links(shared, apart, signed, 46, 80).collect()
+    assert {tuple(sorted(r)) for r in got} == {(2, 3)}  # the sizes of 4 and 5 rule them out
+    joined = spark.createDataFrame([(2, 2), (3, 2)], "rep long, component long")
+    assert near_dups.key_links(shared, joined, signed, 46, 80).count() == 0
+    assert near_dups.near_ties(shared, signed, 46, 80).count() == 0
+
+
+def test_only_texts_that_may_go_are_shuffled(spark, settings):
+    settings(spark__sql__autoBroadcastJoinThreshold="-1")
+    rows = [(i, words(60, i)) for i in range(40)] + [(41, words(60, 3)), (41, words(60, 51)), (5, words(60, 50)), (None, words(9, 1)), (None, words(9, 1))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = near_dups.keep_one(docs)
+    assert Counter(r["doc_id"] for r in kept.collect()) == Counter([*range(40), None, None])
+    optimized = kept._jdf.queryExecution().optimizedPlan().toString()
+    alone, shuffled = optimized.split("\n+- ", 1)
+    assert "getbit" in alone and "Join" not in alone and "Aggregate" not in alone
+    assert "getbit" in shuffled[shuffled.index("Join") :]
